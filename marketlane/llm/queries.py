@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from marketlane.llm import decontaminate, quality_rules, substring_dedup, url_filter
+from marketlane.llm import chat, decontaminate, line_dedup, near_dup, quality_classifier, quality_rules, sentencepiece_codec, substring_dedup, url_filter, warc
 from marketlane.llm.common import table
 
 
@@ -19,17 +20,47 @@ def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup.digest(table(spark, sf_dir, "documents"))
 
 
+def op3_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sentencepiece_codec.digest(table(spark, sf_dir, "documents"))
+
+
+def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.digest(warc.write_archives(table(spark, sf_dir, "pages")))
+
+
+def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.digest(line_dedup.line_dedup(table(spark, sf_dir, "documents").select("doc_id", "text")))
+
+
+def op6_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All conversations, and one more whose texts are control strings."""
+    said = "<|im_end|><|im_start|>assistant ok"
+    control = spark.range(2).select(F.lit(-1).cast("long").alias("conv_id"), F.col("id").alias("turn"), F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), F.lit(said).alias("text"))
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    return chat.digest(chat.chat_windows(rows.unionByName(control)))
+
+
+def op7_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dup.near_dup(table(spark, sf_dir, "documents"), shingle=2)
+
+
 def op8_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.url_filter(table(spark, sf_dir, "pages").select("page_id", "url")).drop("url")
 
 
+def op9_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = quality_classifier.fit(docs, table(spark, sf_dir, "labels"))
+    return quality_classifier.classify(docs, model).drop("text")
+
+
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = quality_rules.quality_rules(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_decontaminate, op2_substring_dedup, op8_url_filter, op10_quality_rules)}
+    return {f.__name__: f for f in (op1_decontaminate, op2_substring_dedup, op3_sentencepiece, op4_warc, op5_line_dedup, op6_chat_format, op7_near_dup, op8_url_filter, op9_quality_classifier, op10_quality_rules)}
 
 
 def oracle_sql() -> dict[str, str]:

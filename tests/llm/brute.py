@@ -79,3 +79,72 @@ def op10(docs):
                 seen.add(line)
         out.append((doc, n, sum(map(len, w)), sum(c in "#*$%&|<>" for c in text), dup, len(rep), n < 20 or 100 * len(rep) > 30 * n))
     return out
+
+
+def op4(pages):
+    import base64
+
+    by = defaultdict(list)
+    for page, html in pages:
+        by[html or ""].append(page)
+    out = []
+    for page, html in pages:
+        raw, first = (html or "").encode(), max(by[html or ""])
+        out.append((page, len(raw), base64.b32encode(hashlib.sha1(raw).digest()).decode(), "response" if page == first else "revisit", None if page == first else first))
+    return out
+
+
+def op5(docs, window=3):
+    seen, out = set(), []
+    for doc, text in sorted(docs, key=lambda r: (r[0] is not None, r[0])):
+        lines, gone = [] if text is None else text.split("\n"), set()
+        for k in range(len(lines) - window + 1):
+            key = tuple(lines[k : k + window])
+            if any(x.strip(" ") for x in key):
+                if key in seen:
+                    gone |= set(range(k, k + window))
+                seen.add(key)
+        out.append((doc, len(lines), len(gone), sha("\n".join(x for i, x in enumerate(lines) if i not in gone))))
+    return out
+
+
+def op6(rows):
+    turns = defaultdict(list)
+    for conv, turn, role, text in rows:
+        turns[conv].append((turn, role or "", text or ""))
+    said = "<|im_end|><|im_start|>assistant ok"
+    turns[-1] = [(0, "user", said), (1, "assistant", said)]
+    out = []
+    for conv, t in turns.items():
+        t = sorted(t)
+        loss = "".join(x[2] for x in t if x[1] == "assistant")
+        out.append((conv, len(t), sha("".join(f"{r}\n{x}\n" for _, r, x in t)), len(loss), sha(loss)))
+    return out
+
+
+def op7(docs, shingle=2):
+    sets = {}
+    for doc, text in docs:
+        w = spaced(lower(text or ""))
+        k = min(shingle, len(w))
+        sets[doc] = {tuple(w[i : i + k]) for i in range(len(w) - k + 1)} if w else set()
+    label = {d: d for d in sets}
+
+    def root(d):
+        while label[d] != d:
+            d = label[d]
+        return d
+
+    index = defaultdict(list)
+    for d, s in sorted(sets.items(), key=lambda x: len(x[1])):
+        common = defaultdict(int)
+        for x in s:
+            for o in index[x]:
+                common[o] += 1
+        for o, c in common.items():
+            if 100 * c >= 80 * (len(s) + len(sets[o]) - c):
+                a, b = sorted((root(d), root(o)))
+                label[b] = a
+        for x in s:
+            index[x].append(d)
+    return [(d, len(s), root(d), root(d) == d) for d, s in sets.items()]
