@@ -209,7 +209,7 @@ def _vocabulary(model: bytes) -> Vocabulary:
 
 
 def encode(docs: DataFrame, model_path: str = DEFAULT_MODEL, text_col: str = "text") -> DataFrame:
-    """``docs`` with ids (array of int) and n_tokens; columns of the same names are replaced.
+    """``docs`` with ids (array of int), n_tokens, round_trip (decoding gives the text); columns of the same names are replaced.
 
     Null and empty texts have no ids. Texts are taken as they are: nothing is normalised, so decoding restores them.
     """
@@ -218,12 +218,14 @@ def encode(docs: DataFrame, model_path: str = DEFAULT_MODEL, text_col: str = "te
     def work(batches):
         v = _vocabulary(model.value)
         for b in batches:
-            coded = [encode_text(t or "", v) for t in b[text_col].to_pylist()]
+            texts = [t or "" for t in b[text_col].to_pylist()]
+            coded = [encode_text(t, v) for t in texts]
+            same = [decode_ids(i, v) == t for i, t in zip(coded, texts, strict=True)]
             sizes = np.array([len(x) // 4 for x in coded], np.int64)
             flat = pa.array(np.frombuffer(b"".join(coded), np.int32))
-            yield {"ids": pa.ListArray.from_arrays(pa.array(np.concatenate(([0], np.cumsum(sizes))), pa.int32()), flat), "n_tokens": pa.array(sizes)}
+            yield {"ids": pa.ListArray.from_arrays(pa.array(np.concatenate(([0], np.cumsum(sizes))), pa.int32()), flat), "n_tokens": pa.array(sizes), "round_trip": same}
 
-    return add_columns(docs, [text_col], T.StructType([T.StructField("ids", T.ArrayType(T.IntegerType())), T.StructField("n_tokens", T.LongType())]), work)
+    return add_columns(docs, [text_col], T.StructType([T.StructField("ids", T.ArrayType(T.IntegerType())), T.StructField("n_tokens", T.LongType()), T.StructField("round_trip", T.BooleanType())]), work)
 
 
 def decode(coded: DataFrame, model_path: str = DEFAULT_MODEL, ids_col: str = "ids", to: str = "text") -> DataFrame:
