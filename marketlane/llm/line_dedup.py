@@ -84,17 +84,17 @@ def digest(found: DataFrame, text_col: str = "text", id_col: str = "doc_id") ->
 
 SQL = """
 WITH lines AS (SELECT doc_id, string_split(text, chr(10)) AS l FROM documents WHERE text IS NOT NULL),
-places AS (SELECT doc_id, l, unnest(range(1, len(l) - 1)) AS at FROM lines),
-windows AS (SELECT doc_id, at, l[at] AS x, l[at + 1] AS y, l[at + 2] AS z FROM places),
+places AS (SELECT doc_id, l, unnest(range(1, len(l) - 1)) AS pos FROM lines),
+windows AS (SELECT doc_id, pos, l[pos] AS x, l[pos + 1] AS y, l[pos + 2] AS z FROM places),
 ranked AS (
-  SELECT doc_id, at, row_number() OVER (PARTITION BY x, y, z ORDER BY doc_id, at) AS nth
+  SELECT doc_id, pos, row_number() OVER (PARTITION BY x, y, z ORDER BY doc_id, pos) AS nth
   FROM windows WHERE trim(x) <> '' OR trim(y) <> '' OR trim(z) <> ''),
-gone AS (SELECT DISTINCT doc_id, at + k AS at FROM ranked, (SELECT unnest([0, 1, 2]) AS k) AS steps WHERE nth > 1),
-numbered AS (SELECT doc_id, unnest(l) AS line, unnest(range(1, len(l) + 1)) AS at FROM lines),
+gone AS (SELECT DISTINCT doc_id, pos + k AS pos FROM ranked, (SELECT unnest([0, 1, 2]) AS k) AS steps WHERE nth > 1),
+numbered AS (SELECT doc_id, unnest(l) AS line, unnest(range(1, len(l) + 1)) AS pos FROM lines),
 kept AS (
-  SELECT n.doc_id, count(*) AS n_lines, count(g.at) AS n_removed_lines,
-         coalesce(string_agg(n.line, chr(10) ORDER BY n.at) FILTER (WHERE g.at IS NULL), '') AS kept
-  FROM numbered AS n LEFT JOIN gone AS g ON n.doc_id = g.doc_id AND n.at = g.at GROUP BY n.doc_id)
+  SELECT n.doc_id, count(*) AS n_lines, count(g.pos) AS n_removed_lines,
+         coalesce(string_agg(n.line, chr(10) ORDER BY n.pos) FILTER (WHERE g.pos IS NULL), '') AS kept
+  FROM numbered AS n LEFT JOIN gone AS g ON n.doc_id = g.doc_id AND n.pos = g.pos GROUP BY n.doc_id)
 SELECT d.doc_id, coalesce(k.n_lines, 0) AS n_lines, coalesce(k.n_removed_lines, 0) AS n_removed_lines, sha256(coalesce(k.kept, '')) AS kept_sha256
 FROM documents AS d LEFT JOIN kept AS k ON d.doc_id = k.doc_id
 """

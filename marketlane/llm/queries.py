@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from marketlane.llm import chat, decontaminate, line_dedup, near_dup, quality_classifier, quality_rules, sentencepiece_codec, substring_dedup, url_filter, warc
 from marketlane.llm.common import table
+from marketlane.llm.oracles import oracle_sql
 
 
 def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -59,9 +60,8 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
-def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_decontaminate, op2_substring_dedup, op3_sentencepiece, op4_warc, op5_line_dedup, op6_chat_format, op7_near_dup, op8_url_filter, op9_quality_classifier, op10_quality_rules)}
+__all__ = ["oracle_sql", "queries"]
 
 
-def oracle_sql() -> dict[str, str]:
-    return {}
+def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    return {f.__name__: f for f in (op1_decontaminate, op2_substring_dedup, op3_sentencepiece, op4_warc, op5_line_dedup, op6_chat_format, op7_near_dup, op8_url_filter, op9_quality_classifier, op10_quality_rules)}
