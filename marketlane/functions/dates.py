@@ -20,8 +20,13 @@ def any_timestamp(c: Column) -> Column:
     return F.coalesce(F.try_to_timestamp(c, F.lit("yyyy/MM/dd H:mm")), F.try_to_timestamp(c, F.lit("yyyy/MM/dd")), F.try_to_timestamp(c))
 
 
+def micros(c: Column) -> Column:
+    """Microseconds of a timestamp of either kind; only differences of these are used."""
+    return F.unix_micros(c.cast("timestamp"))
+
+
 def seconds_between(start: Column, end: Column) -> Column:
-    return F.unix_micros(end) / 1_000_000 - F.unix_micros(start) / 1_000_000
+    return (micros(end) - micros(start)) / 1_000_000
 
 
 def whole_days(start: Column, end: Column, least: int = 0) -> Column:

@@ -5,11 +5,11 @@
    all who are there) and a class goes on to the child named by its value of each. Nodes with more than ``node_limit``
    classes branch again, down to ``MAX_DEPTH``; all others compare their classes exhaustively by small sketches and set
    sizes. Two classes at similarity 0.8 share none of the leaves of four independent trees about once in 10**5.
-3. Pairs are confirmed on full sets, grouped by their smaller class and salted by the number of its partners. First a
-   forest of one pair for each class; then whichever pairs still join different components.
-4. Nodes that are too large at the last level are settled exactly: their classes meet their smallest one, and whatever
-   that doesn't unite is compared with all of the node, block by block. So a group in which everything is alike costs a
-   row for each member and not a pair for each two.
+3. A node with few likely pairs states them all. One with many, and every one that is too large at the last level, is
+   dense: it first states for each class its best partners, which are confirmed; then whatever the components of these
+   don't unite is compared with all of the node, block by block. So a group in which everything is alike costs some
+   rows for each member and not one for each two, and no link between components is lost.
+4. Pairs are confirmed on full sets, grouped by their smaller class and salted by the number of its partners.
 
 Nothing is collected: links, labels and nodes stay tables, written to the shared folder between rounds.
 """
@@ -25,12 +25,16 @@ from pyspark.sql import functions as F
 
 from marketlane.llm.common import LOWER, NULL_ID, WordHashes, byte_texts, id_key, mixed, partitions, written
 
-TOKENS, SKETCH, TREES, START, MAX_DEPTH = 64, 16, 4, 3, 6
-#: Sketch bytes that must agree. At similarity 0.8 fewer agree in 7 of 100,000 pairs; in unlike pairs hardly ever so many.
-AGREE = 6
+TOKENS, SKETCH, TREES, START, MAX_DEPTH = 64, 32, 4, 3, 6
+#: Sketch bytes that must agree. At similarity 0.8 fewer agree in 4 of 100,000 pairs; at 0.3 so many do in one of 90.
+AGREE = 16
+#: A node with more likely pairs than this for each of its classes is dense; it states as many partners for each at first.
+PARTNERS = 4
+_SKETCH = [f"sketch_{k}" for k in range(SKETCH // 8)]
 
-_PARTS = "key long, n int, print binary, tokens binary, sketch_a long, sketch_b long"
-_ROWS = "node long, id long, n int, sketch_a long, sketch_b long"
+_PARTS = "key long, n int, print binary, tokens binary, " + ", ".join(f"{c} long" for c in _SKETCH)
+_ROWS = "node long, id long, n int, " + ", ".join(f"{c} long" for c in _SKETCH)
+_FOUND = "a long, b long, agree int, " + _ROWS
 
 
 def _multipliers(count: int) -> np.ndarray:
@@ -75,7 +79,7 @@ def _parts(docs: DataFrame, text_col: str, id_col: str, shingle: int) -> DataFra
                 tokens.append((low[:TOKENS] >> np.uint64(32)).astype(np.uint32).tobytes())
                 sketches.append((low[TOKENS:] >> np.uint64(24)).astype(np.uint8))
             both = np.array(sketches, np.uint8).reshape(-1, SKETCH).view(np.int64)
-            yield pa.RecordBatch.from_arrays([keys, pa.array(n, pa.int32()), pa.array(prints, pa.binary()), pa.array(tokens, pa.binary()), pa.array(both[:, 0]), pa.array(both[:, 1])], names=["key", "n", "print", "tokens", "sketch_a", "sketch_b"])
+            yield pa.RecordBatch.from_arrays([keys, pa.array(n, pa.int32()), pa.array(prints, pa.binary()), pa.array(tokens, pa.binary()), *(pa.array(np.ascontiguousarray(x)) for x in both.T)], names=["key", "n", "print", "tokens", *_SKETCH])
 
     return docs.select(id_key(id_col).alias("key"), F.col(text_col).alias("text")).mapInArrow(run, _PARTS)
 
@@ -96,7 +100,7 @@ def _children(nodes: np.ndarray, tokens: np.ndarray, both: bool) -> tuple[np.nda
 
 def _rows(nodes: np.ndarray, entry: np.ndarray, b: pa.RecordBatch) -> pa.RecordBatch:
     take = pa.array(entry)
-    return pa.RecordBatch.from_arrays([pa.array(nodes.view(np.int64)), *(b.column(b.schema.get_field_index(c)).take(take) for c in ("id", "n", "sketch_a", "sketch_b"))], names=["node", "id", "n", "sketch_a", "sketch_b"])
+    return pa.RecordBatch.from_arrays([pa.array(nodes.view(np.int64)), *(b.column(b.schema.get_field_index(c)).take(take) for c in ("id", "n", *_SKETCH))], names=["node", "id", "n", *_SKETCH])
 
 
 def _token_matrix(b: pa.RecordBatch) -> np.ndarray:
@@ -115,7 +119,7 @@ def _leaves(classes: DataFrame) -> DataFrame:
                 entry = entry[at]
             yield _rows(nodes, entry, b)
 
-    return classes.select("id", "n", "tokens", "sketch_a", "sketch_b").mapInArrow(run, _ROWS)
+    return classes.select("id", "n", "tokens", *_SKETCH).mapInArrow(run, _ROWS)
 
 
 def _branched(rows: DataFrame, classes: DataFrame) -> DataFrame:
@@ -127,18 +131,20 @@ def _branched(rows: DataFrame, classes: DataFrame) -> DataFrame:
     return rows.join(classes.select("id", "tokens"), "id").mapInArrow(run, _ROWS)
 
 
-def _like(a: dict[str, np.ndarray], i: np.ndarray, b: dict[str, np.ndarray], j: np.ndarray, percent: int) -> np.ndarray:
-    """Which pairs (a[i], b[j]) may reach the similarity, by set sizes (surely) and sketches."""
+def _agreeing(a: dict[str, np.ndarray], i: np.ndarray, b: dict[str, np.ndarray], j: np.ndarray, percent: int) -> np.ndarray:
+    """For pairs (a[i], b[j]) the number of equal sketch bytes, or 0 if they can't (by set sizes) or hardly can be linked."""
     x, y = a["n"][i].astype(np.int64), b["n"][j].astype(np.int64)
-    ok = 100 * np.minimum(x, y) >= percent * np.maximum(x, y)
-    ok[ok] = (a["sketch"][i[ok]] == b["sketch"][j[ok]]).sum(axis=1) >= AGREE
-    return ok
+    out = np.zeros(len(i), np.int64)
+    ok = np.flatnonzero(100 * np.minimum(x, y) >= percent * np.maximum(x, y))
+    out[ok] = (a["sketch"][i[ok]] == b["sketch"][j[ok]]).sum(axis=1)
+    out[out < AGREE] = 0
+    return out
 
 
 def _columns(b: pa.RecordBatch, names: tuple[str, ...] = ("node", "id", "n")) -> dict[str, np.ndarray]:
     get = lambda c: b.column(b.schema.get_field_index(c)).to_numpy(zero_copy_only=False)
     out = {c: get(c) for c in names}
-    out["sketch"] = np.stack((get("sketch_a"), get("sketch_b")), axis=1).view(np.uint8).reshape(-1, SKETCH)
+    out["sketch"] = np.stack([get(c) for c in _SKETCH], axis=1).view(np.uint8).reshape(-1, SKETCH)
     return out
 
 
@@ -146,38 +152,60 @@ def _pair_batch(a: np.ndarray, b: np.ndarray) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], names=["a", "b"])
 
 
-def _node_pairs(rows: DataFrame, percent: int) -> DataFrame:
-    """All likely pairs within each node; nodes are small, and a node cut by a batch's end is carried over."""
+def _best(i: np.ndarray, j: np.ndarray, agree: np.ndarray) -> np.ndarray:
+    """Which pairs are among the ``PARTNERS`` best of one of their two ends."""
+    end, pair = np.concatenate((i, j)), np.tile(np.arange(len(i)), 2)
+    order = np.lexsort((pair, -agree[pair], end))
+    end = end[order]
+    first = np.flatnonzero(np.concatenate(([True], end[1:] != end[:-1])))
+    nth = np.arange(len(end)) - np.repeat(first, np.diff(np.append(first, len(end))))
+    return np.unique(pair[order][nth < PARTNERS])
+
+
+def _stated(r: dict[str, np.ndarray], percent: int, dense_always: bool) -> Iterator[pa.RecordBatch]:
+    """Of rows sorted by node: pairs (a, b, agree), and the members of dense nodes (b is null)."""
+    found, step = [], 1
+    while step < len(r["node"]):
+        i = np.flatnonzero(r["node"][step:] == r["node"][:-step])
+        if not len(i):
+            break
+        agree = _agreeing(r, i, r, i + step, percent)
+        found.append((i[agree > 0], i[agree > 0] + step, agree[agree > 0]))
+        step += 1
+    i, j, agree = (np.concatenate(x) for x in zip(*found, strict=True)) if found else (np.zeros(0, np.int64),) * 3
+    _, node, size = np.unique(r["node"], return_inverse=True, return_counts=True)
+    dense = np.full(len(size), dense_always) | (np.bincount(node[i], minlength=len(size)) > PARTNERS * size)
+    many = dense[node[i]]
+    take = np.concatenate((np.flatnonzero(~many), np.flatnonzero(many)[_best(i[many], j[many], agree[many])])) if len(i) else i
+    a, b = r["id"][i[take]], r["id"][j[take]]
+    members = np.zeros(0, np.int64) if dense_always else np.flatnonzero(dense[node])
+    none, gap = pa.nulls(len(take), pa.int64()), pa.nulls(len(members), pa.int64())
+    columns = [pa.concat_arrays([pa.array(np.minimum(a, b)), gap]), pa.concat_arrays([pa.array(np.maximum(a, b)), gap]), pa.concat_arrays([pa.array(agree[take].astype(np.int32)), gap.cast(pa.int32())])]
+    columns += [pa.concat_arrays([none.cast(pa.int32()) if c == "n" else none, pa.array(r[c][members], pa.int32() if c == "n" else pa.int64())]) for c in ("node", "id", "n", *_SKETCH)]
+    yield pa.RecordBatch.from_arrays(columns, names=["a", "b", "agree", "node", "id", "n", *_SKETCH])
+
+
+def _node_pairs(rows: DataFrame, percent: int, dense_always: bool = False) -> DataFrame:
+    """``_stated`` for all nodes; nodes are small, and one that a batch's end cuts is carried over."""
 
     def run(batches):
         rest: dict[str, np.ndarray] | None = None
         for b in batches:
-            r = _columns(b)
+            r = _columns(b, ("node", "id", "n", *_SKETCH))
             if rest is not None:
                 r = {c: np.concatenate((rest[c], r[c])) for c in r}
             rest = {c: x[r["node"] == r["node"][-1]] for c, x in r.items()} if len(r["node"]) else None
             held = len(rest["node"]) if rest is not None else 0
-            yield from compared({c: x[: len(x) - held] for c, x in r.items()})
+            yield from _stated({c: x[: len(x) - held] for c, x in r.items()}, percent, dense_always)
         if rest is not None:
-            yield from compared(rest)
-
-    def compared(r):
-        step = 1
-        while step < len(r["node"]):
-            i = np.flatnonzero(r["node"][step:] == r["node"][:-step])
-            if not len(i):
-                break
-            i = i[_like(r, i, r, i + step, percent)]
-            if len(i):
-                yield _pair_batch(r["id"][i], r["id"][i + step])
-            step += 1
+            yield from _stated(rest, percent, dense_always)
 
     n = partitions(rows.sparkSession)
-    return rows.repartition(n, "node").sortWithinPartitions("node", "id").mapInArrow(run, "a long, b long")
+    return rows.repartition(n, "node").sortWithinPartitions("node", "id").mapInArrow(run, _FOUND)
 
 
 def _large(rows: DataFrame, node_limit: int) -> DataFrame:
-    hub = F.min(F.struct("id", "n", "sketch_a", "sketch_b")).alias("hub")
+    hub = F.min(F.struct("id", "n", *_SKETCH)).alias("hub")
     return written(rows.groupBy("node").agg(F.count("*").alias("size"), hub).filter(F.col("size") > node_limit), "nodes")
 
 
@@ -242,7 +270,7 @@ def _labelled(rows: DataFrame, labels: DataFrame, column: str, name: str) -> Dat
 
 
 def _rest_pairs(rows: DataFrame, labels: DataFrame, percent: int, node_limit: int) -> DataFrame:
-    """Of nodes too large at the last level, the likely pairs that would join different labels.
+    """Of dense nodes, the likely pairs that would join different labels.
 
     A node's classes are dealt into blocks; those outside its commonest label visit all of them.
     """
@@ -251,8 +279,8 @@ def _rest_pairs(rows: DataFrame, labels: DataFrame, percent: int, node_limit: in
     nodes = counts.groupBy("node").agg(F.max_by("label", F.struct("n", "label")).alias("common"), F.sum("n").alias("size"), F.count("*").alias("kinds")).filter("kinds > 1")
     nodes = nodes.select("node", "common", F.ceil(F.col("size") / node_limit).cast("int").alias("blocks"))
     there = labelled.join(nodes, "node")
-    base = there.select("node", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int").alias("block"), F.lit(0).alias("visit"), "id", "n", "sketch_a", "sketch_b", "label")
-    visits = there.filter("label <> common").select("node", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"), F.lit(1).alias("visit"), "id", "n", "sketch_a", "sketch_b", "label")
+    base = there.select("node", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int").alias("block"), F.lit(0).alias("visit"), "id", "n", *_SKETCH, "label")
+    visits = there.filter("label <> common").select("node", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"), F.lit(1).alias("visit"), "id", "n", *_SKETCH, "label")
 
     def run(batches):
         held: dict[str, np.ndarray] | None = None
@@ -269,7 +297,7 @@ def _rest_pairs(rows: DataFrame, labels: DataFrame, percent: int, node_limit: in
                 elif same:
                     for k in range(len(x)):
                         j = np.flatnonzero(held["label"] != part["label"][k])
-                        j = j[_like(part, np.full(len(j), k), held, j, percent)]
+                        j = j[_agreeing(part, np.full(len(j), k), held, j, percent) > 0]
                         if len(j):
                             yield _pair_batch(np.full(len(j), part["id"][k]), held["id"][j])
 
@@ -284,9 +312,9 @@ def _hub_pairs(rows: DataFrame, large: DataFrame, percent: int) -> DataFrame:
         for b in batches:
             r = _columns(b)
             hub = b.column(b.schema.get_field_index("hub"))
-            h = _columns(pa.RecordBatch.from_arrays([hub.field(k) for k in range(4)], names=["id", "n", "sketch_a", "sketch_b"]), ("id", "n"))
+            h = _columns(pa.RecordBatch.from_arrays([hub.field(k) for k in range(2 + len(_SKETCH))], names=["id", "n", *_SKETCH]), ("id", "n"))
             i = np.arange(b.num_rows)
-            ok = (h["id"] != r["id"]) & _like(r, i, h, i, percent)
+            ok = (h["id"] != r["id"]) & (_agreeing(r, i, h, i, percent) > 0)
             yield _pair_batch(h["id"][ok], r["id"][ok])
 
     return rows.join(large.select("node", "hub"), "node").mapInArrow(run, "a long, b long")
@@ -308,38 +336,41 @@ def near_dup(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id", sh
     kind = docs.schema[id_col].dataType.simpleString()
     parts = written(_parts(docs, text_col, id_col, shingle), "signatures")
     by_print = parts.filter("n > 0").groupBy("print")
-    classes = written(by_print.agg(F.min("key").alias("id"), F.first("n").alias("n"), F.first("tokens").alias("tokens"), F.first("sketch_a").alias("sketch_a"), F.first("sketch_b").alias("sketch_b")), "classes")
+    classes = written(by_print.agg(F.min("key").alias("id"), F.first("n").alias("n"), F.first("tokens").alias("tokens"), *(F.first(c).alias(c) for c in _SKETCH)), "classes")
 
-    rows, pairs, last, large = _leaves(classes), [], None, None
+    rows, found, last = _leaves(classes), [], None
     for depth in range(START, MAX_DEPTH + 1):
         large = _large(rows, node_limit)
-        pairs.append(_node_pairs(rows.join(large.select("node"), "node", "left_anti"), percent))
+        found.append(_node_pairs(rows.join(large.select("node"), "node", "left_anti"), percent))
         if large.isEmpty():
             break
         last = written(rows.join(large.select("node"), "node", "left_semi"), "rows")
         if depth < MAX_DEPTH:
             rows, last = _branched(last, classes), None
-    likely = pairs[0]
-    for more in pairs[1:]:
-        likely = likely.unionAll(more)
     if last is not None:
-        likely = likely.unionAll(_hub_pairs(last, large, percent))
-    likely = written(likely.distinct(), "pairs")
-    wanted = likely.select(F.col("a").alias("id")).unionAll(likely.select(F.col("b").alias("id")))
+        # Blocks of the large nodes state partners as dense nodes do; their smallest classes tie the blocks together.
+        blocks = last.join(large.select("node", F.ceil(F.col("size") / node_limit).alias("blocks")), "node")
+        blocks = blocks.withColumn("node", F.xxhash64("node", F.pmod(F.xxhash64("id"), F.col("blocks")))).select(last.columns)
+        found.append(_node_pairs(blocks, percent, dense_always=True))
+    stated = found[0]
+    for more in found[1:]:
+        stated = stated.unionAll(more)
+    stated = written(stated, "found")
+    pairs = stated.filter("b IS NOT NULL").select("a", "b")
+    members = stated.filter("b IS NULL").select("node", "id", "n", *_SKETCH)
     if last is not None:
-        wanted = wanted.unionAll(last.select("id"))
+        pairs, members = pairs.unionAll(_hub_pairs(last, large, percent)), members.unionAll(last)
+    pairs = written(pairs.distinct(), "pairs")
+    wanted = pairs.select(F.col("a").alias("id")).unionAll(pairs.select(F.col("b").alias("id"))).unionAll(members.select("id"))
     sets = written(_sets(docs, wanted.distinct(), text_col, id_col, shingle), "sets")
 
-    forest = likely.groupBy("b").agg(F.min("a").alias("a")).select("a", "b")
-    links = written(_confirmed(forest, sets, percent), "links")
+    links = written(_confirmed(pairs, sets, percent), "links")
     labels = components(links)
-    open_pairs = likely.join(forest, ["a", "b"], "left_anti")
-    if last is not None:
-        open_pairs = open_pairs.unionAll(_rest_pairs(last, labels, percent, node_limit))
-    open_pairs = _labelled(_labelled(open_pairs, labels, "a", "x"), labels, "b", "y").filter("x <> y").select("a", "b").distinct()
-    labels = components(links.unionAll(_confirmed(written(open_pairs, "pairs"), sets, percent)))
+    rest = written(_rest_pairs(members, labels, percent, node_limit).distinct(), "pairs")
+    if not rest.isEmpty():
+        labels = components(links.unionAll(_confirmed(rest, sets, percent)))
 
-    members = parts.select("key", "n", "print").join(classes.select("print", F.col("id").alias("class")), "print", "left").withColumn("class", F.coalesce("class", "key"))
-    found = _labelled(members, labels, "class", "label")
+    docs_of = parts.select("key", "n", "print").join(classes.select("print", F.col("id").alias("class")), "print", "left").withColumn("class", F.coalesce("class", "key"))
+    found = _labelled(docs_of, labels, "class", "label")
     real = lambda c: F.when(F.col(c) != NULL_ID, F.col(c)).cast(kind)
     return found.select(real("key").alias(id_col), F.col("n").cast("long").alias("n_shingles"), real("label").alias("component_id"), (F.col("key") == F.col("label")).alias("kept"))
