@@ -186,11 +186,11 @@ def json_props_rollup(spark, sf_dir):
 
 
 @query("""
-WITH st AS (SELECT DISTINCT user_id FROM events WHERE event_type = 'purchase'), o AS (SELECT user_id, max(ts) AS last_at, count(*) AS n FROM events WHERE event_type IN ('view', 'click') GROUP BY user_id)
+WITH st AS (SELECT DISTINCT user_id FROM events WHERE event_type = 'purchase' AND value > 40), o AS (SELECT user_id, max(ts) AS last_at, count(*) AS n FROM events WHERE event_type IN ('view', 'click') GROUP BY user_id)
 SELECT user_id, last_at, n, CASE WHEN n >= 20 THEN 'WARM' ELSE 'COLD' END AS tier FROM o WHERE user_id NOT IN (SELECT user_id FROM st)""")
 def seed_backfill(spark, sf_dir):
     """STR-09, JOI-10: state rows for keys that have observations but no state yet."""
     e = domain.read(spark, sf_dir, "events")
     seen = e.filter("event_type IN ('view', 'click')").groupBy("user_id").agg(F.max("ts").alias("last_at"), F.count("*").alias("n"))
-    missing = seen.join(e.filter("event_type = 'purchase'").select("user_id").distinct(), "user_id", "left_anti")
+    missing = seen.join(e.filter("event_type = 'purchase' AND value > 40").select("user_id").distinct(), "user_id", "left_anti")
     return missing.withColumn("tier", F.when(F.col("n") >= 20, "WARM").otherwise("COLD"))
