@@ -7,6 +7,7 @@ import unicodedata
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # Words that are no model number.
 STOP_TOKENS = (
@@ -145,7 +146,7 @@ def number_in(c: Column) -> Column:
     return F.regexp_extract(blank(c), r"([0-9]+(?:\.[0-9]+)?)", 1).try_cast("double")
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def sanitized(texts: pd.Series) -> pd.Series:
     """Without combining marks, in composed form. No built-in function normalises Unicode."""
 
@@ -165,7 +166,7 @@ def display_width(text: str) -> int:
 def truncated(c: Column, width: int) -> Column:
     """The longest start of a text whose display width fits; wide characters count two."""
 
-    @F.pandas_udf("string")
+    @F.pandas_udf(T.StringType())
     def cut(texts: pd.Series) -> pd.Series:
         def one(t: str | None) -> str | None:
             if t is None or display_width(t) <= width:

@@ -28,6 +28,12 @@ def csv_report(df: DataFrame, path: str) -> None:
 
 def edited(df: DataFrame, changes: DataFrame, key: str, allowed: list[str]) -> DataFrame:
     """``df`` after cell edits (key, column, value): only columns in ``allowed``, an empty value becomes null."""
-    wide = changes.filter(F.col("column").isin(allowed)).groupBy(key).pivot("column", allowed).agg(F.struct(F.max(F.nullif(F.trim("value"), F.lit(""))).alias("v")))
-    joined = df.alias("t").join(wide.alias("c"), key, "left")
-    return joined.select(*(F.when(F.col(f"c.{c}").isNotNull(), F.col(f"c.{c}.v").try_cast(df.schema[c].dataType)).otherwise(F.col(f"t.{c}")).alias(c) if c in allowed else F.col(key if c == key else f"t.{c}") for c in df.columns))
+    cells = changes.filter(F.col("column").isin(allowed)).groupBy(key, "column").agg(F.max("value").alias("value"))
+    edits = cells.groupBy(key).agg(F.map_from_entries(F.collect_list(F.struct("column", "value"))).alias("__edits"))
+    joined = df.join(edits, key, "left")
+
+    def cell(c: str) -> F.Column:
+        new = F.nullif(F.trim(F.try_element_at("__edits", F.lit(c))), F.lit("")).try_cast(df.schema[c].dataType)
+        return F.when(F.coalesce(F.map_contains_key("__edits", c), F.lit(False)), new).otherwise(F.col(c)).alias(c) if c in allowed else F.col(c)
+
+    return joined.select(*map(cell, df.columns))
