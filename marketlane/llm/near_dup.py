@@ -30,6 +30,8 @@ TOKENS, SKETCH, TREES, START, MAX_DEPTH = 64, 32, 4, 3, 6
 AGREE = 16
 #: A node with more likely pairs than this for each of its classes is dense; it states as many partners for each at first.
 PARTNERS = 4
+#: Bins of the finer sketch by which the members of dense nodes are compared.
+FINE = 512
 _SKETCH = [f"sketch_{k}" for k in range(SKETCH // 8)]
 
 _PARTS = "key long, n int, print binary, tokens binary, " + ", ".join(f"{c} long" for c in _SKETCH)
@@ -269,23 +271,70 @@ def _labelled(rows: DataFrame, labels: DataFrame, column: str, name: str) -> Dat
     return rows.join(found, column, "left").withColumn(name, F.coalesce("__found", column)).drop("__found")
 
 
-def _rest_pairs(rows: DataFrame, labels: DataFrame, percent: int, node_limit: int) -> DataFrame:
-    """Of dense nodes, the likely pairs that would join different labels.
+def fine_sketch(members: bytes) -> bytes:
+    """One byte of the smallest hash in each of ``FINE`` bins; 0 where a bin is empty."""
+    falling = np.frombuffer(members, np.uint64)[::-1]
+    out = np.zeros(FINE, np.uint8)
+    out[(falling % np.uint64(FINE)).astype(np.int64)] = (falling // np.uint64(FINE)) % np.uint64(255) + np.uint64(1)
+    return out.tobytes()
 
-    A node's classes are dealt into blocks; those outside its commonest label visit all of them.
+
+def _finely(one: np.ndarray, n: int, others: np.ndarray, sizes: np.ndarray, percent: int) -> np.ndarray:
+    """Which of the others' fine sketches agree with the first as well as linked sets do, but for four deviations.
+
+    Bins are drawn without putting back: of small sets they hold nearly all, and the deviation shrinks.
+    """
+    s = percent / 100
+    some = ((others > 0) | (one > 0)).sum(axis=1)
+    equal = ((others == one) & (one > 0)).sum(axis=1)
+    union = np.maximum((sizes.astype(np.int64) + n) / (1 + s), some)
+    return equal >= s * some - 4 * np.sqrt(s * (1 - s) * some * (1 - some / np.maximum(union, 1)) + 0.5)
+
+
+def _padded(lists: pa.ListArray) -> np.ndarray:
+    """Lists as rows of one width; ``NULL_ID`` fills them up."""
+    n = lists.value_lengths().to_numpy(zero_copy_only=False)
+    out = np.full((len(lists), int(n.max(initial=0))), NULL_ID)
+    out[np.arange(out.shape[1]) < n[:, None]] = lists.flatten().to_numpy()
+    return out
+
+
+def _stacked(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    if a.ndim > 1 and a.shape[1] != b.shape[1]:
+        width = max(a.shape[1], b.shape[1])
+        a, b = (np.pad(x, ((0, 0), (0, width - x.shape[1])), constant_values=NULL_ID) for x in (a, b))
+    return np.concatenate((a, b))
+
+
+def _rest_pairs(rows: DataFrame, labels: DataFrame, sets: DataFrame, percent: int, node_limit: int) -> DataFrame:
+    """Of dense nodes, the likely pairs that would join different labels, each once.
+
+    A node's classes are dealt into blocks; those outside its commonest label visit all of them. Two classes that share
+    several nodes are stated by the first of these, and of two visitors by the smaller one.
     """
     labelled = _labelled(rows, labels, "id", "label")
     counts = labelled.groupBy("node", "label").agg(F.count("*").alias("n"))
     nodes = counts.groupBy("node").agg(F.max_by("label", F.struct("n", "label")).alias("common"), F.sum("n").alias("size"), F.count("*").alias("kinds")).filter("kinds > 1")
     nodes = nodes.select("node", "common", F.ceil(F.col("size") / node_limit).cast("int").alias("blocks"))
-    there = labelled.join(nodes, "node")
-    base = there.select("node", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int").alias("block"), F.lit(0).alias("visit"), "id", "n", *_SKETCH, "label")
-    visits = there.filter("label <> common").select("node", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"), F.lit(1).alias("visit"), "id", "n", *_SKETCH, "label")
+    there = written(labelled.join(nodes, "node"), "mixed")
+    shared = there.groupBy("id").agg(F.collect_set("node").alias("nodes"))
+    own = F.array(F.struct(F.lit(0).alias("visit"), F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int").alias("block")))
+    others = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda k: F.struct(F.lit(1).alias("visit"), k.alias("block")))
+    places = F.when(F.col("label") == F.col("common"), own).otherwise(F.concat(own, others))
+
+    def finer(batches):
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array([fine_sketch(x) for x in b.column(1).to_pylist()], pa.binary()), b.column(2)], names=["id", "fine", "nodes"])
+
+    shared = sets.select("id", "members").join(shared, "id").select("id", "members", "nodes").mapInArrow(finer, "id long, fine binary, nodes array<long>")
+    dealt = there.join(shared, "id").select("node", "id", "n", *_SKETCH, "label", "common", "nodes", "fine", F.explode(places).alias("place")).select("*", "place.*").drop("place")
 
     def run(batches):
         held: dict[str, np.ndarray] | None = None
         for b in batches:
-            r = _columns(b, ("node", "block", "visit", "id", "n", "label"))
+            r = _columns(b, ("node", "block", "visit", "id", "n", "label", "common"))
+            r["nodes"] = _padded(b.column(b.schema.get_field_index("nodes")))
+            r["fine"] = np.frombuffer(b"".join(b.column(b.schema.get_field_index("fine")).to_pylist()), np.uint8).reshape(-1, FINE)
             edges = np.flatnonzero((np.diff(r["node"]) != 0) | (np.diff(r["block"]) != 0) | (np.diff(r["visit"]) != 0)) + 1
             for x in np.split(np.arange(b.num_rows), edges):
                 if not len(x):
@@ -293,20 +342,24 @@ def _rest_pairs(rows: DataFrame, labels: DataFrame, percent: int, node_limit: in
                 part = {c: v[x] for c, v in r.items()}
                 same = held is not None and (held["node"][0], held["block"][0]) == (part["node"][0], part["block"][0])
                 if part["visit"][0] == 0:
-                    held = {c: np.concatenate((held[c], part[c])) for c in part} if same else part
+                    held = {c: _stacked(held[c], part[c]) for c in part} if same else part
                 elif same:
                     for k in range(len(x)):
-                        j = np.flatnonzero(held["label"] != part["label"][k])
+                        j = np.flatnonzero((held["label"] != part["label"][k]) & ((held["label"] == held["common"]) | (held["id"] > part["id"][k])))
                         j = j[_agreeing(part, np.full(len(j), k), held, j, percent) > 0]
+                        j = j[_finely(part["fine"][k], int(part["n"][k]), held["fine"][j], held["n"][j], percent)]
+                        earlier = part["nodes"][k][part["nodes"][k] < part["node"][k]]
+                        earlier = earlier[earlier != NULL_ID]
+                        j = j[~np.isin(held["nodes"][j], earlier).any(axis=1)]
                         if len(j):
                             yield _pair_batch(np.full(len(j), part["id"][k]), held["id"][j])
 
     n = partitions(rows.sparkSession)
-    return base.unionByName(visits).repartition(n, "node", "block").sortWithinPartitions("node", "block", "visit").mapInArrow(run, "a long, b long")
+    return dealt.repartition(n, "node", "block").sortWithinPartitions("node", "block", "visit").mapInArrow(run, "a long, b long")
 
 
-def _hub_pairs(rows: DataFrame, large: DataFrame, percent: int) -> DataFrame:
-    """Each class of a large node with the node's smallest one, where they are alike."""
+def _hub_pairs(rows: DataFrame, percent: int) -> DataFrame:
+    """Each class of a large node with the node's smallest one (``hub``), where they are alike."""
 
     def run(batches):
         for b in batches:
@@ -317,7 +370,7 @@ def _hub_pairs(rows: DataFrame, large: DataFrame, percent: int) -> DataFrame:
             ok = (h["id"] != r["id"]) & (_agreeing(r, i, h, i, percent) > 0)
             yield _pair_batch(h["id"][ok], r["id"][ok])
 
-    return rows.join(large.select("node", "hub"), "node").mapInArrow(run, "a long, b long")
+    return rows.mapInArrow(run, "a long, b long")
 
 
 def _none(spark: SparkSession, schema: str) -> DataFrame:
@@ -344,13 +397,14 @@ def near_dup(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id", sh
         found.append(_node_pairs(rows.join(large.select("node"), "node", "left_anti"), percent))
         if large.isEmpty():
             break
-        last = written(rows.join(large.select("node"), "node", "left_semi"), "rows")
         if depth < MAX_DEPTH:
-            rows, last = _branched(last, classes), None
+            rows = _branched(written(rows.join(large.select("node"), "node", "left_semi"), "rows"), classes)
+        else:
+            last = written(rows.join(large.select("node", "hub", F.ceil(F.col("size") / node_limit).alias("blocks")), "node"), "rows")
     if last is not None:
         # Blocks of the large nodes state partners as dense nodes do; their smallest classes tie the blocks together.
-        blocks = last.join(large.select("node", F.ceil(F.col("size") / node_limit).alias("blocks")), "node")
-        blocks = blocks.withColumn("node", F.xxhash64("node", F.pmod(F.xxhash64("id"), F.col("blocks")))).select(last.columns)
+        members_of = ["node", "id", "n", *_SKETCH]
+        blocks = last.withColumn("node", F.xxhash64("node", F.pmod(F.xxhash64("id"), F.col("blocks")))).select(members_of)
         found.append(_node_pairs(blocks, percent, dense_always=True))
     stated = found[0]
     for more in found[1:]:
@@ -359,14 +413,14 @@ def near_dup(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id", sh
     pairs = stated.filter("b IS NOT NULL").select("a", "b")
     members = stated.filter("b IS NULL").select("node", "id", "n", *_SKETCH)
     if last is not None:
-        pairs, members = pairs.unionAll(_hub_pairs(last, large, percent)), members.unionAll(last)
+        pairs, members = pairs.unionAll(_hub_pairs(last, percent)), members.unionAll(last.select(members_of))
     pairs = written(pairs.distinct(), "pairs")
     wanted = pairs.select(F.col("a").alias("id")).unionAll(pairs.select(F.col("b").alias("id"))).unionAll(members.select("id"))
     sets = written(_sets(docs, wanted.distinct(), text_col, id_col, shingle), "sets")
 
     links = written(_confirmed(pairs, sets, percent), "links")
     labels = components(links)
-    rest = written(_rest_pairs(members, labels, percent, node_limit).distinct(), "pairs")
+    rest = written(_rest_pairs(members, labels, sets, percent, node_limit), "pairs")
     if not rest.isEmpty():
         labels = components(links.unionAll(_confirmed(rest, sets, percent)))
 
