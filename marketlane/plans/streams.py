@@ -23,9 +23,10 @@ def stream_listing_days(spark, sf_dir):
 
 @query("SELECT date_trunc('day', ts) AS start, event_type AS kind, count(*) AS n FROM events GROUP BY ALL")
 def stream_window_counts(spark, sf_dir):
-    """Event-time windows with a watermark; the last update of each window counts."""
+    """Event-time windows with a watermark that covers the replay; the last update of each window counts."""
     e = runs.file_stream(spark, f"{sf_dir}/events.parquet")
-    emitted = runs.drained(state.window_counts(e, "ts", "event_type"), "update", "windows")
+    late = runs.span(spark, f"{sf_dir}/events.parquet", "ts")
+    emitted = runs.drained(state.window_counts(e, "ts", "event_type", late=late), "update", "windows")
     return emitted.groupBy("start", "kind").agg(F.max_by("n", "batch").alias("n")).withColumn("start", F.col("start").cast("timestamp_ntz"))
 
 
@@ -40,10 +41,12 @@ def stream_status_merge(spark, sf_dir):
 def stream_watermark(spark, sf_dir):
     """STR-01, STR-02: three crawls of each seller's sales, newest first; only rows before the known sequence are new."""
     l = read(spark, sf_dir, "lineitem").filter("l_shipdate >= TIMESTAMP_NTZ '2001-08-01 00:00:00'")
-    crawls = l.withColumn("crawl", F.explode(F.array(*map(F.lit, (0, 1, 2))))).filter(F.col("l_shipdate") < F.make_timestamp_ntz(F.lit(2001), F.col("crawl") + 9, F.lit(5), F.lit(0), F.lit(0), F.lit(0)))
-    newest = Window.partitionBy("l_suppkey", "crawl").orderBy(F.desc("l_shipdate"), "l_partkey", "l_orderkey", "l_linenumber")
-    rows = crawls.select(F.col("l_suppkey").alias("seller_id"), F.col("crawl").cast("long").alias("crawl"), (F.row_number().over(newest) - 1).alias("place"), F.date_format("l_shipdate", "yyyy/MM/dd").alias("sale_date"), F.col("l_partkey").cast("string").alias("item_id"), F.col("l_quantity").cast("long").alias("qty"))
+    newest = Window.partitionBy("l_suppkey").orderBy(F.desc("l_shipdate"), "l_partkey", "l_orderkey", "l_linenumber")
     base = f"{runs.shared_dir(spark)}/crawls-{uuid.uuid4().hex}"
-    rows.write.parquet(base)
-    emitted = runs.drained(state.sequence_stream(runs.file_stream(spark, base)), "append", "sequence")
+    for crawl in range(3):
+        seen = l.filter(f"l_shipdate < TIMESTAMP_NTZ '2001-{crawl + 9:02}-05 00:00:00'")
+        rows = seen.select(F.col("l_suppkey").alias("seller_id"), F.lit(crawl).cast("long").alias("crawl"), (F.row_number().over(newest) - 1).alias("place"), F.date_format("l_shipdate", "yyyy/MM/dd").alias("sale_date"), F.col("l_partkey").cast("string").alias("item_id"), F.col("l_quantity").cast("long").alias("qty"))
+        # A seller's list is in one file, and so in one batch; the stream goes on from one crawl to the next.
+        rows.write.mode("append").option("maxRecordsPerFile", 0).parquet(f"{base}/lists")
+        emitted = runs.drained(state.sequence_stream(runs.file_stream(spark, f"{base}/lists")), "append", "sequence", f"{base}/state", f"{base}/out")
     return emitted.drop("batch")

@@ -8,8 +8,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from marketlane.operators.relational import upsert
-
 
 def shared_dir(spark: SparkSession) -> str:
     """``spark.checkpoint.dir`` of the session; a folder of our own only where it is unset."""
@@ -44,18 +42,33 @@ def latest_per_key(emitted: DataFrame, key: str) -> DataFrame:
     return emitted.groupBy(key).agg(F.max_by(F.struct(*rest), "batch").alias("r")).select(key, "r.*")
 
 
+def span(spark: SparkSession, path: str, time: str) -> str:
+    """An interval that no row of the table can be late by, in whatever order its files are read."""
+    first, last = spark.read.parquet(path).agg(*(F.unix_seconds(f(F.col(time).cast("timestamp"))) for f in (F.min, F.max))).first()
+    return f"{(last or 0) - (first or 0) + 1} seconds"
+
+
 def merged(stream: DataFrame, keys: list[str], order: str, name: str, keep: tuple[str, ...] = (), fill: tuple[str, ...] = ()) -> DataFrame:
-    """The table after merging every batch by key (the last row of a key in a batch counts); one version per batch."""
+    """The table after merging every batch by key; one version per batch.
+
+    The row of the greatest ``order`` counts, in whatever batch it comes; of equal ones, that of the later batch. Columns
+    in ``keep`` have their first non-null value by ``order``, those in ``fill`` their last.
+    """
     spark = stream.sparkSession
     base = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
-    rest = [c for c in stream.columns if c not in keys]
+    rest = [c for c in stream.columns if c not in (*keys, *keep, *fill)]
     last = [""]
 
     def write(batch: DataFrame, number: int) -> None:
-        new = batch.groupBy(*keys).agg(F.max_by(F.struct(*rest), order).alias("r")).select(*keys, "r.*").select(*stream.columns)
-        table = upsert(spark.read.schema(stream.schema).parquet(last[0]), new, keys, keep, fill) if last[0] else new
-        table.write.mode("overwrite").parquet(f"{base}/v{number}")
+        at = F.when(F.col(order).isNotNull(), F.struct(F.col(order).alias("order"), F.lit(number).cast("long").alias("batch")))
+        rows = batch.select(*keys, at.alias("__at"), F.struct(*rest).alias("__row"), *(F.when(F.col(c).isNotNull(), F.struct(at.alias("at"), F.col(c).alias("v"))).alias(f"__{c}") for c in (*keep, *fill)))
+        if last[0]:
+            rows = rows.unionByName(spark.read.schema(rows.schema).parquet(last[0]))
+        picked = [F.max_by("__row", "__at").alias("__row"), *(f(f"__{c}", F.col(f"__{c}.at")).alias(f"__{c}") for f, cs in ((F.min_by, keep), (F.max_by, fill)) for c in cs)]
+        rows.groupBy(*keys).agg(F.max("__at").alias("__at"), *picked).write.mode("overwrite").parquet(f"{base}/v{number}")
         last[0] = f"{base}/v{number}"
 
     stream.writeStream.option("checkpointLocation", f"{base}/state").trigger(availableNow=True).foreachBatch(write).start().awaitTermination()
-    return spark.read.schema(stream.schema).parquet(last[0]) if last[0] else spark.createDataFrame([], stream.schema)
+    if not last[0]:
+        return spark.createDataFrame([], stream.schema)
+    return spark.read.parquet(last[0]).select(*(c if c in keys else F.col(f"__{c}.v").alias(c) if c in (*keep, *fill) else F.col(f"__row.{c}").alias(c) for c in stream.columns))

@@ -13,22 +13,39 @@ from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 WATERMARK_SIZE = 30
 
 
-def up_days_stream(events: DataFrame, key: str, time: str, kind: str) -> DataFrame:
-    """Per key and batch: n_ups, closed seconds, and since (microseconds, null when down). Rows of a batch go by time."""
+def up_days_step(n: int, closed: float, since: int | None, events: list) -> tuple[int, float, int | None]:
+    """The state after events (microseconds, kind) in order of time."""
+    for us, what in events:
+        if what == "up" and since is None:
+            n, since = n + 1, us
+        elif what == "down" and since is not None:
+            closed, since = closed + (us - since) / 1e6, None
+    return n, closed, since
+
+
+def up_days_stream(events: DataFrame, key: str, time: str, kind: str, late: str | None = None) -> DataFrame:
+    """Per key and batch: n_ups, closed seconds, and since (microseconds, null when down), of all events so far by time.
+
+    Events may arrive in any order: a key's events stay in its state until the watermark has passed them. Without
+    ``late`` there is no watermark, and all stay; with it, events that come later no longer count.
+    """
     schema = "key long, n_ups long, closed double, since long"
 
     def step(k: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        n, closed, since = state.get if state.exists else (0, 0.0, None)
-        for us, what in pd.concat(batches).sort_values("us")[["us", "kind"]].itertuples(index=False):
-            if what == "up" and since is None:
-                n, since = n + 1, int(us)
-            elif what == "down" and since is not None:
-                closed, since = closed + (int(us) - since) / 1e6, None
-        state.update((n, closed, since))
+        n, closed, since, held = state.get if state.exists else (0, 0.0, None, "[]")
+        passed = state.getCurrentWatermarkMs() * 1000 if late else None
+        rows = pd.concat(batches)[["us", "kind"]].itertuples(index=False)
+        waiting = sorted([*map(tuple, json.loads(held)), *((int(us), what) for us, what in rows if passed is None or us >= passed)], key=lambda e: e[0])
+        done = 0 if passed is None else sum(us < passed for us, _ in waiting)
+        n, closed, since = up_days_step(n, closed, since, waiting[:done])
+        state.update((n, closed, since, json.dumps(waiting[done:])))
+        n, closed, since = up_days_step(n, closed, since, waiting[done:])
         yield pd.DataFrame({"key": [k[0]], "n_ups": [n], "closed": [closed], "since": pd.array([since], "Int64")})
 
-    rows = events.select(F.col(key).alias("key"), F.unix_micros(F.col(time).cast("timestamp")).alias("us"), F.col(kind).alias("kind"))
-    return rows.groupBy("key").applyInPandasWithState(step, schema, "n_ups long, closed double, since long", "update", GroupStateTimeout.NoTimeout)
+    timed = events.withColumn("__time", F.col(time).cast("timestamp"))
+    timed = timed.withWatermark("__time", late) if late else timed
+    rows = timed.select(F.col(key).alias("key"), "__time", F.unix_micros("__time").alias("us"), F.col(kind).alias("kind"))
+    return rows.groupBy("key").applyInPandasWithState(step, schema, "n_ups long, closed double, since long, held string", "update", GroupStateTimeout.NoTimeout)
 
 
 def up_days_at(emitted: DataFrame, key: str, as_of: str) -> DataFrame:
