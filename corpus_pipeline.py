@@ -19,7 +19,7 @@ def _measured(df: DataFrame, columns: list[str]) -> DataFrame:
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents stay whose highest grade is likelier than not."""
+    """Documents stay whose highest grade is as likely as the model's cut asks, and likelier than not."""
     model = quality_classifier.fit(docs, table(spark, sf_dir, "labels"))
     return quality_classifier.classify(docs, model).filter("kept").select(*docs.columns)
 

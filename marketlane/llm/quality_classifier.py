@@ -2,7 +2,12 @@
 
 A text's features are its distinct words and tokens for its shape (case, symbols, repeated lines), hashed into one
 weight vector that all grades share; ordered thresholds cut the score into grades. P(grade > k) = sigmoid(score - t_k)
-gives the expected grade and the tail probability by which documents are selected.
+gives the expected grade and the tail probability by which documents are selected. The sum over a text's features is
+divided by the root of their number, so that a long text's ordinary words don't outweigh the rest. Words that nearly
+only occur in texts of the second highest grade (toxic ones) are marked, and how many of them a text has counts in full.
+
+Documents are kept from a cut on that is found on labelled rows left out of a first fit: the highest that loses
+at most ``CLEAN_LOSS`` of those of the highest grade, and 0.5 at least.
 
 The fit takes a bounded sample: at most ``max_train`` labelled documents, those whose ids hash lowest, as rows of
 hashed features. Scoring is one pass over all documents, without a shuffle.
@@ -28,6 +33,14 @@ BITS = 18
 MAX_TRAIN = 12_000
 #: Features in fewer training texts than this have no weight.
 MIN_TEXTS = 4
+#: The score is the sum of a text's weights times this, by the root of the number of its features.
+SCALE = 8.0
+#: A word is marked if its odds of being in a text of the second highest grade are surely (by 3 standard errors) this many times those in the highest.
+MARK_RATIO = 8
+#: Numbers of marked words from which on a weight of its own is added.
+MARK_STEPS = np.array([1, 2, 4])
+#: Share of the held-out texts of the highest grade that the cut may lose; with fewer texts than this it is 0.5.
+CLEAN_LOSS, CLEAN_LEAST = 0.01, 100
 SYMBOLS = b"!|*$%&#<>{}[]@=_~^\\"
 _UPPER, _LETTERS = re.compile(rb"[^A-Z]+"), re.compile(rb"[^A-Za-z]+")
 
@@ -79,22 +92,31 @@ class OrdinalModel:
     weights: np.ndarray
     thresholds: np.ndarray
     bits: int = BITS
+    #: Of each feature, whether it is a marked word; the weights of MARK_STEPS.
+    marked: np.ndarray | None = None
+    steps: np.ndarray | None = None
+    #: Texts of at least this P(highest grade) are kept.
+    cut: float = 0.5
 
     def score(self, features: np.ndarray) -> float:
-        return float(self.weights[features].sum())
+        score = float(self.weights[features].sum()) * SCALE / np.sqrt(max(1, len(features)))
+        return score if self.marked is None else score + float(self.steps[self.marked[features].sum() >= MARK_STEPS].sum())
 
     def tails(self, scores: np.ndarray) -> np.ndarray:
         """P(grade > k) for each score (row) and threshold k (column)."""
         return _sigmoid(np.asarray(scores)[:, None] - self.thresholds)
 
     @classmethod
-    def fit(cls, features: list[np.ndarray], grades: np.ndarray, bits: int = BITS, steps: int = 300, rate: float = 0.1, shrink: float = 2e-4) -> OrdinalModel:
+    def fit(cls, features: list[np.ndarray], grades: np.ndarray, bits: int = BITS, steps: int = 300, rate: float = 0.1, shrink: float = 5e-4) -> OrdinalModel:
         """Adam with soft-thresholding on the mean log-likelihood; deterministic."""
         kinds = int(grades.max(initial=0)) + 1
         if not len(features) or kinds < 2:
             return cls(np.zeros(1 << bits), np.full(max(1, kinds - 1), -1.0), bits)
         flat, size = np.concatenate(features), np.array([len(x) for x in features])
         row = np.repeat(np.arange(len(features)), size)
+        marked = _marked(flat, grades[row], grades, kinds, bits)
+        high = (np.bincount(row, weights=marked[flat], minlength=len(features))[:, None] >= MARK_STEPS).astype(float)
+        by = SCALE / np.sqrt(np.maximum(1, size))
         seen = np.bincount(flat, minlength=1 << bits) >= MIN_TEXTS
         used = seen[flat]
         columns, flat = np.unique(flat[used], return_inverse=True)
@@ -102,25 +124,52 @@ class OrdinalModel:
         below = np.array([(grades <= k).mean() for k in range(kinds - 1)]).clip(1e-3, 1 - 1e-3)
         t = np.log(below / (1 - below))
         w = np.zeros(len(columns))
-        m, v, mt, vt = np.zeros_like(w), np.zeros_like(w), np.zeros_like(t), np.zeros_like(t)
+        u = np.zeros(len(MARK_STEPS))
+        m, v, mt, vt, mu, vu = (np.zeros_like(x) for x in (w, w, t, t, u, u))
         for step in range(1, steps + 1):
-            s = np.bincount(row, weights=w[flat], minlength=n)
+            s = np.bincount(row, weights=w[flat], minlength=n) * by + high @ u
             padded = np.concatenate(([-np.inf], t, [np.inf]))
             a, b = _sigmoid(padded[grades + 1] - s), _sigmoid(padded[grades] - s)
             gap = np.maximum(a - b, 1e-9)
-            gw = np.bincount(flat, weights=(1 - a - b)[row], minlength=len(w)) / n
+            gw = np.bincount(flat, weights=((1 - a - b) * by)[row], minlength=len(w)) / n
+            gu = (1 - a - b) @ high / n
             up, down = -a * (1 - a) / gap, b * (1 - b) / gap
             gt = np.array([up[grades == k].sum() + down[grades == k + 1].sum() for k in range(kinds - 1)]) / n
             m, v = 0.9 * m + 0.1 * gw, 0.999 * v + 0.001 * gw**2
             mt, vt = 0.9 * mt + 0.1 * gt, 0.999 * vt + 0.001 * gt**2
+            mu, vu = 0.9 * mu + 0.1 * gu, 0.999 * vu + 0.001 * gu**2
             c1, c2 = 1 - 0.9**step, 1 - 0.999**step
             scale = rate / (np.sqrt(v / c2) + 1e-4)
             w = w - scale * m / c1
             w = np.sign(w) * np.maximum(np.abs(w) - scale * shrink, 0)
+            scale = rate / (np.sqrt(vu / c2) + 1e-4)
+            u = u - scale * mu / c1
+            u = np.sign(u) * np.maximum(np.abs(u) - scale * shrink, 0)
             t = np.maximum.accumulate(t - rate * (mt / c1) / (np.sqrt(vt / c2) + 1e-4))
         weights = np.zeros(1 << bits)
         weights[columns] = w
-        return cls(weights, t, bits)
+        return cls(weights, t, bits, marked, u)
+
+    @classmethod
+    def fit_with_cut(cls, features: list[np.ndarray], grades: np.ndarray, bits: int = BITS) -> OrdinalModel:
+        """A model of all rows, with the cut found on every fourth row by a model of the others."""
+        model = cls.fit(features, grades, bits)
+        top = int(grades.max(initial=0))
+        held = np.arange(len(features)) % 4 == 0
+        clean = [features[i] for i in np.flatnonzero(held & (grades == top))]
+        if top and len(clean) >= CLEAN_LEAST and (~held & (grades == top)).any():
+            part = cls.fit([features[i] for i in np.flatnonzero(~held)], grades[~held], bits)
+            found = np.quantile(part.tails(np.array([part.score(x) for x in clean]))[:, -1], CLEAN_LOSS, method="lower")
+            model.cut = max(0.5, float(found))
+        return model
+
+
+def _marked(flat: np.ndarray, grade: np.ndarray, grades: np.ndarray, kinds: int, bits: int) -> np.ndarray:
+    """Of each feature, whether it is a word that tells the second highest grade from the highest. ``grade``: that of each in ``flat``."""
+    low, top = (np.bincount(flat[grade == k], minlength=1 << bits) for k in (kinds - 2, kinds - 1))
+    n_low, n_top = ((grades == k).sum() for k in (kinds - 2, kinds - 1))
+    odds = np.log((low + 0.5) / (n_low + 1)) - np.log((top + 0.5) / (n_top + 1))
+    return (odds - 3 * np.sqrt(1 / (low + 0.5) + 1 / (top + 0.5)) > np.log(MARK_RATIO)) & (low >= MIN_TEXTS)
 
 
 def grade_of(quality: F.Column, toxic: F.Column) -> F.Column:
@@ -143,17 +192,18 @@ def fit(docs: DataFrame, labels: DataFrame, text_col: str = "text", id_col: str
     hashed = texts.select(F.col(id_col).alias("id"), text_col, "grade").mapInArrow(run, "id long, features binary, grade int")
     # A repeated id may match more than once: the bound holds for rows, too.
     rows = hashed.orderBy(F.xxhash64("id"), "features").limit(max_train).toArrow()
-    return OrdinalModel.fit([np.frombuffer(x, np.int32) for x in rows["features"].to_pylist()], rows["grade"].to_numpy().astype(np.int64), bits)
+    return OrdinalModel.fit_with_cut([np.frombuffer(x, np.int32) for x in rows["features"].to_pylist()], rows["grade"].to_numpy().astype(np.int64), bits)
 
 
 COLUMNS = T.StructType([T.StructField("quality_score", T.DoubleType()), T.StructField("expected_grade", T.DoubleType()), T.StructField("p_top", T.DoubleType()), T.StructField("kept", T.BooleanType())])
 
 
-def classify(docs: DataFrame, model: OrdinalModel, text_col: str = "text", least: float = 0.5) -> DataFrame:
-    """``docs`` with quality_score, expected_grade, p_top (of the highest grade) and kept (p_top >= least).
+def classify(docs: DataFrame, model: OrdinalModel, text_col: str = "text", least: float | None = None) -> DataFrame:
+    """``docs`` with quality_score, expected_grade, p_top (of the highest grade) and kept (p_top >= least, the model's cut if None).
 
     Columns of the same names are replaced. Null and empty texts have no features; they are not kept.
     """
+    least = model.cut if least is None else least
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def work(batches):

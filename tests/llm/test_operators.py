@@ -286,6 +286,20 @@ def test_classifier_on_held_out_rows(spark):
     assert list(model.thresholds) == sorted(model.thresholds)
 
 
+def test_classifier_finds_toxic_words(spark):
+    """Of held-out rows labelled toxic with two or more toxic words, nearly none is kept; of good and clean ones nearly all."""
+    sf = "/root/testdata/sf0.1"
+    docs, labels = spark.read.parquet(f"{sf}/documents.parquet"), spark.read.parquet(f"{sf}/labels.parquet")
+    bad = F.array(*map(F.lit, "trash pathetic idiot worthless disgusting stupid clown scum loser moron".split()))
+    held = F.pmod("doc_id", F.lit(4)) == 0
+    judged = quality_classifier.classify(docs.filter(held), quality_classifier.fit(docs, labels.filter(~held))).join(labels, "doc_id")
+    rows = judged.select("quality", "toxic", "kept", (F.size(F.array_intersect(F.split(F.lower("text"), "[^a-z]+"), bad)) >= 2).alias("plain"))
+    toxic = rows.filter("toxic = 1 AND plain").agg(F.count("*"), F.avg(F.col("kept").cast("int"))).first()
+    clean = rows.filter("quality = 1 AND toxic = 0").agg(F.avg(F.col("kept").cast("int"))).first()
+    print("plainly toxic rows, share kept; share of clean rows kept:", *toxic, *clean)
+    assert toxic[0] > 50 and toxic[1] < 0.05 and clean[0] > 0.98
+
+
 def test_classifier_odd_tables(spark, docs):
     labels = spark.createDataFrame([(3, 1, 0), (3, 1, 0), (4, None, 1), (None, 1, 1), (5, 0, None), (6, 0, 0), (7, 1, None), (99, 1, 1)], "doc_id long, quality int, toxic int")
     for rated in (labels, labels.limit(0)):
