@@ -85,3 +85,9 @@ def test_sequence_file_by_file(spark, scattered, file_by_file, file_per_partitio
     got = QUERIES["stream_watermark"](spark, scattered)
     assert got.filter("over").isEmpty() and same(sales(spark).filter("sale_date >= '2001/08/01'"), got.filter("sale_date >= '2001/08/01'"))
     assert got.filter("crawl > 0 AND sale_date < '2001/09/05'").isEmpty()
+
+
+def test_sequence_takes_the_whole_history(spark):
+    got = QUERIES["stream_watermark"](spark, SF)
+    print("rows emitted, sales:", got.filter("NOT over").count(), sales(spark).count())
+    assert same(sales(spark), got.filter("NOT over"))
