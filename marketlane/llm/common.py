@@ -8,6 +8,7 @@ from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -16,7 +17,7 @@ from pyspark.sql.pandas.types import to_arrow_schema
 #: Keys that stand in for a null id; they sort before every real one.
 NULL_ID = -(2**63)
 LOWER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
-_CACHE_WORDS = 400_000
+_CACHE_WORDS = 150_000
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -24,19 +25,75 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors share: ``spark.checkpoint.dir``, set here only where it is unset."""
+    """The folder all executors share: ``spark.checkpoint.dir``; set here only where it is unset and Spark runs in one process."""
     own = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
     if own:
         return own.rstrip("/")
-    spark.conf.set("spark.checkpoint.dir", "/tmp/checkpoints")
-    return "/tmp/checkpoints"
+    if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+        raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
+    own = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_checkpoints"
+    spark.conf.set("spark.checkpoint.dir", own)
+    return own
+
+
+class Scratch:
+    """Tables of one call in a folder of their own below the shared one.
+
+    Readers of a table survive the loss of executors and repeat no work. The shuffle files of a write go with its end,
+    and a table goes as soon as nothing reads it any more (``drop``).
+    """
+
+    _CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+    def __init__(self, spark: SparkSession, name: str) -> None:
+        self.spark, self.folder, self.count = spark, f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}", 0
+
+    def write(self, df: DataFrame) -> DataFrame:
+        self.count += 1
+        path = f"{self.folder}/{self.count}"
+        before = self.spark.conf.get(self._CLEANUP, None)
+        self.spark.conf.set(self._CLEANUP, "true")
+        try:
+            df.write.parquet(path)
+        finally:
+            if before is None:
+                self.spark.conf.unset(self._CLEANUP)
+            else:
+                self.spark.conf.set(self._CLEANUP, before)
+        out = self.spark.read.schema(df.schema).parquet(path)
+        out._scratch_path = path
+        return out
+
+    def drop(self, *tables: DataFrame | None) -> None:
+        """Deletes tables that ``write`` made."""
+        for t in tables:
+            if (path := getattr(t, "_scratch_path", None)) is not None:
+                at = self.spark._jvm.org.apache.hadoop.fs.Path(path)
+                at.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(at, True)
 
 
 def written(df: DataFrame, name: str) -> DataFrame:
     """``df`` as a table in the shared folder: later readers survive the loss of executors and repeat no work."""
-    path = f"{shared_dir(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    return Scratch(df.sparkSession, name).write(df)
+
+
+#: Bytes of text that a Python worker takes at once, but for a single longer text.
+SLICE_BYTES = 2 << 20
+
+
+def bounded(spark: SparkSession) -> None:
+    """Batches that go to Python have ``2 * SLICE_BYTES`` at most, or one row."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", f"{2 * SLICE_BYTES}b")
+
+
+def sliced(batches: Iterator[pa.RecordBatch], column: int) -> Iterator[pa.RecordBatch]:
+    """The batches in slices of ``SLICE_BYTES`` of that column at most, or of one row; nothing is copied."""
+    for b in batches:
+        ends = np.cumsum(pc.fill_null(pc.binary_length(b.column(column)), 0).to_numpy(zero_copy_only=False).astype(np.int64))
+        cuts = [0, *(np.flatnonzero(np.diff(ends // SLICE_BYTES)) + 1).tolist(), b.num_rows]
+        for start, end in zip(cuts, cuts[1:]):
+            if end > start:
+                yield b.slice(start, end - start)
 
 
 def partitions(spark: SparkSession) -> int:
@@ -63,7 +120,7 @@ def add_columns(df: DataFrame, inputs: Sequence[str], new: T.StructType, work: C
     """``df`` with the columns ``new``, which replace columns of the same names; computed from batches of ``inputs``.
 
     ``work`` gets an iterator of ``{input: array}`` and yields ``{new column: array}`` for each in turn. Rows stay in
-    their partitions: nothing is shuffled.
+    their partitions: nothing is shuffled. Batches are cut by the bytes of the first text among ``inputs``.
     """
     kept = without(df, new.names)
     extra = [c for c in inputs if c not in kept]
@@ -72,12 +129,14 @@ def add_columns(df: DataFrame, inputs: Sequence[str], new: T.StructType, work: C
     arrow = to_arrow_schema(schema)
     place = {c: (f"__in_{c}" if c in extra else c) for c in inputs}
     made = [(n, arrow.field(n).type) for n in new.names]
+    widest = next((source.columns.index(place[c]) for c in inputs if dict(source.dtypes)[place[c]] in ("string", "binary")), None)
+    bounded(df.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.RecordBatch] = []
 
         def feed() -> Iterator[dict[str, pa.Array]]:
-            for b in batches:
+            for b in batches if widest is None else sliced(batches, widest):
                 held.append(b)
                 yield {c: b.column(b.schema.get_field_index(at)) for c, at in place.items()}
 

@@ -1,17 +1,22 @@
 """MinHash near-dedup as a Chosen-Path set similarity join.
 
-1. Documents become sets of word shingles; equal sets form one class by fingerprint, so exact copies cost one row each.
-2. Every tree sends a class from its root down ``START`` levels. A node chooses some of the minwise tokens (the same for
-   all who are there) and a class goes on to the child named by its value of each. Nodes with more than ``node_limit``
-   classes branch again, down to ``MAX_DEPTH``; all others compare their classes exhaustively by small sketches and set
-   sizes. Two classes at similarity 0.8 share none of the leaves of four independent trees about once in 10**5.
-3. A node with few likely pairs states them all. One with many, and every one that is too large at the last level, is
-   dense: it first states for each class its best partners, which are confirmed; then whatever the components of these
-   don't unite is compared with all of the node, block by block. So a group in which everything is alike costs some
-   rows for each member and not one for each two, and no link between components is lost.
-4. Pairs are confirmed on full sets, grouped by their smaller class and salted by the number of its partners.
-
-Nothing is collected: links, labels and nodes stay tables, written to the shared folder between rounds.
+1. Documents become sets of word shingles; equal sets form one class, named by 64 bits of their fingerprint, so exact
+   copies cost one row each.
+2. A tree sends every class from its root down ``START`` levels. A node chooses some of the minwise tokens (the same for
+   all who are there) and a class goes on to the child named by its value of each. Nodes that a sample of the classes
+   shows to be large branch again, down to ``MAX_DEPTH``; all of that happens in one pass before the one shuffle by node.
+   Nodes that are still large at the last level are dealt into blocks. Within its task, a node with more than
+   ``node_limit`` classes branches on by the bytes of the sketches; what is small is compared exhaustively.
+3. The first tree only looks for one or two partners of each class: the smallest one that is surely alike, and the most
+   alike one. They are confirmed on full sets and give components. The other trees, independent of it, state all likely
+   pairs of different components, which are confirmed in turn. So a group in which everything is alike costs some rows
+   for each member and not one for each two.
+4. A node with more such pairs than ``PARTNERS`` for each class, or one that was dealt into blocks, is only named if it
+   has several components; its members are then compared once, block by block, by finer sketches, and confirmed.
+
+Two classes at similarity 0.8 share no small node of the four full trees about once in 10**5; if all of their nodes
+branch on to ``MAX_DEPTH``, about once in 10**4. Nothing is collected but the names of large nodes, whose number is
+bounded by ``MAX_SHARE``: links, labels and pairs stay tables in the shared folder, and go when they are superseded.
 """
 
 from __future__ import annotations
@@ -23,20 +28,22 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marketlane.llm.common import LOWER, NULL_ID, WordHashes, byte_texts, id_key, mixed, partitions, written
+from marketlane.llm.common import LOWER, Scratch, WordHashes, bounded, byte_texts, mixed, partitions, sliced
 
-TOKENS, SKETCH, TREES, START, MAX_DEPTH = 64, 32, 4, 3, 6
-#: Sketch bytes that must agree. At similarity 0.8 fewer agree in 4 of 100,000 pairs; at 0.3 so many do in one of 90.
-AGREE = 16
-#: A node with more likely pairs than this for each of its classes is dense; it states as many partners for each at first.
+TOKENS, SKETCH, TREES, START, MAX_DEPTH, DEEPER = 64, 32, 4, 3, 6, 3
+#: Sketch bytes that must agree. At similarity 0.8 fewer agree in 1 of 100,000 pairs; at 0.3 so many do in one of 40.
+AGREE = 15
+#: Pairs of which so many bytes agree are surely alike: at similarity 0.8 one in 30 does so.
+SURE = 30
+#: A node with more likely pairs than this for each of its classes is not spelt out in pairs.
 PARTNERS = 4
-#: Bins of the finer sketch by which the members of dense nodes are compared.
-FINE = 512
+#: A node of more than this share of all classes counts as large; so there are at most this many for each level and path.
+MAX_SHARE = 1 << 16
+#: Bins of the finer sketch by which the members of mixed nodes are compared, and how many classes meet in a block.
+FINE, BLOCK = 512, 4096
 _SKETCH = [f"sketch_{k}" for k in range(SKETCH // 8)]
 
-_PARTS = "key long, n int, print binary, tokens binary, " + ", ".join(f"{c} long" for c in _SKETCH)
-_ROWS = "node long, id long, n int, " + ", ".join(f"{c} long" for c in _SKETCH)
-_FOUND = "a long, b long, agree int, " + _ROWS
+_ROWS = "node long, block int, id long, n int, label long, " + ", ".join(f"{c} long" for c in _SKETCH)
 
 
 def _multipliers(count: int) -> np.ndarray:
@@ -65,85 +72,136 @@ def signature(hashes: np.ndarray) -> np.ndarray:
     return low
 
 
-def _parts(docs: DataFrame, text_col: str, id_col: str, shingle: int) -> DataFrame:
+def _parts(docs: DataFrame, shingle: int) -> DataFrame:
+    """Of each document its key, its text's hash, the class, and the size, tokens and sketch of its set."""
     import xxhash
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hash_words = WordHashes()
-        for b in batches:
-            keys = b.column(0)
+        for b in sliced(batches, 2):
             n, prints, tokens, sketches = [], [], [], []
-            for text in byte_texts(b.column(1)):
+            for text in byte_texts(b.column(2)):
                 hashes = shingle_set(text, hash_words, shingle)
                 low = signature(hashes)
                 n.append(len(hashes))
-                prints.append(xxhash.xxh3_128_digest(hashes.tobytes()))
-                tokens.append((low[:TOKENS] >> np.uint64(32)).astype(np.uint32).tobytes())
+                prints.append(xxhash.xxh3_64_intdigest(hashes.tobytes()))
+                tokens.append((low[:TOKENS] >> np.uint64(48)).astype(np.uint16).tobytes())
                 sketches.append((low[TOKENS:] >> np.uint64(24)).astype(np.uint8))
             both = np.array(sketches, np.uint8).reshape(-1, SKETCH).view(np.int64)
-            yield pa.RecordBatch.from_arrays([keys, pa.array(n, pa.int32()), pa.array(prints, pa.binary()), pa.array(tokens, pa.binary()), *(pa.array(np.ascontiguousarray(x)) for x in both.T)], names=["key", "n", "print", "tokens", *_SKETCH])
+            ids = pa.array(np.array(prints, np.uint64).view(np.int64))
+            columns = [b.column(0), b.column(1), ids, pa.array(n, pa.int32()), pa.array(tokens, pa.binary())]
+            yield pa.RecordBatch.from_arrays([*columns, *(pa.array(np.ascontiguousarray(x)) for x in both.T)], names=["key", "hash", "id", "n", "tokens", *_SKETCH])
 
-    return docs.select(id_key(id_col).alias("key"), F.col(text_col).alias("text")).mapInArrow(run, _PARTS)
+    schema = f"key {docs.schema['key'].dataType.simpleString()}, hash long, id long, n int, tokens binary, " + ", ".join(f"{c} long" for c in _SKETCH)
+    return docs.select("key", "hash", "text").mapInArrow(run, schema)
 
 
-def _children(nodes: np.ndarray, tokens: np.ndarray, both: bool) -> tuple[np.ndarray, np.ndarray]:
-    """For flat arrays of nodes and their classes' tokens: the children, and which entry each one continues.
+def _children(nodes: np.ndarray, entry: np.ndarray, tokens: np.ndarray, both: bool) -> tuple[np.ndarray, np.ndarray]:
+    """Children of the nodes that the classes ``entry`` (rows of ``tokens``) are in, and which class is in each.
 
     Near the root a node chooses two tokens; below, one, and every fourth node a second one (1 / 0.8 on average).
     """
-    one = mixed(nodes ^ np.uint64(0xA5A5A5A5)) % np.uint64(TOKENS)
-    two = (one + np.uint64(1) + mixed(nodes ^ np.uint64(0x5A5A5A5A)) % np.uint64(TOKENS - 1)) % np.uint64(TOKENS)
+    width = tokens.shape[1]
+    one = mixed(nodes ^ np.uint64(0xA5A5A5A5)) % np.uint64(width)
+    two = (one + np.uint64(1) + mixed(nodes ^ np.uint64(0x5A5A5A5A)) % np.uint64(width - 1)) % np.uint64(width)
     second = np.ones(len(nodes), bool) if both else mixed(nodes ^ np.uint64(0xC3C3C3C3)) % np.uint64(4) == 0
-    entry = np.concatenate((np.arange(len(nodes)), np.flatnonzero(second)))
+    at = np.concatenate((np.arange(len(nodes)), np.flatnonzero(second)))
     coordinate = np.concatenate((one, two[second]))
-    value = tokens[entry, coordinate.astype(np.int64)].astype(np.uint64)
-    return mixed(mixed(nodes[entry] + coordinate + np.uint64(1)) ^ value), entry
-
-
-def _rows(nodes: np.ndarray, entry: np.ndarray, b: pa.RecordBatch) -> pa.RecordBatch:
-    take = pa.array(entry)
-    return pa.RecordBatch.from_arrays([pa.array(nodes.view(np.int64)), *(b.column(b.schema.get_field_index(c)).take(take) for c in ("id", "n", *_SKETCH))], names=["node", "id", "n", *_SKETCH])
+    value = tokens[entry[at], coordinate.astype(np.int64)].astype(np.uint64)
+    return mixed(mixed(nodes[at] + coordinate + np.uint64(1)) ^ value), entry[at]
+
+
+class Descent:
+    """The way of classes down some trees. ``large``: by level from ``START`` on, the ascending large nodes and their sizes."""
+
+    def __init__(self, trees: range, node_limit: int, large: list[tuple[np.ndarray, np.ndarray]]) -> None:
+        self.trees, self.node_limit, self.large = trees, node_limit, large
+
+    def __call__(self, tokens: np.ndarray) -> tuple[list[tuple[np.ndarray, np.ndarray]], tuple[np.ndarray, np.ndarray]]:
+        """(nodes, classes) at which classes stop before the last level that is known, and those at that level."""
+        nodes = np.repeat(mixed(np.array(self.trees, np.uint64) + np.uint64(1)), len(tokens))
+        entry = np.tile(np.arange(len(tokens)), len(self.trees))
+        for _ in range(START):
+            nodes, entry = _children(nodes, entry, tokens, True)
+        stops = []
+        for level, (names, _) in enumerate(self.large):
+            k = np.minimum(np.searchsorted(names, nodes), len(names) - 1)
+            inside = names[k] == nodes
+            stops.append((nodes[~inside], entry[~inside]))
+            nodes, entry = nodes[inside], entry[inside]
+            if START + level < MAX_DEPTH:
+                nodes, entry = _children(nodes, entry, tokens, False)
+        return stops, (nodes, entry)
+
+    def blocks(self, nodes: np.ndarray, ids: np.ndarray) -> np.ndarray:
+        """The block, from 1 on, of each class in a node that is large at ``MAX_DEPTH``; 0 elsewhere."""
+        if START + len(self.large) <= MAX_DEPTH:
+            return np.zeros(len(nodes), np.int32)
+        names, sizes = self.large[-1]
+        count = np.maximum(1, sizes[np.searchsorted(names, nodes)] // self.node_limit).astype(np.uint64)
+        return (mixed(nodes ^ mixed(ids)) % count).astype(np.int32) + 1
 
 
 def _token_matrix(b: pa.RecordBatch) -> np.ndarray:
     column = b.column(b.schema.get_field_index("tokens"))
-    return np.frombuffer(b"".join(column.to_pylist()), np.uint32).reshape(-1, TOKENS)
+    return np.frombuffer(b"".join(column.to_pylist()), np.uint16).reshape(-1, TOKENS)
 
 
-def _leaves(classes: DataFrame) -> DataFrame:
-    def run(batches):
-        for b in batches:
-            tokens, n = _token_matrix(b), b.num_rows
-            nodes = np.repeat(mixed(np.arange(1, TREES + 1, dtype=np.uint64)), n)
-            entry = np.tile(np.arange(n), TREES)
-            for _ in range(START):
-                nodes, at = _children(nodes, tokens[entry], True)
-                entry = entry[at]
-            yield _rows(nodes, entry, b)
+def _large_nodes(classes: DataFrame, trees: range, node_limit: int) -> list[tuple[np.ndarray, np.ndarray]]:
+    """The large nodes of each level with their sizes, estimated from a sample of the classes.
+
+    The sample decides how far classes branch, and so how work is spread; no link depends on it.
+    """
+    rate = max(1, min(32, node_limit // 8))
+    least = max(node_limit, classes.count() / MAX_SHARE) / rate
+    sample = classes.filter(F.pmod("id", F.lit(rate)) == 0).select("tokens")
+    large: list[tuple[np.ndarray, np.ndarray]] = []
+    for _ in range(START, MAX_DEPTH + 1):
+        down = Descent(trees, node_limit, list(large))
+
+        def run(batches, down=down):
+            for b in batches:
+                nodes, n = np.unique(down(_token_matrix(b))[1][0], return_counts=True)
+                yield pa.RecordBatch.from_arrays([pa.array(nodes.view(np.int64)), pa.array(n)], names=["node", "n"])
+
+        found = sample.mapInArrow(run, "node long, n long").groupBy("node").agg(F.sum("n").alias("n")).filter(F.col("n") > least).toArrow()
+        if not found.num_rows:
+            break
+        names, sizes = found["node"].to_numpy().view(np.uint64), found["n"].to_numpy() * rate
+        order = np.argsort(names)
+        large.append((names[order], sizes[order]))
+    return large
 
-    return classes.select("id", "n", "tokens", *_SKETCH).mapInArrow(run, _ROWS)
 
+def _rows(classes: DataFrame, down: Descent, spark: SparkSession) -> DataFrame:
+    """A row for each class (id, n, label, tokens, sketch) and each node that it stops at."""
+    shared = spark.sparkContext.broadcast(down)
 
-def _branched(rows: DataFrame, classes: DataFrame) -> DataFrame:
     def run(batches):
         for b in batches:
-            nodes, at = _children(b.column(b.schema.get_field_index("node")).to_numpy().view(np.uint64), _token_matrix(b), False)
-            yield _rows(nodes, at, b)
+            ids = b.column(b.schema.get_field_index("id")).to_numpy().view(np.uint64)
+            stops, last = shared.value(_token_matrix(b))
+            nodes, entry = (np.concatenate(x) for x in zip(*stops, last, strict=True))
+            block = np.zeros(len(nodes), np.int32)
+            block[len(nodes) - len(last[0]) :] = shared.value.blocks(last[0], ids[last[1]])
+            take = pa.array(entry)
+            columns = [b.column(b.schema.get_field_index(c)).take(take) for c in ("id", "n", "label", *_SKETCH)]
+            yield pa.RecordBatch.from_arrays([pa.array(nodes.view(np.int64)), pa.array(block), *columns], names=["node", "block", "id", "n", "label", *_SKETCH])
 
-    return rows.join(classes.select("id", "tokens"), "id").mapInArrow(run, _ROWS)
+    return classes.select("id", "n", "label", "tokens", *_SKETCH).mapInArrow(run, _ROWS)
 
 
-def _agreeing(a: dict[str, np.ndarray], i: np.ndarray, b: dict[str, np.ndarray], j: np.ndarray, percent: int) -> np.ndarray:
-    """For pairs (a[i], b[j]) the number of equal sketch bytes, or 0 if they can't (by set sizes) or hardly can be linked."""
+def _agreeing(a: dict[str, np.ndarray], i: np.ndarray, b: dict[str, np.ndarray], j: np.ndarray, percent: int, agree: int) -> np.ndarray:
+    """For pairs (a[i], b[j]) of different labels one more than the number of equal sketch bytes, or 0 if they can't (by set sizes) or hardly can be linked."""
     x, y = a["n"][i].astype(np.int64), b["n"][j].astype(np.int64)
     out = np.zeros(len(i), np.int64)
-    ok = np.flatnonzero(100 * np.minimum(x, y) >= percent * np.maximum(x, y))
-    out[ok] = (a["sketch"][i[ok]] == b["sketch"][j[ok]]).sum(axis=1)
-    out[out < AGREE] = 0
+    ok = np.flatnonzero((100 * np.minimum(x, y) >= percent * np.maximum(x, y)) & (a["label"][i] != b["label"][j]))
+    out[ok] = (a["sketch"][i[ok]] == b["sketch"][j[ok]]).sum(axis=1) + 1
+    out[out <= agree] = 0
     return out
 
 
-def _columns(b: pa.RecordBatch, names: tuple[str, ...] = ("node", "id", "n")) -> dict[str, np.ndarray]:
+def _columns(b: pa.RecordBatch, names: tuple[str, ...]) -> dict[str, np.ndarray]:
     get = lambda c: b.column(b.schema.get_field_index(c)).to_numpy(zero_copy_only=False)
     out = {c: get(c) for c in names}
     out["sketch"] = np.stack([get(c) for c in _SKETCH], axis=1).view(np.uint8).reshape(-1, SKETCH)
@@ -154,74 +212,128 @@ def _pair_batch(a: np.ndarray, b: np.ndarray) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], names=["a", "b"])
 
 
-def _best(i: np.ndarray, j: np.ndarray, agree: np.ndarray) -> np.ndarray:
-    """Which pairs are among the ``PARTNERS`` best of one of their two ends."""
-    end, pair = np.concatenate((i, j)), np.tile(np.arange(len(i)), 2)
-    order = np.lexsort((pair, -agree[pair], end))
-    end = end[order]
-    first = np.flatnonzero(np.concatenate(([True], end[1:] != end[:-1])))
-    nth = np.arange(len(end)) - np.repeat(first, np.diff(np.append(first, len(end))))
-    return np.unique(pair[order][nth < PARTNERS])
-
-
-def _stated(r: dict[str, np.ndarray], percent: int, dense_always: bool) -> Iterator[pa.RecordBatch]:
-    """Of rows sorted by node: pairs (a, b, agree), and the members of dense nodes (b is null)."""
+def _nodes_in(batches: Iterator[pa.RecordBatch]) -> Iterator[dict[str, np.ndarray]]:
+    """Whole nodes (or blocks of them) from rows that are sorted by node and block; one that a batch's end cuts is carried over."""
+    names = ("node", "block", "id", "n", "label")
+    rest: list[dict[str, np.ndarray]] = []
+    for b in batches:
+        if not b.num_rows:
+            continue
+        r = _columns(b, names)
+        if rest and (r["node"][0], r["block"][0]) == (rest[0]["node"][0], rest[0]["block"][0]) == (r["node"][-1], r["block"][-1]):
+            rest.append(r)
+            continue
+        r = {c: np.concatenate([*(x[c] for x in rest), r[c]]) for c in r}
+        last = int(np.flatnonzero((r["node"] == r["node"][-1]) & (r["block"] == r["block"][-1]))[0])
+        rest = [{c: x[last:] for c, x in r.items()}]
+        if last:
+            yield {c: x[:last] for c, x in r.items()}
+    if rest:
+        yield {c: np.concatenate([x[c] for x in rest]) for c in rest[0]}
+
+
+def _refined(r: dict[str, np.ndarray], limit: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(small node, row, is it one of several blocks) for the rows' nodes, of which large ones branch on by sketch bytes."""
+    node = mixed(r["node"].view(np.uint64) ^ mixed(r["block"].astype(np.uint64)))
+    index = np.arange(len(node))
+    for _ in range(DEEPER):
+        _, place, size = np.unique(node, return_inverse=True, return_counts=True)
+        big = size[place] > limit
+        if not big.any():
+            break
+        kids, rows = _children(node[big], index[big], r["sketch"], False)
+        node, index = np.concatenate((node[~big], kids)), np.concatenate((index[~big], rows))
+    order = np.lexsort((index, node))
+    node, index = node[order], index[order]
+    first = np.flatnonzero(np.concatenate(([True], node[1:] != node[:-1])))
+    size = np.diff(np.append(first, len(node)))
+    nth = np.arange(len(node)) - np.repeat(first, size)
+    cut = np.repeat(size, size) > limit
+    return node + (nth // limit).astype(np.uint64), index, cut
+
+
+def _likely(r: dict[str, np.ndarray], node: np.ndarray, index: np.ndarray, percent: int, agree: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Places (i, j) of likely pairs in each small node, and how many bytes agree."""
     found, step = [], 1
-    while step < len(r["node"]):
-        i = np.flatnonzero(r["node"][step:] == r["node"][:-step])
+    while step < len(node):
+        i = np.flatnonzero(node[step:] == node[:-step])
         if not len(i):
             break
-        agree = _agreeing(r, i, r, i + step, percent)
-        found.append((i[agree > 0], i[agree > 0] + step, agree[agree > 0]))
+        equal = _agreeing(r, index[i], r, index[i + step], percent, agree)
+        found.append((i[equal > 0], i[equal > 0] + step, equal[equal > 0] - 1))
         step += 1
-    i, j, agree = (np.concatenate(x) for x in zip(*found, strict=True)) if found else (np.zeros(0, np.int64),) * 3
-    _, node, size = np.unique(r["node"], return_inverse=True, return_counts=True)
-    dense = np.full(len(size), dense_always) | (np.bincount(node[i], minlength=len(size)) > PARTNERS * size)
-    many = dense[node[i]]
-    take = np.concatenate((np.flatnonzero(~many), np.flatnonzero(many)[_best(i[many], j[many], agree[many])])) if len(i) else i
-    a, b = r["id"][i[take]], r["id"][j[take]]
-    members = np.zeros(0, np.int64) if dense_always else np.flatnonzero(dense[node])
-    none, gap = pa.nulls(len(take), pa.int64()), pa.nulls(len(members), pa.int64())
-    columns = [pa.concat_arrays([pa.array(np.minimum(a, b)), gap]), pa.concat_arrays([pa.array(np.maximum(a, b)), gap]), pa.concat_arrays([pa.array(agree[take].astype(np.int32)), gap.cast(pa.int32())])]
-    columns += [pa.concat_arrays([none.cast(pa.int32()) if c == "n" else none, pa.array(r[c][members], pa.int32() if c == "n" else pa.int64())]) for c in ("node", "id", "n", *_SKETCH)]
-    yield pa.RecordBatch.from_arrays(columns, names=["a", "b", "agree", "node", "id", "n", *_SKETCH])
-
-
-def _node_pairs(rows: DataFrame, percent: int, dense_always: bool = False) -> DataFrame:
-    """``_stated`` for all nodes; nodes are small, and one that a batch's end cuts is carried over."""
+    return tuple(np.concatenate(x) for x in zip(*found, strict=True)) if found else (np.zeros(0, np.int64),) * 3
+
+
+def _partners(rows: DataFrame, percent: int, node_limit: int, agree: int) -> DataFrame:
+    """(a, b): of each class b the smallest partner among the sure ones, and the most alike one, of all of its nodes."""
 
     def run(batches):
-        rest: dict[str, np.ndarray] | None = None
-        for b in batches:
-            r = _columns(b, ("node", "id", "n", *_SKETCH))
-            if rest is not None:
-                r = {c: np.concatenate((rest[c], r[c])) for c in r}
-            rest = {c: x[r["node"] == r["node"][-1]] for c, x in r.items()} if len(r["node"]) else None
-            held = len(rest["node"]) if rest is not None else 0
-            yield from _stated({c: x[: len(x) - held] for c, x in r.items()}, percent, dense_always)
-        if rest is not None:
-            yield from _stated(rest, percent, dense_always)
+        for r in _nodes_in(batches):
+            node, index, _ = _refined(r, node_limit)
+            i, j, equal = _likely(r, node, index, percent, agree)
+            x, y = r["id"][index[i]], r["id"][index[j]]
+            a, b = np.minimum(x, y), np.maximum(x, y)
+            picked = []
+            for order in (np.lexsort((a, equal < SURE, b)), np.lexsort((a, -equal, b))):
+                picked.append(order[np.concatenate(([True], b[order][1:] != b[order][:-1]))] if len(order) else order)
+            take = np.unique(np.concatenate(picked))
+            yield pa.RecordBatch.from_arrays([pa.array(a[take]), pa.array(b[take]), pa.array(equal[take])], names=["a", "b", "equal"])
+
+    found = _dealt(rows).mapInArrow(run, "a long, b long, equal long")
+    both = found.groupBy("b").agg(F.min(F.struct(F.col("equal") < SURE, "a"))["a"].alias("first"), F.min(F.struct(-F.col("equal"), F.col("a")))["a"].alias("best"))
+    return both.select(F.explode(F.array_distinct(F.array("first", "best"))).alias("a"), "b")
 
-    n = partitions(rows.sparkSession)
-    return rows.repartition(n, "node").sortWithinPartitions("node", "id").mapInArrow(run, _FOUND)
 
+def _dealt(rows: DataFrame) -> DataFrame:
+    return rows.repartition(partitions(rows.sparkSession), "node", "block").sortWithinPartitions("node", "block")
 
-def _large(rows: DataFrame, node_limit: int) -> DataFrame:
-    hub = F.min(F.struct("id", "n", *_SKETCH)).alias("hub")
-    return written(rows.groupBy("node").agg(F.count("*").alias("size"), hub).filter(F.col("size") > node_limit), "nodes")
 
+def _stated(rows: DataFrame, percent: int, node_limit: int, agree: int) -> DataFrame:
+    """Likely pairs (a, b) of different labels; or (node, label) for the labels of nodes that are not spelt out in pairs."""
 
-def _sets(docs: DataFrame, wanted: DataFrame, text_col: str, id_col: str, shingle: int) -> DataFrame:
     def run(batches):
-        hash_words = WordHashes()
-        for b in batches:
-            sets = [shingle_set(t, hash_words, shingle).tobytes() for t in byte_texts(b.column(1))]
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(sets, pa.binary())], names=["id", "members"])
+        for r in _nodes_in(batches):
+            node, index, cut = _refined(r, node_limit)
+            i, j, _ = _likely(r, node, index, percent, agree)
+            _, place, size = np.unique(node, return_inverse=True, return_counts=True)
+            dense = np.bincount(place[i], minlength=len(size)) > PARTNERS * size
+            few = ~dense[place[i]]
+            a, b = r["id"][index[i[few]]], r["id"][index[j[few]]]
+            pairs = np.unique(np.stack((np.minimum(a, b), np.maximum(a, b)), axis=1), axis=0) if len(a) else np.zeros((0, 2), np.int64)
+            named = index[dense[place] | cut | (r["block"][index] > 0)]
+            labels = np.unique(np.stack((r["node"][named], r["label"][named]), axis=1), axis=0)
+            none, gap = pa.nulls(len(pairs), pa.int64()), pa.nulls(len(labels), pa.int64())
+            columns = [pa.concat_arrays(x) for x in ([pa.array(pairs[:, 0]), gap], [pa.array(pairs[:, 1]), gap], [none, pa.array(labels[:, 0])], [none, pa.array(labels[:, 1])])]
+            yield pa.RecordBatch.from_arrays(columns, names=["a", "b", "node", "label"])
+
+    return _dealt(rows).mapInArrow(run, "a long, b long, node long, label long")
+
+
+def _with_sets(docs: DataFrame, classes: DataFrame, need: DataFrame, shingle: int) -> DataFrame:
+    """``need`` (id and longs) with the full set of each id, from one document of the class; its text moves once."""
+    from pyspark.sql.pandas.types import to_arrow_schema
+
+    names = need.columns
+    schema = f"{', '.join(f'{c} {t}' for c, t in need.dtypes)}, members binary"
+    arrow = to_arrow_schema(need.schema)
 
-    return docs.select(id_key(id_col).alias("id"), F.col(text_col).alias("text")).join(wanted, "id", "left_semi").mapInArrow(run, "id long, members binary")
+    def run(batches):
+        hash_words, last, data = WordHashes(), None, b""
+        for b in sliced(batches, 0):
+            sets = []
+            for text in byte_texts(b.column(0)):
+                if text != last:  # a document's rows stand together
+                    last, data = text, shingle_set(text, hash_words, shingle).tobytes()
+                sets.append(data)
+            columns = [b.column(b.schema.get_field_index(c)).cast(arrow.field(c).type) for c in names]
+            yield pa.RecordBatch.from_arrays([*columns, pa.array(sets, pa.binary())], names=[*names, "members"])
 
+    of = need.join(classes.select("id", F.col("key").alias("__key"), F.col("hash").alias("__hash")), "id")
+    return docs.join(of, (F.col("hash") == F.col("__hash")) & F.col("key").eqNullSafe(F.col("__key"))).select("text", *names).mapInArrow(run, schema)
 
-def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int, share: int = 256) -> DataFrame:
+
+def _confirmed(docs: DataFrame, classes: DataFrame, pairs: DataFrame, shingle: int, percent: int, share: int = 256) -> DataFrame:
     """The pairs whose full sets reach the similarity. A hub's partners are dealt over as many tasks as their number asks for."""
     parts = pairs.groupBy("a").agg(F.ceil(F.count("*") / share).cast("int").alias("parts"))
     hubs = parts.select(F.col("a").alias("id"), F.col("a").alias("hub"), F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), F.lit(0).alias("place"))
@@ -242,33 +354,50 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int, share: int = 256
                         b_s.append(i)
             yield _pair_batch(np.array(a_s, np.int64), np.array(b_s, np.int64))
 
+    found = _with_sets(docs, classes, hubs.unionByName(others), shingle)
     n = partitions(pairs.sparkSession)
-    dealt = hubs.unionByName(others).join(sets, "id").repartition(n, "hub", "part").sortWithinPartitions("hub", "part", "place")
-    return dealt.mapInArrow(run, "a long, b long")
+    return found.repartition(n, "hub", "part").sortWithinPartitions("hub", "part", "place").mapInArrow(run, "a long, b long")
 
 
-def components(links: DataFrame) -> DataFrame:
+def components(links: DataFrame, scratch: Scratch | None = None) -> DataFrame:
     """(id, label): the smallest id reachable by links, for every id that has one.
 
-    Every vertex moves to its smallest neighbour and takes its links along, until no link joins two vertices.
+    Every vertex moves to its smallest neighbour, and on to where that one moves, until all stand on roots; then links
+    between roots are what is left. Each round halves the roots at least, and moves double their reach each time, so a
+    chain of n links takes about log2(n) tables. What is superseded is deleted.
     """
-    edges, labels = written(links.filter("a <> b").select("a", "b").distinct(), "links"), None
+    scratch = scratch or Scratch(links.sparkSession, "components")
+    edges, labels = scratch.write(links.filter("a <> b").select("a", "b").distinct()), None
     while True:
         ends = edges.select(F.col("a").alias("v"), F.col("b").alias("u")).unionAll(edges.select(F.col("b").alias("v"), F.col("a").alias("u")))
-        move = written(ends.groupBy("v").agg(F.least("v", F.min("u")).alias("to")), "moves")
+        move = scratch.write(ends.groupBy("v").agg(F.least("v", F.min("u")).alias("to")))
+        while True:
+            on = move.filter("v <> to").select(F.col("v").alias("to"), F.col("to").alias("on"))
+            further = scratch.write(move.join(on, "to", "left").select("v", F.coalesce("on", "to").alias("to"), F.col("on").isNotNull().alias("moved")))
+            scratch.drop(move)
+            move = further
+            if move.filter("moved").isEmpty():
+                break
+            move = further.select("v", "to")
+            move._scratch_path = further._scratch_path
+        move = move.select("v", "to")
+        before = labels
         if labels is None:
-            labels = move.select(F.col("v").alias("id"), F.col("to").alias("label"))
+            labels = scratch.write(move.select(F.col("v").alias("id"), F.col("to").alias("label")))
         else:
-            labels = written(labels.join(move.withColumnRenamed("v", "label"), "label", "left").select("id", F.coalesce("to", "label").alias("label")), "labels")
+            labels = scratch.write(labels.join(move.withColumnRenamed("v", "label"), "label", "left").select("id", F.coalesce("to", "label").alias("label")))
         moved = edges.join(move.select(F.col("v").alias("a"), F.col("to").alias("x")), "a").join(move.select(F.col("v").alias("b"), F.col("to").alias("y")), "b")
-        edges = written(moved.filter("x <> y").select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct(), "links")
+        left = scratch.write(moved.filter("x <> y").select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct())
+        scratch.drop(before, edges, further)
+        edges = left
         if edges.isEmpty():
+            scratch.drop(edges)
             return labels
 
 
-def _labelled(rows: DataFrame, labels: DataFrame, column: str, name: str) -> DataFrame:
-    found = labels.select(F.col("id").alias(column), F.col("label").alias("__found"))
-    return rows.join(found, column, "left").withColumn(name, F.coalesce("__found", column)).drop("__found")
+def _labelled(rows: DataFrame, labels: DataFrame) -> DataFrame:
+    found = labels.select(F.col("id"), F.col("label").alias("__found"))
+    return rows.drop("label").join(found, "id", "left").withColumn("label", F.coalesce("__found", "id")).drop("__found")
 
 
 def fine_sketch(members: bytes) -> bytes:
@@ -280,7 +409,7 @@ def fine_sketch(members: bytes) -> bytes:
 
 
 def _finely(one: np.ndarray, n: int, others: np.ndarray, sizes: np.ndarray, percent: int) -> np.ndarray:
-    """Which of the others' fine sketches agree with the first as well as linked sets do, but for four deviations.
+    """Which of the others' fine sketches agree with the first as well as linked sets do, but for five deviations.
 
     Bins are drawn without putting back: of small sets they hold nearly all, and the deviation shrinks.
     """
@@ -288,143 +417,109 @@ def _finely(one: np.ndarray, n: int, others: np.ndarray, sizes: np.ndarray, perc
     some = ((others > 0) | (one > 0)).sum(axis=1)
     equal = ((others == one) & (one > 0)).sum(axis=1)
     union = np.maximum((sizes.astype(np.int64) + n) / (1 + s), some)
-    return equal >= s * some - 4 * np.sqrt(s * (1 - s) * some * (1 - some / np.maximum(union, 1)) + 0.5)
+    return equal >= s * some - 5 * np.sqrt(s * (1 - s) * some * (1 - some / np.maximum(union, 1)) + 0.5)
 
 
-def _padded(lists: pa.ListArray) -> np.ndarray:
-    """Lists as rows of one width; ``NULL_ID`` fills them up."""
-    n = lists.value_lengths().to_numpy(zero_copy_only=False)
-    out = np.full((len(lists), int(n.max(initial=0))), NULL_ID)
-    out[np.arange(out.shape[1]) < n[:, None]] = lists.flatten().to_numpy()
-    return out
+def _rest_pairs(docs: DataFrame, classes: DataFrame, rows: DataFrame, scratch: Scratch, shingle: int, percent: int, agree: int) -> DataFrame:
+    """Likely pairs of different labels in the nodes of ``rows`` (node, id, n, label, sketch).
 
-
-def _stacked(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    if a.ndim > 1 and a.shape[1] != b.shape[1]:
-        width = max(a.shape[1], b.shape[1])
-        a, b = (np.pad(x, ((0, 0), (0, width - x.shape[1])), constant_values=NULL_ID) for x in (a, b))
-    return np.concatenate((a, b))
-
-
-def _rest_pairs(rows: DataFrame, labels: DataFrame, sets: DataFrame, percent: int, node_limit: int) -> DataFrame:
-    """Of dense nodes, the likely pairs that would join different labels, each once.
-
-    A node's classes are dealt into blocks; those outside its commonest label visit all of them. Two classes that share
-    several nodes are stated by the first of these, and of two visitors by the smaller one.
+    A node's classes are dealt into blocks of ``BLOCK``; those outside its commonest label visit all of them, once for
+    each block. Of two visitors the smaller one states the pair.
     """
-    labelled = _labelled(rows, labels, "id", "label")
-    counts = labelled.groupBy("node", "label").agg(F.count("*").alias("n"))
-    nodes = counts.groupBy("node").agg(F.max_by("label", F.struct("n", "label")).alias("common"), F.sum("n").alias("size"), F.count("*").alias("kinds")).filter("kinds > 1")
-    nodes = nodes.select("node", "common", F.ceil(F.col("size") / node_limit).cast("int").alias("blocks"))
-    there = written(labelled.join(nodes, "node"), "mixed")
-    shared = there.groupBy("id").agg(F.collect_set("node").alias("nodes"))
-    own = F.array(F.struct(F.lit(0).alias("visit"), F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int").alias("block")))
-    others = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda k: F.struct(F.lit(1).alias("visit"), k.alias("block")))
-    places = F.when(F.col("label") == F.col("common"), own).otherwise(F.concat(own, others))
+    counts = rows.groupBy("node", "label").agg(F.count("*").alias("rows"))
+    nodes = counts.groupBy("node").agg(F.max_by("label", F.struct("rows", "label")).alias("common"), F.sum("rows").alias("size"), F.count("*").alias("kinds")).filter("kinds > 1")
+    there = scratch.write(rows.join(nodes.select("node", "common", F.ceil(F.col("size") / BLOCK).cast("int").alias("blocks")), "node"))
 
     def finer(batches):
         for b in batches:
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array([fine_sketch(x) for x in b.column(1).to_pylist()], pa.binary()), b.column(2)], names=["id", "fine", "nodes"])
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array([fine_sketch(x) for x in b.column(1).to_pylist()], pa.binary())], names=["id", "fine"])
 
-    shared = sets.select("id", "members").join(shared, "id").select("id", "members", "nodes").mapInArrow(finer, "id long, fine binary, nodes array<long>")
-    dealt = there.join(shared, "id").select("node", "id", "n", *_SKETCH, "label", "common", "nodes", "fine", F.explode(places).alias("place")).select("*", "place.*").drop("place")
+    fine = _with_sets(docs, classes, there.select("id").distinct(), shingle).mapInArrow(finer, "id long, fine binary").dropDuplicates(["id"])
+    own = F.array(F.struct(F.lit(0).alias("visit"), F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int").alias("block")))
+    others = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda k: F.struct(F.lit(1).alias("visit"), k.alias("block")))
+    places = F.when(F.col("label") == F.col("common"), own).otherwise(F.concat(own, others))
+    dealt = there.join(fine, "id").select("node", "id", "n", "label", "common", *_SKETCH, "fine", F.explode(places).alias("place")).select("*", "place.*").drop("place")
 
     def run(batches):
-        held: dict[str, np.ndarray] | None = None
+        held: list[dict[str, np.ndarray]] = []
+        whole: dict[str, np.ndarray] | None = None
         for b in batches:
             r = _columns(b, ("node", "block", "visit", "id", "n", "label", "common"))
-            r["nodes"] = _padded(b.column(b.schema.get_field_index("nodes")))
             r["fine"] = np.frombuffer(b"".join(b.column(b.schema.get_field_index("fine")).to_pylist()), np.uint8).reshape(-1, FINE)
             edges = np.flatnonzero((np.diff(r["node"]) != 0) | (np.diff(r["block"]) != 0) | (np.diff(r["visit"]) != 0)) + 1
             for x in np.split(np.arange(b.num_rows), edges):
                 if not len(x):
                     continue
                 part = {c: v[x] for c, v in r.items()}
-                same = held is not None and (held["node"][0], held["block"][0]) == (part["node"][0], part["block"][0])
+                same = bool(held) and (held[0]["node"][0], held[0]["block"][0]) == (part["node"][0], part["block"][0])
                 if part["visit"][0] == 0:
-                    held = {c: _stacked(held[c], part[c]) for c in part} if same else part
+                    held, whole = [*held, part] if same else [part], None
                 elif same:
+                    whole = whole or {c: np.concatenate([h[c] for h in held]) for c in part}
                     for k in range(len(x)):
-                        j = np.flatnonzero((held["label"] != part["label"][k]) & ((held["label"] == held["common"]) | (held["id"] > part["id"][k])))
-                        j = j[_agreeing(part, np.full(len(j), k), held, j, percent) > 0]
-                        j = j[_finely(part["fine"][k], int(part["n"][k]), held["fine"][j], held["n"][j], percent)]
-                        earlier = part["nodes"][k][part["nodes"][k] < part["node"][k]]
-                        earlier = earlier[earlier != NULL_ID]
-                        j = j[~np.isin(held["nodes"][j], earlier).any(axis=1)]
+                        j = np.flatnonzero((whole["label"] == whole["common"]) | (whole["id"] > part["id"][k]))
+                        j = j[_agreeing(part, np.full(len(j), k), whole, j, percent, agree) > 0]
+                        if agree:
+                            j = j[_finely(part["fine"][k], int(part["n"][k]), whole["fine"][j], whole["n"][j], percent)]
                         if len(j):
-                            yield _pair_batch(np.full(len(j), part["id"][k]), held["id"][j])
+                            yield _pair_batch(np.full(len(j), part["id"][k]), whole["id"][j])
 
     n = partitions(rows.sparkSession)
-    return dealt.repartition(n, "node", "block").sortWithinPartitions("node", "block", "visit").mapInArrow(run, "a long, b long")
+    return dealt.repartition(n, "node", "block").sortWithinPartitions("node", "block", "visit").mapInArrow(run, "a long, b long").distinct()
 
 
-def _hub_pairs(rows: DataFrame, percent: int) -> DataFrame:
-    """Each class of a large node with the node's smallest one (``hub``), where they are alike."""
-
-    def run(batches):
-        for b in batches:
-            r = _columns(b)
-            hub = b.column(b.schema.get_field_index("hub"))
-            h = _columns(pa.RecordBatch.from_arrays([hub.field(k) for k in range(2 + len(_SKETCH))], names=["id", "n", *_SKETCH]), ("id", "n"))
-            i = np.arange(b.num_rows)
-            ok = (h["id"] != r["id"]) & (_agreeing(r, i, h, i, percent) > 0)
-            yield _pair_batch(h["id"][ok], r["id"][ok])
-
-    return rows.mapInArrow(run, "a long, b long")
-
-
-def _none(spark: SparkSession, schema: str) -> DataFrame:
-    return spark.createDataFrame([], schema)
-
-
-def near_dup(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id", shingle: int = 5, percent: int = 80, node_limit: int = 128) -> DataFrame:
+def near_dup(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id", shingle: int = 5, percent: int = 80, node_limit: int = 256, agree: int = AGREE) -> DataFrame:
     """One row per document: the id, n_shingles, component_id (the smallest id reachable by links), kept.
 
     Words are runs of ``[^\\x20\\x09-\\x0D]`` after lower-casing A-Z. A document's set has its distinct shingles of
     ``shingle`` words; with fewer words, all of them as one. Null, empty and blank texts have no set and link with
-    nothing. Links: 100 * intersection >= percent * union. A null id counts as smaller than any other; component_id is
-    then null. Rows that share an id are one document: they get one component. kept: the id is the component's.
+    nothing. Links: 100 * intersection >= percent * union. Ids may be of any type that can be ordered. Rows that share an
+    id are one document, so all of their texts are in one component; but null ids are documents of their own, which
+    count as smaller than any other; component_id is then null. kept: the id is the component's. Shingles are 64-bit
+    hashes, and so are the names of classes. ``agree=0`` compares all classes of a node on full sets, without sketches.
     """
     spark = docs.sparkSession
-    kind = docs.schema[id_col].dataType.simpleString()
-    parts = written(_parts(docs, text_col, id_col, shingle), "signatures")
-    by_print = parts.filter("n > 0").groupBy("print")
-    classes = written(by_print.agg(F.min("key").alias("id"), F.first("n").alias("n"), F.first("tokens").alias("tokens"), *(F.first(c).alias(c) for c in _SKETCH)), "classes")
-
-    rows, found, last = _leaves(classes), [], None
-    for depth in range(START, MAX_DEPTH + 1):
-        large = _large(rows, node_limit)
-        found.append(_node_pairs(rows.join(large.select("node"), "node", "left_anti"), percent))
-        if large.isEmpty():
-            break
-        if depth < MAX_DEPTH:
-            rows = _branched(written(rows.join(large.select("node"), "node", "left_semi"), "rows"), classes)
-        else:
-            last = written(rows.join(large.select("node", "hub", F.ceil(F.col("size") / node_limit).alias("blocks")), "node"), "rows")
-    if last is not None:
-        # Blocks of the large nodes state partners as dense nodes do; their smallest classes tie the blocks together.
-        members_of = ["node", "id", "n", *_SKETCH]
-        blocks = last.withColumn("node", F.xxhash64("node", F.pmod(F.xxhash64("id"), F.col("blocks")))).select(members_of)
-        found.append(_node_pairs(blocks, percent, dense_always=True))
-    stated = found[0]
-    for more in found[1:]:
-        stated = stated.unionAll(more)
-    stated = written(stated, "found")
-    pairs = stated.filter("b IS NOT NULL").select("a", "b")
-    members = stated.filter("b IS NULL").select("node", "id", "n", *_SKETCH)
-    if last is not None:
-        pairs, members = pairs.unionAll(_hub_pairs(last, percent)), members.unionAll(last.select(members_of))
-    pairs = written(pairs.distinct(), "pairs")
-    wanted = pairs.select(F.col("a").alias("id")).unionAll(pairs.select(F.col("b").alias("id"))).unionAll(members.select("id"))
-    sets = written(_sets(docs, wanted.distinct(), text_col, id_col, shingle), "sets")
-
-    links = written(_confirmed(pairs, sets, percent), "links")
-    labels = components(links)
-    rest = written(_rest_pairs(members, labels, sets, percent, node_limit), "pairs")
-    if not rest.isEmpty():
-        labels = components(links.unionAll(_confirmed(rest, sets, percent)))
-
-    docs_of = parts.select("key", "n", "print").join(classes.select("print", F.col("id").alias("class")), "print", "left").withColumn("class", F.coalesce("class", "key"))
-    found = _labelled(docs_of, labels, "class", "label")
-    real = lambda c: F.when(F.col(c) != NULL_ID, F.col(c)).cast(kind)
-    return found.select(real("key").alias(id_col), F.col("n").cast("long").alias("n_shingles"), real("label").alias("component_id"), (F.col("key") == F.col("label")).alias("kept"))
+    bounded(spark)
+    scratch = Scratch(spark, "near-dup")
+    keyed = docs.select(F.col(id_col).alias("key"), F.xxhash64(text_col).alias("hash"), F.col(text_col).alias("text"))
+    parts = scratch.write(_parts(keyed, shingle))
+    one = F.min(F.struct(F.col("key").isNotNull().alias("real"), "key", "hash")).alias("one")
+    firsts = (F.first(c).alias(c) for c in ("n", "tokens", *_SKETCH))
+    grouped = parts.filter("n > 0").groupBy("id").agg(one, *firsts)
+    classes = scratch.write(grouped.select("id", "one.key", "one.hash", "n", "tokens", *_SKETCH, F.col("id").alias("label")))
+
+    large = _large_nodes(classes, range(1 + TREES), node_limit)
+    descent = lambda trees: Descent(trees, node_limit, large)
+    pairs = scratch.write(_partners(_rows(classes, descent(range(1)), spark), percent, node_limit, agree))
+    links = scratch.write(_confirmed(keyed, classes, pairs, shingle, percent))
+    # An id that stands for several classes ties them together.
+    several = parts.filter("n > 0 AND key IS NOT NULL").groupBy("key").agg(F.min("id").alias("a"), F.max("id").alias("b")).filter("a <> b")
+    tied = parts.filter("n > 0").join(several.select("key", "a"), "key").select("a", F.col("id").alias("b")).filter("a <> b").distinct()
+    links = links.unionAll(scratch.write(tied))
+    labels = components(links, scratch)
+    scratch.drop(pairs)
+
+    found = scratch.write(_stated(_rows(_labelled(classes, labels), descent(range(1, 1 + TREES)), spark), percent, node_limit, agree))
+    pairs = scratch.write(found.filter("b IS NOT NULL").select("a", "b").distinct())
+    more = [] if pairs.isEmpty() else [scratch.write(_confirmed(keyed, classes, pairs, shingle, percent))]
+    mixed_nodes = scratch.write(found.filter("node IS NOT NULL").groupBy("node").agg(F.min("label").alias("low"), F.max("label").alias("high")).filter("low <> high").select("node"))
+    if more:
+        labels = components(links.unionAll(more[0]), scratch)
+    if not mixed_nodes.isEmpty():
+        rows = _rows(_labelled(classes, labels), descent(range(1, 1 + TREES)), spark).drop("block").join(mixed_nodes, "node", "left_semi")
+        rest = scratch.write(_rest_pairs(keyed, classes, rows, scratch, shingle, percent, agree))
+        if not rest.isEmpty():
+            more.append(scratch.write(_confirmed(keyed, classes, rest, shingle, percent)))
+            all_links = links
+            for x in more:
+                all_links = all_links.unionAll(x)
+            labels = components(all_links, scratch)
+
+    real = F.struct(F.col("key").isNotNull().alias("real"), "key")
+    full = _labelled(parts.filter("n > 0").select("key", "n", "id"), labels)
+    least = full.groupBy("label").agg(F.min(real)["key"].alias("least"))
+    of = full.join(least, "label").select("key", "n", "least").unionAll(parts.filter("n = 0").select("key", "n", F.col("key").alias("least")))
+    out = of.select(F.col("key").alias(id_col), F.col("n").cast("long").alias("n_shingles"), F.col("least").alias("component_id"), F.col("key").eqNullSafe(F.col("least")).alias("kept"))
+    done = scratch.write(out)
+    scratch.drop(parts, classes, labels, found, pairs, mixed_nodes, *more)
+    return done

@@ -154,9 +154,32 @@ def test_near_dup_large_nodes(spark):
 
 
 def test_near_dup_odd_ids(spark):
-    df = spark.createDataFrame([(None, "a b c d"), (4, "a b c d"), (4, "a b c d"), (5, "other")], "doc_id long, text string")
+    """Rows that share an id are in one component, whatever their texts; null ids are documents of their own; any type of id will do."""
+    df = spark.createDataFrame([(None, "a b c d"), (None, "q r s"), (4, "a b c d"), (4, "a b c d"), (5, "other"), (5, "")], "doc_id long, text string")
     got = rows(near_dup.near_dup(df), "doc_id", "component_id", "kept")
-    assert got == sorted([(None, None, True), (4, None, False), (4, None, False), (5, 5, True)], key=repr)
+    assert got == sorted([(None, None, True), (None, None, True), (4, None, False), (4, None, False), (5, 5, True), (5, 5, True)], key=repr)
+    tied = [(1, "one text here"), (4, "one text here"), (4, "and quite another"), (5, "and quite another"), (9, "alone")]
+    want = [(1, 1, True), (4, 1, False), (4, 1, False), (5, 1, False), (9, 9, True)]
+    for kind in ("long", "string"):
+        df = spark.createDataFrame(tied, "doc_id long, text string").withColumn("doc_id", F.col("doc_id").cast(kind))
+        got = near_dup.near_dup(df, shingle=2).select(*(F.col(c).cast("long") for c in ("doc_id", "component_id")), "kept")
+        assert rows(got, "doc_id", "component_id", "kept") == sorted(want, key=repr)
+
+
+def test_near_dup_of_alike_texts_that_are_no_pairs(spark):
+    """A group in which all pairs look alike, but few are: nodes of many labels are compared to the end."""
+    r = random.Random(4)
+    word = lambda: "".join(r.choice("abcdefgh") for _ in range(5))
+    base, texts = [word() for _ in range(150)], []
+    for _ in range(90):
+        t = list(base)
+        for k in r.sample(range(150), r.randint(5, 14)):
+            t[k] = word()
+        texts.append(" ".join(t))
+    data = list(enumerate(texts))
+    df = spark.createDataFrame(data, "doc_id long, text string")
+    for limit, agree in ((4, near_dup.AGREE), (8, 0), (256, near_dup.AGREE)):
+        same(rows(near_dup.near_dup(df, shingle=2, node_limit=limit, agree=agree), "doc_id", "n_shingles", "component_id", "kept"), brute.op7(data))
 
 
 def test_components(spark):
@@ -165,6 +188,16 @@ def test_components(spark):
     assert got == {i: 1 for i in range(1, 41)} | {i: 100 for i in range(100, 160)} | {200: 200, 300: 200}
 
 
+def test_components_of_a_long_chain_take_few_tables(spark):
+    from marketlane.llm.common import Scratch
+
+    scratch = Scratch(spark, "chain")
+    links = spark.range(1, 1000).select(F.col("id").alias("a"), (F.col("id") + 1).alias("b"))
+    got = near_dup.components(links, scratch)
+    assert got.count() == 1000 and got.filter("label <> 1").isEmpty()
+    assert scratch.count < 20
+
+
 def test_quality_rules(spark, docs, pairs):
     found = quality_rules.quality_rules(docs)
     same(rows(found, "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed"), brute.op10(pairs))
