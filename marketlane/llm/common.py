@@ -101,7 +101,7 @@ def partitions(spark: SparkSession) -> int:
 
 
 def id_key(column: str) -> F.Column:
-    """A document's id as a never-null key; null ids stand together before all others."""
+    """A document's id, a whole number, as a never-null key; null ids stand together before all others."""
     return F.coalesce(F.col(column).cast("long"), F.lit(NULL_ID))
 
 

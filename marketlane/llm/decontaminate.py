@@ -6,8 +6,9 @@ sampled at every 8th place. All phrases are searched backward at once; occurrenc
 suffix, and their spans are merged. Runs of words that contain a word foreign to all phrases can't hold an occurrence,
 so words outside the alphabet, and runs shorter than the shortest phrase, are not indexed; this loses nothing.
 
-The phrases come from the driver in blocks of at most ``block_windows``, each of which is broadcast; further blocks are
-further passes over the rows, so neither a task nor the driver ever holds more than one block. Nothing is shuffled.
+The phrases come from the driver in blocks of at most ``block_windows``, each of which is broadcast; a further block is
+a further pass over the rows, which the pass before it has written. Neither a task nor the driver ever holds more than
+one block. Nothing is shuffled. The index keeps a bit for each symbol and wavelet level, with a count for each 64.
 """
 
 from __future__ import annotations
@@ -22,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from marketlane.llm.common import ASCII_WORD, LOWER, add_columns, byte_texts, covered, runs
+from marketlane.llm.common import ASCII_WORD, LOWER, Scratch, add_columns, byte_texts, covered, runs, without
 
 SAMPLE = 8
 #: Turns A-Z into a-z and every byte that is in no word into a space.
@@ -53,52 +54,67 @@ class Phrases:
         return cls(vocabulary, {n: np.array(list(g), np.int64).reshape(len(g), n) for n, g in groups.items()}, {n: [sorted(x) for x in g.values()] for n, g in groups.items()})
 
 
+class Bits:
+    """A packed row of bits with the number of ones before any place."""
+
+    def __init__(self, bits: np.ndarray) -> None:
+        raw = np.packbits(bits.astype(bool), bitorder="little")
+        padded = np.zeros((len(bits) // 64 + 1) * 8, np.uint8)
+        padded[: len(raw)] = raw
+        self.words = padded.view(np.uint64)
+        self.before = np.zeros(len(self.words), np.int32)
+        np.cumsum(np.bitwise_count(self.words[:-1]), out=self.before[1:])
+        self.zeros = len(bits) - int(np.count_nonzero(bits))
+
+    def ones(self, i: np.ndarray) -> np.ndarray:
+        word = i >> 6
+        low = (np.uint64(1) << (i & 63).astype(np.uint64)) - np.uint64(1)
+        return self.before[word] + np.bitwise_count(self.words[word] & low)
+
+    def at(self, i: np.ndarray) -> np.ndarray:
+        return (self.words[i >> 6] >> (i & 63).astype(np.uint64)) & np.uint64(1) == 1
+
+
 class FMIndex:
     """Over positive symbols; zeros separate runs, and no match crosses them."""
 
     def __init__(self, text: np.ndarray, symbols: int) -> None:
-        n = len(text)
-        self.n = n
+        self.n = len(text)
         order = self._suffixes(text)
-        before = text[order - 1]
+        bits = text[order - 1]
+        # Beside every 8th position the first of each run is sampled: walks then never cross a separator.
+        self.sampled = Bits((order % SAMPLE == 0) | (bits == 0))
+        self.positions = order[(order % SAMPLE == 0) | (bits == 0)]
         self.first = np.concatenate(([0], np.cumsum(np.bincount(text, minlength=symbols))))
-        self.levels: list[tuple[np.ndarray, int]] = []
-        bits = before
+        self.levels: list[Bits] = []
         for level in reversed(range(max(1, int(symbols - 1).bit_length()))):
-            ones = (bits >> level) & 1
-            zeros = np.concatenate(([0], np.cumsum(1 - ones)))
-            self.levels.append((zeros, int(zeros[-1])))
-            bits = np.concatenate((bits[ones == 0], bits[ones == 1]))
+            ones = ((bits >> level) & 1).astype(bool)
+            self.levels.append(Bits(ones))
+            bits = np.concatenate((bits[~ones], bits[ones]))
         self.start = self._down(np.arange(symbols), np.zeros(symbols, np.int64))
-        # Beside every 8th position the first of each run is sampled: walks then never cross a separator.
-        sampled = (order % SAMPLE == 0) | (text[order - 1] == 0)
-        self.sampled = sampled
-        self.at = np.cumsum(sampled) - 1
-        self.positions = order[sampled]
 
     @staticmethod
     def _suffixes(text: np.ndarray) -> np.ndarray:
         n, gaps = len(text), text == 0
-        rank = text + int(gaps.sum())
+        rank = text.astype(np.int64) + int(gaps.sum())
         rank[gaps] = np.arange(int(gaps.sum()))  # each separator is a symbol of its own
         step = 1
         while True:
             key = rank * (int(rank.max()) + 2)
             key[: n - step] += rank[step:] + 1
             order = np.argsort(key)
-            sorted_key = key[order]
-            fresh = np.concatenate(([0], np.cumsum(sorted_key[1:] != sorted_key[:-1])))
-            rank = np.empty(n, np.int64)
+            key = key[order]
+            fresh = np.concatenate(([0], np.cumsum(key[1:] != key[:-1])))
             rank[order] = fresh
             if fresh[-1] == n - 1 or step >= n:
-                return order
+                return order.astype(np.int32)
             step *= 2
 
     def _down(self, symbol: np.ndarray, i: np.ndarray) -> np.ndarray:
         depth = len(self.levels)
-        for k, (zeros, total) in enumerate(self.levels):
-            low = zeros[i]
-            i = np.where((symbol >> (depth - 1 - k)) & 1, total + i - low, low)
+        for k, bits in enumerate(self.levels):
+            ones = bits.ones(i)
+            i = np.where((symbol >> (depth - 1 - k)) & 1, bits.zeros + ones, i - ones)
         return i
 
     def rank(self, symbol: np.ndarray, i: np.ndarray) -> np.ndarray:
@@ -106,20 +122,19 @@ class FMIndex:
 
     def back(self, row: np.ndarray) -> np.ndarray:
         """The row of the suffix one position earlier."""
-        symbol = np.zeros(len(row), np.int64)
-        i = row
-        for zeros, total in self.levels:
-            low = zeros[i]
-            one = zeros[i + 1] == low
+        symbol, i = np.zeros(len(row), np.int64), row
+        for bits in self.levels:
+            one, ones = bits.at(i), bits.ones(i)
             symbol = 2 * symbol + one
-            i = np.where(one, total + i - low, low)
+            i = np.where(one, bits.zeros + ones, i - ones)
         return self.first[symbol] + i - self.start[symbol]
 
     def search(self, phrases: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """For each phrase the range of rows that begin with it."""
-        low, high = np.zeros(len(phrases), np.int64), np.full(len(phrases), self.n, np.int64)
-        live = np.arange(len(phrases))
-        for k in range(phrases.shape[1] - 1, -1, -1):
+        last = phrases[:, -1]
+        low, high = self.first[last], self.first[last + 1]
+        live = np.flatnonzero(low < high)
+        for k in range(phrases.shape[1] - 2, -1, -1):
             c = phrases[live, k]
             low[live] = self.first[c] + self.rank(c, low[live])
             high[live] = self.first[c] + self.rank(c, high[live])
@@ -132,9 +147,9 @@ class FMIndex:
         out, steps, todo = np.zeros(len(rows), np.int64), np.zeros(len(rows), np.int64), np.arange(len(rows))
         rows = rows.copy()
         while len(todo):
-            done = self.sampled[rows[todo]]
+            done = self.sampled.at(rows[todo])
             hit = todo[done]
-            out[hit] = self.positions[self.at[rows[hit]]] + steps[hit]
+            out[hit] = self.positions[self.sampled.ones(rows[hit])] + steps[hit]
             todo = todo[~done]
             rows[todo] = self.back(rows[todo])
             steps[todo] += 1
@@ -159,7 +174,7 @@ def occurrences(ids: np.ndarray, doc_ends: np.ndarray, phrases: Phrases, longest
         size = b - a + 1
         at = np.arange(int(size.sum())) - np.repeat(np.cumsum(size) - size, size) + np.repeat(a, size)
         last = np.cumsum(size) - 1
-        text = ids[np.minimum(at, len(ids) - 1)].astype(np.int64)
+        text = ids[np.minimum(at, len(ids) - 1)]
         text[last] = 0
         index = FMIndex(text, len(phrases.vocabulary) + 1)
         for length, block in phrases.by_length.items():
@@ -175,7 +190,19 @@ _SPAN = T.ArrayType(T.StructType([T.StructField("start", T.IntegerType()), T.Str
 _FOUND = T.StructType([T.StructField("n_words", T.LongType()), T.StructField("spans", _SPAN), T.StructField("item_ids", T.ArrayType(T.StringType()))])
 
 
-def _search(docs: DataFrame, text_col: str, block, further: bool, longest_shard: int) -> DataFrame:
+def cut_spans(text: bytes, spans: list[dict]) -> bytes:
+    """The text without the words of the spans; what stood before the first of these words meets what stood behind the last."""
+    places = [m.span() for m in ASCII_WORD.finditer(text.translate(LOWER))]
+    parts, done = [], 0
+    for s in spans:
+        parts.append(text[done : places[s["start"]][0]])
+        done = places[s["end"] - 1][1]
+    return b"".join([*parts, text[done:]])
+
+
+def _search(docs: DataFrame, text_col: str, block, further: bool, longest_shard: int, cut: bool) -> DataFrame:
+    """One pass over the rows for one block of phrases; with ``cut`` the spans are cut out of the texts at once."""
+
     def work(batches):
         phrases: Phrases = block.value
         number = phrases.vocabulary
@@ -208,49 +235,54 @@ def _search(docs: DataFrame, text_col: str, block, further: bool, longest_shard:
                         for old in spans[d]:
                             flags[old["start"] : old["end"]] = True
                         spans[d] = [{"start": int(x), "end": int(y)} for x, y in zip(*runs(flags), strict=True)]
-            yield {"n_words": pa.array(lengths), "spans": spans, "item_ids": [sorted(x) for x in items]}
+            out = {"n_words": pa.array(lengths), "spans": spans, "item_ids": [sorted(x) for x in items]}
+            if cut:
+                texts = b[text_col].to_pylist()
+                out[text_col] = [cut_spans(t.encode(), s).decode() if s else t for t, s in zip(texts, spans, strict=True)]
+            yield out
 
-    return add_columns(docs, [text_col, *(["spans", "item_ids"] if further else [])], _FOUND, work)
+    new = T.StructType([*_FOUND.fields, T.StructField(text_col, T.StringType())]) if cut else _FOUND
+    return add_columns(docs, [text_col, *(["spans", "item_ids"] if further else [])], new, work)
 
 
-def decontaminate(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", window: int = 10, block_windows: int = 200_000, longest_shard: int = 1 << 20) -> DataFrame:
+def decontaminate(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", window: int = 10, block_windows: int = 200_000, longest_shard: int = 1 << 17, cut: bool = False) -> DataFrame:
     """``docs`` with n_words, spans (merged intervals of words inside occurrences) and item_ids (sorted as strings).
 
     Words: runs of ``[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]`` after lower-casing A-Z. Phrases: every ``window`` words in a
     row of an item, or all its words if it has fewer. Null and empty texts have no words and no spans. Items without
-    words have no phrases; items with a null id mark words but are in no list. Repeated rows are judged one by one.
-    Columns of ``docs`` named like a new one are replaced.
+    words have no phrases; items with a null id mark words but are in no list. Repeated rows are judged one by one; ids
+    of documents play no part. Columns of ``docs`` named like a new one are replaced. With ``cut`` the texts come
+    without the spans (which count the words of the input), as by ``remove_spans``, in the same pass.
     """
     spark = docs.sparkSession
-    rows: list[tuple[str | None, tuple[bytes, ...]]] = []
-    out, further = docs, False
+    order = [*without(docs, _FOUND.names), *_FOUND.names]
+    scratch, rows = Scratch(spark, "decontaminate"), []
+    out, block, held = docs, None, []
     for r in benchmark.select(F.col(item_col).cast("string").alias("i"), F.col(item_text_col).alias("t")).toLocalIterator():
         words = words_of((r.t or "").encode())
         rows += [(r.i, tuple(words[k : k + window])) for k in range(max(1, len(words) - window + 1)) if words]
-        while len(rows) >= block_windows:
-            out, further = _search(out, text_col, spark.sparkContext.broadcast(Phrases.of(rows[:block_windows])), further, longest_shard), True
-            rows = rows[block_windows:]
-    if rows or not further:
-        out = _search(out, text_col, spark.sparkContext.broadcast(Phrases.of(rows)), further, longest_shard)
-    return out
+        while len(rows) > block_windows:
+            # A table between two blocks: no stage and no worker ever holds more than one.
+            block = spark.sparkContext.broadcast(Phrases.of(rows[:block_windows]))
+            out = scratch.write(_search(out, text_col, block, bool(held), longest_shard, False))
+            block.destroy()
+            scratch.drop(*held)
+            held, rows = [out], rows[block_windows:]
+    last = spark.sparkContext.broadcast(Phrases.of(rows))
+    return _search(out, text_col, last, bool(held), longest_shard, cut).select(*order)
 
 
 def remove_spans(found: DataFrame, text_col: str = "text") -> DataFrame:
-    """``decontaminate``'s rows with the spans cut out of the text; untouched texts stay as they are, byte for byte."""
+    """``decontaminate``'s rows with the spans cut out of the text; untouched texts stay as they are, byte for byte.
+
+    Nothing is put in the place of a span: what separated its first word from the one before it, and its last word from
+    the next one, both stay.
+    """
 
     def work(batches):
         for b in batches:
             texts = b[text_col].to_pylist()
-            for i, spans in enumerate(b["spans"].to_pylist()):
-                if spans:
-                    raw = texts[i].encode()
-                    places = [m.span() for m in ASCII_WORD.finditer(raw.translate(LOWER))]
-                    parts, done = [], 0
-                    for s in spans:
-                        parts.append(raw[done : places[s["start"]][0]])
-                        done = places[s["end"] - 1][1]
-                    texts[i] = b"".join([*parts, raw[done:]]).decode()
-            yield {text_col: texts}
+            yield {text_col: [cut_spans(t.encode(), s).decode() if s else t for t, s in zip(texts, b["spans"].to_pylist(), strict=True)]}
 
     order = found.columns
     new = T.StructType([T.StructField(text_col, T.StringType())])

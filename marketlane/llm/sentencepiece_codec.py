@@ -1,13 +1,17 @@
 """SentencePiece encoding and decoding by a streaming Viterbi search over the model's piece scores.
 
-The search reads characters one by one and keeps, for the positions since the last committed boundary, the best score
-and the piece that ends there. Any later path leaves from one of the last ``longest piece`` positions; as soon as the
-backpointers of all of these meet in one boundary, the ids before it are committed and forgotten.
+The search reads characters one by one. For the positions since the last committed boundary it keeps the best score and
+the piece that ends there, and the starts from which a piece may still grow; none of these lies further back than the
+longest piece. Any later path leaves from one of these starts or from the end. As soon as the backpointers of all of them
+meet in one boundary, the ids before it are committed and forgotten.
 
 Where the vocabulary has no piece with a word mark after another character, every mark that starts a word is such a
-boundary known in advance, as is every character that no piece holds with others. Short parts between such boundaries
-are searched many at a time, position by position, with the same scores and ties; their ids are remembered in a
-dictionary of bounded size. Longer parts go through the stream.
+boundary, as is every character that no piece holds with others. There the stream stands on a single path, so the ids of
+a segment between two of them depend on the segment alone: those that were streamed before are remembered in a
+dictionary of bounded size. A model whose pieces cross words has one segment for a text, whatever its length.
+
+The default model is one of byte-pair merges. Its scores are ranks of the merges; the search maximises their sum over
+the pieces of a text, as the library does for such scores under its unigram type, and not the order of merges.
 """
 
 from __future__ import annotations
@@ -23,13 +27,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from marketlane.llm.common import Rolling, add_columns, mixed
+from marketlane.llm.common import add_columns
 
 MARK = "▁"
 DEFAULT_MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 #: A vocabulary file above this size is refused: it is broadcast.
 MAX_MODEL_BYTES = 64 << 20
-_REMEMBERED, _LONG_PART, _CHECK_EVERY, _DOCS_AT_ONCE = 400_000, 48, 64, 400
+#: Segments that a worker remembers, and their length at most; characters after which the stream looks for a boundary.
+_REMEMBERED, _REMEMBERED_CHARS, _CHECK_EVERY = 200_000, 64, 64
 #: How far below the worst score a character without a piece counts (the public library's value).
 UNKNOWN_PENALTY = 10.0
 
@@ -43,7 +48,8 @@ class Vocabulary:
     longest: int
     unknown_score: float
     parts: re.Pattern | None
-    search: PieceSearch
+    #: The score of each piece, and None for what only begins one.
+    begins: dict[str, float | None]
     known: dict[str, bytes] = field(default_factory=dict)
 
     @classmethod
@@ -70,84 +76,11 @@ class Vocabulary:
         inner = any(MARK in p.lstrip(MARK) for p in ids)
         cut = f"|[{cuts}]" if cuts else ""
         parts = None if inner else re.compile(f"{MARK}*[^{MARK}{cuts}]+|{MARK}+{cut}")
-        return cls(ids, scores, bytes_, surfaces, max(map(len, ids)), min(scores.values()) - UNKNOWN_PENALTY, parts, PieceSearch(ids, scores))
-
-
-class PieceSearch:
-    """Best paths of many short parts at once."""
-
-    def __init__(self, ids: dict[str, int], scores: dict[str, float]) -> None:
-        self.rolling, self.longest = Rolling(), max(map(len, ids))
-        pieces = list(ids)
-        hashes = np.zeros(len(pieces), np.uint64)
-        for i, p in enumerate(pieces):
-            hashes[i] = self.rolling.windows(self.rolling.prefix(self._symbols(p)), len(p))[0]
-        order = np.argsort(hashes)
-        self.keys, self.ids = hashes[order], np.array([ids[p] for p in pieces], np.int32)[order]
-        self.scores = np.array([scores[p] for p in pieces])[order]
-        # Most substrings are no pieces: a table of flags turns them away before the search by halves.
-        self.flags = np.zeros(1 << 20, bool)
-        self.flags[(self.keys & np.uint64((1 << 20) - 1)).astype(np.int64)] = True
-
-    @staticmethod
-    def _symbols(text: str) -> np.ndarray:
-        return mixed(np.frombuffer(text.encode("utf-32-le"), np.uint32).astype(np.uint64) + np.uint64(1))
-
-    def __call__(self, parts: list[str], unknown: float) -> list[bytes | None]:
-        """Ids of each part, or None if its best path has a character without a piece."""
-        parts_by = sorted(range(len(parts)), key=lambda i: -len(parts[i]))
-        ordered = [parts[i] for i in parts_by]
-        sizes = np.array([len(p) for p in ordered], np.int64)
-        begin = np.cumsum(sizes) - sizes
-        total, widest = int(sizes.sum()), int(sizes[0])
-        prefix = self.rolling.prefix(self._symbols("".join(ordered)))
-        left = np.repeat(begin + sizes, sizes) - np.arange(total)  # characters from here to the part's end
-        spans = min(self.longest, widest)
-        score = np.full((spans + 1, total), -np.inf)
-        piece = np.full((spans + 1, total), -1, np.int32)
-        for n in range(1, spans + 1):
-            at = np.flatnonzero(left >= n)
-            h = self.rolling.windows(prefix, n)[at]
-            may = self.flags[(h & np.uint64((1 << 20) - 1)).astype(np.int64)]
-            at, h = at[may], h[may]
-            k = np.searchsorted(self.keys, h)
-            k[k == len(self.keys)] = 0
-            ok = self.keys[k] == h
-            score[n, at[ok]], piece[n, at[ok]] = self.scores[k[ok]], self.ids[k[ok]]
-        lone = score[1] == -np.inf
-        score[1, lone] = unknown
-        best = np.zeros((widest + 1, len(parts)))
-        took = np.zeros((widest + 1, len(parts)), np.int64)
-        for end in range(1, widest + 1):
-            live = int(np.searchsorted(-sizes, -end, "right"))
-            top, length = np.full(live, -np.inf), np.ones(live, np.int64)
-            for n in range(min(end, spans), 0, -1):
-                value = best[end - n, :live] + score[n, begin[:live] + (end - n)]
-                better = value > top
-                top[better], length[better] = value[better], n
-            best[end, :live], took[end, :live] = top, length
-        found, place, known = [], sizes.copy(), np.ones(len(parts), bool)
-        column = np.arange(len(parts))
-        while len(column):
-            n = took[place[column], column]
-            place[column] -= n
-            number = piece[n, begin[column] + place[column]]
-            known[column[number < 0]] = False
-            found.append((column, number))
-            column = column[place[column] > 0]
-        columns = np.concatenate([c for c, _ in found])
-        numbers = np.concatenate([x for _, x in found])
-        # Steps ran from each part's end to its start.
-        steps = np.repeat(np.arange(len(found)), [len(c) for c, _ in found])
-        order = np.lexsort((-steps, columns))
-        flat = numbers[order].tobytes()
-        ends = 4 * np.cumsum(np.bincount(columns, minlength=len(parts)))
-        out: list[bytes | None] = [None] * len(parts)
-        start = 0
-        for i, end, ok in zip(parts_by, ends.tolist(), known.tolist(), strict=True):
-            out[i] = flat[start:end] if ok else None
-            start = end
-        return out
+        begins = dict.fromkeys(p[:k] for p in ids for k in range(1, len(p))) | scores
+        return cls(ids, scores, bytes_, surfaces, max(map(len, ids)), min(scores.values()) - UNKNOWN_PENALTY, parts, begins)
+
+
+_NO_PIECE = object()
 
 
 class Stream:
@@ -158,7 +91,7 @@ class Stream:
 
     def __init__(self, vocabulary: Vocabulary) -> None:
         self.v = vocabulary
-        self.text, self.best, self.back = "", [0.0], [0]
+        self.text, self.best, self.back, self.starts = "", [0.0], [0], []
         self.widest = 0
 
     def feed(self, chars: str) -> Iterator[int]:
@@ -169,42 +102,40 @@ class Stream:
             boundary = self._converged()
             if boundary:
                 yield from self._ids(boundary)
-                base = self.best[boundary]
-                self.text, self.best = self.text[boundary:], [x - base for x in self.best[boundary:]]
+                self.text, self.best = self.text[boundary:], self.best[boundary:]
                 # Paths that start before the boundary can't be continued any more.
                 self.back = [max(0, x - boundary) for x in self.back[boundary:]]
-
-    def whole(self, chars: str) -> list[int]:
-        """``feed`` and ``finish`` for a text so short that nothing would be committed on the way."""
-        self.text += chars
-        self._search()
-        return list(self.finish())
+                self.starts = [x - boundary for x in self.starts]
 
     def finish(self) -> Iterator[int]:
         yield from self._ids(len(self.text))
-        self.text, self.best, self.back = "", [0.0], [0]
+        self.text, self.best, self.back, self.starts = "", [0.0], [0], []
 
     def _search(self) -> None:
-        get, text, best, back = self.v.scores.get, self.text, self.best, self.back
-        longest, unknown = self.v.longest, self.v.unknown_score
+        get, text, best, back, starts = self.v.begins.get, self.text, self.best, self.back, self.starts
+        unknown = self.v.unknown_score
         for end in range(len(best), len(text) + 1):
-            top, at = None, end - 1
-            for start in range(max(0, end - longest), end):
-                score = get(text[start:end])
-                if score is None:
+            starts.append(end - 1)
+            top, at, alive = None, end - 1, []
+            for start in starts:
+                score = get(text[start:end], _NO_PIECE)
+                if score is not _NO_PIECE:
+                    alive.append(start)
+                if score is None or score is _NO_PIECE:
                     if start < end - 1:
                         continue
                     score = unknown
                 score += best[start]
                 if top is None or score > top:
                     top, at = score, start
+            starts = alive
             best.append(top)
             back.append(at)
+        self.starts = starts
 
     def _converged(self) -> int:
         """The last boundary that every path from here on passes through."""
-        end = len(self.text)
-        alive = set(range(max(0, end - self.v.longest + 1), end + 1))
+        alive = {*self.starts, len(self.text)}
         while len(alive) > 1:
             last = max(alive)
             alive.remove(last)
@@ -222,10 +153,9 @@ class Stream:
         return [i for piece in reversed(out) for i in piece]
 
 
-def _part_ids(part: str, v: Vocabulary) -> bytes:
+def _streamed(segment: str, v: Vocabulary) -> bytes:
     stream = Stream(v)
-    found = stream.whole(part) if len(part) <= _LONG_PART else [*stream.feed(part), *stream.finish()]
-    return np.array(found, np.int32).tobytes()
+    return np.array([*stream.feed(segment), *stream.finish()], np.int32).tobytes()
 
 
 def encode_text(text: str, v: Vocabulary) -> bytes:
@@ -240,39 +170,21 @@ def encode_text(text: str, v: Vocabulary) -> bytes:
 
 
 def _encoded(marked: str, v: Vocabulary) -> bytes:
-    if v.parts is None:
-        return _part_ids(marked, v)
-    parts, known = v.parts.findall(marked), v.known
+    segments, known = v.parts.findall(marked) if v.parts else [marked], v.known
     try:
-        return b"".join(map(known.__getitem__, parts))
+        return b"".join(map(known.__getitem__, segments))
     except KeyError:
-        pass
-    missing = set(parts).difference(known)
-    _remember([p for p in missing if len(p) <= _LONG_PART], v)
-    long = {p: _part_ids(p, v) for p in missing if len(p) > _LONG_PART}
-    return b"".join(known[p] if p in known else long[p] for p in parts)
-
-
-def _remember(parts: list[str], v: Vocabulary) -> None:
-    if parts:
-        for p, ids in zip(parts, v.search(parts, v.unknown_score), strict=True):
-            v.known[p] = _part_ids(p, v) if ids is None else ids
-
-
-def encode_texts(texts: list[str | None], v: Vocabulary) -> Iterator[bytes]:
-    """``encode_text`` of each; the unknown parts of some documents are searched together."""
-    for k in range(0, len(texts), _DOCS_AT_ONCE):
-        some = [t or "" for t in texts[k : k + _DOCS_AT_ONCE]]
-        if v.parts is None:
-            yield from (encode_text(t, v) for t in some)
-            continue
-        if len(v.known) > _REMEMBERED:
-            v.known.clear()
-        split = [v.parts.findall(MARK + t.replace(" ", MARK)) if t and MARK not in t else None for t in some]
-        missing = set().union(*(x for x in split if x)).difference(v.known)
-        _remember([p for p in missing if len(p) <= _LONG_PART], v)
-        long = {p: _part_ids(p, v) for p in missing if len(p) > _LONG_PART}
-        yield from (encode_text(t, v) if x is None else b"".join([v.known[p] if p in v.known else long[p] for p in x] if long else map(v.known.__getitem__, x)) for t, x in zip(some, split, strict=True))
+        if len(known) > _REMEMBERED:
+            known.clear()
+    out = []
+    for segment in segments:
+        ids = known.get(segment)
+        if ids is None:
+            ids = _streamed(segment, v)
+            if len(segment) <= _REMEMBERED_CHARS:
+                known[segment] = ids
+        out.append(ids)
+    return b"".join(out)
 
 
 def decode_ids(ids: bytes, v: Vocabulary) -> str:
@@ -312,6 +224,7 @@ def encode(docs: DataFrame, model_path: str = DEFAULT_MODEL, text_col: str = "te
     """``docs`` with ids (array of int), n_tokens, round_trip (decoding gives the text); columns of the same names are replaced.
 
     Null and empty texts have no ids. Texts are taken as they are: nothing is normalised, so decoding restores them.
+    Repeated rows are coded one by one, alike; ids of documents may be of any type.
     """
     model = _shared(docs.sparkSession, model_path)
 
@@ -319,7 +232,7 @@ def encode(docs: DataFrame, model_path: str = DEFAULT_MODEL, text_col: str = "te
         v = _vocabulary(model.value)
         for b in batches:
             texts = [t or "" for t in b[text_col].to_pylist()]
-            coded = list(encode_texts(texts, v))
+            coded = [encode_text(t, v) for t in texts]
             same = [decode_ids(i, v) == t for i, t in zip(coded, texts, strict=True)]
             sizes = np.array([len(x) // 4 for x in coded], np.int64)
             flat = pa.array(np.frombuffer(b"".join(coded), np.int32))
@@ -352,7 +265,8 @@ def digest(docs: DataFrame, model_path: str = DEFAULT_MODEL, text_col: str = "te
         for b in batches:
             out = []
             texts = b[text_col].to_pylist()
-            for t, ids in zip(texts, encode_texts(texts, v), strict=True):
+            for t in texts:
+                ids = encode_text(t or "", v)
                 decoded = decode_ids(ids, v)
                 out.append((len(ids) // 4, int(single[np.frombuffer(ids, np.int32)].sum()), hashlib.sha256(ids).hexdigest(), hashlib.sha256(decoded.encode()).hexdigest(), decoded == (t or "")))
             yield {f.name: list(c) for f, c in zip(new, zip(*out, strict=True) if out else [()] * len(new), strict=True)}

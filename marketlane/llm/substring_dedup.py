@@ -1,10 +1,12 @@
 """Substring dedup: Rabin-Karp hashes of every window of ``window`` words, counted in Spark.
 
-Documents are dealt into batches by id. A batch hashes all of its windows and keeps each distinct hash once, with the
+Documents are dealt into batches of about ``BATCH_BYTES`` of text, by id and text, so that neither a large table nor many
+rows of one id make a batch larger. A batch hashes all of its windows and keeps each distinct hash once, with the
 document where it first occurs (the combine before the shuffle: however often a window repeats, a batch sends it once).
-Sorted hashes leave as packed arrays, one row for each batch and hash range. A range's reducer finds the smallest
-document of each hash and answers with a bitmap for each batch; the batch, computed anew, unites the bitmaps with its
-own repeats and merges the covered words into maximal removal intervals.
+Sorted hashes leave as packed arrays, one row for each batch and hash range; there are as many ranges as the number of
+windows asks for. A range's reducer counts its hashes, finds the smallest document of each, and answers with a bitmap for
+each batch; the batch, computed anew, unites the bitmaps with its own repeats and merges the covered words into maximal
+removal intervals. As rows of hash and place the windows of a text would take six times its bytes; packed, they take two.
 
 Both passes over the documents read one exchange. Hashes have 64 bits: of N windows, one is taken for another's repeat
 with a probability of N / 2**64.
@@ -21,8 +23,10 @@ from pyspark.sql import functions as F
 
 from marketlane.llm.common import Rolling, WordHashes, byte_texts, covered, id_key, partitions, runs
 
-_SPLIT = "bucket int, batch int, docs binary, firsts binary, hashes binary"
-_FLAGS = "batch int, bucket int, flags binary"
+#: Bytes of text in a batch, and of packed hashes in a range, on average. A longer text is a batch of its own size.
+BATCH_BYTES, RANGE_BYTES = 8 << 20, 16 << 20
+_SPLIT = "bucket int, batch long, docs binary, firsts binary, hashes binary"
+_FLAGS = "batch long, bucket int, flags binary"
 
 
 def packed(hashes: np.ndarray) -> bytes:
@@ -36,14 +40,14 @@ def unpacked(data: bytes) -> np.ndarray:
 
 
 class Batch:
-    """The windows of some documents, which are sorted by id and text."""
+    """The windows of some documents, which are sorted by id and the text's hash."""
 
     def __init__(self, table: pa.Table, window: int) -> None:
-        keys = table["__key"].to_numpy()
+        keys = np.stack((table["__key"].to_numpy(), table["__hash"].to_numpy()), axis=1)
         texts = byte_texts(table["__text"].combine_chunks())
-        order = sorted(range(len(texts)), key=lambda i: (keys[i], texts[i]))
+        order = np.lexsort((keys[:, 1], keys[:, 0]))
         self.keys = keys[order]
-        self.order, self.words = order, [texts[i].split() for i in order]
+        self.order, self.words = order.tolist(), [texts[i].split() for i in order]
         hash_words, rolling = WordHashes(), Rolling()
         hashes = [rolling.windows(rolling.prefix(hash_words(w)), window) if len(w) >= window else np.zeros(0, np.uint64) for w in self.words]
         self.ends = np.cumsum([len(h) for h in hashes])
@@ -79,10 +83,10 @@ def _emit(window: int, buckets: int):
                 present, place = np.unique(doc[part], return_inverse=True)
                 rows["bucket"].append(k)
                 rows["batch"].append(table["__batch"][0].as_py())
-                rows["docs"].append(batch.keys[present].tobytes())
+                rows["docs"].append(np.ascontiguousarray(batch.keys[present]).tobytes())
                 rows["firsts"].append(place.astype(small).tobytes())
                 rows["hashes"].append(packed(batch.distinct[part]))
-        return pa.table({"bucket": pa.array(rows["bucket"], pa.int32()), "batch": pa.array(rows["batch"], pa.int32()), **{c: pa.array(rows[c], pa.binary()) for c in ("docs", "firsts", "hashes")}})
+        return pa.table({"bucket": pa.array(rows["bucket"], pa.int32()), "batch": pa.array(rows["batch"], pa.int64()), **{c: pa.array(rows[c], pa.binary()) for c in ("docs", "firsts", "hashes")}})
 
     return run
 
@@ -92,15 +96,17 @@ def _later(table: pa.Table) -> pa.Table:
     hashes = [unpacked(x) for x in table["hashes"].to_pylist()]
     docs = []
     for d, f, h in zip(table["docs"].to_pylist(), table["firsts"].to_pylist(), hashes, strict=True):
-        keys = np.frombuffer(d, np.int64)
+        keys = np.frombuffer(d, np.int64).reshape(-1, 2)
         docs.append(keys[np.frombuffer(f, np.uint16 if len(f) == 2 * len(h) else np.uint32)])
     flat, doc = np.concatenate(hashes), np.concatenate(docs)
     order = np.argsort(flat)
-    ascending, doc = flat[order], doc[order]
-    starts = np.flatnonzero(np.concatenate(([True], ascending[1:] != ascending[:-1])))
-    least = np.repeat(np.minimum.reduceat(doc, starts), np.diff(np.append(starts, len(flat))))
-    flags = np.empty(len(flat), bool)
-    flags[order] = doc != least
+    ascending = flat[order]
+    again = np.concatenate(([False], ascending[1:] == ascending[:-1]))
+    # Only hashes of several batches have to be put in order by place: equal ones stand together already.
+    some = np.flatnonzero(again | np.append(again[1:], False))
+    ranked = some[np.lexsort((doc[order[some], 1], doc[order[some], 0], ascending[some]))]
+    flags = np.zeros(len(flat), bool)
+    flags[order[ranked]] = again[some]
     cuts = np.cumsum([len(h) for h in hashes])[:-1]
     bits = [np.packbits(x).tobytes() if x.any() else None for x in np.split(flags, cuts)]
     return pa.table({"batch": table["batch"], "bucket": table["bucket"], "flags": pa.array(bits, pa.binary())}).filter(pa.array([b is not None for b in bits]))
@@ -123,10 +129,11 @@ def _removed(table: pa.Table, flags: pa.Table, window: int, buckets: int):
 
 
 def _planned(docs: DataFrame, text_col: str, id_col: str, window: int, finish, schema: str, carry: list[str]) -> DataFrame:
-    n = partitions(docs.sparkSession)
-    batches = buckets = n
-    source = docs.select(*carry, id_key(id_col).alias("__key"), F.col(text_col).alias("__text")).withColumn("__batch", F.pmod(F.xxhash64("__key"), F.lit(batches)).cast("int"))
-    dealt = source.repartition(n, "__batch")
+    text_bytes = docs.agg(F.sum(F.octet_length(text_col))).first()[0] or 0
+    batches, buckets = text_bytes // BATCH_BYTES + 1, 2 * text_bytes // RANGE_BYTES + 1
+    source = docs.select(*carry, id_key(id_col).alias("__key"), F.xxhash64(text_col).alias("__hash"), F.col(text_col).alias("__text"))
+    source = source.withColumn("__batch", F.pmod(F.xxhash64("__key", "__hash"), F.lit(batches)))
+    dealt = source.repartition(partitions(docs.sparkSession), "__batch")
     flags = dealt.groupBy("__batch").applyInArrow(_emit(window, buckets), _SPLIT).groupBy("bucket").applyInArrow(_later, _FLAGS)
 
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
@@ -141,7 +148,7 @@ def substring_dedup(docs: DataFrame, text_col: str = "text", id_col: str = "doc_
     Words are runs of ``[^\\x20\\x09-\\x0D]``. A word goes if a window of ``window`` words that covers it also starts
     earlier: in a document of smaller id, or earlier in the same one; all windows are judged on the input. Null and
     empty texts have no words; texts shorter than a window lose none. A null id counts as smaller than any other; rows
-    that share an id are ordered by their texts. kept_text has the words that stay, joined by one space.
+    that share an id are ordered by their texts' hashes. Ids are whole numbers. kept_text has the words that stay, joined by one space.
     """
     kind = docs.schema[id_col].dataType.simpleString()
 

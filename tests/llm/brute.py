@@ -50,6 +50,26 @@ def op2(docs, window=20):
     return out
 
 
+def op3(text, v):
+    """Best path over the whole text at once; of equal ones that whose last piece starts earliest."""
+    chars = "▁" + text.replace(" ", "▁")
+    best, back = [0.0], [0]
+    for end in range(1, len(chars) + 1):
+        options = []
+        for start in range(max(0, end - v.longest), end):
+            score = v.scores.get(chars[start:end], v.unknown_score if start == end - 1 else None)
+            if score is not None:
+                options.append((-(best[start] + score), start))
+        best.append(-min(options)[0])
+        back.append(min(options)[1])
+    out, end = [], len(chars)
+    while end:
+        piece = chars[back[end] : end]
+        out.append([v.ids[piece]] if piece in v.ids else [v.byte_ids[b] for b in piece.encode()])
+        end = back[end]
+    return [i for piece in reversed(out) for i in piece]
+
+
 def op8(pages, default="allow"):
     rules = [("com", "/", "allow"), ("example.com", "/en/", "block"), ("www.example.com", "/en/", "allow"), ("net", "/es/", "block"), ("net", "/fr/", "block")]
     out = []

@@ -58,7 +58,7 @@ def plain(df, *columns):
 BENCH = [(1, None), (2, ""), (3, "one"), (4, "Two, words!"), (None, "same same same same same same same same same same same"), (10, None), (11, "x x x x x x x x x x x x")]
 
 
-@pytest.mark.parametrize("block,shard", [(200_000, 1 << 20), (2, 50)])
+@pytest.mark.parametrize("block,shard", [(200_000, 1 << 17), (2, 50)])
 def test_decontaminate(spark, docs, pairs, block, shard):
     bench = BENCH + [(20, " ".join(made_texts()[9].split()[:12])), (20, " ".join(made_texts()[9].split()[:12])), (21, made_texts()[9])]
     b = spark.createDataFrame(bench, "item_id long, text string")
@@ -67,6 +67,7 @@ def test_decontaminate(spark, docs, pairs, block, shard):
     clean = {r.doc_id: r.text for r in decontaminate.remove_spans(found).collect()}
     hit = {r[0] for r in brute.op1(pairs, bench) if r[5]}
     assert all(clean[i] == t for i, t in pairs if i not in hit)
+    assert {r.doc_id: r.text for r in decontaminate.decontaminate(docs, b, block_windows=block, cut=True).collect()} == clean
     again = decontaminate.decontaminate(spark.createDataFrame([(i, clean[i]) for i in hit], "doc_id long, text string"), b)
     assert again.selectExpr("sum(n_words)").first()[0] == sum(r[1] - r[2] for r in brute.op1(pairs, bench) if r[0] in hit)
 
@@ -284,28 +285,59 @@ def test_sentencepiece(spark, docs, pairs):
     assert sentencepiece_codec.encode(docs.limit(0)).count() == 0
 
 
-def test_viterbi_against_the_library_and_in_one_piece():
-    """The public library's own search over the same scores gives the same ids; a stream commits early and agrees with the whole."""
+@pytest.fixture(scope="module")
+def vocabulary():
+    return sentencepiece_codec.Vocabulary.of(open(sentencepiece_codec.DEFAULT_MODEL, "rb").read())
+
+
+def test_viterbi_against_brute_force_and_the_library(spark, vocabulary):
+    """On all texts of the table, a plain search over whole texts gives the same ids, and the public library's path is never better."""
+    import numpy as np
     import sentencepiece
     from sentencepiece import sentencepiece_model_pb2
 
-    model = open(sentencepiece_codec.DEFAULT_MODEL, "rb").read()
     proto = sentencepiece_model_pb2.ModelProto()
-    proto.ParseFromString(model)
+    proto.ParseFromString(open(sentencepiece_codec.DEFAULT_MODEL, "rb").read())
     proto.trainer_spec.model_type = 1
+    proto.normalizer_spec.name = "identity"
+    proto.normalizer_spec.precompiled_charsmap = b""
+    proto.normalizer_spec.remove_extra_whitespaces = False
     library = sentencepiece.SentencePieceProcessor(model_proto=proto.SerializeToString())
-    v = sentencepiece_codec.Vocabulary.of(model)
-    import numpy as np
-
-    ids = lambda t: np.frombuffer(sentencepiece_codec.encode_text(t, v), np.int32).tolist()
-    texts = ["Hello world", "The quick brown fox,\njumps over 12345 dogs.", "naïve façade 東京 🎉", "Os los un queasmitaó ardo", "a"]
-    assert [ids(t) for t in texts] == [library.encode(t) for t in texts]
-    r = random.Random(1)
-    long = "".join(r.choice("theandofstonrein") for _ in range(5000))
-    stream, whole = sentencepiece_codec.Stream(v), sentencepiece_codec.Stream(v).whole(long)
-    got = [i for k in range(0, len(long), 700) for i in stream.feed(long[k : k + 700])]
-    assert len(got) > 0.9 * len(whole) and [*got, *stream.finish()] == whole
-    assert stream.widest < 4 * sentencepiece_codec._CHECK_EVERY
+    ids = lambda t: np.frombuffer(sentencepiece_codec.encode_text(t, vocabulary), np.int32).tolist()
+    lowest = min(vocabulary.scores.values()) - sentencepiece_codec.UNKNOWN_PENALTY
+    score = lambda found: sum(lowest if library.is_byte(i) else library.get_score(i) for i in found)
+    texts = [t for (t,) in plain(table(spark, "documents"), "text") if t and sentencepiece_codec.MARK not in t]
+    assert len(texts) > 150
+    for t in ["Hello world", "The quick brown fox, jumps over 12345 dogs.", *texts]:
+        assert ids(t) == brute.op3(t, vocabulary)
+        assert score(ids(t)) >= score(library.encode(t))
+    assert [ids(t) for t in ("Hello world", "naïve façade 東京 🎉")] == [library.encode(t) for t in ("Hello world", "naïve façade 東京 🎉")]
+
+
+def test_all_texts_are_streamed(spark, vocabulary, monkeypatch):
+    """Without the dictionary of segments every character goes through ``feed``; the window stays small and the ids are the same."""
+    v, fed, widest = vocabulary, [0], [0]
+    texts = [t for (t,) in plain(table(spark, "documents"), "text") if t and sentencepiece_codec.MARK not in t]
+    want = [sentencepiece_codec.encode_text(t, v) for t in texts]
+    feed = sentencepiece_codec.Stream.feed
+
+    def counted(self, chars):
+        fed[0] += len(chars)
+        yield from feed(self, chars)
+        widest[0] = max(widest[0], self.widest)
+
+    monkeypatch.setattr(sentencepiece_codec.Stream, "feed", counted)
+    monkeypatch.setattr(sentencepiece_codec, "_REMEMBERED_CHARS", -1)
+    v.known.clear()
+    assert [sentencepiece_codec.encode_text(t, v) for t in texts] == want
+    assert fed[0] == sum(len(t) + 1 for t in texts) and widest[0] < 4 * sentencepiece_codec._CHECK_EVERY
+    # One stream over a whole text, without cuts at words, commits on the way and gives the same ids, too.
+    for text, ids in list(zip(texts, want, strict=True))[:40]:
+        stream, marked = sentencepiece_codec.Stream(v), sentencepiece_codec.MARK + text.replace(" ", sentencepiece_codec.MARK)
+        early = [i for k in range(0, len(marked), 700) for i in feed(stream, marked[k : k + 700])]
+        assert len(marked) < 700 or len(early) > 0.5 * len(ids) // 4
+        assert sentencepiece_codec.np.array([*early, *stream.finish()], "int32").tobytes() == ids
+        assert stream.widest < 4 * sentencepiece_codec._CHECK_EVERY
 
 
 def test_classifier_on_held_out_rows(spark):
