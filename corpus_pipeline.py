@@ -37,9 +37,9 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Passages of benchmark items are cut out of the texts."""
-    found = decontaminate.decontaminate(docs, table(spark, sf_dir, "benchmark"))
-    return _measured(decontaminate.remove_spans(found), docs.columns)
+    """Passages of benchmark items are cut out of the texts, in the pass that finds them."""
+    found = decontaminate.decontaminate(docs, table(spark, sf_dir, "benchmark"), cut=True)
+    return _measured(found, docs.columns)
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
