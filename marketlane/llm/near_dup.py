@@ -370,31 +370,39 @@ def components(links: DataFrame, scratch: Scratch | None = None) -> DataFrame:
     edges, labels = scratch.write(links.filter("a <> b").select("a", "b").distinct()), None
     while True:
         ends = edges.select(F.col("a").alias("v"), F.col("b").alias("u")).unionAll(edges.select(F.col("b").alias("v"), F.col("a").alias("u")))
-        move = scratch.write(ends.groupBy("v").agg(F.least("v", F.min("u")).alias("to")))
+        move, before = ends.groupBy("v").agg(F.least("v", F.min("u")).alias("to")), None
         while True:
             on = move.filter("v <> to").select(F.col("v").alias("to"), F.col("to").alias("on"))
             further = scratch.write(move.join(on, "to", "left").select("v", F.coalesce("on", "to").alias("to"), F.col("on").isNotNull().alias("moved")))
-            scratch.drop(move)
-            move = further
-            if move.filter("moved").isEmpty():
+            scratch.drop(before)
+            move, before = further.select("v", "to"), further
+            if further.filter("moved").isEmpty():
                 break
-            move = further.select("v", "to")
-            move._scratch_path = further._scratch_path
-        move = move.select("v", "to")
-        before = labels
+        old = labels
         if labels is None:
             labels = scratch.write(move.select(F.col("v").alias("id"), F.col("to").alias("label")))
         else:
             labels = scratch.write(labels.join(move.withColumnRenamed("v", "label"), "label", "left").select("id", F.coalesce("to", "label").alias("label")))
         moved = edges.join(move.select(F.col("v").alias("a"), F.col("to").alias("x")), "a").join(move.select(F.col("v").alias("b"), F.col("to").alias("y")), "b")
         left = scratch.write(moved.filter("x <> y").select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct())
-        scratch.drop(before, edges, further)
+        scratch.drop(old, edges, further)
         edges = left
         if edges.isEmpty():
             scratch.drop(edges)
             return labels
 
 
+def _united(labels: DataFrame, links: DataFrame, scratch: Scratch) -> DataFrame:
+    """The labels after further links: only the components that these join move."""
+    ends = _labelled(_labelled(links.select(F.col("a").alias("id"), "b"), labels).select(F.col("label").alias("a"), F.col("b").alias("id")), labels)
+    joined = components(ends.select("a", F.col("label").alias("b")), scratch)
+    # The ends of a link may have had no label before.
+    known = labels.unionAll(joined.select("id", F.col("id").alias("label")).join(labels.select("id"), "id", "left_anti"))
+    moved = scratch.write(known.join(joined.select(F.col("id").alias("label"), F.col("label").alias("to")), "label", "left").select("id", F.coalesce("to", "label").alias("label")))
+    scratch.drop(labels, joined)
+    return moved
+
+
 def _labelled(rows: DataFrame, labels: DataFrame) -> DataFrame:
     found = labels.select(F.col("id"), F.col("label").alias("__found"))
     return rows.drop("label").join(found, "id", "left").withColumn("label", F.coalesce("__found", "id")).drop("__found")
@@ -504,16 +512,13 @@ def near_dup(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id", sh
     more = [] if pairs.isEmpty() else [scratch.write(_confirmed(keyed, classes, pairs, shingle, percent))]
     mixed_nodes = scratch.write(found.filter("node IS NOT NULL").groupBy("node").agg(F.min("label").alias("low"), F.max("label").alias("high")).filter("low <> high").select("node"))
     if more:
-        labels = components(links.unionAll(more[0]), scratch)
+        labels = _united(labels, more[0], scratch)
     if not mixed_nodes.isEmpty():
         rows = _rows(_labelled(classes, labels), descent(range(1, 1 + TREES)), spark).drop("block").join(mixed_nodes, "node", "left_semi")
         rest = scratch.write(_rest_pairs(keyed, classes, rows, scratch, shingle, percent, agree))
         if not rest.isEmpty():
             more.append(scratch.write(_confirmed(keyed, classes, rest, shingle, percent)))
-            all_links = links
-            for x in more:
-                all_links = all_links.unionAll(x)
-            labels = components(all_links, scratch)
+            labels = _united(labels, more[-1], scratch)
 
     real = F.struct(F.col("key").isNotNull().alias("real"), "key")
     full = _labelled(parts.filter("n > 0").select("key", "n", "id"), labels)
