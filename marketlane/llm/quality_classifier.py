@@ -25,10 +25,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from marketlane.llm.common import add_columns, byte_texts
+from marketlane.llm.common import add_columns, bounded, byte_texts, sliced
 from marketlane.llm.decontaminate import words_of
 
 BITS = 18
+#: Ratings in order: poor, good but toxic, good and clean. The number is fixed, whatever grades the labels have.
+GRADES = 3
 #: Labelled documents that the fit takes at most; each is read to its end.
 MAX_TRAIN = 12_000
 #: Features in fewer training texts than this have no weight.
@@ -75,7 +77,7 @@ class Hasher:
         known = self.known
         fresh = tokens.difference(known)
         if fresh:
-            if len(known) > 400_000:
+            if len(known) > 150_000:
                 known.clear()
                 fresh = tokens
             for t in fresh:
@@ -108,33 +110,32 @@ class OrdinalModel:
 
     @classmethod
     def fit(cls, features: list[np.ndarray], grades: np.ndarray, bits: int = BITS, steps: int = 300, rate: float = 0.1, shrink: float = 5e-4) -> OrdinalModel:
-        """Adam with soft-thresholding on the mean log-likelihood; deterministic."""
-        kinds = int(grades.max(initial=0)) + 1
-        if not len(features) or kinds < 2:
-            return cls(np.zeros(1 << bits), np.full(max(1, kinds - 1), -1.0), bits)
+        """Adam with soft-thresholding on the mean log-likelihood; deterministic.
+
+        A grade that no row has stays as unlikely as its thresholds start, about 1 in 1,000. Without any row nothing
+        speaks against a text: the weights are 0 and the highest grade is the likeliest.
+        """
+        if not len(features):
+            return cls(np.zeros(1 << bits), np.full(GRADES - 1, -1.0), bits)
         flat, size = np.concatenate(features), np.array([len(x) for x in features])
         row = np.repeat(np.arange(len(features)), size)
-        marked = _marked(flat, grades[row], grades, kinds, bits)
+        marked = _marked(flat, grades[row], grades, bits)
         high = (np.bincount(row, weights=marked[flat], minlength=len(features))[:, None] >= MARK_STEPS).astype(float)
         by = SCALE / np.sqrt(np.maximum(1, size))
         seen = np.bincount(flat, minlength=1 << bits) >= MIN_TEXTS
         used = seen[flat]
         columns, flat = np.unique(flat[used], return_inverse=True)
         row, n = row[used], len(features)
-        below = np.array([(grades <= k).mean() for k in range(kinds - 1)]).clip(1e-3, 1 - 1e-3)
+        below = np.array([(grades <= k).mean() for k in range(GRADES - 1)]).clip(1e-3, 1 - 1e-3)
         t = np.log(below / (1 - below))
+        # A threshold between a grade and the next has no evidence if one side of it is empty.
+        empty = np.array([not ((grades <= k).any() and (grades > k).any()) for k in range(GRADES - 1)])
         w = np.zeros(len(columns))
         u = np.zeros(len(MARK_STEPS))
         m, v, mt, vt, mu, vu = (np.zeros_like(x) for x in (w, w, t, t, u, u))
         for step in range(1, steps + 1):
-            s = np.bincount(row, weights=w[flat], minlength=n) * by + high @ u
-            padded = np.concatenate(([-np.inf], t, [np.inf]))
-            a, b = _sigmoid(padded[grades + 1] - s), _sigmoid(padded[grades] - s)
-            gap = np.maximum(a - b, 1e-9)
-            gw = np.bincount(flat, weights=((1 - a - b) * by)[row], minlength=len(w)) / n
-            gu = (1 - a - b) @ high / n
-            up, down = -a * (1 - a) / gap, b * (1 - b) / gap
-            gt = np.array([up[grades == k].sum() + down[grades == k + 1].sum() for k in range(kinds - 1)]) / n
+            _, gw, gt, gu = gradient(flat, row, by, high, grades, w, t, u)
+            gt[empty] = 0
             m, v = 0.9 * m + 0.1 * gw, 0.999 * v + 0.001 * gw**2
             mt, vt = 0.9 * mt + 0.1 * gt, 0.999 * vt + 0.001 * gt**2
             mu, vu = 0.9 * mu + 0.1 * gu, 0.999 * vu + 0.001 * gu**2
@@ -154,20 +155,37 @@ class OrdinalModel:
     def fit_with_cut(cls, features: list[np.ndarray], grades: np.ndarray, bits: int = BITS) -> OrdinalModel:
         """A model of all rows, with the cut found on every fourth row by a model of the others."""
         model = cls.fit(features, grades, bits)
-        top = int(grades.max(initial=0))
+        top = GRADES - 1
         held = np.arange(len(features)) % 4 == 0
         clean = [features[i] for i in np.flatnonzero(held & (grades == top))]
-        if top and len(clean) >= CLEAN_LEAST and (~held & (grades == top)).any():
+        if len(clean) >= CLEAN_LEAST and (~held & (grades == top)).any():
             part = cls.fit([features[i] for i in np.flatnonzero(~held)], grades[~held], bits)
             found = np.quantile(part.tails(np.array([part.score(x) for x in clean]))[:, -1], CLEAN_LOSS, method="lower")
             model.cut = max(0.5, float(found))
         return model
 
 
-def _marked(flat: np.ndarray, grade: np.ndarray, grades: np.ndarray, kinds: int, bits: int) -> np.ndarray:
+def gradient(flat: np.ndarray, row: np.ndarray, by: np.ndarray, high: np.ndarray, grades: np.ndarray, w: np.ndarray, t: np.ndarray, u: np.ndarray) -> tuple[float, np.ndarray, np.ndarray, np.ndarray]:
+    """The mean negative log-likelihood, and its gradient by weights, thresholds and step weights.
+
+    ``flat``: features of all texts, ``row``: the text of each; ``by``: what a text's sum is multiplied by; ``high``: its steps.
+    """
+    n = len(grades)
+    s = np.bincount(row, weights=w[flat], minlength=n) * by + high @ u
+    padded = np.concatenate(([-np.inf], t, [np.inf]))
+    a, b = _sigmoid(padded[grades + 1] - s), _sigmoid(padded[grades] - s)
+    gap = np.maximum(a - b, 1e-9)
+    gw = np.bincount(flat, weights=((1 - a - b) * by)[row], minlength=len(w)) / n
+    gu = (1 - a - b) @ high / n
+    up, down = -a * (1 - a) / gap, b * (1 - b) / gap
+    gt = np.array([up[grades == k].sum() + down[grades == k + 1].sum() for k in range(len(t))]) / n
+    return float(-np.log(gap).mean()), gw, gt, gu
+
+
+def _marked(flat: np.ndarray, grade: np.ndarray, grades: np.ndarray, bits: int) -> np.ndarray:
     """Of each feature, whether it is a word that tells the second highest grade from the highest. ``grade``: that of each in ``flat``."""
-    low, top = (np.bincount(flat[grade == k], minlength=1 << bits) for k in (kinds - 2, kinds - 1))
-    n_low, n_top = ((grades == k).sum() for k in (kinds - 2, kinds - 1))
+    low, top = (np.bincount(flat[grade == k], minlength=1 << bits) for k in (GRADES - 2, GRADES - 1))
+    n_low, n_top = ((grades == k).sum() for k in (GRADES - 2, GRADES - 1))
     odds = np.log((low + 0.5) / (n_low + 1)) - np.log((top + 0.5) / (n_top + 1))
     return (odds - 3 * np.sqrt(1 / (low + 0.5) + 1 / (top + 0.5)) > np.log(MARK_RATIO)) & (low >= MIN_TEXTS)
 
@@ -178,20 +196,25 @@ def grade_of(quality: F.Column, toxic: F.Column) -> F.Column:
 
 
 def fit(docs: DataFrame, labels: DataFrame, text_col: str = "text", id_col: str = "doc_id", bits: int = BITS, max_train: int = MAX_TRAIN) -> OrdinalModel:
-    """The model of the ``max_train`` labelled documents whose ids hash lowest. Rows with a null quality, id or text are left out."""
+    """The model of the ``max_train`` labelled documents whose ids hash lowest. Rows with a null quality, id or text are left out.
+
+    Ids may be of any type. Of labels that repeat an id the lowest grade counts in the order of the sample; a repeated
+    document is a row of its own within the bound. For labels with no rows, or of one grade only, see ``OrdinalModel.fit``.
+    """
+    bounded(docs.sparkSession)
     rated = labels.select(F.col(id_col), grade_of(F.col("quality"), F.col("toxic")).alias("grade")).filter(f"grade IS NOT NULL AND {id_col} IS NOT NULL")
     sample = rated.orderBy(F.xxhash64(id_col), "grade").limit(max_train)
     texts = docs.select(id_col, text_col).filter(F.col(text_col).isNotNull()).join(sample, id_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher = Hasher(bits)
-        for b in batches:
+        for b in sliced(batches, 1):
             features = [hasher(t).tobytes() for t in byte_texts(b.column(1))]
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(features, pa.binary()), b.column(2)], names=["id", "features", "grade"])
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(features, pa.binary()), b.column(2)], names=["place", "features", "grade"])
 
-    hashed = texts.select(F.col(id_col).alias("id"), text_col, "grade").mapInArrow(run, "id long, features binary, grade int")
+    hashed = texts.select(F.xxhash64(id_col).alias("place"), text_col, "grade").mapInArrow(run, "place long, features binary, grade int")
     # A repeated id may match more than once: the bound holds for rows, too.
-    rows = hashed.orderBy(F.xxhash64("id"), "features").limit(max_train).toArrow()
+    rows = hashed.orderBy("place", "features", "grade").limit(max_train).toArrow()
     return OrdinalModel.fit_with_cut([np.frombuffer(x, np.int32) for x in rows["features"].to_pylist()], rows["grade"].to_numpy().astype(np.int64), bits)
 
 

@@ -365,6 +365,63 @@ def test_classifier_finds_toxic_words(spark):
     assert toxic[0] > 50 and toxic[1] < 0.05 and clean[0] > 0.98
 
 
+def test_classifier_gradient_against_plain_python():
+    """Likelihood spelt out text by text, and its gradient by finite differences."""
+    import math
+
+    import numpy as np
+
+    r = np.random.default_rng(3)
+    sizes = r.integers(1, 6, 40)
+    flat, row, grades = r.integers(0, 9, sizes.sum()), np.repeat(np.arange(40), sizes), r.integers(0, 3, 40)
+    by, high = 8 / np.sqrt(sizes), r.integers(0, 2, (40, 3)).astype(float)
+    w, t, u = r.normal(0, 0.1, 9), np.array([-0.5, 0.7]), r.normal(0, 0.3, 3)
+
+    def loss(w, t, u):
+        total = 0.0
+        for i in range(40):
+            s = by[i] * sum(w[f] for f, x in zip(flat, row, strict=True) if x == i) + sum(u[k] * high[i, k] for k in range(3))
+            below = lambda k: 0.0 if k < 0 else 1.0 if k > 1 else 1 / (1 + math.exp(s - t[k]))  # noqa: E731, B023
+            total -= math.log(below(grades[i]) - below(grades[i] - 1))
+        return total / 40
+
+    value, *parts = quality_classifier.gradient(flat, row, by, high, grades, w, t, u)
+    assert value == pytest.approx(loss(w, t, u))
+    for at, got in enumerate(parts):
+        for k in range(len(got)):
+            up, down = [[x.copy() for x in (w, t, u)] for _ in range(2)]
+            up[at][k] += 1e-6
+            down[at][k] -= 1e-6
+            assert got[k] == pytest.approx((loss(*up) - loss(*down)) / 2e-6, abs=1e-5)
+
+
+def test_classifier_scores_against_plain_python(spark, docs):
+    """The query's scores are sums of weights, spelt out; the tail is the logistic function of score less threshold."""
+    import math
+
+    labels = table(spark, "labels")
+    small = table(spark, "documents").select("doc_id", "text")
+    model = quality_classifier.fit(small, labels)
+    hasher = quality_classifier.Hasher(model.bits)
+    for r in quality_classifier.classify(small, model).collect():
+        features = [int(f) for f in hasher((r.text or "").encode())]
+        score = sum(model.weights[f] for f in features) * quality_classifier.SCALE / math.sqrt(max(1, len(features)))
+        marks = sum(bool(model.marked[f]) for f in features)
+        score += sum(float(s) for s, least in zip(model.steps, quality_classifier.MARK_STEPS, strict=True) if marks >= least)
+        tails = [1 / (1 + math.exp(t - score)) for t in model.thresholds]
+        assert (r.quality_score, r.expected_grade, r.p_top) == pytest.approx((score, sum(tails), tails[-1]))
+        assert r.kept == (bool((r.text or "").strip()) and r.p_top >= model.cut)
+
+
+def test_classifier_one_sided_labels(spark, docs):
+    """Poor texts only: nothing counts as of the highest grade. Without labels nothing is rejected but blank texts."""
+    poor = spark.createDataFrame([(i, 0, 0) for i in range(20)], "doc_id long, quality int, toxic int")
+    model = quality_classifier.fit(docs, poor)
+    assert len(model.thresholds) == 2 and quality_classifier.classify(docs, model).filter("kept").isEmpty()
+    free = quality_classifier.classify(docs, quality_classifier.fit(docs, poor.limit(0)))
+    assert free.filter("NOT kept AND text RLIKE '[a-z]'").isEmpty()
+
+
 def test_classifier_odd_tables(spark, docs):
     labels = spark.createDataFrame([(3, 1, 0), (3, 1, 0), (4, None, 1), (None, 1, 1), (5, 0, None), (6, 0, 0), (7, 1, None), (99, 1, 1)], "doc_id long, quality int, toxic int")
     for rated in (labels, labels.limit(0)):
