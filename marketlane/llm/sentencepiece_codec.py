@@ -19,7 +19,7 @@ from __future__ import annotations
 import hashlib
 import os
 import re
-from collections.abc import Iterator
+from array import array
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -48,9 +48,10 @@ class Vocabulary:
     longest: int
     unknown_score: float
     parts: re.Pattern | None
-    #: The score of each piece, and None for what only begins one.
-    begins: dict[str, float | None]
+    #: The pieces by their characters: each node has its children, and under None the score of the piece that ends there.
+    pieces: dict
     known: dict[str, bytes] = field(default_factory=dict)
+    older: dict[str, bytes] = field(default_factory=dict)
 
     @classmethod
     def of(cls, model: bytes) -> Vocabulary:
@@ -76,66 +77,77 @@ class Vocabulary:
         inner = any(MARK in p.lstrip(MARK) for p in ids)
         cut = f"|[{cuts}]" if cuts else ""
         parts = None if inner else re.compile(f"{MARK}*[^{MARK}{cuts}]+|{MARK}+{cut}")
-        begins = dict.fromkeys(p[:k] for p in ids for k in range(1, len(p))) | scores
-        return cls(ids, scores, bytes_, surfaces, max(map(len, ids)), min(scores.values()) - UNKNOWN_PENALTY, parts, begins)
-
-
-_NO_PIECE = object()
+        tree: dict = {}
+        for piece, score in scores.items():
+            node = tree
+            for c in piece:
+                node = node.setdefault(c, {})
+            node[None] = score
+        return cls(ids, scores, bytes_, surfaces, max(map(len, ids)), min(scores.values()) - UNKNOWN_PENALTY, parts, tree)
 
 
 class Stream:
-    """Viterbi search over a stream of characters; ``feed`` and ``finish`` yield ids as they become certain.
+    """Viterbi search over a stream of characters; ``feed`` and ``finish`` give ids as they become certain.
 
     Of equally good paths, the one whose last piece starts earliest is kept, at every position.
     """
 
     def __init__(self, vocabulary: Vocabulary) -> None:
         self.v = vocabulary
-        self.text, self.best, self.back, self.starts = "", [0.0], [0], []
         self.widest = 0
-
-    def feed(self, chars: str) -> Iterator[int]:
-        for k in range(0, len(chars), _CHECK_EVERY):
-            self.text += chars[k : k + _CHECK_EVERY]
-            self._search()
+        self._clear()
+
+    def _clear(self) -> None:
+        self.text, self.best, self.back, self.open = "", [0.0], [0], []
+
+    def feed(self, chars: str) -> list[int]:
+        out: list[int] = []
+        while chars:
+            # A look for a boundary after every so many characters of the window.
+            some = _CHECK_EVERY - len(self.text) % _CHECK_EVERY
+            self._search(chars[:some])
+            chars = chars[some:]
             self.widest = max(self.widest, len(self.text))
-            boundary = self._converged()
-            if boundary:
-                yield from self._ids(boundary)
+            if len(self.text) % _CHECK_EVERY == 0 and (boundary := self._converged()):
+                out += self._ids(boundary)
                 self.text, self.best = self.text[boundary:], self.best[boundary:]
                 # Paths that start before the boundary can't be continued any more.
                 self.back = [max(0, x - boundary) for x in self.back[boundary:]]
-                self.starts = [x - boundary for x in self.starts]
-
-    def finish(self) -> Iterator[int]:
-        yield from self._ids(len(self.text))
-        self.text, self.best, self.back, self.starts = "", [0.0], [0], []
-
-    def _search(self) -> None:
-        get, text, best, back, starts = self.v.begins.get, self.text, self.best, self.back, self.starts
-        unknown = self.v.unknown_score
-        for end in range(len(best), len(text) + 1):
-            starts.append(end - 1)
-            top, at, alive = None, end - 1, []
-            for start in starts:
-                score = get(text[start:end], _NO_PIECE)
-                if score is not _NO_PIECE:
-                    alive.append(start)
-                if score is None or score is _NO_PIECE:
-                    if start < end - 1:
-                        continue
-                    score = unknown
-                score += best[start]
-                if top is None or score > top:
-                    top, at = score, start
-            starts = alive
+                self.open = [(score, start - boundary, node) for score, start, node in self.open]
+        return out
+
+    def finish(self) -> list[int]:
+        """The rest of the ids: the stream's end, or a boundary known in advance, is where all paths meet."""
+        out = self._ids(len(self.text))
+        self._clear()
+        return out
+
+    def _search(self, chars: str) -> None:
+        best, back, growing, root, unknown = self.best, self.back, self.open, self.v.pieces, self.v.unknown_score
+        end = len(self.text)
+        self.text += chars
+        for c in chars:
+            growing.append((best[end], end, root))
+            end += 1
+            top, at, still = None, end - 1, []
+            for state in growing:
+                node = state[2].get(c)
+                if node is not None:
+                    so_far, start, _ = state
+                    still.append((so_far, start, node))
+                    score = node.get(None)
+                    if score is not None and (top is None or so_far + score > top):
+                        top, at = so_far + score, start
+            if top is None:
+                top = best[end - 1] + unknown
+            growing = still
             best.append(top)
             back.append(at)
-        self.starts = starts
+        self.open = growing
 
     def _converged(self) -> int:
         """The last boundary that every path from here on passes through."""
-        alive = {*self.starts, len(self.text)}
+        alive = {len(self.text), *(start for _, start, _ in self.open)}
         while len(alive) > 1:
             last = max(alive)
             alive.remove(last)
@@ -143,19 +155,24 @@ class Stream:
         return alive.pop()
 
     def _ids(self, end: int) -> list[int]:
-        out: list[list[int]] = []
+        out: list[int] = []
         ids, text, back = self.v.ids, self.text, self.back
         while end:
             start = back[end]
             number = ids.get(text[start:end])
-            out.append([number] if number is not None else [self.v.byte_ids[b] for b in text[start:end].encode()])
+            if number is not None:
+                out.append(number)
+            else:
+                out += [self.v.byte_ids[b] for b in reversed(text[start:end].encode())]
             end = start
-        return [i for piece in reversed(out) for i in piece]
+        out.reverse()
+        return out
 
 
-def _streamed(segment: str, v: Vocabulary) -> bytes:
-    stream = Stream(v)
-    return np.array([*stream.feed(segment), *stream.finish()], np.int32).tobytes()
+def _streamed(segment: str, stream: Stream) -> bytes:
+    ids = array("i", stream.feed(segment))
+    ids.extend(stream.finish())
+    return ids.tobytes()
 
 
 def encode_text(text: str, v: Vocabulary) -> bytes:
@@ -174,15 +191,15 @@ def _encoded(marked: str, v: Vocabulary) -> bytes:
     try:
         return b"".join(map(known.__getitem__, segments))
     except KeyError:
-        if len(known) > _REMEMBERED:
-            known.clear()
-    out = []
+        stream, out = Stream(v), []
     for segment in segments:
-        ids = known.get(segment)
+        ids = v.known.get(segment)
         if ids is None:
-            ids = _streamed(segment, v)
+            ids = v.older.get(segment) or _streamed(segment, stream)
             if len(segment) <= _REMEMBERED_CHARS:
-                known[segment] = ids
+                if len(v.known) >= _REMEMBERED:
+                    v.known, v.older = {}, v.known
+                v.known[segment] = ids
         out.append(ids)
     return b"".join(out)
 

@@ -323,12 +323,14 @@ def test_all_texts_are_streamed(spark, vocabulary, monkeypatch):
 
     def counted(self, chars):
         fed[0] += len(chars)
-        yield from feed(self, chars)
+        out = feed(self, chars)
         widest[0] = max(widest[0], self.widest)
+        return out
 
     monkeypatch.setattr(sentencepiece_codec.Stream, "feed", counted)
     monkeypatch.setattr(sentencepiece_codec, "_REMEMBERED_CHARS", -1)
     v.known.clear()
+    v.older.clear()
     assert [sentencepiece_codec.encode_text(t, v) for t in texts] == want
     assert fed[0] == sum(len(t) + 1 for t in texts) and widest[0] < 4 * sentencepiece_codec._CHECK_EVERY
     # One stream over a whole text, without cuts at words, commits on the way and gives the same ids, too.
