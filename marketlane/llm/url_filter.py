@@ -3,6 +3,9 @@
 Rules are globs over a canonical URL. All of them are packed into multiword Shift-And masks: a bit for each literal
 symbol of each glob, a self-loop wherever a ``*`` stands. One step per symbol moves every glob at once, for a whole
 column of URLs; URLs that have ended drop out of the columns.
+
+Rules with a verdict of their own decide first, the longest one that fits. What they leave open is decided by the
+method's list: globs with inner stars over hosts that only count or advertise and paths that are no texts.
 """
 
 from __future__ import annotations
@@ -45,7 +48,17 @@ RULES = (
     Rule("net", "/es/", "block"),
     Rule("net", "/fr/", "block"),
 )
-COLUMNS = T.StructType([T.StructField(n, T.StringType()) for n in ("host", "path", "rule", "verdict")])
+#: The method's list is every word in every form: hosts that advertise or count, pages for machines, visitors and sessions.
+HOST_WORDS = "ads adserver banner beacon click counter metrics pixel stats track tracker".split()
+HOST_FORMS = ("{}.*.*", "{}*-*.*")
+PATH_WORDS = (
+    "account admin ajax basket calendar callback captcha cart checkout comment-reply compare cookie cgi-bin debug "
+    "feed forgot-password login logout oauth order-status password ping plugin popup preferences print proxy redirect "
+    "register rss session share signin signup sitemap subscribe tag trackback unsubscribe upload wishlist wp-admin xmlrpc"
+).split()
+PATH_FORMS = ("/{}/", "/*/{}/*", "/*/{}.*", "/*;*{}=")
+METHOD = tuple(Rule(form.format(word), "/", "block") for word in HOST_WORDS for form in HOST_FORMS) + tuple(Rule("*", form.format(word), "block") for word in PATH_WORDS for form in PATH_FORMS)
+COLUMNS = T.StructType([T.StructField(n, T.StringType()) for n in ("host", "path", "rule", "verdict", "glob")])
 
 
 class ShiftAnd:
@@ -86,6 +99,23 @@ class ShiftAnd:
 
     def match(self, texts: list[np.ndarray]) -> np.ndarray:
         """Which glob (column) matches which text (row) as a whole."""
+        return self._matched(self._states(texts), np.arange(len(self.last)))
+
+    def first(self, texts: list[np.ndarray], ranked: list[int], at_once: int = 4096) -> np.ndarray:
+        """Of each text the first glob of ``ranked`` that matches it, or -1; as many globs are looked at together as ``at_once`` says."""
+        state, out = self._states(texts), np.full(len(texts), -1, np.int64)
+        for k in range(0, len(ranked), at_once):
+            some, open_ = np.array(ranked[k : k + at_once]), np.flatnonzero(out < 0)
+            hits = self._matched(state[open_], some)
+            any_ = hits.any(axis=1)
+            out[open_[any_]] = some[hits[any_].argmax(axis=1)]
+        return out
+
+    def _matched(self, state: np.ndarray, globs: np.ndarray) -> np.ndarray:
+        bit = np.array(self.last, np.int64)[globs]
+        return (state[:, bit // 64] >> (bit % 64).astype(np.uint64)) & np.uint64(1) == 1
+
+    def _states(self, texts: list[np.ndarray]) -> np.ndarray:
         lengths = np.array([len(t) for t in texts], np.int64)
         order = np.argsort(-lengths, kind="stable")
         offsets = np.concatenate(([0], np.cumsum(lengths)))[:-1]
@@ -104,8 +134,7 @@ class ShiftAnd:
             moved |= now & self.again
             moved |= np.where((symbol == BORDER)[:, None], np.uint64(0), now & self.inner)
             state[live] = moved
-        bit = np.array(self.last, np.int64)
-        return (state[:, bit // 64] >> (bit % 64).astype(np.uint64)) & one == 1
+        return state
 
 
 def parts_of(url: bytes) -> tuple[bytes, bytes]:
@@ -119,20 +148,41 @@ def parts_of(url: bytes) -> tuple[bytes, bytes]:
     return rest[:end].translate(LOWER), path[:stop]
 
 
-def url_filter(pages: DataFrame, rules: tuple[Rule, ...] = RULES, default: str = "allow", url_col: str = "url") -> DataFrame:
-    """``pages`` with host, path, rule and verdict; columns of the same names are replaced.
+#: URLs that the automaton takes at once.
+URLS_AT_ONCE = 2048
+
+
+def ranking(rules: tuple[Rule, ...]) -> list[int]:
+    """Longest first; of equally long ones, one that blocks, and then the first given."""
+    return sorted(range(len(rules)), key=lambda i: (-len(rules[i].name), rules[i].verdict != "block", i))
+
+
+def url_filter(pages: DataFrame, rules: tuple[Rule, ...] = RULES, method: tuple[Rule, ...] = METHOD, default: str = "allow", url_col: str = "url") -> DataFrame:
+    """``pages`` with host, path, rule, verdict and glob; columns of the same names are replaced.
 
-    The longest rule that fits decides; of equally long ones, one that blocks, and then the first given. Without any,
-    rule is null and verdict is ``default``. A null or empty url, or one without ``://``, has empty parts and fits none.
+    The longest of ``rules`` that fits decides. Without any, rule is null, and the longest glob of ``method`` that fits
+    decides and is named as ``glob``; without that, too, glob is null and verdict is ``default``. A null or empty url, or
+    one without ``://``, has empty parts and fits none. URLs of any length are read to their end; repeated rows are
+    judged alike, and ids play no part.
     """
-    ranked = sorted(range(len(rules)), key=lambda i: (-len(rules[i].name), rules[i].verdict != "block", i))
+    both = (*rules, *method)
+    ranked = [*ranking(rules), *(len(rules) + i for i in ranking(method))]
 
     def work(batches):
-        automaton = ShiftAnd([r.symbols() for r in rules])
+        automaton = ShiftAnd([r.symbols() for r in both])
         for b in batches:
             parts = [parts_of((u or "").encode()) for u in b[url_col].to_pylist()]
-            fits = automaton.match([np.concatenate((np.frombuffer(b"." + h, np.uint8).astype(np.int64), [BORDER], np.frombuffer(p, np.uint8))) for h, p in parts])
-            best = [next((i for i in ranked if row[i]), None) for row in fits]
-            yield {"host": [h.decode() for h, _ in parts], "path": [p.decode() for _, p in parts], "rule": [None if i is None else rules[i].name for i in best], "verdict": [default if i is None else rules[i].verdict for i in best]}
+            best: list[int] = []
+            for k in range(0, len(parts), URLS_AT_ONCE):
+                texts = [np.concatenate((np.frombuffer(b"." + h, np.uint8).astype(np.int64), [BORDER], np.frombuffer(p, np.uint8))) for h, p in parts[k : k + URLS_AT_ONCE]]
+                best += automaton.first(texts, ranked).tolist()
+            own = [i < len(rules) for i in best]
+            yield {
+                "host": [h.decode() for h, _ in parts],
+                "path": [p.decode() for _, p in parts],
+                "rule": [both[i].name if i >= 0 and o else None for i, o in zip(best, own, strict=True)],
+                "verdict": [both[i].verdict if i >= 0 else default for i in best],
+                "glob": [both[i].name if i >= 0 and not o else None for i, o in zip(best, own, strict=True)],
+            }
 
     return add_columns(pages, [url_col], COLUMNS, work)

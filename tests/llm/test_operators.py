@@ -205,6 +205,47 @@ def test_quality_rules(spark, docs, pairs):
     assert found.filter("kept AND base_failed").isEmpty() and quality_rules.quality_rules(docs.limit(0)).count() == 0
 
 
+def test_quality_rules_verdict(spark, docs, pairs):
+    """The method's verdict against shares spelt out with plain Python."""
+    small = plain(table(spark, "documents"), "doc_id", "text")
+    for data, df in ((pairs, docs), (small, table(spark, "documents"))):
+        want = []
+        for (i, text), base in zip(data, brute.op10(data), strict=True):
+            text, bad = text or "", base[6]
+            w = brute.spaced(text)
+            chars = max(1, sum(map(len, w)))
+            for n, most in ((5, 0.15), (6, 0.14), (7, 0.13), (8, 0.12), (9, 0.11), (10, 0.10)):
+                at = {}
+                for k in range(len(w) - n + 1):
+                    at.setdefault(tuple(w[k : k + n]), []).append(k)
+                inside = {x for v in at.values() if len(v) > 1 for k in v for x in range(k, k + n)}
+                bad |= sum(len(w[x]) for x in inside) / chars > most
+            seen, again = set(), 0
+            for line in text.split("\n"):
+                again += sum(map(len, brute.spaced(line))) if line in seen else 0
+                seen.add(line)
+            want.append((i, not (bad or again / chars > 0.2)))
+        same(rows(quality_rules.quality_rules(df), "doc_id", "kept"), want)
+    assert {k for _, k in want} == {True, False}
+    twice = spark.createDataFrame([(1, "a b " * 30), (1, "a b " * 30)], "doc_id long, text string")
+    assert rows(quality_rules.quality_rules(twice), "doc_id", "kept") == [(1, False)] * 2
+
+
+@pytest.mark.parametrize("name", ["op4_warc", "op8_url_filter", "op10_quality_rules"])
+def test_queries_against_sql(spark, name):
+    import duckdb
+
+    from marketlane.llm import queries
+
+    duck = duckdb.connect()
+    for t in ("documents", "pages"):
+        duck.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF}/{t}.parquet')")
+    found = duck.sql(queries.oracle_sql()[name])
+    got = queries.queries()[name](spark, SF)
+    assert sorted(found.columns) == sorted(got.columns)
+    same(rows(got, *found.columns), found.fetchall())
+
+
 def test_quality_rules_coverage(spark):
     """Shares of characters inside duplicated n-grams, against words spelt out."""
     for text in made_texts():
@@ -224,10 +265,30 @@ URLS = [None, "", "no scheme", "http://", "http://COM", "http://com/", "https://
 def test_url_filter(spark):
     data = list(enumerate(URLS)) + [(0, "http://a.com/")]
     df = spark.createDataFrame(data, "page_id long, url string").withColumn("host", F.lit(1))
-    same(rows(url_filter.url_filter(df), "page_id", "host", "path", "rule", "verdict"), brute.op8(data))
+    same(rows(url_filter.url_filter(df, method=()), "page_id", "host", "path", "rule", "verdict"), brute.op8(data))
     assert url_filter.url_filter(df.limit(0)).count() == 0
 
 
+def test_url_filter_decides_what_the_rules_leave_open(spark):
+    """The method's globs, which take many words of bits, against patterns tried one by one."""
+    import re
+
+    urls = ["http://ads.site.org/x", "http://cdn.pixel-7.io/", "http://a.org/shop/cart/7", "http://a.org/cart", "http://a.org/cart/", "http://a.org/x/login.php", "http://a.org/x;psession=3", "http://a.com/cart/", "http://badsite.org/", "http://a.org/x/loginphp"] + [u for u in URLS if u]
+    urls += [u for (u,) in plain(table(spark, "pages"), "url") if u]
+    data = list(enumerate(urls))
+    got = url_filter.url_filter(spark.createDataFrame(data, "page_id long, url string"))
+    star = lambda s: "[^\n]*".join(map(re.escape, s.split("*")))
+    ranked = [url_filter.METHOD[i] for i in url_filter.ranking(url_filter.METHOD)]
+    patterns = [(re.compile(rf"(?:[^\n]*\.)?{star(g.host)}\n{star(g.path)}[^\n]*"), g.name) for g in ranked]
+    assert url_filter.ShiftAnd([g.symbols() for g in url_filter.METHOD]).words > 10
+    want = []
+    for i, host, path, rule, verdict in brute.op8(data):
+        glob = next((n for p, n in patterns if p.fullmatch(f"{host}\n{path}".replace("\r", ""))), None) if rule is None and "\n" not in host + path else None
+        want.append((i, rule, "block" if glob else verdict, glob))
+    assert sum(bool(w[3]) for w in want) >= 6
+    same(rows(got, "page_id", "rule", "verdict", "glob"), want)
+
+
 def test_globs_with_inner_stars():
     import re
 
@@ -246,15 +307,44 @@ def test_globs_with_inner_stars():
 def test_warc(spark):
     data = [(1, "http://a/", "<p>é</p>"), (5, None, "<p>é</p>"), (3, "u\r\nv", "<p>é</p>"), (2, "u", None), (4, "u", ""), (6, "u", "\r\n\r\n" + "z" * 400_000), (7, "u", "WARC/1.1\r\n\r\n\r\n")]
     df = spark.createDataFrame(data, "page_id long, url string, html string").withColumn("id", F.lit("clash")).repartition(3)
-    bundles = warc.write_archives(df, frame_bytes=100, bundle_bytes=300)
-    same(rows(warc.digest(bundles), "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"), brute.op4([(a, c) for a, _, c in data]))
-    found = {r.record_id: bytes(r.record) for r in warc.fetch(bundles, ["urn:page:6", "urn:page:3"]).collect()}
-    assert warc.parsed(found["urn:page:6"])[1] == warc.HTTP + data[5][2].encode() and b"WARC-Refers-To: <urn:page:5>" in found["urn:page:3"]
+    index = warc.write_archives(df, frame_bytes=100, archive_bytes=300)
+    same(rows(warc.digest(index), "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"), brute.op4([(a, c) for a, _, c in data]))
+    names = {int(r.record_id.split(":")[2]): r.record_id for r in index.collect()}
+    found = {r.record_id: bytes(r.record) for r in warc.fetch(index, [names[6], names[3]]).collect()}
+    assert warc.parsed(found[names[6]])[1] == warc.HTTP + data[5][2].encode() and f"WARC-Refers-To: <{names[5]}>".encode() in found[names[3]]
     assert warc.digest(warc.write_archives(df.limit(0))).count() == 0
     least = warc.digest(warc.write_archives(df, min_bytes=5))
     assert rows(least.filter("record_type = 'revisit'"), "page_id") == [(1,), (3,)]
-    odd = spark.createDataFrame([(None, "u", "q"), (9, "u", "q"), (9, "u", "q")], "page_id long, url string, html string")
-    assert rows(warc.digest(warc.write_archives(odd)), "page_id", "record_type", "refers_to") == sorted([(None, "revisit", 9), (9, "response", None), (9, "response", None)], key=repr)
+    odd = spark.createDataFrame([(None, "u", "q"), (9, "u", "q"), (9, "u", "q"), (9, "u", "other")], "page_id long, url string, html string")
+    index = warc.write_archives(odd)
+    assert index.select("record_id").distinct().count() == 4
+    assert rows(warc.digest(index), "page_id", "record_type", "refers_to") == sorted([(None, "revisit", 9), *[(9, "response", None)] * 3], key=repr)
+
+
+def test_warc_files_by_themselves(spark):
+    """A Zstandard reader gets all records of a file, one after another, up to the skippable frame of the seek table."""
+    import io
+    import struct
+
+    import zstandard
+    from pyarrow import fs
+
+    df = table(spark, "pages")
+    index = warc.write_archives(df, frame_bytes=20_000, archive_bytes=60_000, date="2020-01-02T03:04:05Z").collect()
+    assert len({r.path for r in index}) > 1 and max(r.frame for r in index) > 0
+    for path in {r.path for r in index}:
+        assert path.endswith(".warc.zst")
+        system, place = warc.store(path)
+        raw = system.open_input_stream(place).read()
+        end = sum(packed for _, packed, _ in warc.Archive(system.open_input_file(place)).places)
+        assert struct.unpack("<II", raw[end : end + 8]) == (warc.SKIPPABLE, len(raw) - end - 8)
+        text, at, seen = zstandard.ZstdDecompressor().stream_reader(io.BytesIO(raw[:end]), read_across_frames=True).read(), 0, []
+        while at < len(text):
+            head, _, at = warc.parsed(text, at)
+            seen.append(head[b"WARC-Record-ID"].strip(b"<>").decode())
+            assert head[b"WARC-Date"] == b"2020-01-02T03:04:05Z"
+        assert sorted(seen) == sorted(r.record_id for r in index if r.path == path)
+    assert isinstance(system, fs.FileSystem)
 
 
 TALK = [(1, 0, "system", "be <|im_end|> brief"), (1, 1, "user", r"a <\|im_start|> b <\\| c"), (1, 2, "assistant", "x " * 400), (1, 3, "user", None), (1, 4, "assistant", "y\n<|im_end|>\n"), (1, 5, "assistant", "z " * 30), (1, None, "user", "first"), (2, 0, "user", ""), (3, 0, None, "who"), (3, 0, "a\nb%0A<|", "role"), (None, 1, "assistant", "lost"), (4, 1, "assistant", "same"), (4, 1, "assistant", "same")]
