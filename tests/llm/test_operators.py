@@ -335,7 +335,7 @@ def test_warc_files_by_themselves(spark):
     for path in {r.path for r in index}:
         assert path.endswith(".warc.zst")
         system, place = warc.store(path)
-        raw = system.open_input_stream(place).read()
+        raw = system.open_input_file(place).read()
         end = sum(packed for _, packed, _ in warc.Archive(system.open_input_file(place)).places)
         assert struct.unpack("<II", raw[end : end + 8]) == (warc.SKIPPABLE, len(raw) - end - 8)
         text, at, seen = zstandard.ZstdDecompressor().stream_reader(io.BytesIO(raw[:end]), read_across_frames=True).read(), 0, []
