@@ -12,8 +12,8 @@
    pairs of different components, which are confirmed in turn. So a group in which everything is alike costs some rows
    for each member and not one for each two.
 4. A node with more such pairs than ``PARTNERS`` for each class, or one that was dealt into blocks, is only named if it
-   has several components. Its members are then compared block by block by finer sketches, and the sets of those that
-   may be linked meet in the block again: each moves once for a block, however many pairs it is in.
+   has several components. Its members then meet once more with their full sets, in blocks: a set moves once for each
+   block, however many pairs it is in.
 
 Two classes at similarity 0.8 share no small node of the four full trees about once in 10**5; if all of their nodes
 branch on to ``MAX_DEPTH``, about once in 10**4. Nothing is collected but the names of large nodes, whose number is
@@ -40,8 +40,8 @@ SURE = 30
 PARTNERS = 4
 #: A node of more than this share of all classes counts as large; so there are at most this many for each level and path.
 MAX_SHARE = 1 << 16
-#: Bins of the finer sketch by which the members of mixed nodes are compared, and how many shingles meet in a block.
-FINE, BLOCK = 512, 1 << 20
+#: How many shingles of a mixed node meet in a block.
+BLOCK = 1 << 20
 _SKETCH = [f"sketch_{k}" for k in range(SKETCH // 8)]
 
 _ROWS = "node long, block int, id long, n int, label long, " + ", ".join(f"{c} long" for c in _SKETCH)
@@ -409,119 +409,56 @@ def _labelled(rows: DataFrame, labels: DataFrame) -> DataFrame:
     return rows.drop("label").join(found, "id", "left").withColumn("label", F.coalesce("__found", "id")).drop("__found")
 
 
-def fine_sketch(members: bytes) -> bytes:
-    """One byte of the smallest hash in each of ``FINE`` bins; 0 where a bin is empty."""
-    falling = np.frombuffer(members, np.uint64)[::-1]
-    out = np.zeros(FINE, np.uint8)
-    out[(falling % np.uint64(FINE)).astype(np.int64)] = (falling // np.uint64(FINE)) % np.uint64(255) + np.uint64(1)
-    return out.tobytes()
-
-
-def _finely(one: np.ndarray, n: int, others: np.ndarray, sizes: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
-    """Which of the others' fine sketches agree with the first as well as linked sets do, but for five deviations; and the share that agrees.
-
-    Bins are drawn without putting back: of small sets they hold nearly all, and the deviation shrinks.
-    """
-    s = percent / 100
-    some = ((others > 0) | (one > 0)).sum(axis=1)
-    equal = ((others == one) & (one > 0)).sum(axis=1)
-    union = np.maximum((sizes.astype(np.int64) + n) / (1 + s), some)
-    return equal >= s * some - 5 * np.sqrt(s * (1 - s) * some * (1 - some / np.maximum(union, 1)) + 0.5), equal / np.maximum(some, 1)
-
-
-def _rest_links(docs: DataFrame, classes: DataFrame, rows: DataFrame, scratch: Scratch, shingle: int, percent: int, agree: int) -> DataFrame:
+def _rest_links(docs: DataFrame, classes: DataFrame, rows: DataFrame, shingle: int, percent: int, agree: int) -> DataFrame:
     """Links between different labels in the nodes of ``rows`` (node, id, n, label, sketch), enough to join the labels that they join.
 
     A node's classes are dealt into blocks of ``BLOCK`` shingles; those outside its commonest label visit all of them,
-    once for each block, and look for likely partners. Of two visitors the smaller one does.
+    once for each block, and are compared on full sets. Of two visitors the smaller one is compared with the other.
     """
     counts = rows.groupBy("node", "label").agg(F.count("*").alias("rows"), F.sum("n").alias("shingles"))
     nodes = counts.groupBy("node").agg(F.max_by("label", F.struct("rows", "label")).alias("common"), F.sum("shingles").alias("size"), F.count("*").alias("kinds")).filter("kinds > 1")
-    there = scratch.write(rows.join(nodes.select("node", "common", F.ceil(F.col("size") / BLOCK).cast("int").alias("blocks")), "node"))
-
-    def finer(batches):
-        for b in batches:
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array([fine_sketch(x) for x in b.column(1).to_pylist()], pa.binary())], names=["id", "fine"])
-
-    fine = _with_sets(docs, classes, there.select("id").distinct(), shingle).mapInArrow(finer, "id long, fine binary").dropDuplicates(["id"])
+    there = rows.join(nodes.select("node", "common", F.ceil(F.col("size") / BLOCK).cast("int").alias("blocks")), "node")
     own = F.array(F.struct(F.lit(0).alias("visit"), F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int").alias("block")))
     others = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda k: F.struct(F.lit(1).alias("visit"), k.alias("block")))
     places = F.when(F.col("label") == F.col("common"), own).otherwise(F.concat(own, others))
-    dealt = there.join(fine, "id").select("node", "id", "n", "label", "common", *_SKETCH, "fine", F.explode(places).alias("place")).select("*", "place.*").drop("place")
-    names = ["node", "block", "id", "commons", "partners"]
-
-    def needed(whole: dict[str, np.ndarray], wanted: np.ndarray) -> pa.RecordBatch:
-        ids = whole["id"][wanted]
-        columns = [pa.array(np.full(len(ids), whole["node"][0])), pa.array(np.full(len(ids), whole["block"][0], np.int32)), pa.array(ids), pa.nulls(len(ids), pa.int32()), pa.nulls(len(ids), pa.binary())]
-        return pa.RecordBatch.from_arrays(columns, names=names)
+    need = there.select("node", "id", "n", "label", "common", *_SKETCH, F.explode(places).alias("place")).select("*", "place.*").drop("place")
 
     def run(batches):
         held: list[dict[str, np.ndarray]] = []
-        whole: dict[str, np.ndarray] | None = None
-        wanted = np.zeros(0, bool)
+        sets: list[bytes] = []
+        whole, flat, begin = None, np.zeros(0, np.uint64), np.zeros(0, np.int64)
         for b in batches:
             r = _columns(b, ("node", "block", "visit", "id", "n", "label", "common"))
-            r["fine"] = np.frombuffer(b"".join(b.column(b.schema.get_field_index("fine")).to_pylist()), np.uint8).reshape(-1, FINE)
+            members = b.column(b.schema.get_field_index("members")).to_pylist()
             edges = np.flatnonzero((np.diff(r["node"]) != 0) | (np.diff(r["block"]) != 0) | (np.diff(r["visit"]) != 0)) + 1
             for x in np.split(np.arange(b.num_rows), edges):
                 if not len(x):
                     continue
-                part = {c: v[x] for c, v in r.items()}
+                part, its = {c: v[x] for c, v in r.items()}, members[x[0] : x[-1] + 1]
                 same = bool(held) and (held[0]["node"][0], held[0]["block"][0]) == (part["node"][0], part["block"][0])
                 if part["visit"][0] == 0:
-                    if wanted.any():
-                        yield needed(whole, wanted)
-                    held, whole, wanted = [*held, part] if same else [part], None, wanted[:0]
+                    held, sets, whole = ([*held, part], [*sets, *its], None) if same else ([part], its, None)
                 elif same:
                     if whole is None:
                         whole = {c: np.concatenate([h[c] for h in held]) for c in part}
-                        wanted = np.zeros(len(whole["id"]), bool)
-                    common = whole["label"] == whole["common"]
-                    visits: dict[str, list] = {"id": [], "commons": [], "partners": []}
+                        flat = np.frombuffer(b"".join(sets), np.uint64)
+                        begin = np.cumsum(whole["n"]) - whole["n"]
                     for k in range(len(x)):
-                        j = np.flatnonzero(common | (whole["id"] > part["id"][k]))
+                        likely = (whole["label"] == whole["common"]) | (whole["id"] > part["id"][k])
+                        j = np.flatnonzero(likely)
                         j = j[_agreeing(part, np.full(len(j), k), whole, j, percent, agree) > 0]
-                        ok, share = _finely(part["fine"][k], int(part["n"][k]), whole["fine"][j], whole["n"][j], percent)
-                        if agree:
-                            j, share = j[ok], share[ok]
+                        mine = np.frombuffer(its[k], np.uint64)
+                        hit = mine[np.minimum(np.searchsorted(mine, flat), len(mine) - 1)] == flat if len(j) else flat
+                        common = np.add.reduceat(hit, begin, dtype=np.int64)[j] if len(j) else j
+                        j = j[100 * common >= percent * (len(mine) + whole["n"][j].astype(np.int64) - common)]
+                        # One link to a label is enough.
+                        j = j[np.unique(whole["label"][j], return_index=True)[1]]
                         if len(j):
-                            wanted[j] = True
-                            j = j[np.lexsort((-share, ~common[j]))]  # the commonest label's first, the most alike ahead
-                            visits["id"].append(part["id"][k])
-                            visits["commons"].append(int(common[j].sum()))
-                            visits["partners"].append(whole["id"][j].tobytes())
-                    n = len(visits["id"])
-                    yield pa.RecordBatch.from_arrays([pa.array(np.full(n, part["node"][0])), pa.array(np.full(n, part["block"][0], np.int32)), pa.array(visits["id"], pa.int64()), pa.array(visits["commons"], pa.int32()), pa.array(visits["partners"], pa.binary())], names=names)
-        if wanted.any():
-            yield needed(whole, wanted)
+                            yield _pair_batch(np.full(len(j), part["id"][k]), whole["id"][j])
 
     n = partitions(rows.sparkSession)
-    asked = scratch.write(dealt.repartition(n, "node", "block").sortWithinPartitions("node", "block", "visit").mapInArrow(run, "node long, block int, id long, commons int, partners binary"))
-
-    def confirm(batches):
-        place, sets = None, {}
-        for b in batches:
-            a_s, b_s = [], []
-            for node, block, i, commons, partners, data in zip(*(b.column(b.schema.get_field_index(c)).to_pylist() for c in (*names, "members")), strict=True):
-                if (node, block) != place:
-                    place, sets = (node, block), {}
-                if partners is None:
-                    sets[i] = data
-                    continue
-                mine, tied = np.frombuffer(data, np.uint64), False
-                for k, other in enumerate(np.frombuffer(partners, np.int64).tolist()):
-                    if tied and k < commons:
-                        continue  # one link to the commonest label is enough
-                    its = np.frombuffer(sets[other], np.uint64)
-                    common = len(np.intersect1d(mine, its, assume_unique=True))
-                    if 100 * common >= percent * (len(mine) + len(its) - common):
-                        tied |= k < commons
-                        a_s.append(i)
-                        b_s.append(other)
-            yield _pair_batch(np.array(a_s, np.int64), np.array(b_s, np.int64))
-
-    found = _with_sets(docs, classes, asked, shingle).withColumn("visit", F.col("partners").isNotNull())
-    return found.repartition(n, "node", "block").sortWithinPartitions("node", "block", "visit").drop("visit").mapInArrow(confirm, "a long, b long").distinct()
+    found = _with_sets(docs, classes, need, shingle)
+    return found.repartition(n, "node", "block").sortWithinPartitions("node", "block", "visit").mapInArrow(run, "a long, b long").distinct()
 
 
 def near_dup(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id", shingle: int = 5, percent: int = 80, node_limit: int = 256, agree: int = AGREE) -> DataFrame:
@@ -562,8 +499,9 @@ def near_dup(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id", sh
     if more:
         labels = _united(labels, more[0], scratch)
     if not mixed_nodes.isEmpty():
-        rows = _rows(_labelled(classes, labels), descent(range(1, 1 + TREES)), spark).drop("block").join(mixed_nodes, "node", "left_semi")
-        more.append(scratch.write(_rest_links(keyed, classes, rows, scratch, shingle, percent, agree)))
+        rows = scratch.write(_rows(_labelled(classes, labels), descent(range(1, 1 + TREES)), spark).drop("block").join(mixed_nodes, "node", "left_semi"))
+        more.append(scratch.write(_rest_links(keyed, classes, rows, shingle, percent, agree)))
+        scratch.drop(rows)
         if not more[-1].isEmpty():
             labels = _united(labels, more[-1], scratch)
 
