@@ -34,9 +34,9 @@ def whole_days(start: Column, end: Column, least: int = 0) -> Column:
 
 
 def iso_plus_days(c: Column, days: Column) -> Column:
-    """An ISO text with +09:00, moved by days and written the same way."""
+    """An ISO text moved by days; its offset stays as it is."""
     moved = F.to_timestamp(F.substring(c, 1, 19), "yyyy-MM-dd'T'HH:mm:ss") + F.make_dt_interval(days.cast("int"))
-    return F.concat(F.date_format(moved, "yyyy-MM-dd'T'HH:mm:ss"), F.lit("+09:00"))
+    return F.concat(F.date_format(moved, "yyyy-MM-dd'T'HH:mm:ss"), F.substring(c, 20, 10))
 
 
 def iso_to_datetime(c: Column) -> Column:

@@ -112,10 +112,18 @@ def single_notation(c: Column) -> Column:
     return F.when((F.size(parts) > 1) & one, F.element_at(parts, -1)).otherwise(F.trim(blank(c)))
 
 
+#: Words for colours, which alone make no model.
+COLOR_WORDS = [
+    "BLACK", "WHITE", "NAVY", "GREY", "GRAY", "RED", "BLUE", "GREEN", "BROWN", "BEIGE", "PINK", "CREAM", "KHAKI", "ORANGE", "YELLOW",
+    "IVORY", "CAMEL", "CHARCOAL", "SILVER", "GOLD", "BURGUNDY", "OLIVE", "TAN", "SAND", "NATURAL", "DARK", "LIGHT", "MOSS", "INK", "FOG",
+]
+
+
 def valid_model(c: Column) -> Column:
-    """More than three characters, no Hangul, not colour words only."""
-    plain = F.filter(words(F.upper(c)), lambda x: ~x.isin(STOP_TOKENS))
-    return (F.length(F.trim(blank(c))) > 3) & ~has_hangul(c) & (F.size(plain) > 0)
+    """More than three characters, no Hangul, and more than three characters that are in no colour word."""
+    parts = F.split(F.upper(F.trim(blank(c))), r"[\s/\-]+")
+    plain = F.array_join(F.filter(parts, lambda x: ~x.isin(COLOR_WORDS)), "")
+    return (F.length(F.trim(blank(c))) > 3) & ~has_hangul(c) & (F.length(plain) > 3)
 
 
 def model_variants(c: Column) -> Column:

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from marketlane.config import DemandParams
 from marketlane.functions import dates, money, text
+from marketlane.sources import sinks
 
 P = DemandParams()
 
@@ -37,13 +38,23 @@ def _keyed(items: DataFrame, orders: DataFrame, as_of: str, p: DemandParams) ->
     )
 
 
+def keyed_items(items: DataFrame, orders: DataFrame, as_of: str, p: DemandParams = P) -> DataFrame:
+    """The items with their keys and recent orders, stored: both kinds of cells count from them."""
+    return sinks.stored(_keyed(items, orders, as_of, p).select("brand_key", "cat", "band", "act", "ord", "fav", "model_no"), "keyed-items")
+
+
 def demand_cells(items: DataFrame, orders: DataFrame, as_of: str, p: DemandParams = P) -> DataFrame:
     """level, cell_key, n_active, ord90, density, avg_fav for L6, L4 and L3."""
-    keyed = _keyed(items, orders, as_of, p)
+    return _levels(_keyed(items, orders, as_of, p), p)
+
+
+def _levels(keyed: DataFrame, p: DemandParams) -> DataFrame:
     sums = (F.sum("act").alias("n_active"), F.sum("ord").alias("ord90"), F.sum("fav").alias("fav_sum"))
     # Rows without a brand take part with a null key, which is dropped from the finest level only.
     keys = keyed.withColumn("b", F.when((F.col("brand_key") != "") & (F.col("cat") != ""), F.col("brand_key"))).withColumn("c", F.when(F.col("cat") != "", F.col("cat")))
     sets = keys.groupingSets([["b", "c", "band"], ["c", "band"], []], "b", "c", "band").agg(F.grouping_id().alias("gid"), *sums)
+    # Three levels come from one table; it has a row for each cell, so it is small beside the items.
+    sets = sinks.stored(sets, "demand-sets")
     l3 = sets.filter("gid = 0 AND b IS NOT NULL AND c IS NOT NULL")
     l4 = sets.filter("gid = 4 AND c IS NOT NULL").withColumn("density", shrunk(F.col("ord90"), F.col("n_active"), F.lit(p.global_density), p))
     l6 = sets.filter("gid = 7").withColumn("density", F.lit(p.global_density))
@@ -60,8 +71,17 @@ def demand_cells(items: DataFrame, orders: DataFrame, as_of: str, p: DemandParam
 
 def code_cells(items: DataFrame, orders: DataFrame, as_of: str, p: DemandParams = P) -> DataFrame:
     """code, brand_key, n_active, ord90, max_fav; each code counts once per item, empty cells are left out."""
-    keyed = _keyed(items, orders, as_of, p).filter("brand_key <> ''")
-    codes = keyed.withColumn("code", F.explode(text.model_tokens(F.col("model_no"))))
+    return _codes(_keyed(items, orders, as_of, p))
+
+
+def cells_and_codes(items: DataFrame, orders: DataFrame, as_of: str, p: DemandParams = P) -> tuple[DataFrame, DataFrame]:
+    """Both kinds of cells from one pass over items and orders."""
+    keyed = keyed_items(items, orders, as_of, p)
+    return sinks.stored(_levels(keyed, p), "demand-cells"), _codes(keyed)
+
+
+def _codes(keyed: DataFrame) -> DataFrame:
+    codes = keyed.filter("brand_key <> ''").withColumn("code", F.explode(text.model_tokens(F.col("model_no"))))
     cells = codes.groupBy("code", "brand_key").agg(F.sum("act").alias("n_active"), F.sum("ord").alias("ord90"), F.coalesce(F.max(F.when(F.col("act") == 1, F.col("fav"))), F.lit(0)).cast("long").alias("max_fav"))
     return cells.filter("n_active > 0 OR ord90 > 0")
 

@@ -24,6 +24,6 @@ def query(sql: str | None = None) -> Callable[[Query], Query]:
 
 
 def load() -> tuple[dict[str, Query], dict[str, str]]:
-    from marketlane.plans import catalog, demand, lookups, monitor, resolve, streams  # noqa: F401
+    from marketlane.plans import catalog, demand, lookups, monitor, resolve, selection, streams  # noqa: F401
 
     return QUERIES, SQL

@@ -61,7 +61,7 @@ def _inputs(spark, sf_dir):
 def flagship_draft_score(spark, sf_dir):
     """AGG-15, AGG-16, AGG-18, JOI-17, WIN-23, NUM-06, NUM-08: the expected daily sales of every draft."""
     items, orders = _inputs(spark, sf_dir)
-    scored = demand.draft_scores(domain.listings(spark, sf_dir), demand.demand_cells(items, orders, AS_OF), demand.code_cells(items, orders, AS_OF))
+    scored = demand.draft_scores(domain.listings(spark, sf_dir), *demand.cells_and_codes(items, orders, AS_OF))
     return scored.select("listing_id", "d_level", "d_cell_key", F.round("density", 9).alias("density"), F.round("d_adj", 6).alias("d_adj"), F.round("expected_daily", 10).alias("expected_daily"))
 
 

@@ -30,10 +30,10 @@ def orphans(spark, sf_dir):
     return read(spark, sf_dir, "customer").join(big, "c_custkey", "left_anti").select("c_custkey", "c_name")
 
 
-@query("SELECT DISTINCT l_partkey AS part FROM lineitem WHERE l_partkey % 7 = 0 AND l_partkey NOT IN (SELECT p_partkey FROM part WHERE p_size <= 25)")
+@query("SELECT DISTINCT l_partkey AS part FROM lineitem WHERE l_partkey NOT IN (SELECT p_partkey FROM part WHERE p_size <= 25)")
 def ghosts(spark, sf_dir):
     """JOI-29, SET-02: external keys without an internal row."""
-    seen = read(spark, sf_dir, "lineitem").select(F.col("l_partkey").alias("part")).filter("part % 7 = 0").distinct()
+    seen = read(spark, sf_dir, "lineitem").select(F.col("l_partkey").alias("part")).distinct()
     return seen.join(read(spark, sf_dir, "part").filter("p_size <= 25").select(F.col("p_partkey").alias("part")), "part", "left_anti")
 
 
@@ -48,7 +48,7 @@ def any_of_three(spark, sf_dir):
 
 @query("SELECT p_partkey, arg_min(l_shipdate, struct_pack(a := l_linenumber, b := l_shipdate, c := l_orderkey)) AS first_ship FROM part JOIN lineitem ON p_partkey = l_partkey GROUP BY p_partkey")
 def first_image_groupwise_min(spark, sf_dir):
-    """JOI-14, JOI-13, JOI-02: the row of the smallest place per key, without a self join."""
+    """JOI-14, JOI-13: the row of the smallest place per key, without a self join."""
     l = read(spark, sf_dir, "lineitem").groupBy(F.col("l_partkey").alias("p_partkey")).agg(F.min_by("l_shipdate", F.struct("l_linenumber", "l_shipdate", "l_orderkey")).alias("first_ship"))
     return read(spark, sf_dir, "part").select("p_partkey").join(l, "p_partkey")
 
@@ -130,7 +130,7 @@ def orders_reconciliation(spark, sf_dir):
 
 @query("SELECT part, p_size, level FROM (SELECT l_partkey AS part, p_size, CASE WHEN p_size >= 40 THEN 'a' WHEN p_size >= 20 THEN 'b' ELSE 'c' END AS level, row_number() OVER (PARTITION BY p_brand ORDER BY p_size DESC, p_partkey) AS i FROM part JOIN (SELECT DISTINCT l_partkey FROM lineitem) AS l ON l_partkey = p_partkey) AS x WHERE i = 1")
 def most_specific_assignment(spark, sf_dir):
-    """WIN-28, WIN-17."""
+    """WIN-17."""
     p = read(spark, sf_dir, "part").join(read(spark, sf_dir, "lineitem").select(F.col("l_partkey").alias("p_partkey")).distinct(), "p_partkey", "left_semi")
     best = relational.first_by(p.select("p_brand", F.col("p_partkey").alias("part"), "p_size"), ["p_brand"], [-F.col("p_size"), F.col("part")])
     return best.select("part", "p_size", F.when(F.col("p_size") >= 40, "a").when(F.col("p_size") >= 20, "b").otherwise("c").alias("level"))
@@ -146,7 +146,7 @@ def leaf_only_codes(spark, sf_dir):
 
 @query("SELECT l_partkey AS k, 'a' AS tag FROM lineitem WHERE l_quantity = 50 UNION ALL SELECT l_suppkey, 'b' FROM lineitem WHERE l_quantity = 49")
 def tagged_union(spark, sf_dir):
-    """SET-06, SRC-26."""
+    """SET-06."""
     l = read(spark, sf_dir, "lineitem")
     return l.filter("l_quantity = 50").select(F.col("l_partkey").alias("k"), F.lit("a").alias("tag")).unionByName(l.filter("l_quantity = 49").select(F.col("l_suppkey").alias("k"), F.lit("b").alias("tag")))
 
@@ -160,13 +160,13 @@ def distinct_union_less_done(spark, sf_dir):
 
 @query("SELECT count(*) AS n, count(*) FILTER (WHERE p_size > 25) AS n_flag, round(count(*) FILTER (WHERE p_size > 25) / CAST(count(*) AS DOUBLE), 6) AS share FROM part")
 def coverage_share(spark, sf_dir):
-    """SET-08, AGG-33, NUM-13."""
+    """SET-08 (the share), NUM-13."""
     return relational.share_split(read(spark, sf_dir, "part"), F.col("p_size") > 25)
 
 
 @query("SELECT c_custkey, c_name, c_acctbal FROM customer WHERE (c_mktsegment IS NULL OR c_mktsegment NOT IN ('HOUSEHOLD', 'MACHINERY')) AND upper(c_name) LIKE '%CUSTOMER#0000%' AND c_acctbal IS NOT NULL")
 def null_tolerant_not_in(spark, sf_dir):
-    """FLT-09, FLT-11, FLT-12, FLT-13, FLT-25."""
+    """FLT-09, FLT-12, FLT-13, and FLT-11 for what a name contains."""
     c, s = read(spark, sf_dir, "customer"), F.col("c_mktsegment")
     return c.filter((s.isNull() | ~s.isin("HOUSEHOLD", "MACHINERY")) & F.upper("c_name").contains("CUSTOMER#0000") & F.col("c_acctbal").isNotNull()).select("c_custkey", "c_name", "c_acctbal")
 
@@ -226,7 +226,7 @@ w AS (SELECT listing_id, margin_krw, row_number() OVER (ORDER BY margin_krw, lis
 n AS (SELECT listing_id, margin_krw, row_number() OVER (ORDER BY margin_krw DESC, listing_id) AS i FROM listings WHERE is_published = 0 AND is_active = 1)
 SELECT w.listing_id AS out_id, n.listing_id AS in_id, n.margin_krw - w.margin_krw AS gain FROM w JOIN n ON w.i = n.i WHERE w.i <= 50 AND n.margin_krw - w.margin_krw > 100"""))
 def swap_pairs(spark, sf_dir):
-    """DOC-01, DOC-02: the 50 weakest published against the 50 best waiting, paired by rank."""
+    """DOC-02 without its cooldown: the 50 weakest published against the 50 best waiting, paired by rank."""
     from pyspark.sql import Window
 
     l = domain.listings(spark, sf_dir).filter("is_active = 1")

@@ -38,7 +38,7 @@ def margin_by_member(spark, sf_dir):
 
 @query(sql_over("listings offerings", _MEMBERS + " SELECT listing_id, offering_id, source_site, purchase_price, margin_amount FROM winner"))
 def winner_by_listing(spark, sf_dir):
-    """WIN-08, WIN-11."""
+    """WIN-08."""
     return resolve.winners(_members(spark, sf_dir))
 
 
@@ -52,16 +52,16 @@ def option_union(spark, sf_dir):
 pairs AS (SELECT a.listing_id, a.color, b.size FROM (SELECT DISTINCT listing_id, color FROM option_rows) AS a JOIN (SELECT DISTINCT listing_id, size FROM option_rows) AS b ON a.listing_id = b.listing_id)
 SELECT p.*, CASE WHEN o.listing_id IS NULL THEN 0 ELSE 1 END AS in_stock FROM pairs AS p LEFT JOIN option_rows AS o ON p.listing_id = o.listing_id AND p.color = o.color AND p.size = o.size"""))
 def grid_completion(spark, sf_dir):
-    """JOI-27, MAP-03."""
+    """JOI-27."""
     return resolve.completed_grid(option_union(spark, sf_dir))
 
 
 def _competitors(spark, sf_dir):
     items = domain.market_items(spark, sf_dir)
-    return items.filter("status = 'ACTIVE'").groupBy(F.split("item_id", "-")[0].cast("long").alias("listing_id")).agg(F.min("current_price").alias("lowest")).filter("listing_id % 4 <> 0")
+    return items.filter("status = 'ACTIVE'").groupBy(F.split("item_id", "-")[0].cast("long").alias("listing_id")).agg(F.min("current_price").alias("lowest"))
 
 
-_LOWEST = "lowest AS (SELECT CAST(split_part(item_id, '-', 1) AS BIGINT) AS listing_id, min(current_price) AS lowest FROM market_items WHERE status = 'ACTIVE' GROUP BY 1 HAVING CAST(split_part(item_id, '-', 1) AS BIGINT) % 4 <> 0)"
+_LOWEST = "lowest AS (SELECT CAST(split_part(item_id, '-', 1) AS BIGINT) AS listing_id, min(current_price) AS lowest FROM market_items WHERE status = 'ACTIVE' GROUP BY 1)"
 
 
 @query(sql_over("listings offerings market_items", _MEMBERS + f""", {_LOWEST},

@@ -17,10 +17,13 @@ def csv_table(spark: SparkSession, path: str, schema: str, sep: str = ",") -> Da
 
 
 def keyed_lists(spark: SparkSession, path: str, key: int, value: int) -> DataFrame:
-    """key, values of a positional CSV: rows whose key is a number, distinct values in order."""
+    """key, values of a positional CSV: rows whose key is a number, distinct values in the order of their first appearance."""
     raw = spark.read.option("header", False).csv(path)
-    rows = raw.select(F.col(f"_c{key}").alias("key"), F.col(f"_c{value}").alias("value")).filter(F.col("key").rlike("^[0-9]+$"))
-    return rows.groupBy(F.col("key").cast("long").alias("key")).agg(F.array_sort(F.collect_set("value")).alias("values"))
+    # Rows of a file's block come one after another, so their numbers rise within it.
+    place = F.struct("_metadata.file_path", "_metadata.file_block_start", F.monotonically_increasing_id())
+    rows = raw.select(F.col(f"_c{key}").alias("key"), F.col(f"_c{value}").alias("value"), place.alias("place")).filter(F.col("key").rlike("^[0-9]+$"))
+    firsts = rows.groupBy(F.col("key").cast("long").alias("key"), "value").agg(F.min("place").alias("place"))
+    return firsts.groupBy("key").agg(F.transform(F.array_sort(F.collect_list(F.struct("place", "value"))), lambda x: x["value"]).alias("values"))
 
 
 def urls(spark: SparkSession, path: str) -> DataFrame:

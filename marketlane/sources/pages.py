@@ -22,9 +22,14 @@ def meta(html: Column, key: str) -> Column:
 
 
 def json_ld(html: Column, schema: str) -> Column:
-    """Blocks of linked data, each parsed; malformed ones are left out."""
+    """Objects of linked data, from all blocks in their order; a block may be a list of them. Malformed blocks are left out.
+
+    ``schema`` lists the fields of one object.
+    """
     blocks = F.regexp_extract_all(html, F.lit(r'(?s)<script[^>]*application/ld\+json[^>]*>(.*?)</script>'), F.lit(1))
-    return F.filter(F.transform(blocks, lambda b: F.from_json(b, schema)), lambda x: x.isNotNull())
+    sound = F.filter(blocks, lambda b: F.try_parse_json(b).isNotNull())
+    objects = F.transform(sound, lambda b: F.from_json(F.when(b.rlike(r"^\s*\["), b).otherwise(F.concat(F.lit("["), b, F.lit("]"))), f"array<struct<{schema}>>"))
+    return F.filter(F.flatten(objects), lambda x: x.isNotNull())
 
 
 def number(c: Column) -> Column:

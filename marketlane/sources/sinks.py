@@ -2,10 +2,25 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import uuid
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+def shared_dir(spark: SparkSession) -> str:
+    """``spark.checkpoint.dir`` of the session; where it is unset, a folder of the warehouse, which all executors share, too."""
+    own = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
+    return (own or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_checkpoints").rstrip("/")
+
+
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """``df`` as a table in the shared folder: what reads it several times scans its sources once."""
+    path = f"{shared_dir(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def overwrite(df: DataFrame, path: str, partition: str | None = None) -> None:
     """With a partition column only the partitions that ``df`` has are replaced."""
     writer = df.write.mode("overwrite")

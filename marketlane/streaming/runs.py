@@ -8,10 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-
-def shared_dir(spark: SparkSession) -> str:
-    """``spark.checkpoint.dir`` of the session; a folder of our own only where it is unset."""
-    return (spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None) or "/tmp/checkpoints").rstrip("/")
+from marketlane.sources.sinks import shared_dir
 
 
 def file_stream(spark: SparkSession, path: str, files_per_batch: int = 64) -> DataFrame:
