@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from marketlane.config import ScoreParams
 from marketlane.functions import dates, money
+from marketlane.operators import relational
 
 P = ScoreParams()
 
@@ -62,10 +63,8 @@ def listed_scores(listed: DataFrame, key: str, actual_daily: DataFrame, p: Score
 def nearest_rank(df: DataFrame, value: str, shares: dict[str, float]) -> DataFrame:
     """Exact percentiles by index floor(share * n), at most the last: counts per value, not one array of all values.
 
-    Only distinct values and their counts are ordered in one place.
+    Their running sum is computed by no single task.
     """
-    from pyspark.sql import Window
-
     counts = df.filter(F.col(value).isNotNull()).groupBy(value).agg(F.count("*").alias("n"))
-    upto = counts.withColumn("upto", F.sum("n").over(Window.orderBy(value))).crossJoin(F.broadcast(counts.agg(F.sum("n").alias("all"))))
+    upto = relational.running_sum(counts, value, "n", "upto").crossJoin(F.broadcast(counts.agg(F.sum("n").alias("all"))))
     return upto.agg(*(F.min(F.when(F.col("upto") > F.least(F.floor(F.lit(s) * F.col("all")), F.col("all") - 1), F.col(value))).alias(k) for k, s in shares.items()))

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from marketlane.config import DemandParams
 from marketlane.functions import dates, money, text
+from marketlane.operators import relational
 from marketlane.sources import sinks
 
 P = DemandParams()
@@ -114,12 +115,11 @@ def draft_scores(listings: DataFrame, cells: DataFrame, codes: DataFrame, p: Dem
 def capture(scored: DataFrame, sold: str, score: str, parts: int = 10) -> DataFrame:
     """Backtest: for each tenth of the score, rows, sales, rate and the share of all sales captured so far.
 
-    Ranks come from counts per score, so only the distinct scores are ordered in one place.
+    Ranks come from counts per score and their running sum, which no single task computes.
     """
     by = scored.groupBy(score).agg(F.count("*").alias("n"), F.sum(sold).alias("s"))
-    w = Window.orderBy(F.col(score).desc())
     total = scored.agg(F.count("*").alias("all_n"), F.sum(sold).alias("all_s"))
-    ranked = by.withColumn("upto", F.sum("n").over(w)).crossJoin(F.broadcast(total))
+    ranked = relational.running_sum(by, score, "n", "upto", descending=True).crossJoin(F.broadcast(total))
     tenth = F.least(F.lit(parts), F.floor((F.col("upto") - 1) * parts / F.col("all_n")) + 1)
     out = ranked.withColumn("tenth", tenth.cast("int")).groupBy("tenth").agg(F.sum("n").alias("n"), F.sum("s").alias("sold"), F.max("all_s").alias("all_s"))
     return out.select("tenth", "n", "sold", F.round(F.col("sold") / F.col("n"), 6).alias("rate"), F.round(F.sum("sold").over(Window.orderBy("tenth")) / F.col("all_s"), 6).alias("captured"))

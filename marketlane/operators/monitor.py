@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from marketlane.functions import dates
+from marketlane.operators import relational
 from marketlane.operators.relational import ranked
 
 #: Days until the next visit, by tier of items and of sellers.
@@ -87,13 +88,13 @@ def up_days(events: DataFrame, key: str, time: str, kind: str, as_of: str) -> Da
 def seller_values(sellers: DataFrame, items: DataFrame, orders: DataFrame) -> DataFrame:
     """Every seller with score = 10 * hot and warm items + recent orders, its place among all, tier and days to the next scan.
 
-    Places count scores first, so only distinct scores are ordered in one place; ties go by the larger id.
+    Places are running sums of counts per score, which no single task computes; ties go by the larger id.
     """
     hot = items.filter(F.col("tier").isin("HOT", "WARM")).groupBy("seller_id").agg(F.count("*").alias("n_hot"))
     sold = orders.groupBy("seller_id").agg(F.count("*").alias("n_orders"))
     s = sellers.join(hot, "seller_id", "left").join(sold, "seller_id", "left").select("seller_id", (10 * F.coalesce("n_hot", F.lit(0)) + F.coalesce("n_orders", F.lit(0))).alias("score"))
     by = s.groupBy("score").agg(F.count("*").alias("c"))
-    above = by.select("score", (F.sum("c").over(Window.orderBy(F.col("score").desc())) - F.col("c")).alias("above"))
+    above = relational.running_sum(by, "score", "c", "upto", descending=True).select("score", (F.col("upto") - F.col("c")).alias("above"))
     within = F.row_number().over(Window.partitionBy("score").orderBy(F.col("seller_id").desc())) - 1
     placed = s.withColumn("within", within).join(above, "score").crossJoin(F.broadcast(s.agg(F.count("*").alias("n"))))
     fraction = (F.col("above") + F.col("within")) / F.col("n")

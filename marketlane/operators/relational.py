@@ -53,6 +53,21 @@ def full_diff(old: DataFrame, new: DataFrame, keys: Sequence[str], values: Seque
     return o.join(n, list(keys), "full_outer").select(*keys, change.alias("change"), *(F.col(f"__new.{v}").alias(v) for v in values))
 
 
+def running_sum(rows: DataFrame, order: str, amount: str, name: str, descending: bool = False, parts: int = 256) -> DataFrame:
+    """``rows`` with the sum of ``amount`` up to each row in the order of a numeric column whose values are unique.
+
+    Approximate quantiles cut the rows into parts; sums of whole parts, one row for each, give what lies before a part,
+    and a window within the part the rest. So no task sorts more than about one in ``parts`` of the rows.
+    """
+    way = F.desc if descending else F.asc
+    borders = rows.agg(F.percentile_approx(order, [k / parts for k in range(1, parts)], 10_000).alias("__borders"))
+    placed = rows.crossJoin(F.broadcast(borders)).withColumn("__part", F.size(F.filter("__borders", lambda b: b < F.col(order)))).drop("__borders")
+    sums = placed.groupBy("__part").agg(F.sum(amount).alias("__sum"))
+    before = sums.select("__part", (F.sum("__sum").over(Window.orderBy(way("__part"))) - F.col("__sum")).alias("__before"))
+    within = F.sum(amount).over(Window.partitionBy("__part").orderBy(way(order)))
+    return placed.withColumn("__within", within).join(F.broadcast(before), "__part").withColumn(name, F.col("__within") + F.col("__before")).drop("__part", "__within", "__before")
+
+
 def prefix_within(df: DataFrame, keys: Sequence[str], order: Sequence[Column], size: Column, budget: int) -> DataFrame:
     """The longest start of each ordered group whose sizes sum up to the budget, and how many rows don't fit."""
     w = Window.partitionBy(*keys).orderBy(*order)

@@ -107,7 +107,7 @@ def label_correction(spark, sf_dir):
 
 @query("SELECT p_partkey, upper(trim(p_name)) || '!' AS name FROM part WHERE upper(trim(p_name)) || '!' <> CASE WHEN p_partkey % 3 = 0 THEN upper(p_name) || '!' ELSE p_name END")
 def recompute_and_diff(spark, sf_dir):
-    """JOI-34, JOI-35, SNK-09."""
+    """JOI-34."""
     p, new = read(spark, sf_dir, "part"), F.concat(F.upper(F.trim("p_name")), F.lit("!"))
     old = F.when(F.col("p_partkey") % 3 == 0, F.concat(F.upper("p_name"), F.lit("!"))).otherwise(F.col("p_name"))
     return p.filter(~new.eqNullSafe(old)).select("p_partkey", new.alias("name"))
@@ -117,7 +117,7 @@ def recompute_and_diff(spark, sf_dir):
 t AS (SELECT offering_id, regexp_replace(upper(x), '[^A-Z0-9]+', '', 'g') AS token FROM (SELECT offering_id, unnest(string_split(model_no, ' ')) AS x FROM models) AS y)
 SELECT DISTINCT offering_id, token FROM t WHERE length(token) >= 4 AND NOT regexp_matches(token, '^(?:(?:20)?(?:1[5-9]|2[0-9])(?:SS|FW|AW|SP)|(?:SS|FW|AW)(?:1[5-9]|2[0-9]))$') AND NOT (length(token) <= 4 AND regexp_matches(token, '^[0-9]+$'))"""))
 def tokens_exploded(spark, sf_dir):
-    """STRF-08, STRF-09, STR-10."""
+    """STRF-08, STRF-09."""
     return _models(spark, sf_dir).select("offering_id", F.explode(text.model_tokens(F.col("model_no"))).alias("token"))
 
 
@@ -145,14 +145,14 @@ def scalar_rules(spark, sf_dir):
 SELECT event_id, CASE WHEN k <= 30 THEN 1.0::DOUBLE WHEN k <= 60 THEN round(1 - (k - 30) * 0.01::DOUBLE, 9) WHEN k < 90 THEN round(0.7::DOUBLE * (90 - k) / 30, 9) ELSE 0.0 END AS decay,
   CAST(least(360, greatest(2, CASE WHEN k % 2 = 0 THEN k * 2 ELSE floor(k / 2.0) END)) AS INTEGER) AS next FROM (SELECT event_id, CAST(json_extract_string(props, '$.k') AS BIGINT) AS k FROM events) AS x""")
 def decay_and_interval(spark, sf_dir):
-    """NUM-10, NUM-14, STR-08, DOC-05."""
+    """NUM-10, NUM-14, STR-08."""
     k = F.get_json_object("props", "$.k").try_cast("long")
     return read(spark, sf_dir, "events").select("event_id", F.round(money.time_decay(k), 9).alias("decay"), money.next_interval(k, k % 2 == 0).alias("next"))
 
 
 @query("SELECT page_id, trim(regexp_extract(html, '<title>(.*?)</title>', 1)) AS title, CAST(len(regexp_extract_all(html, '<a\\b[^>]*?\\bhref=\"([^\"]*)\"', 1)) AS BIGINT) AS n_links, array_to_string(list_sort(list_distinct(regexp_extract_all(html, '<a\\b[^>]*?\\bhref=\"([^\"]*)\"', 1))), ' ') AS links FROM pages")
 def html_title_links(spark, sf_dir):
-    """SRC-15, SRC-16, SRC-21, ARR-04."""
+    """ARR-04."""
     return pages.titles_and_links(read(spark, sf_dir, "pages"))
 
 

@@ -118,7 +118,7 @@ b AS (SELECT l_partkey AS k, count(*) AS n, sum(l_extendedprice) AS s FROM (SELE
 SELECT count(*) AS n_keys, count(*) FILTER (WHERE a.n = b.n AND abs(a.s - b.s) < 0.005) AS exact, count(*) FILTER (WHERE a.n <> b.n) AS counts_differ, count(*) FILTER (WHERE a.k IS NULL) AS only_b, count(*) FILTER (WHERE b.k IS NULL) AS only_a, round(sum(coalesce(b.s, 0)) - sum(coalesce(a.s, 0)), 2) AS gap
 FROM a FULL JOIN b ON a.k = b.k""")
 def orders_reconciliation(spark, sf_dir):
-    """AGG-40, AGG-41."""
+    """AGG-40 without a status, and the totals of AGG-41."""
     l = read(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_extendedprice", "l_returnflag")
     lines = l.select("l_orderkey", "l_linenumber", "l_partkey", "l_extendedprice")
     roll = lambda d, s: d.distinct().groupBy(F.col("l_partkey").alias("k")).agg(F.count("*").alias(f"n{s}"), F.sum("l_extendedprice").alias(f"s{s}"))

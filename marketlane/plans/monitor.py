@@ -37,7 +37,7 @@ def change_only_history(spark, sf_dir):
 
 @query(sql_over("observations", "SELECT event_id, item_id FROM (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY observed_at DESC) AS i FROM observations) AS x WHERE i = 1"))
 def latest_row(spark, sf_dir):
-    """WIN-01, WIN-04, WIN-18, WIN-29, JOI-12."""
+    """WIN-01, WIN-18, JOI-12."""
     return domain.observations(spark, sf_dir).groupBy("item_id").agg(F.max_by("event_id", "observed_at").alias("event_id"))
 
 

@@ -44,7 +44,7 @@ def winner_by_listing(spark, sf_dir):
 
 @query(sql_over("listings offerings offering_options", _UNION + " SELECT * FROM option_rows"))
 def option_union(spark, sf_dir):
-    """WIN-09, WIN-19, AGG-27."""
+    """WIN-09, AGG-27."""
     return resolve.option_union(_members(spark, sf_dir), domain.offering_options(spark, sf_dir))
 
 
@@ -113,7 +113,7 @@ firsts AS (SELECT listing_id, source_site, min(purchase_price) AS p FROM offerin
 numbered AS (SELECT *, row_number() OVER (PARTITION BY listing_id ORDER BY p, source_site) AS nth FROM firsts)
 SELECT listing_id, string_agg(source_site, ',' ORDER BY nth) AS shops FROM numbered WHERE nth <= 15 GROUP BY listing_id"""))
 def shop_list_top15(spark, sf_dir):
-    """WIN-16, AGG-29, WIN-12, WIN-14."""
+    """AGG-29, WIN-14."""
     return resolve.ordered_union(domain.offerings(spark, sf_dir), "listing_id", "source_site", [F.col("purchase_price")], 15).select("listing_id", F.array_join("values", ",").alias("shops"))
 
 
@@ -121,7 +121,7 @@ def shop_list_top15(spark, sf_dir):
 numbered AS (SELECT listing_id, sum(length(source_site || CAST(offering_id AS VARCHAR))) OVER (PARTITION BY listing_id ORDER BY purchase_price, offering_id ROWS UNBOUNDED PRECEDING) AS used FROM offerings)
 SELECT listing_id, count(*) FILTER (WHERE used <= 40) AS n_kept, count(*) FILTER (WHERE used > 40) AS n_over, CAST(coalesce(max(used) FILTER (WHERE used <= 40), 0) AS BIGINT) AS used FROM numbered GROUP BY listing_id"""))
 def prefix_within_budget(spark, sf_dir):
-    """WIN-27, STRF-21."""
+    """WIN-27."""
     size = F.length(F.concat("source_site", F.col("offering_id").cast("string"))).cast("long")
     return relational.prefix_within(domain.offerings(spark, sf_dir), ["listing_id"], [F.col("purchase_price"), F.col("offering_id")], size, 40)
 
@@ -131,7 +131,7 @@ SELECT offering_id, CAST(trunc((CAST(purchase_price AS DOUBLE) + {_SHIP} - CAST(
        CAST(ceil((CAST(purchase_price AS DOUBLE) + {_SHIP} - CAST(purchase_price AS DOUBLE) / 11) / (9.2::DOUBLE * (1 - 0.055::DOUBLE))) AS BIGINT) AS break_even,
        CAST(floor((trunc(purchase_price * 0.11::DOUBLE) + 50) / 100) * 100 AS BIGINT) AS reference FROM offerings"""))
 def price_rules(spark, sf_dir):
-    """NUM-02, NUM-03, NUM-05, AGG-39."""
+    """NUM-02, NUM-03, NUM-05."""
     o = domain.offerings(spark, sf_dir)
     p, s = F.col("purchase_price"), F.col("shipping")
     return o.select("offering_id", money.target_price(p, s).alias("target"), money.break_even(p, s).alias("break_even"), money.reference_price(p).alias("reference"))
@@ -155,7 +155,7 @@ def _listed(spark, sf_dir):
 
 @query(sql_over("listings", _COHORT + " SELECT level, brand, category, n, round(avg, 9) AS avg, round(prior, 9) AS prior FROM priors"))
 def cohort_priors(spark, sf_dir):
-    """AGG-17, AGG-18, AGG-38, DAT-04."""
+    """AGG-17, AGG-18, DAT-04."""
     return cohorts.cohort_priors(_listed(spark, sf_dir), AS_OF).select("level", "brand", "category", "n", F.round("avg", 9).alias("avg"), F.round("prior", 9).alias("prior"))
 
 

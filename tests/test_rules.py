@@ -222,3 +222,16 @@ def test_models_and_dates_that_keep_their_form(spark):
     assert {r.m: bool(r.ok) for r in d.collect()} == dict(zip(said, [False, False, False, True, False, True, False], strict=True))
     moved = spark.range(1).select(dates.iso_plus_days(F.lit("2026-01-31T10:00:00+02:00"), F.lit(1))).first()[0]
     assert moved == "2026-02-01T10:00:00+02:00"
+
+
+def test_running_sum(spark):
+    rows = spark.range(1, 2001).select((F.col("id") * 37 % 2003).cast("double").alias("v"), (F.col("id") % 5).alias("n"))
+    plain = sorted((r.v, r.n) for r in rows.collect())
+    for down in (False, True):
+        total, want = 0, {}
+        for v, n in reversed(plain) if down else plain:
+            total += n
+            want[v] = total
+        got = relational.running_sum(rows, "v", "n", "upto", descending=down, parts=16)
+        assert {r.v: r.upto for r in got.collect()} == want
+    assert relational.running_sum(rows.limit(0), "v", "n", "upto").count() == 0
