@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-import pandas as pd
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from marketlane.functions import text
 from marketlane.operators.relational import first_by
+from marketlane.sources.sinks import stored
 
 
 def canonical_groups(offers: DataFrame, model: str = "model_no", brand: str = "brand", source: str = "source_site", least: int = 4) -> DataFrame:
@@ -16,38 +18,66 @@ def canonical_groups(offers: DataFrame, model: str = "model_no", brand: str = "b
     return keyed.groupBy("canon", "brand_norm").agg(F.array_sort(F.collect_set("source")).alias("sources"), F.count("*").alias("n"))
 
 
+def contained_keys(keys: DataFrame, value: Column, least: int = 4) -> DataFrame:
+    """brand_norm, short, long and the values of both: each key of a brand with all others of it that it contains.
+
+    A long key states its pieces of every length, and those that are keys join by equality. So no part of a key that many
+    keys share draws them together: the join's rows are the pairs themselves.
+    """
+    size = F.length("canon")
+    pieces = F.flatten(
+        F.transform(
+            F.sequence(F.lit(1), size - least + 1),
+            lambda i: F.transform(F.sequence(F.lit(least), size - i + 1), lambda n: F.col("canon").substr(i, n)),
+        )
+    )
+    long = keys.filter(size > least).select("brand_norm", F.col("canon").alias("long"), value.alias("of_long"), F.explode(F.array_distinct(pieces)).alias("short"))
+    short = keys.select("brand_norm", F.col("canon").alias("short"), value.alias("of_short"))
+    return long.filter("short <> long").join(short, ["brand_norm", "short"])
+
+
+def first_come(edges: DataFrame) -> DataFrame:
+    """Of brand_norm, short, long: the pairs taken one by one by length and text of the short key, then of the long one,
+    each only if both its keys are still free.
+
+    A pair that comes first for both its keys is taken whatever the rest does. So a round takes all of these and drops
+    the pairs of their keys; it takes at least one pair of each brand, and ends when no pair is left.
+    """
+    order = F.struct(F.length("short").alias("a"), "short", F.length("long").alias("b"), "long")
+    taken = []
+    while True:
+        ends = edges.select("brand_norm", order.alias("pair"), F.explode(F.array("short", "long")).alias("key"))
+        firsts = ends.groupBy("brand_norm", "key").agg(F.min("pair").alias("pair"))
+        both = firsts.groupBy("brand_norm", "pair").count().filter("count = 2")
+        taken.append(stored(both.select("brand_norm", "pair.short", "pair.long"), "pairs-taken"))
+        used = taken[-1].select("brand_norm", F.explode(F.array("short", "long")).alias("key"))
+        for end in ("short", "long"):
+            edges = edges.join(used.withColumnRenamed("key", end), ["brand_norm", end], "left_anti")
+        edges = stored(edges.select("brand_norm", "short", "long"), "pairs-left")
+        if edges.isEmpty():
+            return reduce(DataFrame.unionByName, taken)
+
+
 def fuzzy_groups(groups: DataFrame, least: int = 6) -> DataFrame:
     """canon, brand_norm, group_key, kind: keys of one source join a group of their brand that they contain or are contained in.
 
-    Keys are taken by length, then by text, and the first match counts. Those left over pair up among themselves where
-    one contains the other and their sources differ; each is used once. The order within a brand matters, so a brand is
-    one group of rows: keys (not offers) of one brand, a bounded catalogue.
+    A key has several sources if its offers of any brand have. Of the groups that fit, the first by length, then by text,
+    counts. The keys left over pair up among themselves where one contains the other and their sources differ.
     """
-
-    def resolve(rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.assign(size=rows.canon.str.len()).sort_values(["size", "canon"])
-        multi = rows[rows.sources.map(len) >= 2].canon.tolist()
-        single = {r.canon: set(r.sources) for r in rows.itertuples() if len(r.sources) < 2}
-        where = {c: (c, "exact") for c in multi} | {c: (c, "single") for c in single}
-        long = [c for c in single if len(c) >= least]
-        for c in long:
-            hit = next((m for m in multi if c in m or m in c), None)
-            if hit is not None:
-                where[c] = (hit, "contained")
-        left = [c for c in long if where[c][1] == "single"]
-        used: set[str] = set()
-        for i, a in enumerate(left):
-            if a in used:
-                continue
-            b = next((b for b in left[i + 1 :] if b not in used and a in b and len(single[a] | single[b]) >= 2), None)
-            if b is not None:
-                used |= {a, b}
-                where[a], where[b] = (a, "paired"), (a, "paired")
-        out = rows[["canon", "brand_norm"]].copy()
-        out["group_key"], out["kind"] = [where[c][0] for c in out.canon], [where[c][1] for c in out.canon]
-        return out
-
-    return groups.select("canon", "brand_norm", "sources").groupBy("brand_norm").applyInPandas(resolve, "canon string, brand_norm string, group_key string, kind string")
+    sources = F.array_distinct(F.flatten(F.collect_list("sources")))
+    spread = groups.groupBy("canon").agg((F.size(sources) >= 2).alias("multi"))
+    keys = stored(groups.join(spread, "canon").select("canon", "brand_norm", "multi", F.try_element_at("sources", F.lit(1)).alias("source")), "keys")
+    pairs = stored(contained_keys(keys, F.struct("multi", "source")), "contained")
+    one, many = lambda end: ~F.col(f"of_{end}.multi") & (F.length(end) >= least), lambda end: F.col(f"of_{end}.multi")
+    hits = [pairs.filter(one(x) & many(y)).select("brand_norm", F.col(x).alias("canon"), F.col(y).alias("group")) for x, y in (("long", "short"), ("short", "long"))]
+    joined = stored(first_by(hits[0].unionByName(hits[1]), ["brand_norm", "canon"], [F.length("group"), F.col("group")]), "joined")
+    edges = pairs.filter(one("short") & one("long") & (F.col("of_short.source") != F.col("of_long.source"))).select("brand_norm", "short", "long")
+    for end in ("short", "long"):
+        edges = edges.join(joined.select("brand_norm", F.col("canon").alias(end)), ["brand_norm", end], "left_anti")
+    paired = first_come(edges).select("brand_norm", F.explode(F.array("short", "long")).alias("canon"), F.col("short").alias("mate"))
+    out = keys.join(joined, ["brand_norm", "canon"], "left").join(paired, ["brand_norm", "canon"], "left")
+    kind = F.when(F.col("multi"), "exact").when(F.col("group").isNotNull(), "contained").when(F.col("mate").isNotNull(), "paired").otherwise("single")
+    return out.select("canon", "brand_norm", F.coalesce("group", "mate", "canon").alias("group_key"), kind.alias("kind"))
 
 
 def prefix_match(left: DataFrame, right: DataFrame, brand: str = "brand_norm", key: str = "canon", least: int = 6) -> DataFrame:

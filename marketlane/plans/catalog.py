@@ -50,9 +50,29 @@ def canonical_groups(spark, sf_dir):
     return matching.canonical_groups(_models(spark, sf_dir)).withColumn("sources", F.array_join("sources", ","))
 
 
-@query()
+@query(_views(_CANON + """,
+spread AS (SELECT canon, count(DISTINCT source_site) >= 2 AS multi FROM canon GROUP BY canon),
+k AS (
+  SELECT c.canon, brand_norm, min(source_site) AS source, any_value(multi) AS multi FROM canon AS c JOIN spread AS s ON c.canon = s.canon
+  WHERE length(c.canon) >= 4 GROUP BY c.canon, brand_norm),
+hits AS (
+  SELECT s.brand_norm, s.canon, substr(min(lpad(CAST(length(m.canon) AS VARCHAR), 6, '0') || m.canon), 7) AS hit FROM k AS s
+  JOIN k AS m ON s.brand_norm = m.brand_norm AND m.multi AND NOT s.multi AND length(s.canon) >= 6 AND (contains(s.canon, m.canon) OR contains(m.canon, s.canon))
+  GROUP BY s.brand_norm, s.canon),
+free AS (SELECT * FROM k WHERE NOT multi AND length(canon) >= 6 AND (brand_norm, canon) NOT IN (SELECT (brand_norm, canon) FROM hits)),
+edges AS (
+  SELECT a.brand_norm, a.canon AS a, b.canon AS b FROM free AS a
+  JOIN free AS b ON a.brand_norm = b.brand_norm AND a.canon <> b.canon AND contains(b.canon, a.canon) AND a.source <> b.source),
+taken AS (
+  SELECT brand_norm, list_reduce(list([a, b] ORDER BY length(a), a, length(b), b),
+    lambda used, e: CASE WHEN list_contains(used, e[1]) OR list_contains(used, e[2]) THEN used ELSE list_concat(used, e) END, CAST([] AS VARCHAR[])) AS used
+  FROM edges GROUP BY brand_norm),
+mates AS (SELECT brand_norm, used[i] AS canon, used[i - (i + 1) % 2] AS mate FROM (SELECT *, unnest(range(1, len(used) + 1)) AS i FROM taken) AS t)
+SELECT k.canon, k.brand_norm, coalesce(hit, mate, k.canon) AS group_key,
+  CASE WHEN multi THEN 'exact' WHEN hit IS NOT NULL THEN 'contained' WHEN mate IS NOT NULL THEN 'paired' ELSE 'single' END AS kind
+FROM k LEFT JOIN hits AS h ON k.brand_norm = h.brand_norm AND k.canon = h.canon LEFT JOIN mates AS m ON k.brand_norm = m.brand_norm AND k.canon = m.canon"""))
 def fuzzy_groups(spark, sf_dir):
-    """JOI-21, UDAF-01, WIN-25: ordered first-hit merging within a brand; tested against its plain statement."""
+    """JOI-21, UDAF-01, WIN-25: the first group that fits, then pairs of which each key is used once."""
     return matching.fuzzy_groups(matching.canonical_groups(_models(spark, sf_dir)))
 
 

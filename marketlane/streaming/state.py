@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
+#: Fixed value: so many of the newest orders are remembered as the known sequence.
 WATERMARK_SIZE = 30
 
 
@@ -54,11 +55,11 @@ def up_days_at(emitted: DataFrame, key: str, as_of: str) -> DataFrame:
     return emitted.select(F.col("key").alias(key), "n_ups", (F.col("closed") + F.coalesce(open_us, F.lit(0)) / 1_000_000).alias("seconds"), F.col("since").isNotNull().alias("is_up"))
 
 
-def boundary(rows: list, known: list) -> int:
-    """Where ``known`` starts as a part of ``rows``; -1 if it doesn't or is empty."""
-    if not known:
-        return -1
-    return next((i for i in range(len(rows) - len(known) + 1) if rows[i : i + len(known)] == known), -1)
+def boundary(rows: list, known: list) -> int | None:
+    """How many rows stand before ``known`` as a part of ``rows``, both taken as lines of text; null if it isn't there or is empty."""
+    page, part = ("".join(f"\n{json.dumps(r)}" for r in x) + "\n" for x in (rows, known))
+    at = page.find(part) if known else -1
+    return page.count("\n", 0, at) if at >= 0 else None
 
 
 def new_rows(rows: list[tuple[str, str, int]], known: list[tuple[str, str, int]]) -> tuple[list, bool]:
@@ -67,7 +68,7 @@ def new_rows(rows: list[tuple[str, str, int]], known: list[tuple[str, str, int]]
     If the sequence isn't found, rows of the newest known date or later count as new.
     """
     at = boundary(rows, known)
-    if at >= 0:
+    if at is not None:
         return rows[:at], False
     if not known:
         return rows, False
