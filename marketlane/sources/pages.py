@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from marketlane.functions import text
 
@@ -32,6 +35,30 @@ def json_ld(html: Column, schema: str) -> Column:
     return F.filter(F.flatten(objects), lambda x: x.isNotNull())
 
 
+def plain(html: Column) -> Column:
+    """Text without tags, with the five named entities read, squeezed."""
+    bare = F.regexp_replace(text.blank(html), "(?s)<[^>]*>", " ")
+    for name, sign in (("lt", "<"), ("gt", ">"), ("quot", '"'), ("#39", "'"), ("amp", "&")):
+        bare = F.replace(bare, F.lit(f"&{name};"), F.lit(sign))
+    return text.squeezed(bare)
+
+
+def said(html: Column) -> Column:
+    """``plain``, null where nothing is left."""
+    return F.nullif(plain(html), F.lit(""))
+
+
+def element(html: Column, tag: str, name: str) -> Column:
+    """What the first ``tag`` of a class holds, up to its end tag."""
+    return F.regexp_extract(html, rf'(?s)<{tag}\b[^>]*\bclass="(?:[^"]* )?{name}(?: [^"]*)?"[^>]*>(.*?)</{tag}>', 1)
+
+
+def pieces(html: Column, tag: str, name: str) -> Column:
+    """What each ``tag`` of a class holds, in the page's order."""
+    opened = F.slice(F.split(html, rf'<{tag}\b[^>]*\bclass="(?:[^"]* )?{name}(?: [^"]*)?"[^>]*>'), 2, 2**30)
+    return F.transform(opened, lambda x: F.substring_index(x, f"</{tag}>", 1))
+
+
 def number(c: Column) -> Column:
     return F.regexp_replace(F.regexp_extract(c, r"([0-9][0-9,]*)", 1), ",", "").try_cast("long")
 
@@ -63,3 +90,186 @@ def total_results(html: Column) -> Column:
 def titles_and_links(pages: DataFrame) -> DataFrame:
     h = F.col("html")
     return pages.select("page_id", text.squeezed(between(h, "<title>", "</title>")).alias("title"), F.size(attributes(h, "a", "href")).cast("long").alias("n_links"), F.array_join(F.array_sort(F.array_distinct(attributes(h, "a", "href"))), " ").alias("links"))
+
+
+# Class names, labels and links of the market's pages.
+CARD, CARD_NAME, CARD_PRICE = "buyeritemtable_info", "buyeritem_name", "buyeritem_price"
+QUANTITY, SOLD_ON = r"注文\s*数\s*[：:]\s*([0-9]+)", r"成約日\s*[：:]\s*([0-9]{4}/[0-9]{2}/[0-9]{2})"
+ITEM_PAGES, LIST_PAGES = r"/buyer/[0-9]+/item_([0-9]+)\.html", r"-A2002003000_([0-9]+)/"
+COUNTRIES = {"韓国": "한국", "한국": "한국"}
+
+
+def _rows(pages: DataFrame, html: str, parts: Column, fields: dict[str, Column], place: str) -> DataFrame:
+    """A row for each part of a page, numbered in the page's order; ``fields`` read the column ``part``."""
+    own = [c for c in pages.columns if c != html]
+    found = pages.select(*own, F.posexplode(parts).alias("at", "part"))
+    return found.select(*own, (F.col("at") + 1).alias(place), *(c.alias(name) for name, c in fields.items()))
+
+
+def seller_items(pages: DataFrame, html: str = "html") -> DataFrame:
+    """place, item_id, name, price of each card; cards without one of them are left out."""
+    head = element(F.col("part"), "p", CARD_NAME)
+    fields = {
+        "item_id": F.nullif(F.regexp_extract(head, r'<a\b[^>]*href="/item/([0-9]+)/?"', 1), F.lit("")),
+        "name": said(F.regexp_extract(head, r"(?s)<a\b[^>]*>(.*?)</a>", 1)),
+        "price": number(plain(element(F.col("part"), "p", CARD_PRICE))),
+    }
+    return _rows(pages, html, pieces(F.col(html), "li", CARD), fields, "place").dropna(subset=list(fields))
+
+
+def sales(pages: DataFrame, html: str = "html") -> DataFrame:
+    """place, sale_date, item_id, qty, item_name of each sold card; cards without one of them are left out."""
+    head = element(F.col("part"), "p", CARD_NAME)
+    lines = F.array_join(F.transform(F.regexp_extract_all("part", F.lit(r"(?s)<p\b[^>]*>(.*?)</p>"), F.lit(1)), plain), "\n")
+    fields = {
+        "sale_date": F.nullif(F.regexp_extract(lines, SOLD_ON, 1), F.lit("")),
+        "item_id": F.nullif(F.regexp_extract(head, r'<a\b[^>]*href="[^"]*/item/([0-9]+)/', 1), F.lit("")),
+        "qty": F.regexp_extract(lines, QUANTITY, 1).try_cast("long"),
+        "item_name": said(F.regexp_extract(head, r"(?s)<a\b[^>]*>(.*?)</a>", 1)),
+    }
+    return _rows(pages, html, pieces(F.col(html), "li", CARD), fields, "place").dropna(subset=list(fields))
+
+
+def competitors(pages: DataFrame, site: str = "", html: str = "html") -> DataFrame:
+    """rank, seller_id, seller_name, item_id, link, price, name of a search page's new products; used ones take no rank."""
+    seller, digits = element(F.col("part"), "p", "product_Buyer"), F.regexp_replace(plain(element(F.col("part"), "span", "Price_Txt")), "[^0-9]", "")
+    link = F.nullif(F.regexp_extract("part", r'<a\b[^>]*href="([^"]*/item/[^"]*)"', 1), F.lit(""))
+    fields = {
+        "seller_id": F.nullif(F.regexp_extract(seller, r"/buyer/([0-9]+)", 1), F.lit("")),
+        "seller_name": said(seller),
+        "item_id": F.nullif(F.regexp_extract(link, r"/item/([0-9]+)", 1), F.lit("")),
+        "link": F.when(link.startswith("http"), link).otherwise(F.concat(F.lit(site), link)),
+        "price": digits.try_cast("long"),
+        "name": said(F.regexp_extract("part", r'(?s)<(?:div|p|a|span)\b[^>]*class="(?:[^"]* )?product_name(?: [^"]*)?"[^>]*>(.*?)</(?:div|p|a|span)>', 1)),
+    }
+    new = F.filter(pieces(F.col(html), "li", "product"), lambda x: ~x.rlike(r'class="[^"]*\bproduct_used_tag\b'))
+    return _rows(pages, html, new, fields, "rank")
+
+
+def seller_ids(html: Column) -> Column:
+    return F.array_distinct(F.regexp_extract_all(html, F.lit(r'<a\b[^>]*href="/buyer/([0-9]+)\.html'), F.lit(1)))
+
+
+def last_page(html: Column, links: str) -> Column:
+    """The greatest page number of the page's links, 1 where there are none."""
+    found = F.regexp_extract_all(html, F.lit(rf'<a\b[^>]*href="[^"]*{links}'), F.lit(1))
+    return F.greatest(F.lit(1), F.array_max(F.transform(found, lambda x: x.try_cast("int"))))
+
+
+def seller_profiles(pages: DataFrame, home: str = "한국", html: str = "html") -> DataFrame:
+    """seller_name, seller_type, country and three counts of profile pages that name a seller: shops, and personal ones at home."""
+    h = F.col(html)
+    label = F.regexp_extract(h, r'(?s)<p\b[^>]*class="label"[^>]*>(.*?)</p>', 1)
+    kind = F.when(label.rlike(r"\blabel_shop\b"), "SHOP").when(label.rlike(r"\blabel_premium\b"), "PREMIUM PERSONAL SHOPPER").otherwise(F.upper(plain(label)))
+    head = F.regexp_extract(h, r'(?s)id="buyer_name".*?<h1[^>]*>(.*?)</h1>', 1)
+    alt = F.nullif(F.trim(F.regexp_extract(head, r'<img\b[^>]*alt="([^"]*)"', 1)), F.lit(""))
+    known = F.create_map(*(F.lit(x) for pair in COUNTRIES.items() for x in pair))
+    count = lambda pattern: F.coalesce(number(plain(F.regexp_extract(h, f"(?s){pattern}", 1))), F.lit(0))
+    rows = pages.select(
+        *[c for c in pages.columns if c != html],
+        plain(F.regexp_extract(head, r"(?s)<a\b[^>]*>(.*?)</a>", 1)).alias("seller_name"),
+        kind.alias("seller_type"),
+        F.coalesce(F.try_element_at(known, alt), alt).alias("country"),
+        count(r'id="js_fan_count"[^>]*>(.*?)</').alias("follower_count"),
+        count(r'<span\b[^>]*class="[^"]*\bsyohin_cnt_text\b[^"]*"[^>]*>(.*?)</span>').alias("listing_count"),
+        count(r'<h3[^>]*>[^<]*注文実績[^<]*</h3>.*?<p\b[^>]*class="[^"]*\bbuyer_eva_text\b[^"]*"[^>]*>(.*?)</p>').alias("order_count"),
+    )
+    personal = F.col("seller_type").isin("PREMIUM PERSONAL SHOPPER", "PERSONAL SHOPPER") & F.coalesce(F.col("country") == home, F.lit(False))
+    return rows.filter((F.col("seller_name") != "") & ((F.col("seller_type") == "SHOP") | personal))
+
+
+def last_by_key(keys: Column, values: Column) -> Column:
+    """A map of two arrays; of equal keys the last counts, and keys beyond the values are left out."""
+    n = F.least(F.size(keys), F.size(values))
+    k, v = F.slice(keys, 1, n), F.slice(values, 1, n)
+    unique = F.array_distinct(k)
+    return F.map_from_arrays(unique, F.transform(unique, lambda x: F.element_at(v, (n - F.array_position(F.reverse(k), x) + 1).cast("int"))))
+
+
+def size_chart(html: Column) -> Column:
+    """Size, measure and value of the first table that holds numbers beside its first column; null if none does."""
+    every = lambda h, pattern: F.regexp_extract_all(h, F.lit(f"(?s){pattern}"), F.lit(1))
+    cells = F.transform(every(html, r"<table\b(.*?)</table>"), lambda t: F.transform(every(t, r"<tr\b[^>]*>(.*?)</tr>"), lambda r: F.transform(every(r, r"<t[hd]\b[^>]*>(.*?)</t[hd]>"), plain)))
+    after = lambda row: F.slice(row, 2, 2**30)
+    measured = F.filter(cells, lambda t: (F.size(t) >= 2) & (F.size(t[0]) >= 2) & F.exists(after(t), lambda r: F.exists(after(r), lambda c: c.rlike("[0-9]"))))
+    table = F.try_element_at(measured, F.lit(1))
+    rows = F.filter(after(table), lambda r: text.blank(F.try_element_at(r, F.lit(1))) != "")
+    chart = last_by_key(F.transform(rows, lambda r: r[0]), F.transform(rows, lambda r: last_by_key(after(table[0]), after(r))))
+    return F.when(F.size(rows) > 0, chart)
+
+
+_DETAIL = "`@type` string, name string, brand string, description string, hasVariant array<struct<sku:string,color:string,size:string,image:string,offers:string>>, itemListElement array<struct<name:string,item:string>>"
+
+
+def item_details(pages: DataFrame, html: str = "html") -> DataFrame:
+    """The record of a product's page; what a page doesn't say is null, or an empty list."""
+    own, h = [c for c in pages.columns if c != html], F.col(html)
+    # The objects are a column of their own, so that the page is parsed once.
+    read = pages.withColumn("__ld", json_ld(h, _DETAIL))
+    group = F.try_element_at(F.filter("__ld", lambda x: x["@type"] == "ProductGroup"), F.lit(1))
+    named = lambda x: F.nullif(F.trim(F.coalesce(F.nullif(x["name"], F.lit("")), F.get_json_object(x["item"], "$.name"))), F.lit(""))
+    trails = F.transform(F.filter("__ld", lambda x: x["@type"] == "BreadcrumbList"), lambda x: F.filter(F.transform(x["itemListElement"], named), lambda n: n.isNotNull()))
+    # Of trails of one length the first is the longest.
+    longest = F.reduce(trails, F.array().cast("array<string>"), lambda best, t: F.when(F.size(t) > F.size(best), t).otherwise(best))
+    spec = lambda label: said(F.regexp_extract(h, rf"(?s)<dt[^>]*>[^<]*{label}[^<]*</dt>\s*<dd[^>]*>(.*?)</dd>", 1))
+    count = lambda pattern: number(plain(F.regexp_extract(h, f"(?s){pattern}", 1)))
+    place = F.coalesce(*(F.when(meta(h, f"twitter:label{i}") == "購入地", F.nullif(F.trim(meta(h, f"twitter:data{i}")), F.lit(""))) for i in range(1, 5)))
+    images = F.transform(group["hasVariant"], lambda v: F.when(v["image"].startswith("["), F.from_json(v["image"], "array<string>")).otherwise(F.array(v["image"])))
+    tags = F.transform(F.regexp_extract_all(F.regexp_extract(h, r"(?s)<p\b[^>]*>[^<]*タグ[^<]*</p>.*?<(?:div|ul)\b(.*?)</(?:div|ul)>", 1), F.lit(r"(?s)<a\b[^>]*>(.*?)</a>"), F.lit(1)), plain)
+    offer = lambda v, path: F.get_json_object(v["offers"], path)
+    variant = lambda v: F.struct(
+        v["sku"].alias("sku"),
+        v["color"].alias("color"),
+        v["size"].alias("size"),
+        F.coalesce(offer(v, "$.price").try_cast("double"), offer(v, "$.lowPrice").try_cast("double")).cast("long").alias("price"),
+        F.nullif(F.substring_index(F.regexp_replace(offer(v, "$.availability"), "/+$", ""), "/", -1), F.lit("")).alias("availability"),
+        offer(v, "$.inventoryLevel.minValue").try_cast("long").alias("stock_min"),
+        offer(v, "$.inventoryLevel.maxValue").try_cast("long").alias("stock_max"),
+    )
+    track = F.regexp_extract(h, r"""<meta\b[^>]*name="buyma:track_item_json"[^>]*content='([^']*)'""", 1)
+    return read.select(
+        *own,
+        F.coalesce(meta(h, "og:title"), said(F.regexp_extract(h, r"(?s)<h1[^>]*>(.*?)</h1>", 1))).alias("name"),
+        F.coalesce(F.get_json_object(group["brand"], "$.name"), F.when(~group["brand"].startswith("{"), group["brand"])).alias("brand"),
+        F.nullif(F.array_join(longest, " > "), F.lit("")).alias("category_path"),
+        place.alias("origin_country"),
+        meta(h, "og:image").alias("image_url"),
+        F.coalesce(F.array_distinct(F.filter(F.flatten(F.filter(images, lambda x: x.isNotNull())), lambda u: u != "")), F.array().cast("array<string>")).alias("image_urls"),
+        F.coalesce(F.nullif(group["description"], F.lit("")), meta(h, "og:description"), F.lit("")).alias("description"),
+        count(r'<span\b[^>]*class="[^"]*\bac_count\b[^"]*"[^>]*>(.*?)</span>').alias("view_count"),
+        count(r'<span\b[^>]*class="[^"]*\bfav_count\b[^"]*"[^>]*>(.*?)</span>').alias("fav_count"),
+        count(r'id="tabmenu_inqcnt"[^>]*>(.*?)</').alias("inquiry_count"),
+        spec("品番").alias("model_number"),
+        F.filter(tags, lambda t: (t != "") & ~t.isin("もっと見る", "閉じる")).alias("tags"),
+        spec("テーマ").alias("theme"),
+        F.nullif(F.trim(F.get_json_object(track, "$.kokaidate")), F.lit("")).alias("listed_at"),
+        F.coalesce(F.transform(F.filter(group["hasVariant"], lambda v: v["sku"].isNotNull()), variant), F.array().cast("array<struct<sku:string,color:string,size:string,price:bigint,availability:string,stock_min:bigint,stock_max:bigint>>")).alias("variants"),
+        size_chart(h).alias("size_chart"),
+    )
+
+
+_NODE = "array<struct<name:string,id:string,subCategories:{}>>"
+
+
+def tree_entries(pages: DataFrame, brand_parent: str, roots: list[str], html: str = "html") -> DataFrame:
+    """kind (brand or category), name, category_key, full_path of the category tree of a store page's state, three levels deep.
+
+    Leaves under ``brand_parent`` are brands. Nodes of ``roots`` are categories, but those below them that aren't written in
+    Hangul are brands, and nothing below such a brand counts.
+    """
+    own = [c for c in pages.columns if c != html]
+    state = F.regexp_extract(html, r"(?s)window\.__PRELOADED_STATE__\s*=\s*(\{.*?\})\s*;?\s*</script>", 1)
+    tops = F.from_json(F.get_json_object(state, "$.categoryMenu.storeCategoryTree.subCategories"), _NODE.format(_NODE.format(_NODE.format("string"))))
+    clean = lambda c: F.trim(F.regexp_replace(text.blank(c), r"[\x{1F300}-\x{1FAFF}\x{2600}-\x{26FF}\x{1F000}-\x{1F2FF}]", ""))
+    levels = [pages.select(*own, F.explode(tops).alias("n")).select(*own, "n.id", clean(F.col("n.name")).alias("name"), clean(F.col("n.name")).alias("top"), clean(F.col("n.name")).alias("full_path"), F.lit(False).alias("under_brand"), F.col("n.subCategories").alias("kids"))]
+    for _ in range(2):
+        up = levels[-1]
+        name = clean(F.col("n.name"))
+        latin = (F.col("full_path") != F.col("top")) & ~text.has_hangul(F.col("name"))
+        below = up.select(*own, "top", "full_path", (F.col("under_brand") | latin).alias("under_brand"), F.explode("kids").alias("n"))
+        levels.append(below.select(*own, "n.id", name.alias("name"), "top", F.concat_ws(" > ", "full_path", name).alias("full_path"), "under_brand", F.col("n.subCategories").alias("kids")))
+    leaf = lambda d: d.withColumn("leaf", F.coalesce(F.size("kids") == 0, F.lit(True)) if isinstance(d.schema["kids"].dataType, T.ArrayType) else F.lit(True)).drop("kids")
+    nodes = reduce(DataFrame.unionByName, map(leaf, levels))
+    brand = F.when(F.col("top") == brand_parent, F.when(F.col("leaf"), "brand"))
+    walked = F.when(F.col("top").isin(roots) & ~F.col("under_brand"), F.when((F.col("full_path") != F.col("top")) & ~text.has_hangul(F.col("name")) & (F.col("name") != ""), "brand").otherwise("category"))
+    return nodes.withColumn("kind", F.coalesce(brand, walked)).filter("kind IS NOT NULL").select(*own, "kind", "name", F.col("id").alias("category_key"), "full_path")
