@@ -216,15 +216,17 @@ def item_details(pages: DataFrame, html: str = "html") -> DataFrame:
     place = F.coalesce(*(F.when(meta(h, f"twitter:label{i}") == "購入地", F.nullif(F.trim(meta(h, f"twitter:data{i}")), F.lit(""))) for i in range(1, 5)))
     images = F.transform(group["hasVariant"], lambda v: F.when(v["image"].startswith("["), F.from_json(v["image"], "array<string>")).otherwise(F.array(v["image"])))
     tags = F.transform(F.regexp_extract_all(F.regexp_extract(h, r"(?s)<p\b[^>]*>[^<]*タグ[^<]*</p>.*?<(?:div|ul)\b(.*?)</(?:div|ul)>", 1), F.lit(r"(?s)<a\b[^>]*>(.*?)</a>"), F.lit(1)), plain)
-    offer = lambda v, path: F.get_json_object(v["offers"], path)
-    variant = lambda v: F.struct(
-        v["sku"].alias("sku"),
-        v["color"].alias("color"),
-        v["size"].alias("size"),
-        F.coalesce(offer(v, "$.price").try_cast("double"), offer(v, "$.lowPrice").try_cast("double")).cast("long").alias("price"),
-        F.nullif(F.substring_index(F.regexp_replace(offer(v, "$.availability"), "/+$", ""), "/", -1), F.lit("")).alias("availability"),
-        offer(v, "$.inventoryLevel.minValue").try_cast("long").alias("stock_min"),
-        offer(v, "$.inventoryLevel.maxValue").try_cast("long").alias("stock_max"),
+    # Offers are read once each; what isn't an object has no fields.
+    offer = "price string, lowPrice string, availability string, inventoryLevel struct<minValue:string,maxValue:string>"
+    offered = F.transform(F.filter(group["hasVariant"], lambda v: v["sku"].isNotNull()), lambda v: F.struct(v.alias("v"), F.from_json(v["offers"], offer).alias("o")))
+    variant = lambda x: F.struct(
+        x["v"]["sku"].alias("sku"),
+        x["v"]["color"].alias("color"),
+        x["v"]["size"].alias("size"),
+        F.coalesce(x["o"]["price"].try_cast("double"), x["o"]["lowPrice"].try_cast("double")).cast("long").alias("price"),
+        F.nullif(F.substring_index(F.regexp_replace(x["o"]["availability"], "/+$", ""), "/", -1), F.lit("")).alias("availability"),
+        x["o"]["inventoryLevel"]["minValue"].try_cast("long").alias("stock_min"),
+        x["o"]["inventoryLevel"]["maxValue"].try_cast("long").alias("stock_max"),
     )
     track = F.regexp_extract(h, r"""<meta\b[^>]*name="buyma:track_item_json"[^>]*content='([^']*)'""", 1)
     return read.select(
@@ -243,7 +245,7 @@ def item_details(pages: DataFrame, html: str = "html") -> DataFrame:
         F.filter(tags, lambda t: (t != "") & ~t.isin("もっと見る", "閉じる")).alias("tags"),
         spec("テーマ").alias("theme"),
         F.nullif(F.trim(F.get_json_object(track, "$.kokaidate")), F.lit("")).alias("listed_at"),
-        F.coalesce(F.transform(F.filter(group["hasVariant"], lambda v: v["sku"].isNotNull()), variant), F.array().cast("array<struct<sku:string,color:string,size:string,price:bigint,availability:string,stock_min:bigint,stock_max:bigint>>")).alias("variants"),
+        F.coalesce(F.transform(offered, variant), F.array().cast("array<struct<sku:string,color:string,size:string,price:bigint,availability:string,stock_min:bigint,stock_max:bigint>>")).alias("variants"),
         size_chart(h).alias("size_chart"),
     )
 
