@@ -60,6 +60,11 @@ def listing_brand_key(c: Column) -> Column:
     return F.upper(F.trim(F.substring_index(blank(c), "(", 1)))
 
 
+def english_name(c: Column) -> Column:
+    """What stands before the first bracket, half or full width."""
+    return F.trim(F.element_at(F.split(blank(c), "[(（]"), 1))
+
+
 def market_category_key(path: Column) -> Column:
     """Segments of ``A > B > C > D`` without the first and the last; empty for two or fewer."""
     parts = F.filter(F.transform(F.split(blank(path), ">"), lambda x: F.trim(x)), lambda x: x != "")
