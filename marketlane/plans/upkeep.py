@@ -114,11 +114,12 @@ def additive_scores(spark, sf_dir):
 
 
 @query(sql_over("listings offerings", """
-SELECT model_no, max(purchase_price) AS list_price, count(*) AS n FROM listings JOIN offerings USING (listing_id) GROUP BY model_no"""))
+SELECT model_no, max(purchase_price) AS list_price, CAST(floor((trunc(max(purchase_price) * 0.11::DOUBLE) + 50) / 100) * 100 AS BIGINT) AS reference FROM listings JOIN offerings USING (listing_id) GROUP BY model_no"""))
 def group_list_price(spark, sf_dir):
-    """AGG-39: the highest list price of a group, from which ``reference_price`` is made."""
+    """AGG-39, NUM-05: the highest list price of a group, and the rounded reference price made from it."""
     rows = domain.offerings(spark, sf_dir).join(domain.listings(spark, sf_dir).select("listing_id", "model_no"), "listing_id")
-    return rows.groupBy("model_no").agg(F.max("purchase_price").alias("list_price"), F.count("*").alias("n"))
+    highest = rows.groupBy("model_no").agg(F.max("purchase_price").alias("list_price"))
+    return highest.withColumn("reference", money.reference_price(F.col("list_price")))
 
 
 @query(sql_over("listings", """,
