@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marketlane.llm import chat, decontaminate, line_dedup, near_dup, quality_classifier, quality_rules, sentencepiece_codec, substring_dedup, url_filter, warc
+from marketlane.llm import chat, collocations, decontaminate, line_dedup, near_dup, quality_classifier, quality_rules, sentencepiece_codec, sharding, substring_dedup, url_filter, warc
 from marketlane.llm.common import table
 from marketlane.llm.oracles import oracle_sql
 
@@ -60,8 +60,16 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
+def op12_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.digest(table(spark, sf_dir, "documents"))
+
+
 __all__ = ["oracle_sql", "queries"]
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_decontaminate, op2_substring_dedup, op3_sentencepiece, op4_warc, op5_line_dedup, op6_chat_format, op7_near_dup, op8_url_filter, op9_quality_classifier, op10_quality_rules)}
+    return {f.__name__: f for f in (op1_decontaminate, op2_substring_dedup, op3_sentencepiece, op4_warc, op5_line_dedup, op6_chat_format, op7_near_dup, op8_url_filter, op9_quality_classifier, op10_quality_rules, op11_collocations, op12_sharding)}
