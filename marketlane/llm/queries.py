@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marketlane.llm import chat, collocations, decontaminate, line_dedup, near_dup, quality_classifier, quality_rules, sentencepiece_codec, sharding, substring_dedup, url_filter, warc
+from marketlane.llm import chat, collocations, decontaminate, line_dedup, near_dup, quality_classifier, quality_rules, ranked_search, sentencepiece_codec, sharding, substring_dedup, url_filter, warc
 from marketlane.llm.common import table
 from marketlane.llm.oracles import oracle_sql
 
@@ -68,8 +68,12 @@ def op12_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.digest(table(spark, sf_dir, "documents"))
 
 
+def op13_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranked_search.ranked_search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 __all__ = ["oracle_sql", "queries"]
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_decontaminate, op2_substring_dedup, op3_sentencepiece, op4_warc, op5_line_dedup, op6_chat_format, op7_near_dup, op8_url_filter, op9_quality_classifier, op10_quality_rules, op11_collocations, op12_sharding)}
+    return {f.__name__: f for f in (op1_decontaminate, op2_substring_dedup, op3_sentencepiece, op4_warc, op5_line_dedup, op6_chat_format, op7_near_dup, op8_url_filter, op9_quality_classifier, op10_quality_rules, op11_collocations, op12_sharding, op13_ranked_search)}
