@@ -64,10 +64,11 @@ def _ranked(rows: DataFrame, source_col: str, seed: int, buckets: int) -> DataFr
 def interleaved(rows: DataFrame, shards: int = 40, source_col: str = "source", seed: int = 42) -> DataFrame:
     """``rows`` with law (``rows``), shard (from 0), slot (from 0, gapless in each shard) and grown_shard (null: no keyed law).
 
-    Shards' sizes differ by one row at most, and each shard has of each source its share of the whole, but for two rows at
-    most. Rows without a source are a source of their own. The shuffle goes by a digest of all columns, so many rows of one
-    id, or of none, fall apart as others do; rows alike in all columns are interchangeable, and each gets a slot of its
-    own. With fewer rows than shards some stay empty. New columns replace those of the same names.
+    Shards' sizes differ by one row at most. Each shard has of each source its share of the whole, but for two rows or so
+    where sources are few; of many that have fewer rows than there are shards, it has about its share by chance. Rows
+    without a source are a source of their own. The shuffle goes by a digest of all columns, so many rows of one id, or of
+    none, fall apart as others do; rows alike in all columns are interchangeable, and each gets a slot of its own. With
+    fewer rows than shards some stay empty. New columns replace those of the same names.
     """
     rows = rows.select(*without(rows, NEW))
     n = rows.count()
