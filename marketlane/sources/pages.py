@@ -228,7 +228,7 @@ def item_details(pages: DataFrame, html: str = "html") -> DataFrame:
         x["o"]["inventoryLevel"]["minValue"].try_cast("long").alias("stock_min"),
         x["o"]["inventoryLevel"]["maxValue"].try_cast("long").alias("stock_max"),
     )
-    track = F.regexp_extract(h, r"""<meta\b[^>]*name="buyma:track_item_json"[^>]*content='([^']*)'""", 1)
+    track = F.regexp_extract(h, r"""<meta\b[^>]*name="[^"]*:track_item_json"[^>]*content='([^']*)'""", 1)
     return read.select(
         *own,
         F.coalesce(meta(h, "og:title"), said(F.regexp_extract(h, r"(?s)<h1[^>]*>(.*?)</h1>", 1))).alias("name"),

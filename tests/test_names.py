@@ -21,6 +21,10 @@ from marketlane.functions import names
         ("ZQ77 19K 23SU", "ZQ77 19K 23SU"),
         ("26SS ZQ77 20F", "ZQ77 20F"),
         ("26SS", ""),
+        ("coat F/W 25 long", "coat long"),
+        ("coat 2025 f/w (25ss) long", "coat long"),
+        ("가방26SS코트 [25FW][AW24]", "가방코트"),
+        ("6F bag {SS26 x} 25", "bag {x} 25"),
         ("  ", ""),
         (None, None),
     ],

@@ -12,7 +12,7 @@ PROFILE = """<p class="label"><span class="{kind}">x</span>{said}</p><div id="bu
 SEARCH = """<ul><li class="product"><a href="/item/5/">a</a><div class="product_name">Cap</div><p class="product_Buyer"><a href="/buyer/8.html">Hat Corner</a></p><span class="Price_Txt">¥9,800</span></li>
 <li class="product"><span class="product_used_tag">used</span><a href="/item/6/">b</a></li><li class="product"><a href="https://y/item/7/">c</a></li></ul>"""
 DETAIL = """<h1>Fallback</h1><meta property="og:image" content="i.png"><meta name="twitter:label2" content="購入地"><meta name="twitter:data2" content=" Rome ">
-<meta name="buyma:track_item_json" content='{"kokaidate": "2026-01-02T03:04:05+09:00"}'><span class="ac_count">1,234 views</span><i id="tabmenu_inqcnt">(3)</i>
+<meta name="shop:track_item_json" content='{"kokaidate": "2026-01-02T03:04:05+09:00"}'><span class="ac_count">1,234 views</span><i id="tabmenu_inqcnt">(3)</i>
 <dl><dt>ブランド品番</dt><dd>AB <b>12</b></dd><dt>テーマ</dt><dd></dd></dl><p>この商品に関連するタグ</p><ul><li><a>Logo</a></li><a>もっと見る</a></ul>
 <script type="application/ld+json">[{"@type": "BreadcrumbList", "itemListElement": [{"name": "A"}]}, {"@type": "BreadcrumbList", "itemListElement": [{"name": "A"}, {"item": {"name": "B"}}]}]</script>
 <script type="application/ld+json">{"@type": "ProductGroup", "brand": {"name": "Zed"}, "hasVariant": [
