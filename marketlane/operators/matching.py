@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from marketlane.functions import text
 from marketlane.operators.relational import first_by
-from marketlane.sources.sinks import stored
+from marketlane.sources.sinks import dropped, stored
 
 
 def canonical_groups(offers: DataFrame, model: str = "model_no", brand: str = "brand", source: str = "source_site", least: int = 4) -> DataFrame:

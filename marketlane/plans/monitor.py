@@ -138,14 +138,14 @@ def orders_boundary_surplus(spark, sf_dir):
 
 @query(sql_over("offering_options", """,
 h AS (SELECT offering_id, color || size AS sku, in_stock AS was FROM offering_options WHERE offering_id % 3 <> 0),
-s AS (SELECT offering_id, color || size AS sku, CASE WHEN offering_id % 2 = 0 THEN in_stock ELSE 1 END AS now FROM offering_options WHERE offering_id % 5 <> 0 AND size <> '3')
+s AS (SELECT offering_id, color || size AS sku, CASE WHEN offering_id % 2 = 0 THEN in_stock ELSE 1 END AS now FROM offering_options WHERE (offering_id % 5 <> 0 AND size <> '3') OR offering_id % 3 = 0)
 SELECT coalesce(h.offering_id, s.offering_id) AS offering_id, coalesce(h.sku, s.sku) AS sku, CAST(coalesce(now, 2) AS BIGINT) AS availability
 FROM (SELECT * FROM h WHERE offering_id IN (SELECT offering_id FROM s)) AS h FULL JOIN s ON h.offering_id = s.offering_id AND h.sku = s.sku WHERE was IS NULL OR was <> coalesce(now, 2)"""))
 def variant_cdc(spark, sf_dir):
     """STR-13, JOI-28, DOC-09."""
     o = domain.offering_options(spark, sf_dir).withColumn("sku", F.concat("color", "size"))
     history = o.filter("offering_id % 3 <> 0").select("offering_id", "sku", F.lit(0).alias("observed_at"), F.col("in_stock").alias("availability"))
-    scan = o.filter("offering_id % 5 <> 0 AND size <> '3'").select("offering_id", "sku", F.when(F.col("offering_id") % 2 == 0, F.col("in_stock")).otherwise(1).cast("long").alias("availability"))
+    scan = o.filter("(offering_id % 5 <> 0 AND size <> '3') OR offering_id % 3 = 0").select("offering_id", "sku", F.when(F.col("offering_id") % 2 == 0, F.col("in_stock")).otherwise(1).cast("long").alias("availability"))
     return monitor.availability_delta(history, scan, scan, ["offering_id", "sku"]).withColumn("availability", F.col("availability").cast("long"))
 
 

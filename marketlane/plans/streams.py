@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
@@ -42,7 +40,7 @@ def stream_watermark(spark, sf_dir):
     """STR-01, STR-02: three crawls of each seller's whole history, newest first; only rows before the known sequence are new."""
     l = read(spark, sf_dir, "lineitem")
     newest = Window.partitionBy("l_suppkey").orderBy(F.desc("l_shipdate"), "l_partkey", "l_orderkey", "l_linenumber")
-    base = f"{runs.shared_dir(spark)}/crawls-{uuid.uuid4().hex}"
+    base = runs.new_path(spark, "crawls")
     for crawl in range(3):
         seen = l.filter(f"l_shipdate < TIMESTAMP_NTZ '2001-{crawl + 9:02}-05 00:00:00'")
         rows = seen.select(F.col("l_suppkey").alias("seller_id"), F.lit(crawl).cast("long").alias("crawl"), (F.row_number().over(newest) - 1).alias("place"), F.date_format("l_shipdate", "yyyy/MM/dd").alias("sale_date"), F.col("l_partkey").cast("string").alias("item_id"), F.col("l_quantity").cast("long").alias("qty"))

@@ -135,14 +135,17 @@ def category_backfill(spark, sf_dir):
 
 
 @query("""
-SELECT s_suppkey AS item_id, s_name AS name, CASE WHEN s_suppkey % 4 = 0 THEN 'first' ELSE 'second' END AS first_seen,
-       CASE WHEN s_suppkey % 4 = 0 AND s_suppkey % 3 <> 0 THEN 'DELETED' ELSE 'ACTIVE' END AS status, CASE WHEN s_suppkey % 4 = 0 AND s_suppkey % 3 <> 0 THEN 'then' END AS gone_at,
-       CASE WHEN s_suppkey % 3 = 0 AND s_suppkey % 2 = 0 THEN 7 WHEN s_suppkey % 4 = 0 THEN 1 END AS views FROM supplier WHERE s_suppkey % 4 = 0 OR s_suppkey % 3 = 0""")
+SELECT s_suppkey AS item_id, s_name AS name, CASE WHEN s_suppkey % 3 <> 0 OR s_suppkey % 4 = 0 THEN 'first' ELSE 'second' END AS first_seen,
+       CASE WHEN s_suppkey % 3 <> 0 THEN 'DELETED' ELSE 'ACTIVE' END AS status, CASE WHEN s_suppkey % 3 <> 0 THEN 'then' END AS gone_at,
+       CASE WHEN s_suppkey % 3 = 0 AND s_suppkey % 2 = 0 THEN 7 WHEN s_suppkey % 3 <> 0 OR s_suppkey % 4 = 0 THEN 1 END AS views FROM supplier""")
 def rescanned_items(spark, sf_dir):
-    """SNK-01, SNK-02, SNK-06, SNK-07: rows seen again revive, keep when they were first seen, and change a count only to a known one."""
+    """SNK-01, SNK-02, SNK-06, SNK-07: rows seen again revive, keep when they were first seen, and change a count only to a known one.
+
+    A supplier is in the table, in the scan, or in both.
+    """
     s = read(spark, sf_dir, "supplier")
     k = F.col("s_suppkey")
-    old = s.filter(k % 4 == 0).select(k.alias("item_id"), F.lower("s_name").alias("name"), F.lit("first").alias("first_seen"), F.lit("DELETED").alias("status"), F.lit("then").alias("gone_at"), F.lit(1).alias("views"))
+    old = s.filter((k % 3 != 0) | (k % 4 == 0)).select(k.alias("item_id"), F.lower("s_name").alias("name"), F.lit("first").alias("first_seen"), F.lit("DELETED").alias("status"), F.lit("then").alias("gone_at"), F.lit(1).alias("views"))
     old = old.withColumn("name", F.initcap("name"))
     new = s.filter(k % 3 == 0).select(k.alias("item_id"), F.col("s_name").alias("name"), F.lit("second").alias("first_seen"), F.when(k % 2 == 0, 7).alias("views"))
     seen = upkeep.rescanned(old.drop("views"), new.drop("views"), "item_id")

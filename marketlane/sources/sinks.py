@@ -9,20 +9,51 @@ from pyspark.sql import functions as F
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """``spark.checkpoint.dir`` of the session; where it is unset, a folder of the warehouse, which all executors share, too."""
+    """``spark.checkpoint.dir`` of the session; a folder of the warehouse where it is unset and Spark runs in one process.
+
+    On a cluster it has to be set: the warehouse's default is a local folder of each machine.
+    """
     own = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
-    return (own or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_checkpoints").rstrip("/")
+    if own:
+        return own.rstrip("/")
+    if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+        raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
+    return f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_checkpoints"
+
+
+def _file_system(spark: SparkSession, path: str):
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark._jsc.hadoopConfiguration()), at
 
 
 def new_path(spark: SparkSession, name: str) -> str:
-    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    """A path in the shared folder that nothing uses yet; what is written there goes when the session's process ends."""
+    path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    files, at = _file_system(spark, path)
+    files.mkdirs(at)
+    files.deleteOnExit(at)
+    return path
+
+
+def removed(spark: SparkSession, path: str) -> None:
+    files, at = _file_system(spark, path)
+    files.delete(at, True)
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:
     """``df`` as a table in the shared folder: what reads it several times scans its sources once."""
-    path = new_path(df.sparkSession, name)
+    path = f"{new_path(df.sparkSession, name)}/table"
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out._stored_path = path
+    return out
+
+
+def dropped(*tables: DataFrame) -> None:
+    """Deletes tables that ``stored`` made, as soon as nothing reads them any more."""
+    for t in tables:
+        if (path := getattr(t, "_stored_path", None)) is not None:
+            removed(t.sparkSession, path.rsplit("/", 1)[0])
 
 
 def overwrite(df: DataFrame, path: str, partition: str | None = None) -> None:
@@ -38,7 +69,22 @@ def append(df: DataFrame, path: str) -> None:
 
 
 def json_lines(df: DataFrame, path: str) -> None:
-    df.select(F.to_json(F.struct("*")).alias("value")).write.mode("overwrite").text(path)
+    """Adds one JSON text a row to the log at ``path``; what is there stays."""
+    df.select(F.to_json(F.struct("*")).alias("value")).write.mode("append").text(path)
+
+
+def json_export(df: DataFrame, path: str, name: str | None = None, group: int = 10_000) -> None:
+    """JSON arrays of up to ``group`` rows, one a line; with ``name``, scripts that add each to a list of that name.
+
+    ``window.name = (window.name || []).concat([...]);`` loads as a script, in as many pieces as there are lines, so
+    the whole table never has to be one text.
+    """
+    texts = df.select(F.to_json(F.struct("*")).alias("row")).withColumn("n", F.monotonically_increasing_id())
+    lists = texts.groupBy(F.spark_partition_id().alias("part"), F.expr(f"(n & ((1L << 33) - 1)) div {group}").alias("group"))
+    joined = lists.agg(F.transform(F.sort_array(F.collect_list(F.struct("n", "row"))), lambda x: x["row"]).alias("rows"))
+    array = F.concat(F.lit("["), F.array_join("rows", ","), F.lit("]"))
+    text = array if name is None else F.concat(F.lit(f"window.{name} = (window.{name} || []).concat("), array, F.lit(");"))
+    joined.orderBy("part", "group").select(text.alias("value")).write.mode("overwrite").text(path)
 
 
 def csv_report(df: DataFrame, path: str) -> None:

@@ -2,13 +2,11 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from marketlane.sources.sinks import shared_dir
+from marketlane.sources.sinks import new_path, removed
 
 
 def file_stream(spark: SparkSession, path: str, files_per_batch: int = 64) -> DataFrame:
@@ -22,7 +20,7 @@ def drained(stream: DataFrame, mode: str, name: str, checkpoint: str | None = No
     Each batch overwrites its own folder, so a batch that is repeated after a failure is not doubled.
     """
     spark = stream.sparkSession
-    base = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    base = new_path(spark, name)
     out = out or f"{base}/out"
 
     def write(batch: DataFrame, number: int) -> None:
@@ -45,27 +43,41 @@ def span(spark: SparkSession, path: str, time: str) -> str:
     return f"{(last or 0) - (first or 0) + 1} seconds"
 
 
-def merged(stream: DataFrame, keys: list[str], order: str, name: str, keep: tuple[str, ...] = (), fill: tuple[str, ...] = ()) -> DataFrame:
-    """The table after merging every batch by key; one version per batch.
+def merged(stream: DataFrame, keys: list[str], order: str, name: str, keep: tuple[str, ...] = (), fill: tuple[str, ...] = (), base: str | None = None) -> DataFrame:
+    """The table after merging every batch by key; one version per batch, of which the newest two stay.
 
     The row of the greatest ``order`` counts, in whatever batch it comes; of equal ones, that of the later batch. Columns
-    in ``keep`` have their first non-null value by ``order``, those in ``fill`` their last.
+    in ``keep`` have their first non-null value by ``order``, those in ``fill`` their last. With ``base``, a folder of
+    earlier runs, the stream goes on from there: a batch builds on the version of the batch before it.
     """
     spark = stream.sparkSession
-    base = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    base = base or new_path(spark, name)
     rest = [c for c in stream.columns if c not in (*keys, *keep, *fill)]
-    last = [""]
+    version = lambda n: f"{base}/v{n}"
 
     def write(batch: DataFrame, number: int) -> None:
         at = F.when(F.col(order).isNotNull(), F.struct(F.col(order).alias("order"), F.lit(number).cast("long").alias("batch")))
-        rows = batch.select(*keys, at.alias("__at"), F.struct(*rest).alias("__row"), *(F.when(F.col(c).isNotNull(), F.struct(at.alias("at"), F.col(c).alias("v"))).alias(f"__{c}") for c in (*keep, *fill)))
-        if last[0]:
-            rows = rows.unionByName(spark.read.schema(rows.schema).parquet(last[0]))
+        held = lambda c: F.when(F.col(c).isNotNull(), F.struct(at.alias("at"), F.col(c).alias("v"))).alias(f"__{c}")
+        rows = batch.select(*keys, at.alias("__at"), F.struct(*rest).alias("__row"), *map(held, (*keep, *fill)))
+        if number:
+            rows = rows.unionByName(spark.read.schema(rows.schema).parquet(version(number - 1)))
         picked = [F.max_by("__row", "__at").alias("__row"), *(f(f"__{c}", F.col(f"__{c}.at")).alias(f"__{c}") for f, cs in ((F.min_by, keep), (F.max_by, fill)) for c in cs)]
-        rows.groupBy(*keys).agg(F.max("__at").alias("__at"), *picked).write.mode("overwrite").parquet(f"{base}/v{number}")
-        last[0] = f"{base}/v{number}"
+        rows.groupBy(*keys).agg(F.max("__at").alias("__at"), *picked).write.mode("overwrite").parquet(version(number))
+        if number > 1:
+            removed(spark, version(number - 2))
 
-    stream.writeStream.option("checkpointLocation", f"{base}/state").trigger(availableNow=True).foreachBatch(write).start().awaitTermination()
-    if not last[0]:
+    run = stream.writeStream.option("checkpointLocation", f"{base}/state").trigger(availableNow=True).foreachBatch(write).start()
+    run.awaitTermination()
+    last = latest_batch(spark, f"{base}/state")
+    if last is None:
         return spark.createDataFrame([], stream.schema)
-    return spark.read.parquet(last[0]).select(*(c if c in keys else F.col(f"__{c}.v").alias(c) if c in (*keep, *fill) else F.col(f"__row.{c}").alias(c) for c in stream.columns))
+    shown = lambda c: c if c in keys else F.col(f"__{c}.v").alias(c) if c in (*keep, *fill) else F.col(f"__row.{c}").alias(c)
+    return spark.read.parquet(version(last)).select(*map(shown, stream.columns))
+
+
+def latest_batch(spark: SparkSession, checkpoint: str) -> int | None:
+    """The number of the last batch that a stream has completed, by its checkpoint's log of commits."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(f"{checkpoint}/commits")
+    files = at.getFileSystem(spark._jsc.hadoopConfiguration())
+    done = [f.getPath().getName() for f in files.listStatus(at)] if files.exists(at) else []
+    return max((int(n) for n in done if n.isdigit()), default=None)
