@@ -32,7 +32,8 @@ def reconciled_brands(stored: DataFrame, scanned: DataFrame) -> DataFrame:
 
     ``stored``: store, name, url, key, active (1, 0 or null); ``scanned``: store, name, url, key. A scanned brand is looked
     for by its key, then by its name without blanks and case: ``same``, ``moved`` (another path or key), ``kept off`` (it was
-    switched off by hand and stays so), or ``new``. A new name in Hangul is ``held`` in a shop whose stored names have none.
+    switched off by hand and stays so), or ``new``; of stored brands that share a key, the last by name stands for it. A new
+    name in Hangul is ``held`` in a shop whose stored names have none.
 
     An active stored brand is missing if neither its name is scanned nor its key, where a key counts only if no scanned
     brand of a known name has consumed it: of two brands that share one by mistake, the key saves none. The missing are

@@ -70,12 +70,12 @@ def brands(spark, scanned):
 def test_brands_of_a_complete_scan(spark):
     scanned = [("s", "끌로에", "u/1?cp=2", "h1"), ("s", "ADER ", "u/2", "h2"), ("s", "off", "u/9", "h4"), ("s", "moved", "u/55", "h5"), ("s", "New", "u/7", "h7"), ("s", "새것", "u/8", "h8")]
     got = brands(spark, scanned)
-    # Alaia shares Ader's key by mistake, and Ader is scanned by name, so the key saves nothing.
-    assert got == [("s", "Ader", "same"), ("s", "Alaia", "gone"), ("s", "Chloe", "same"), ("s", "Lost", "gone"), ("s", "Moved", "moved"), ("s", "New", "new"), ("s", "Off", "kept off"), ("s", "새것", "held")]
+    # Alaia shares Ader's key by mistake: it stands for the key, but as Ader is scanned by name, the key doesn't save it.
+    assert got == [("s", "Alaia", "gone"), ("s", "Alaia", "moved"), ("s", "Chloe", "same"), ("s", "Lost", "gone"), ("s", "Moved", "moved"), ("s", "New", "new"), ("s", "Off", "kept off"), ("s", "새것", "held")]
 
 
 def test_brands_of_an_incomplete_scan_and_of_none(spark):
-    assert brands(spark, [("s", "Ader", "u/2", "h2")]) == [("s", "Ader", "same"), *(("s", n, "withheld") for n in ("Alaia", "Chloe", "Lost", "Moved"))]
+    assert brands(spark, [("s", "Ader", "u/2", "h2")]) == sorted([("s", "Alaia", "moved"), *(("s", n, "withheld") for n in ("Alaia", "Chloe", "Lost", "Moved"))])
     assert brands(spark, [("t", "only", "u", None)]) == [("t", "More", "withheld"), ("t", "Only", "same")]
     assert brands(spark, [("t", " ", "u", None)]) == []
 
