@@ -3,10 +3,14 @@
 Documents are dealt into batches of about ``BATCH_BYTES`` of text, by id and text, so that neither a large table nor many
 rows of one id make a batch larger. A batch hashes all of its windows and keeps each distinct hash once, with the
 document where it first occurs (the combine before the shuffle: however often a window repeats, a batch sends it once).
-Sorted hashes leave as packed arrays, one row for each batch and hash range; there are as many ranges as the number of
-windows asks for. A range's reducer counts its hashes, finds the smallest document of each, and answers with a bitmap for
-each batch; the batch, computed anew, unites the bitmaps with its own repeats and merges the covered words into maximal
-removal intervals. As rows of hash and place the windows of a text would take six times its bytes; packed, they take two.
+Sorted hashes leave as packed arrays, one row for each batch and range of hashes, told apart by leading bits. A range's
+reducer counts its hashes, finds the smallest document of each, and answers with a bitmap for each batch; the batch,
+computed anew, unites the bitmaps with its own repeats and merges the covered words into maximal removal intervals. As
+rows of hash and place the windows of a text would take six times its bytes; packed, they take two.
+
+A batch splits into ``2**FAN_BITS`` ranges at most, so a row keeps some 64 KB and a table of n times the size has n times
+the rows. Where that leaves ranges above ``RANGE_BYTES``, as many batches are merged, range by range, into a group that
+splits again, and so on: each level moves the hashes once and multiplies the ranges, and answers come back the same way.
 
 Both passes over the documents read one exchange. Hashes have 64 bits: of N windows, one is taken for another's repeat
 with a probability of N / 2**64.
@@ -25,8 +29,10 @@ from marketlane.llm.common import Rolling, WordHashes, byte_texts, covered, id_k
 
 #: Bytes of text in a batch, and of packed hashes in a range, on average. A longer text is a batch of its own size.
 BATCH_BYTES, RANGE_BYTES = 8 << 20, 16 << 20
-_SPLIT = "bucket int, batch long, docs binary, firsts binary, hashes binary"
-_FLAGS = "batch long, bucket int, flags binary"
+#: Bits of a hash that tell the ranges of one level apart; as many batches make a group of the next level.
+FAN_BITS = 8
+_SPLIT = "bucket long, unit long, docs binary, firsts binary, hashes binary"
+_FLAGS = "unit long, bucket long, flags binary"
 
 
 def packed(hashes: np.ndarray) -> bytes:
@@ -58,11 +64,6 @@ class Batch:
         self.by, self.distinct = by, ascending[self.starts]
         self.first = np.minimum.reduceat(by, self.starts) if len(flat) else by
 
-    def borders(self, buckets: int) -> np.ndarray:
-        """Where each hash range starts among the distinct hashes."""
-        step = (2**64 - 1) // buckets
-        return np.append(np.searchsorted(self.distinct, np.arange(buckets, dtype=np.uint64) * np.uint64(step)), len(self.distinct))
-
     def flagged(self, later: np.ndarray) -> np.ndarray:
         """For every window: does it start earlier, here or (``later``, by distinct hash) in another batch?"""
         out = np.ones(len(self.by), bool)
@@ -70,52 +71,116 @@ class Batch:
         return out
 
 
-def _emit(window: int, buckets: int):
+def _borders(hashes: np.ndarray, bits: int, at: int = 0, known: int = 0) -> np.ndarray:
+    """Where each range of ``bits`` further leading bits starts among ascending hashes that share the first ``known``, ``at``."""
+    if not bits:
+        return np.array([0, len(hashes)])
+    first = (np.uint64(at) << np.uint64(bits)) + np.arange(1 << bits, dtype=np.uint64)
+    return np.append(np.searchsorted(hashes, first << np.uint64(64 - known - bits)), len(hashes))
+
+
+def _split_rows(unit: int, at: int, borders: np.ndarray, docs: np.ndarray, doc: np.ndarray, hashes: np.ndarray) -> pa.Table:
+    """A row for each range that has hashes: the documents in it, the place of each hash's first among them, the hashes."""
+    small = np.uint16 if len(docs) < 65536 else np.uint32
+    rows: dict[str, list] = {"bucket": [], "docs": [], "firsts": [], "hashes": []}
+    for k in np.flatnonzero(borders[1:] > borders[:-1]).tolist():
+        part = slice(borders[k], borders[k + 1])
+        present, place = np.unique(doc[part], return_inverse=True)
+        rows["bucket"].append(at + k)
+        rows["docs"].append(np.ascontiguousarray(docs[present]).tobytes())
+        rows["firsts"].append(place.astype(small).tobytes())
+        rows["hashes"].append(packed(hashes[part]))
+    bucket = pa.array(rows["bucket"], pa.int64())
+    return pa.table({"bucket": bucket, "unit": pa.array([unit] * len(bucket), pa.int64()), **{c: pa.array(rows[c], pa.binary()) for c in ("docs", "firsts", "hashes")}})
+
+
+def _emit(window: int, bits: int):
     def run(table: pa.Table) -> pa.Table:
         batch = Batch(table, window)
-        borders = batch.borders(buckets)
         doc = np.searchsorted(batch.ends, batch.first, "right")
-        small = np.uint16 if len(batch.keys) < 65536 else np.uint32
-        rows: dict[str, list] = {"bucket": [], "batch": [], "docs": [], "firsts": [], "hashes": []}
-        for k in range(buckets):
-            part = slice(borders[k], borders[k + 1])
-            if borders[k] < borders[k + 1]:
-                present, place = np.unique(doc[part], return_inverse=True)
-                rows["bucket"].append(k)
-                rows["batch"].append(table["__batch"][0].as_py())
-                rows["docs"].append(np.ascontiguousarray(batch.keys[present]).tobytes())
-                rows["firsts"].append(place.astype(small).tobytes())
-                rows["hashes"].append(packed(batch.distinct[part]))
-        return pa.table({"bucket": pa.array(rows["bucket"], pa.int32()), "batch": pa.array(rows["batch"], pa.int64()), **{c: pa.array(rows[c], pa.binary()) for c in ("docs", "firsts", "hashes")}})
+        return _split_rows(table["__batch"][0].as_py(), 0, _borders(batch.distinct, bits), batch.keys, doc, batch.distinct)
 
     return run
 
 
+class Merged:
+    """The hashes of several units in one range: in order of hash and document, with the unit that each comes from."""
+
+    def __init__(self, table: pa.Table) -> None:
+        hashes = [unpacked(x) for x in table["hashes"].to_pylist()]
+        docs = []
+        for d, f, h in zip(table["docs"].to_pylist(), table["firsts"].to_pylist(), hashes, strict=True):
+            keys = np.frombuffer(d, np.int64).reshape(-1, 2)
+            docs.append(keys[np.frombuffer(f, np.uint16 if len(f) == 2 * len(h) else np.uint32)])
+        self.table, self.cuts = table, np.cumsum([len(h) for h in hashes])[:-1]
+        flat, self.doc = np.concatenate(hashes), np.concatenate(docs)
+        self.order = np.argsort(flat)
+        self.hashes = flat[self.order]
+        self.again = np.concatenate(([False], self.hashes[1:] == self.hashes[:-1]))
+        # Only hashes of several units have to be put in order by document: equal ones stand together already.
+        some = np.flatnonzero(self.again | np.append(self.again[1:], False))
+        by = np.lexsort((self.doc[self.order[some], 1], self.doc[self.order[some], 0], self.hashes[some]))
+        self.order[some] = self.order[some[by]]
+
+    def answers(self, later: np.ndarray) -> pa.Table:
+        """For each unit's hashes, by place in the merged order: which of them occur in a smaller document elsewhere."""
+        flags = np.zeros(len(later), bool)
+        flags[self.order] = later
+        bits = [np.packbits(x).tobytes() if x.any() else None for x in np.split(flags, self.cuts)]
+        out = pa.table({"unit": self.table["unit"], "bucket": self.table["bucket"], "flags": pa.array(bits, pa.binary())})
+        return out.filter(pa.array([b is not None for b in bits]))
+
+
 def _later(table: pa.Table) -> pa.Table:
-    """For each batch's hashes in one range: which of them occur in a smaller document of another batch."""
-    hashes = [unpacked(x) for x in table["hashes"].to_pylist()]
-    docs = []
-    for d, f, h in zip(table["docs"].to_pylist(), table["firsts"].to_pylist(), hashes, strict=True):
-        keys = np.frombuffer(d, np.int64).reshape(-1, 2)
-        docs.append(keys[np.frombuffer(f, np.uint16 if len(f) == 2 * len(h) else np.uint32)])
-    flat, doc = np.concatenate(hashes), np.concatenate(docs)
-    order = np.argsort(flat)
-    ascending = flat[order]
-    again = np.concatenate(([False], ascending[1:] == ascending[:-1]))
-    # Only hashes of several batches have to be put in order by place: equal ones stand together already.
-    some = np.flatnonzero(again | np.append(again[1:], False))
-    ranked = some[np.lexsort((doc[order[some], 1], doc[order[some], 0], ascending[some]))]
-    flags = np.zeros(len(flat), bool)
-    flags[order[ranked]] = again[some]
-    cuts = np.cumsum([len(h) for h in hashes])[:-1]
-    bits = [np.packbits(x).tobytes() if x.any() else None for x in np.split(flags, cuts)]
-    return pa.table({"batch": table["batch"], "bucket": table["bucket"], "flags": pa.array(bits, pa.binary())}).filter(pa.array([b is not None for b in bits]))
-
-
-def _removed(table: pa.Table, flags: pa.Table, window: int, buckets: int):
+    """For each unit's hashes in one range: which of them occur in a smaller document of another unit."""
+    merged = Merged(table)
+    return merged.answers(merged.again)
+
+
+def _group_rows(bits: int, known: int):
+    def run(key: tuple, table: pa.Table) -> pa.Table:
+        bucket, group = (k.as_py() for k in key)
+        merged = Merged(table)
+        first = ~merged.again
+        docs, doc = np.unique(merged.doc[merged.order[first]], axis=0, return_inverse=True)
+        hashes = merged.hashes[first]
+        return _split_rows(group, bucket << bits, _borders(hashes, bits, bucket, known), docs, doc.reshape(-1), hashes)
+
+    return run
+
+
+def _group_answers(bits: int, known: int):
+    def run(key: tuple, left: pa.Table, right: pa.Table) -> pa.Table:
+        if not left.num_rows:
+            return pa.table({"unit": pa.array([], pa.int64()), "bucket": pa.array([], pa.int64()), "flags": pa.array([], pa.binary())})
+        bucket = key[0].as_py()
+        merged = Merged(left)
+        hashes = merged.hashes[~merged.again]
+        borders, elsewhere = _borders(hashes, bits, bucket, known), np.zeros(len(hashes), bool)
+        for at, data in zip(right["bucket"].to_pylist(), right["flags"].to_pylist(), strict=True):
+            k = at - (bucket << bits)
+            elsewhere[borders[k] : borders[k + 1]] = np.unpackbits(np.frombuffer(data, np.uint8), count=borders[k + 1] - borders[k]).astype(bool)
+        return merged.answers(merged.again | elsewhere[np.cumsum(~merged.again) - 1])
+
+    return run
+
+
+def _judged(rows: DataFrame, known: int, rest: int) -> DataFrame:
+    """Answers (unit, bucket, flags) for rows whose ranges have ``known`` leading bits and need ``rest`` more to be small."""
+    if rest <= 0:
+        return rows.groupBy("bucket").applyInArrow(_later, _FLAGS)
+    bits = min(rest, FAN_BITS)
+    grouped = rows.withColumn("group", F.shiftright("unit", FAN_BITS)).groupBy("bucket", "group")
+    finer = grouped.applyInArrow(_group_rows(bits, known), _SPLIT)
+    flags = _judged(finer, known + bits, rest - bits)
+    back = flags.withColumn("above", F.shiftright("bucket", bits)).groupBy("above", "unit")
+    return grouped.cogroup(back).applyInArrow(_group_answers(bits, known), _FLAGS)
+
+
+def _removed(table: pa.Table, flags: pa.Table, window: int, bits: int):
     """The batch, and for each of its documents a flag for each word: is it covered by a repeated window?"""
     batch = Batch(table, window)
-    borders = batch.borders(buckets)
+    borders = _borders(batch.distinct, bits)
     later = np.zeros(len(batch.distinct), bool)
     for bucket, bits in zip(flags["bucket"].to_pylist(), flags["flags"].to_pylist(), strict=True):
         size = borders[bucket + 1] - borders[bucket]
@@ -130,16 +195,17 @@ def _removed(table: pa.Table, flags: pa.Table, window: int, buckets: int):
 
 def _planned(docs: DataFrame, text_col: str, id_col: str, window: int, finish, schema: str, carry: list[str]) -> DataFrame:
     text_bytes = docs.agg(F.sum(F.octet_length(text_col))).first()[0] or 0
-    batches, buckets = text_bytes // BATCH_BYTES + 1, 2 * text_bytes // RANGE_BYTES + 1
+    batches, wanted = text_bytes // BATCH_BYTES + 1, (2 * text_bytes // RANGE_BYTES).bit_length()
+    bits = min(wanted, FAN_BITS)
     source = docs.select(*carry, id_key(id_col).alias("__key"), F.xxhash64(text_col).alias("__hash"), F.col(text_col).alias("__text"))
     source = source.withColumn("__batch", F.pmod(F.xxhash64("__key", "__hash"), F.lit(batches)))
     dealt = source.repartition(partitions(docs.sparkSession), "__batch")
-    flags = dealt.groupBy("__batch").applyInArrow(_emit(window, buckets), _SPLIT).groupBy("bucket").applyInArrow(_later, _FLAGS)
+    flags = _judged(dealt.groupBy("__batch").applyInArrow(_emit(window, bits), _SPLIT), bits, wanted - bits)
 
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
-        return finish(left, _removed(left, right, window, buckets))
+        return finish(left, _removed(left, right, window, bits))
 
-    return dealt.groupBy("__batch").cogroup(flags.groupBy("batch")).applyInArrow(run, schema)
+    return dealt.groupBy("__batch").cogroup(flags.groupBy("unit")).applyInArrow(run, schema)
 
 
 def substring_dedup(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id", window: int = 20) -> DataFrame:

@@ -404,6 +404,16 @@ def test_viterbi_against_brute_force_and_the_library(spark, vocabulary):
     assert [ids(t) for t in ("Hello world", "naïve façade 東京 🎉")] == [library.encode(t) for t in ("Hello world", "naïve façade 東京 🎉")]
 
 
+@pytest.mark.parametrize("fan", [1, 2, 3])
+def test_substring_dedup_over_several_levels(spark, docs, pairs, monkeypatch, fan):
+    """Ranges that are split again and again, in groups of few batches, give the same answers."""
+    monkeypatch.setattr(substring_dedup, "FAN_BITS", fan)
+    monkeypatch.setattr(substring_dedup, "BATCH_BYTES", 12_000)
+    monkeypatch.setattr(substring_dedup, "RANGE_BYTES", 8_000)
+    out = substring_dedup.digest(docs)
+    same(rows(out, "doc_id", "n_words", "n_removed", "kept_sha256"), brute.op2(pairs))
+
+
 def test_all_texts_are_streamed(spark, vocabulary, monkeypatch):
     """Without the dictionary of segments every character goes through ``feed``; the window stays small and the ids are the same."""
     v, fed, widest = vocabulary, [0], [0]
