@@ -5,10 +5,11 @@ the piece that ends there, and the starts from which a piece may still grow; non
 longest piece. Any later path leaves from one of these starts or from the end. As soon as the backpointers of all of them
 meet in one boundary, the ids before it are committed and forgotten.
 
-Where the vocabulary has no piece with a word mark after another character, every mark that starts a word is such a
-boundary, as is every character that no piece holds with others. There the stream stands on a single path, so the ids of
-a segment between two of them depend on the segment alone: those that were streamed before are remembered in a
-dictionary of bounded size. A model whose pieces cross words has one segment for a text, whatever its length.
+A text is one stream. It looks for a boundary after every word mark and every character that no piece holds with others,
+and after some number of characters where there are none. Where it finds all paths to meet right before the character
+just read, it stands as at its start, so what the next characters yield depends on them alone: the ids between two such
+boundaries, both found by the stream, are remembered by the characters read, in a dictionary of bounded size. Only what
+follows the last boundary of a text is committed because the text ends (``n_settled`` counts the rest).
 
 The default model is one of byte-pair merges. Its scores are ranks of the merges; the search maximises their sum over
 the pieces of a text, as the library does for such scores under its unigram type, and not the order of merges.
@@ -95,9 +96,9 @@ class Stream:
     def __init__(self, vocabulary: Vocabulary) -> None:
         self.v = vocabulary
         self.widest = 0
-        self._clear()
+        self.restart()
 
-    def _clear(self) -> None:
+    def restart(self) -> None:
         self.text, self.best, self.back, self.open = "", [0.0], [0], []
 
     def feed(self, chars: str) -> list[int]:
@@ -109,19 +110,33 @@ class Stream:
             chars = chars[some:]
             self.widest = max(self.widest, len(self.text))
             if len(self.text) % _CHECK_EVERY == 0 and (boundary := self._converged()):
-                out += self._ids(boundary)
-                self.text, self.best = self.text[boundary:], self.best[boundary:]
-                # Paths that start before the boundary can't be continued any more.
-                self.back = [max(0, x - boundary) for x in self.back[boundary:]]
-                self.open = [(score, start - boundary, node) for score, start, node in self.open]
+                out += self._committed(boundary)
+        return out
+
+    def _committed(self, boundary: int) -> list[int]:
+        out = self._ids(boundary)
+        self.text, base = self.text[boundary:], self.best[boundary]
+        # Scores count from the boundary, so that equal characters after it are worth the same in any text.
+        self.best = [x - base for x in self.best[boundary:]]
+        # Paths that start before the boundary can't be continued any more.
+        self.back = [max(0, x - boundary) for x in self.back[boundary:]]
+        self.open = [(score - base, start - boundary, node) for score, start, node in self.open]
         return out
 
     def finish(self) -> list[int]:
         """The rest of the ids: the stream's end, or a boundary known in advance, is where all paths meet."""
         out = self._ids(len(self.text))
-        self._clear()
+        self.restart()
         return out
 
+    def settled(self) -> list[int] | None:
+        """The ids before the last character if all paths meet right there; it stays in the window. Else None."""
+        end = len(self.text) - 1
+        met = self._converged()
+        # No piece grows from a character that is in none: then all paths meet behind it, and in the boundary before, too.
+        met = self.back[met] if met > end else met
+        return self._committed(end) if met == end else None
+
     def _search(self, chars: str) -> None:
         best, back, growing, root, unknown = self.best, self.back, self.open, self.v.pieces, self.v.unknown_score
         end = len(self.text)
@@ -169,39 +184,62 @@ class Stream:
         return out
 
 
-def _streamed(segment: str, stream: Stream) -> bytes:
-    ids = array("i", stream.feed(segment))
-    ids.extend(stream.finish())
-    return ids.tobytes()
-
-
 def encode_text(text: str, v: Vocabulary) -> bytes:
-    """Little-endian 32-bit ids. A mark that the text itself holds is encoded by its bytes, so decoding restores it."""
-    if not text:
-        return b""
-    if MARK in text:
-        pieces = text.split(MARK)
-        mark = np.array([v.byte_ids[b] for b in MARK.encode()], np.int32).tobytes()
-        return mark.join([encode_text(pieces[0], v) or _encoded(MARK, v), *(_encoded(p.replace(" ", MARK), v) for p in pieces[1:])])
-    return _encoded(MARK + text.replace(" ", MARK), v)
+    """Little-endian 32-bit ids of a text."""
+    return coded(text, v)[0]
+
 
+def coded(text: str, v: Vocabulary) -> tuple[bytes, int]:
+    """Ids, and how many of them were committed at boundaries where all paths met.
 
-def _encoded(marked: str, v: Vocabulary) -> bytes:
-    segments, known = v.parts.findall(marked) if v.parts else [marked], v.known
+    A mark that the text itself holds is encoded by its bytes, so decoding restores it; the stream ends before it.
+    """
+    if not text:
+        return b"", 0
+    if MARK not in text:
+        return _encoded(MARK + text.replace(" ", MARK), v)
+    first, *rest = text.split(MARK)
+    mark = np.array([v.byte_ids[b] for b in MARK.encode()], np.int32).tobytes()
+    parts = [coded(first, v) if first else _encoded(MARK, v), *(_encoded(p.replace(" ", MARK), v) for p in rest)]
+    return mark.join(p for p, _ in parts), sum(n for _, n in parts)
+
+
+def _encoded(marked: str, v: Vocabulary) -> tuple[bytes, int]:
+    """Ids of a stream's characters, fed up to and with the first character after each place where a boundary may be."""
+    segments = (v.parts.findall(marked) if v.parts else [marked]) if marked else []
+    if not segments:
+        return b"", 0
+    keys = [s + after[0] for s, after in zip(segments, segments[1:])]
+    keys.append(segments[-1])
     try:
-        return b"".join(map(known.__getitem__, segments))
+        found = list(map(v.known.__getitem__, keys))
     except KeyError:
-        stream, out = Stream(v), []
-    for segment in segments:
-        ids = v.known.get(segment)
-        if ids is None:
-            ids = v.older.get(segment) or _streamed(segment, stream)
-            if len(segment) <= _REMEMBERED_CHARS:
-                if len(v.known) >= _REMEMBERED:
-                    v.known, v.older = {}, v.known
-                v.known[segment] = ids
-        out.append(ids)
-    return b"".join(out)
+        found = _streamed(keys, v)
+    return b"".join(found), sum(map(len, found[:-1])) // 4
+
+
+def _streamed(keys: list[str], v: Vocabulary) -> list[bytes]:
+    """Ids by key; those of a key that doesn't end at a boundary come with the next one that does."""
+    stream, out, met = Stream(v), [], True
+    for k, key in enumerate(keys):
+        if met and (ids := v.known.get(key) or v.older.get(key)) is not None:
+            stream.restart()
+            out.append(ids)
+        else:
+            # The window holds a key's first character already, but where what came before was remembered.
+            alone, ids = met, array("i", stream.feed(key[1:] if stream.text else key))
+            ended = stream.finish() if k == len(keys) - 1 else stream.settled()
+            met = ended is not None
+            ids.extend(ended or [])
+            ids = ids.tobytes()
+            out.append(ids)
+            if not (alone and met):
+                continue
+        if len(key) <= _REMEMBERED_CHARS and key not in v.known:
+            if len(v.known) >= _REMEMBERED:
+                v.known, v.older = {}, v.known
+            v.known[key] = ids
+    return out
 
 
 def decode_ids(ids: bytes, v: Vocabulary) -> str:
@@ -271,9 +309,9 @@ def decode(coded: DataFrame, model_path: str = DEFAULT_MODEL, ids_col: str = "id
 
 
 def digest(docs: DataFrame, model_path: str = DEFAULT_MODEL, text_col: str = "text", id_col: str = "doc_id") -> DataFrame:
-    """Encodes and decodes each text in one pass: the id, n_tokens, n_byte_tokens, ids_sha256, decoded_sha256, round_trip."""
+    """Encodes and decodes each text in one pass: the id, n_tokens, n_byte_tokens, n_settled, ids_sha256, decoded_sha256, round_trip."""
     model = _shared(docs.sparkSession, model_path)
-    new = T.StructType([T.StructField("n_tokens", T.LongType()), T.StructField("n_byte_tokens", T.LongType()), T.StructField("ids_sha256", T.StringType()), T.StructField("decoded_sha256", T.StringType()), T.StructField("round_trip", T.BooleanType())])
+    new = T.StructType([T.StructField("n_tokens", T.LongType()), T.StructField("n_byte_tokens", T.LongType()), T.StructField("n_settled", T.LongType()), T.StructField("ids_sha256", T.StringType()), T.StructField("decoded_sha256", T.StringType()), T.StructField("round_trip", T.BooleanType())])
 
     def work(batches):
         v = _vocabulary(model.value)
@@ -283,9 +321,9 @@ def digest(docs: DataFrame, model_path: str = DEFAULT_MODEL, text_col: str = "te
             out = []
             texts = b[text_col].to_pylist()
             for t in texts:
-                ids = encode_text(t or "", v)
+                ids, settled = coded(t or "", v)
                 decoded = decode_ids(ids, v)
-                out.append((len(ids) // 4, int(single[np.frombuffer(ids, np.int32)].sum()), hashlib.sha256(ids).hexdigest(), hashlib.sha256(decoded.encode()).hexdigest(), decoded == (t or "")))
+                out.append((len(ids) // 4, int(single[np.frombuffer(ids, np.int32)].sum()), settled, hashlib.sha256(ids).hexdigest(), hashlib.sha256(decoded.encode()).hexdigest(), decoded == (t or "")))
             yield {f.name: list(c) for f, c in zip(new, zip(*out, strict=True) if out else [()] * len(new), strict=True)}
 
     return add_columns(docs.select(id_col, text_col), [text_col], new, work).drop(text_col)

@@ -442,6 +442,49 @@ def test_all_texts_are_streamed(spark, vocabulary, monkeypatch):
         assert stream.widest < 4 * sentencepiece_codec._CHECK_EVERY
 
 
+def test_ids_are_committed_where_paths_meet(spark, vocabulary, monkeypatch):
+    """In the query, at least 99 % of the ids; and no remembered segment ends where a stream's paths didn't meet."""
+    out = sentencepiece_codec.digest(table(spark, "documents")).agg(F.sum("n_settled"), F.sum("n_tokens"), F.bool_and("round_trip")).first()
+    assert out[0] > 0.99 * out[1] and out[2]
+    v, looked = vocabulary, [0, 0]
+    v.known.clear()
+    v.older.clear()
+    settled = sentencepiece_codec.Stream.settled
+
+    def counted(self):
+        ids = settled(self)
+        looked[0] += 1
+        looked[1] += ids is not None
+        return ids
+
+    monkeypatch.setattr(sentencepiece_codec.Stream, "settled", counted)
+    texts = [t for (t,) in plain(table(spark, "documents"), "text") if t]
+    ids = [sentencepiece_codec.encode_text(t, v) for t in texts]
+    assert looked[0] > 5000 and looked[1] == looked[0]
+    assert [sentencepiece_codec.encode_text(t, v) for t in texts] == ids
+
+
+def test_a_model_whose_pieces_cross_words(vocabulary):
+    """Where paths don't meet before a mark, the stream goes on, and nothing is remembered across it."""
+    from dataclasses import replace
+
+    v = vocabulary
+    pieces = {"▁": -2.0, "a": -2.5, "b": -2.5, "▁a": -3.0, "a▁b": -1.0, "▁a▁b▁": -1.5, "b▁a": -1.2}
+    tree = {}
+    for piece, score in pieces.items():
+        node = tree
+        for c in piece:
+            node = node.setdefault(c, {})
+        node[None] = score
+    made = replace(v, ids={p: 300 + i for i, p in enumerate(pieces)}, scores=pieces, longest=5, pieces=tree, known={}, older={}, parts=v.parts)
+    r = random.Random(2)
+    for n in range(1, 60):
+        text = "".join(r.choice("ab a b") for _ in range(n))
+        want = brute.op3(text, made)
+        for _ in range(2):
+            assert sentencepiece_codec.np.frombuffer(sentencepiece_codec.encode_text(text, made), "int32").tolist() == want
+
+
 def test_classifier_on_held_out_rows(spark):
     sf = "/root/testdata/sf0.1"
     docs, labels = spark.read.parquet(f"{sf}/documents.parquet"), spark.read.parquet(f"{sf}/labels.parquet")
