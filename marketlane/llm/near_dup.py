@@ -312,7 +312,10 @@ def _stated(rows: DataFrame, percent: int, node_limit: int, agree: int) -> DataF
 
 
 def _with_sets(docs: DataFrame, classes: DataFrame, need: DataFrame, shingle: int) -> DataFrame:
-    """``need`` (id and longs) with the full set of each id, from one document of the class; its text moves once."""
+    """``need`` (id and longs) with the full set of each id, from one document of the class.
+
+    ``docs`` has one row for each key and hash. A text moves once, to meet its needed rows; it goes to Python with each.
+    """
     from pyspark.sql.pandas.types import to_arrow_schema
 
     names = need.columns
@@ -479,12 +482,15 @@ def near_dup(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id", sh
     one = F.min(F.struct(F.col("key").isNotNull().alias("real"), "key", "hash")).alias("one")
     firsts = (F.first(c).alias(c) for c in ("n", "tokens", *_SKETCH))
     grouped = parts.filter("n > 0").groupBy("id").agg(one, *firsts)
+    # Rows that repeat an id and its text would all meet what is needed of their class.
+    repeated = parts.groupBy("key", "hash").agg(F.count("*").alias("rows")).filter("rows > 1")
+    texts = keyed if repeated.isEmpty() else scratch.write(keyed.dropDuplicates(["key", "hash"]))
     classes = scratch.write(grouped.select("id", "one.key", "one.hash", "n", "tokens", *_SKETCH, F.col("id").alias("label")))
 
     large = _large_nodes(classes, range(1 + TREES), node_limit)
     descent = lambda trees: Descent(trees, node_limit, large)
     pairs = scratch.write(_partners(_rows(classes, descent(range(1)), spark), percent, node_limit, agree))
-    links = scratch.write(_confirmed(keyed, classes, pairs, shingle, percent))
+    links = scratch.write(_confirmed(texts, classes, pairs, shingle, percent))
     # An id that stands for several classes ties them together.
     several = parts.filter("n > 0 AND key IS NOT NULL").groupBy("key").agg(F.min("id").alias("a"), F.max("id").alias("b")).filter("a <> b")
     tied = parts.filter("n > 0").join(several.select("key", "a"), "key").select("a", F.col("id").alias("b")).filter("a <> b").distinct()
@@ -494,13 +500,13 @@ def near_dup(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id", sh
 
     found = scratch.write(_stated(_rows(_labelled(classes, labels), descent(range(1, 1 + TREES)), spark), percent, node_limit, agree))
     pairs = scratch.write(found.filter("b IS NOT NULL").select("a", "b").distinct())
-    more = [] if pairs.isEmpty() else [scratch.write(_confirmed(keyed, classes, pairs, shingle, percent))]
+    more = [] if pairs.isEmpty() else [scratch.write(_confirmed(texts, classes, pairs, shingle, percent))]
     mixed_nodes = scratch.write(found.filter("node IS NOT NULL").groupBy("node").agg(F.min("label").alias("low"), F.max("label").alias("high")).filter("low <> high").select("node"))
     if more:
         labels = _united(labels, more[0], scratch)
     if not mixed_nodes.isEmpty():
         rows = scratch.write(_rows(_labelled(classes, labels), descent(range(1, 1 + TREES)), spark).drop("block").join(mixed_nodes, "node", "left_semi"))
-        more.append(scratch.write(_rest_links(keyed, classes, rows, shingle, percent, agree)))
+        more.append(scratch.write(_rest_links(texts, classes, rows, shingle, percent, agree)))
         scratch.drop(rows)
         if not more[-1].isEmpty():
             labels = _united(labels, more[-1], scratch)
@@ -511,5 +517,5 @@ def near_dup(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id", sh
     of = full.join(least, "label").select("key", "n", "least").unionAll(parts.filter("n = 0").select("key", "n", F.col("key").alias("least")))
     out = of.select(F.col("key").alias(id_col), F.col("n").cast("long").alias("n_shingles"), F.col("least").alias("component_id"), F.col("key").eqNullSafe(F.col("least")).alias("kept"))
     done = scratch.write(out)
-    scratch.drop(parts, classes, labels, found, pairs, mixed_nodes, *more)
+    scratch.drop(parts, classes, labels, found, pairs, mixed_nodes, texts, *more)
     return done

@@ -485,6 +485,69 @@ def test_a_model_whose_pieces_cross_words(vocabulary):
             assert sentencepiece_codec.np.frombuffer(sentencepiece_codec.encode_text(text, made), "int32").tolist() == want
 
 
+def test_near_dup_of_repeated_rows(spark, monkeypatch):
+    """However often a row repeats, with an id or without, each needed class brings its set once."""
+    r = random.Random(9)
+    base = [f"w{r.randint(0, 5000)}" for _ in range(200)]
+    texts = [" ".join(base), " ".join([*base[:100], "x", *base[101:]]), " ".join([*base[:50], "y", *base[51:]])]
+    rows = [(None, t) for t in texts for _ in range(300)] + [(7, texts[0])] * 300 + [(8, "alone and short")] * 5
+    moved = []
+    with_sets = near_dup._with_sets
+
+    def counted(docs, classes, need, shingle):
+        out = with_sets(docs, classes, need, shingle)
+        moved.append((need.count(), out.count()))
+        return out
+
+    monkeypatch.setattr(near_dup, "_with_sets", counted)
+    got = near_dup.near_dup(spark.createDataFrame(rows, "doc_id long, text string").repartition(6), shingle=2).collect()
+    assert len(got) == len(rows) and moved and all(a == b for a, b in moved)
+    assert {(x.doc_id, x.component_id, x.kept) for x in got} == {(None, None, True), (7, None, False), (8, 8, True)}
+
+
+def exact_links(texts, percent=80):
+    """All pairs of sets of word pairs with 100 * intersection >= percent * union, by an index of prefixes: nothing is left out."""
+    from collections import Counter, defaultdict
+
+    sets = []
+    for t in texts:
+        w = brute.spaced(brute.lower(t or ""))
+        sets.append({hash(p) for p in zip(w, w[1:])} or ({hash(tuple(w))} if w else set()))
+    often = Counter(x for s in sets for x in s)
+    index, links = defaultdict(list), []
+    for i in sorted(range(len(sets)), key=lambda i: len(sets[i])):
+        s = sets[i]
+        prefix = sorted(s, key=lambda x: (often[x], x))[: len(s) - -(-percent * len(s) // 100) + 1]
+        for j in {j for x in prefix for j in index[x]}:
+            if 100 * len(sets[j]) >= percent * len(s):
+                common = len(s & sets[j])
+                if 100 * common >= percent * (len(s) + len(sets[j]) - common):
+                    links.append((i, j))
+        for x in prefix:
+            index[x].append(i)
+    return links
+
+
+def test_near_dup_finds_all_links_of_ten_thousand_documents(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet").select("doc_id", "text")
+    rows = sorted(plain(docs, "doc_id", "text"))
+    links = exact_links([t for _, t in rows])
+    assert len(rows) == 10_000 and len(links) > 3000
+    root = list(range(len(rows)))
+
+    def find(x):
+        while root[x] != x:
+            root[x] = root[root[x]]
+            x = root[x]
+        return x
+
+    for a, b in links:
+        a, b = sorted((find(a), find(b)))
+        root[b] = a
+    want = {rows[i][0]: rows[find(i)][0] for i in range(len(rows))}
+    assert {r.doc_id: r.component_id for r in near_dup.near_dup(docs, shingle=2).collect()} == want
+
+
 def test_classifier_on_held_out_rows(spark):
     sf = "/root/testdata/sf0.1"
     docs, labels = spark.read.parquet(f"{sf}/documents.parquet"), spark.read.parquet(f"{sf}/labels.parquet")
