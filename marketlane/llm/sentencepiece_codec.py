@@ -110,17 +110,11 @@ class Stream:
             chars = chars[some:]
             self.widest = max(self.widest, len(self.text))
             if len(self.text) % _CHECK_EVERY == 0 and (boundary := self._converged()):
-                out += self._committed(boundary)
-        return out
-
-    def _committed(self, boundary: int) -> list[int]:
-        out = self._ids(boundary)
-        self.text, base = self.text[boundary:], self.best[boundary]
-        # Scores count from the boundary, so that equal characters after it are worth the same in any text.
-        self.best = [x - base for x in self.best[boundary:]]
-        # Paths that start before the boundary can't be continued any more.
-        self.back = [max(0, x - boundary) for x in self.back[boundary:]]
-        self.open = [(score - base, start - boundary, node) for score, start, node in self.open]
+                out += self._ids(boundary)
+                self.text, self.best = self.text[boundary:], self.best[boundary:]
+                # Paths that start before the boundary can't be continued any more.
+                self.back = [max(0, x - boundary) for x in self.back[boundary:]]
+                self.open = [(score, start - boundary, node) for score, start, node in self.open]
         return out
 
     def finish(self) -> list[int]:
@@ -130,12 +124,13 @@ class Stream:
         return out
 
     def settled(self) -> list[int] | None:
-        """The ids before the last character if all paths meet right there; it stays in the window. Else None."""
+        """The ids before the last character if all paths meet right there; the stream then stands as before it. Else None."""
         end = len(self.text) - 1
-        met = self._converged()
-        # No piece grows from a character that is in none: then all paths meet behind it, and in the boundary before, too.
-        met = self.back[met] if met > end else met
-        return self._committed(end) if met == end else None
+        if self.back[end + 1] != end or any(start < end for _, start, _ in self.open):
+            return None
+        out = self._ids(end)
+        self.restart()
+        return out
 
     def _search(self, chars: str) -> None:
         best, back, growing, root, unknown = self.best, self.back, self.open, self.v.pieces, self.v.unknown_score
@@ -211,35 +206,44 @@ def _encoded(marked: str, v: Vocabulary) -> tuple[bytes, int]:
         return b"", 0
     keys = [s + after[0] for s, after in zip(segments, segments[1:])]
     keys.append(segments[-1])
-    try:
-        found = list(map(v.known.__getitem__, keys))
-    except KeyError:
-        found = _streamed(keys, v)
+    found = list(map(v.known.get, keys))
+    if None in found:
+        found = _streamed(keys, found, v)
     return b"".join(found), sum(map(len, found[:-1])) // 4
 
 
-def _streamed(keys: list[str], v: Vocabulary) -> list[bytes]:
-    """Ids by key; those of a key that doesn't end at a boundary come with the next one that does."""
-    stream, out, met = Stream(v), [], True
-    for k, key in enumerate(keys):
-        if met and (ids := v.known.get(key) or v.older.get(key)) is not None:
-            stream.restart()
-            out.append(ids)
-        else:
-            # The window holds a key's first character already, but where what came before was remembered.
-            alone, ids = met, array("i", stream.feed(key[1:] if stream.text else key))
+def _streamed(keys: list[str], found: list[bytes | None], v: Vocabulary) -> list[bytes]:
+    """Ids by key; those that aren't known go through the stream, which stands at a boundary before each."""
+    stream = Stream(v)
+    for k in [k for k, ids in enumerate(found) if ids is None]:
+        key = keys[k]
+        ids = v.known.get(key) or v.older.get(key)
+        if ids is None:
+            fresh = stream.feed(key)
             ended = stream.finish() if k == len(keys) - 1 else stream.settled()
-            met = ended is not None
-            ids.extend(ended or [])
-            ids = ids.tobytes()
-            out.append(ids)
-            if not (alone and met):
-                continue
-        if len(key) <= _REMEMBERED_CHARS and key not in v.known:
+            if ended is None:
+                return _unremembered(keys, v)
+            ids = array("i", fresh + ended).tobytes()
+        if len(key) <= _REMEMBERED_CHARS:
             if len(v.known) >= _REMEMBERED:
                 v.known, v.older = {}, v.known
             v.known[key] = ids
-    return out
+        found[k] = ids
+    return found
+
+
+def _unremembered(keys: list[str], v: Vocabulary) -> list[bytes]:
+    """Ids by key from one stream over all of them: paths didn't meet after one, so its ids come with a later one."""
+    stream, out, met = Stream(v), [], True
+    for key in keys[:-1]:
+        ids = array("i", stream.feed(key if met else key[1:]))
+        ended = stream.settled()
+        met = ended is not None
+        ids.extend(ended or [])
+        out.append(ids.tobytes())
+    rest = array("i", stream.feed(keys[-1] if met else keys[-1][1:]))
+    rest.extend(stream.finish())
+    return [*out, rest.tobytes()]
 
 
 def decode_ids(ids: bytes, v: Vocabulary) -> str:

@@ -432,7 +432,9 @@ def test_all_texts_are_streamed(spark, vocabulary, monkeypatch):
     v.known.clear()
     v.older.clear()
     assert [sentencepiece_codec.encode_text(t, v) for t in texts] == want
-    assert fed[0] == sum(len(t) + 1 for t in texts) and widest[0] < 4 * sentencepiece_codec._CHECK_EVERY
+    # A character that a boundary is found at is read again behind it.
+    segments = sum(len(v.parts.findall(sentencepiece_codec.MARK + t.replace(" ", sentencepiece_codec.MARK))) for t in texts)
+    assert fed[0] == sum(len(t) + 1 for t in texts) + segments - len(texts) and widest[0] < 4 * sentencepiece_codec._CHECK_EVERY
     # One stream over a whole text, without cuts at words, commits on the way and gives the same ids, too.
     for text, ids in list(zip(texts, want, strict=True))[:40]:
         stream, marked = sentencepiece_codec.Stream(v), sentencepiece_codec.MARK + text.replace(" ", sentencepiece_codec.MARK)
