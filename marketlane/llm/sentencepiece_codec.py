@@ -35,7 +35,7 @@ DEFAULT_MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 #: A vocabulary file above this size is refused: it is broadcast.
 MAX_MODEL_BYTES = 64 << 20
 #: Segments that a worker remembers, and their length at most; characters after which the stream looks for a boundary.
-_REMEMBERED, _REMEMBERED_CHARS, _CHECK_EVERY = 300_000, 64, 64
+_REMEMBERED, _REMEMBERED_CHARS, _CHECK_EVERY = 500_000, 64, 64
 #: How far below the worst score a character without a piece counts (the public library's value).
 UNKNOWN_PENALTY = 10.0
 
