@@ -86,7 +86,8 @@ def undercut(current: Column, competitor: Column, draw: Column) -> Column:
 
 def seeded_draw(key: Column, seed: int) -> Column:
     """1 to 9, the same for a key and seed at every run."""
-    return (F.pmod(F.xxhash64(key, F.lit(seed)), F.lit(9)) + 1).cast("int")
+    digest = F.md5(F.concat_ws("|", F.lit(str(seed)), key.cast("string")))
+    return (F.conv(F.substring(digest, 1, 8), 16, 10).cast("long") % 9 + 1).cast("int")
 
 
 def next_interval(current: Column, kept: Column) -> Column:

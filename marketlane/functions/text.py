@@ -2,22 +2,23 @@
 
 from __future__ import annotations
 
+import sys
 import unicodedata
+from functools import cache, reduce
 
-import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 # Words that are no model number.
 STOP_TOKENS = (
-    "FREE 001 ONESIZE ONESIZEFREE FREESIZE SIZE NULL NONE NOLABEL "
-    "BLACK WHITE NERO BIANCO MARINE BLK BLUE RED GREEN PINK BROWN BEIGE GREY GRAY NAVY IVORY CREAM YELLOW ORANGE PURPLE "
-    "SILVER GOLD MULTI CLEAR CHARCOAL INDIGO NATURAL HEATHER NOUGAT LICHEN "
-    "TSHIRT TSHIRTS SHIRT SHIRTS SWEATER SWEATSHIRT HOODIE JACKET CREWNECK PULLOVER CARDIGAN BLOUSE BOTTOM BOTTOMS ONEPIECE "
-    "WIDELEG CROPPED COLLAR BEANIE BIKINI WALLET BUCKET "
-    "NOSTALGIA VINTAGE ARCHIVE ESSENTIAL DIAMOND SCRIPT PIGMENT HICKORY DONKEY DEXTER AURELIE POLOOFF CONNECTOR"
-).split()
+    "FREE", "001", "ONESIZE", "ONESIZEFREE", "FREESIZE", "SIZE", "NULL", "NONE", "NOLABEL", "BLACK", "WHITE", "NERO",
+    "BIANCO", "MARINE", "BLK", "BLUE", "RED", "GREEN", "PINK", "BROWN", "BEIGE", "GREY", "GRAY", "NAVY", "IVORY",
+    "CREAM", "YELLOW", "ORANGE", "PURPLE", "SILVER", "GOLD", "MULTI", "CLEAR", "CHARCOAL", "INDIGO", "NATURAL",
+    "HEATHER", "NOUGAT", "LICHEN", "TSHIRT", "TSHIRTS", "SHIRT", "SHIRTS", "SWEATER", "SWEATSHIRT", "HOODIE",
+    "JACKET", "CREWNECK", "PULLOVER", "CARDIGAN", "BLOUSE", "BOTTOM", "BOTTOMS", "ONEPIECE", "WIDELEG", "CROPPED",
+    "COLLAR", "BEANIE", "BIKINI", "WALLET", "BUCKET", "NOSTALGIA", "VINTAGE", "ARCHIVE", "ESSENTIAL", "DIAMOND",
+    "SCRIPT", "PIGMENT", "HICKORY", "DONKEY", "DEXTER", "AURELIE", "POLOOFF", "CONNECTOR",
+)
 # A season as a token of its own, and before a hyphen.
 SEASON_TOKEN = r"^(?:(?:20)?(?:1[5-9]|2[0-9])(?:SS|FW|AW|SP)|(?:SS|FW|AW)(?:1[5-9]|2[0-9]))$"
 SEASON_PREFIX = r"^[0-9]{2}[A-Z]{2}-"
@@ -79,7 +80,7 @@ def listing_category_key(paths: Column, name: Column) -> Column:
 def model_token(c: Column) -> Column:
     """A normalised model token, or null if it can't be one."""
     t = alnum_upper(c)
-    good = (F.length(t) >= 4) & ~t.isin(STOP_TOKENS) & ~t.rlike(SEASON_TOKEN) & ~((F.length(t) <= 4) & t.rlike("^[0-9]+$"))
+    good = (F.length(t) >= 4) & ~t.isin(*STOP_TOKENS) & ~t.rlike(SEASON_TOKEN) & ~((F.length(t) <= 4) & t.rlike("^[0-9]+$"))
     return F.when(good, F.substring(t, 1, 64))
 
 
@@ -159,38 +160,90 @@ def number_in(c: Column) -> Column:
     return F.regexp_extract(blank(c), r"([0-9]+(?:\.[0-9]+)?)", 1).try_cast("double")
 
 
-@F.pandas_udf(T.StringType())
-def sanitized(texts: pd.Series) -> pd.Series:
-    """Without combining marks, in composed form. No built-in function normalises Unicode."""
+# Signs that the marketplace refuses, and what stands for them.
+SAFE_SIGNS = {
+    "’": "'",
+    "‘": "'",
+    "“": '"',
+    "”": '"',
+    "–": "-",
+    "—": "-",
+    "™": "(TM)",
+    "®": "(R)",
+    "©": "(C)",
+    "…": "...",
+    "½": "1/2",
+    "⅓": "1/3",
+    "¼": "1/4",
+}
+# How a shop's name says that it is an authorised dealer, in full and shortened, and what fits any limit.
+DEALER, DEALER_SHORT, ANY_DEALER = "正規販売店", "正規店", "BRAND 正規販売店"
+
+
+@cache
+def _bases() -> tuple[str, str]:
+    """Characters that consist of a base and combining marks, and their bases, by the Unicode tables."""
+    pairs = []
+    for code in range(0x80, sys.maxunicode + 1):
+        char = chr(code)
+        parts = unicodedata.normalize("NFD", char)
+        bare = unicodedata.normalize("NFC", "".join(c for c in parts if unicodedata.category(c) != "Mn"))
+        if len(bare) == 1 and bare != char:
+            pairs.append((char, bare))
+    return "".join(a for a, _ in pairs), "".join(b for _, b in pairs)
+
+
+@cache
+def _wide() -> str:
+    """A class of the characters that are two columns wide: full-width, wide and ambiguous ones of East Asian Width."""
+    wide = [unicodedata.east_asian_width(chr(c)) in "FWA" for c in range(sys.maxunicode + 1)]
+    edges = [c for c in range(len(wide) + 1) if (c < len(wide) and wide[c]) != (c > 0 and wide[c - 1])]
+    return "".join(rf"\x{{{a:x}}}-\x{{{b - 1:x}}}" for a, b in zip(edges[::2], edges[1::2], strict=True))
+
+
+def sanitized(c: Column) -> Column:
+    """Without combining marks, composed or not, and with safe signs; null and empty give an empty text.
+
+    Jamo that stand apart are not joined to syllables.
+    """
+    bare = F.translate(F.regexp_replace(blank(c), r"\p{Mn}+", ""), *_bases())
+    return reduce(lambda text, sign: F.replace(text, F.lit(sign), F.lit(SAFE_SIGNS[sign])), SAFE_SIGNS, bare)
+
+
+def display_width(c: Column) -> Column:
+    """Columns of a text; wide characters count two."""
+    return F.char_length(c) + F.char_length(F.regexp_replace(c, f"[^{_wide()}]", ""))
 
-    def clean(t: str | None) -> str | None:
-        if t is None:
-            return None
-        bare = "".join(c for c in unicodedata.normalize("NFD", t) if not unicodedata.combining(c))
-        return unicodedata.normalize("NFC", bare)
 
-    return texts.map(clean)
+def truncated(c: Column, width: int) -> Column:
+    """The longest start of a text whose display width fits: a running sum over its characters."""
 
+    def add(s: Column, char: Column) -> Column:
+        used = s["used"] + F.when(char.rlike(f"[{_wide()}]"), 2).otherwise(1)
+        return F.when(used <= width, F.struct(used.alias("used"), (s["n"] + 1).alias("n"))).otherwise(F.struct(F.lit(width + 1).alias("used"), s["n"].alias("n")))
 
-def display_width(text: str) -> int:
-    return sum(2 if unicodedata.east_asian_width(c) in "FWA" else 1 for c in text)
+    chars = F.regexp_extract_all(c, F.lit("(?s)."), F.lit(0))
+    fitting = F.aggregate(chars, F.struct(F.lit(0).alias("used"), F.lit(0).alias("n")), add)["n"]
+    return F.when(display_width(c) <= width, c).otherwise(F.substring(c, F.lit(1), fitting))
 
 
-def truncated(c: Column, width: int) -> Column:
-    """The longest start of a text whose display width fits; wide characters count two."""
-
-    @F.pandas_udf(T.StringType())
-    def cut(texts: pd.Series) -> pd.Series:
-        def one(t: str | None) -> str | None:
-            if t is None or display_width(t) <= width:
-                return t
-            used = 0
-            for i, ch in enumerate(t):
-                used += display_width(ch)
-                if used > width:
-                    return t[:i]
-            return t
-
-        return texts.map(one)
-
-    return cut(c)
+def fitted_name(c: Column, width: int = 60) -> Column:
+    """A listing's name cut to its limit, without blanks at the end: the marketplace drops them, and names can't be edited."""
+    return F.regexp_replace(truncated(blank(c), width), r"(?U)\s+$", "")
+
+
+def fitted_option(c: Column, width: int = 26) -> Column:
+    """An option within its limit: of several colours joined by + the first and how many more, else a start with dots."""
+    text = blank(c)
+    colors = F.filter(F.transform(F.split(text, r"\+"), lambda x: F.trim(x)), lambda x: x != "")
+    short = F.concat(F.get(colors, F.lit(0)), F.lit(" 外"), (F.size(colors) - 1).cast("string"), F.lit("色"))
+    cut = F.concat(truncated(text, width - 3), F.lit("..."))
+    return F.when(display_width(text) <= width, text).when((F.size(colors) > 1) & (display_width(short) <= width), short).otherwise(cut)
+
+
+def fitted_shop(c: Column, width: int = 30) -> Column:
+    """A shop's name within its limit: as it is, else with a shorter word for dealer, else a name that fits any brand."""
+    text = blank(c)
+    short = F.replace(text, F.lit(DEALER), F.lit(DEALER_SHORT))
+    fits = F.when(display_width(text) <= width, text).when(text.endswith(DEALER) & (display_width(short) <= width), short)
+    return F.coalesce(fits, F.lit(ANY_DEALER))

@@ -66,5 +66,6 @@ def nearest_rank(df: DataFrame, value: str, shares: dict[str, float]) -> DataFra
     Their running sum is computed by no single task.
     """
     counts = df.filter(F.col(value).isNotNull()).groupBy(value).agg(F.count("*").alias("n"))
-    upto = relational.running_sum(counts, value, "n", "upto").crossJoin(F.broadcast(counts.agg(F.sum("n").alias("all"))))
+    upto = relational.running_sum(counts, value, "n", "upto")
+    upto = upto.crossJoin(F.broadcast(upto.agg(F.sum("n").alias("all"))))
     return upto.agg(*(F.min(F.when(F.col("upto") > F.least(F.floor(F.lit(s) * F.col("all")), F.col("all") - 1), F.col(value))).alias(k) for k, s in shares.items()))

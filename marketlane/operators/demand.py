@@ -118,8 +118,19 @@ def capture(scored: DataFrame, sold: str, score: str, parts: int = 10) -> DataFr
     Ranks come from counts per score and their running sum, which no single task computes.
     """
     by = scored.groupBy(score).agg(F.count("*").alias("n"), F.sum(sold).alias("s"))
-    total = scored.agg(F.count("*").alias("all_n"), F.sum(sold).alias("all_s"))
-    ranked = relational.running_sum(by, score, "n", "upto", descending=True).crossJoin(F.broadcast(total))
+    upto = relational.running_sum(by, score, "n", "upto", descending=True)
+    ranked = upto.crossJoin(F.broadcast(upto.agg(F.sum("n").alias("all_n"), F.sum("s").alias("all_s"))))
     tenth = F.least(F.lit(parts), F.floor((F.col("upto") - 1) * parts / F.col("all_n")) + 1)
     out = ranked.withColumn("tenth", tenth.cast("int")).groupBy("tenth").agg(F.sum("n").alias("n"), F.sum("s").alias("sold"), F.max("all_s").alias("all_s"))
     return out.select("tenth", "n", "sold", F.round(F.col("sold") / F.col("n"), 6).alias("rate"), F.round(F.sum("sold").over(Window.orderBy("tenth")) / F.col("all_s"), 6).alias("captured"))
+
+
+def auc(scored: DataFrame, hit: str, score: str) -> DataFrame:
+    """One row, auc: how likely a row with ``hit`` 1 scores above one with 0, where equal scores count half; null without both.
+
+    That is the rank sum with averaged ranks of ties, from counts per score and their running sum: no sort of all rows.
+    """
+    by = scored.groupBy(score).agg(F.count_if(F.col(hit) > 0).alias("ones"), F.count_if(F.col(hit) <= 0).alias("zeros"))
+    upto = relational.running_sum(by, score, "zeros", "upto")
+    won = F.sum(F.col("ones") * (F.col("upto") - F.col("zeros") / 2))
+    return upto.agg(F.try_divide(won, F.sum("ones") * F.sum("zeros")).alias("auc"))

@@ -123,3 +123,25 @@ def search(df: DataFrame, text: str | None = None, columns: tuple[str, ...] = ()
     if text:
         df = df.filter(reduce(lambda a, b: a | b, [F.coalesce(F.lower(c).contains(text.lower()), F.lit(False)) for c in columns]))
     return df
+
+
+def like(c: Column, text: str, form: str = "contains") -> Column:
+    """``LIKE`` for a text as it stands, its % and _ escaped: ``contains``, ``prefix`` or ``suffix``; null is no match."""
+    bare = text.replace("\\", "\\\\").replace("%", "\\%").replace("_", "\\_")
+    pattern = {"contains": f"%{bare}%", "prefix": f"{bare}%", "suffix": f"%{bare}"}[form]
+    return F.coalesce(c.like(pattern), F.lit(False))
+
+
+def path_level(c: Column, level: int, sep: str = "/") -> Column:
+    """Does a path have so many parts?"""
+    return F.size(F.split(F.coalesce(c, F.lit("")), f"[{sep}]")) == level
+
+
+def due(at: Column, now: str) -> Column:
+    """What has no time yet is due, as is what has come."""
+    return at.isNull() | (at <= F.lit(now).cast("timestamp_ntz"))
+
+
+def in_shard(c: Column, shards: int) -> Column:
+    """The shard of a text by its CRC32; null counts as empty."""
+    return F.crc32(F.encode(F.coalesce(c, F.lit("")), "UTF-8")) % shards

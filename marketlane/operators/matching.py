@@ -36,26 +36,69 @@ def contained_keys(keys: DataFrame, value: Column, least: int = 4) -> DataFrame:
     return long.filter("short <> long").join(short, ["brand_norm", "short"])
 
 
+#: A part of a brand's pairs that hang together is settled in one task if it has so many or fewer.
+SETTLED = 100_000
+
+
+def _rooted(edges: DataFrame) -> DataFrame:
+    """brand_norm, key, root: the smallest key that each key of an edge hangs together with, in rounds that double their reach."""
+    ends = edges.select("brand_norm", F.col("short").alias("v"), F.col("long").alias("u")).unionAll(edges.select("brand_norm", F.col("long").alias("v"), F.col("short").alias("u")))
+    near = stored(ends.unionAll(ends.select("brand_norm", "v", F.col("v").alias("u"))).distinct(), "near")
+    labels = stored(near.groupBy("brand_norm", "v").agg(F.min("u").alias("root")), "roots")
+    while True:
+        of = labels.select("brand_norm", F.col("v").alias("u"), "root")
+        # What the neighbours know, and then what the root that this gives knows itself.
+        least = near.join(of, ["brand_norm", "u"]).groupBy("brand_norm", "v").agg(F.min("root").alias("root"))
+        jumped = least.join(of.select("brand_norm", F.col("u").alias("root"), F.col("root").alias("on")), ["brand_norm", "root"])
+        new = jumped.join(labels.withColumnRenamed("root", "was"), ["brand_norm", "v"]).select("brand_norm", "v", F.col("on").alias("root"), (F.col("on") != F.col("was")).alias("moved"))
+        after = stored(new, "roots")
+        dropped(labels)
+        labels = after
+        if after.filter("moved").isEmpty():
+            dropped(near)
+            return labels.select("brand_norm", F.col("v").alias("key"), "root")
+
+
 def first_come(edges: DataFrame) -> DataFrame:
     """Of brand_norm, short, long: the pairs taken one by one by length and text of the short key, then of the long one,
     each only if both its keys are still free.
 
-    A pair that comes first for both its keys is taken whatever the rest does. So a round takes all of these and drops
-    the pairs of their keys; it takes at least one pair of each brand, and ends when no pair is left.
+    Pairs that don't hang together by common keys don't matter to one another. Those that do are settled in one pass over
+    their sorted list if they are ``SETTLED`` or fewer. Of larger parts a round takes each pair that comes first for both
+    its keys, and drops the pairs of their keys, until the rest is small or gone.
     """
     order = F.struct(F.length("short").alias("a"), "short", F.length("long").alias("b"), "long")
-    taken = []
-    while True:
-        ends = edges.select("brand_norm", order.alias("pair"), F.explode(F.array("short", "long")).alias("key"))
-        firsts = ends.groupBy("brand_norm", "key").agg(F.min("pair").alias("pair"))
-        both = firsts.groupBy("brand_norm", "pair").count().filter("count = 2")
-        taken.append(stored(both.select("brand_norm", "pair.short", "pair.long"), "pairs-taken"))
-        used = taken[-1].select("brand_norm", F.explode(F.array("short", "long")).alias("key"))
-        for end in ("short", "long"):
-            edges = edges.join(used.withColumnRenamed("key", end), ["brand_norm", end], "left_anti")
-        edges = stored(edges.select("brand_norm", "short", "long"), "pairs-left")
-        if edges.isEmpty():
-            return reduce(DataFrame.unionByName, taken)
+    edges, taken = stored(edges.distinct(), "pairs-left"), []
+    while not edges.isEmpty():
+        root = _rooted(edges)
+        parts = stored(edges.join(root.withColumnRenamed("key", "short"), ["brand_norm", "short"]), "parts")
+        sizes = parts.groupBy("brand_norm", "root").agg(F.count("*").alias("size"))
+        lists = parts.join(sizes.filter(F.col("size") <= SETTLED), ["brand_norm", "root"]).groupBy("brand_norm", "root").agg(F.array_sort(F.collect_list(order)).alias("pairs"))
+        none = F.struct(F.array().cast("array<string>").alias("used"), F.array().cast("array<struct<short:string,long:string>>").alias("taken"))
+
+        def settle(s: Column, p: Column) -> Column:
+            free = ~F.array_contains(s["used"], p["short"]) & ~F.array_contains(s["used"], p["long"])
+            more = F.struct(F.concat(s["used"], F.array(p["short"], p["long"])).alias("used"), F.concat(s["taken"], F.array(F.struct(p["short"].alias("short"), p["long"].alias("long")))).alias("taken"))
+            return F.when(free, more).otherwise(s)
+
+        settled = lists.select("brand_norm", F.explode(F.aggregate("pairs", none, settle)["taken"]).alias("p")).select("brand_norm", "p.short", "p.long")
+        taken.append(stored(settled, "pairs-taken"))
+        large = stored(parts.join(sizes.filter(F.col("size") > SETTLED), ["brand_norm", "root"], "left_semi").select("brand_norm", "short", "long"), "pairs-left")
+        dropped(edges, parts)
+        edges = large
+        if not edges.isEmpty():
+            ends = edges.select("brand_norm", order.alias("pair"), F.explode(F.array("short", "long")).alias("key"))
+            firsts = ends.groupBy("brand_norm", "key").agg(F.min("pair").alias("pair"))
+            both = firsts.groupBy("brand_norm", "pair").count().filter("count = 2")
+            taken.append(stored(both.select("brand_norm", "pair.short", "pair.long"), "pairs-taken"))
+            used = taken[-1].select("brand_norm", F.explode(F.array("short", "long")).alias("key"))
+            left = edges
+            for end in ("short", "long"):
+                left = left.join(used.withColumnRenamed("key", end), ["brand_norm", end], "left_anti")
+            left = stored(left.select("brand_norm", "short", "long"), "pairs-left")
+            dropped(edges)
+            edges = left
+    return reduce(DataFrame.unionByName, taken) if taken else edges
 
 
 def fuzzy_groups(groups: DataFrame, least: int = 6) -> DataFrame:
@@ -80,29 +123,41 @@ def fuzzy_groups(groups: DataFrame, least: int = 6) -> DataFrame:
     return out.select("canon", "brand_norm", F.coalesce("group", "mate", "canon").alias("group_key"), kind.alias("kind"))
 
 
+def _starts(key: Column, least: int) -> Column:
+    """All starts of a key of ``least`` characters or more, itself included; none of a shorter key."""
+    return F.when(F.length(key) >= least, F.transform(F.sequence(F.lit(least), F.length(key)), lambda n: F.substring(key, F.lit(1), n))).otherwise(F.array())
+
+
+def _pieces(key: Column, least: int) -> Column:
+    """All pieces of a key of ``least`` characters or more, itself included, each once; none of a shorter key."""
+    of = lambda i: F.transform(F.sequence(F.lit(least), F.length(key) - i + 1), lambda n: F.substring(key, i, n))
+    return F.when(F.length(key) >= least, F.array_distinct(F.flatten(F.transform(F.sequence(F.lit(1), F.length(key) - least + 1), of)))).otherwise(F.array())
+
+
 def prefix_match(left: DataFrame, right: DataFrame, brand: str = "brand_norm", key: str = "canon", least: int = 6) -> DataFrame:
     """left rows with match: an equal key of the brand, else the shortest longer or shorter one of which one starts the other.
 
-    Keys that start one another agree on their first ``least`` characters, so the join stays an equality join.
+    The longer key states all of its starts, and the shorter one is one of them: an equality join, whose rows are the pairs
+    themselves. A start that all keys of a brand share joins nothing unless it is a key.
     """
-    r = right.select(brand, F.substring(key, 1, least).alias("__start"), F.col(key).alias("match")).filter(F.length("match") >= least)
-    l = left.withColumn("__start", F.substring(key, 1, least))
-    pairs = l.join(r, [brand, "__start"]).filter((F.length(key) >= least) & (F.col(key).startswith(F.col("match")) | F.col("match").startswith(F.col(key))))
-    best = first_by(pairs.select(brand, key, "match", (F.col("match") != F.col(key)).alias("__far")), [brand, key], [F.col("__far"), F.length("match"), F.col("match")])
+    r = right.filter(F.length(key) >= least).select(brand, F.col(key).alias("match")).distinct()
+    l = left.filter(F.length(key) >= least).select(brand, key).distinct()
+    within = l.select(brand, key, F.explode(_starts(F.col(key), least)).alias("match")).join(r, [brand, "match"])
+    beyond = r.select(brand, "match", F.explode(_starts(F.col("match"), least)).alias(key)).join(l, [brand, key]).filter(F.col("match") != F.col(key))
+    pairs = within.select(brand, key, "match").unionByName(beyond.select(brand, key, "match"))
+    best = first_by(pairs.withColumn("__far", F.col("match") != F.col(key)), [brand, key], [F.col("__far"), F.length("match"), F.col("match")])
     return left.join(best.select(brand, key, "match"), [brand, key], "left")
 
 
 def brand_levels(names: DataFrame, brands: DataFrame, name: str = "name", brand: str = "brand", size: int = 3) -> DataFrame:
     """name, match, level: equal, equal by letters and digits, else the contained or containing brand closest in length.
 
-    Containment goes by the pieces of ``size`` characters: one of the two keys holds the first piece of the other.
+    The longer of two keys states its pieces of ``size`` characters or more, and the shorter one is one of them.
     """
     b = brands.select(F.col(brand).alias("match"), text.alnum_upper(F.col(brand)).alias("bk")).distinct()
     n = names.select(F.col(name).alias("name"), text.alnum_upper(F.col(name)).alias("nk")).distinct()
-    pieces = lambda k: F.array_distinct(F.transform(F.sequence(F.lit(1), F.greatest(F.lit(1), F.length(k) - size + 1)), lambda i: F.substring(F.col(k), i, F.lit(size))))
-    long_n, long_b = n.filter(F.length("nk") >= size), b.filter(F.length("bk") >= size)
-    inside = long_n.withColumn("p", F.explode(pieces("nk"))).join(long_b.withColumn("p", F.substring("bk", 1, size)), "p").filter(F.col("nk").contains(F.col("bk")))
-    around = long_n.withColumn("p", F.substring("nk", 1, size)).join(long_b.withColumn("p", F.explode(pieces("bk"))), "p").filter(F.col("bk").contains(F.col("nk")))
+    inside = n.withColumn("piece", F.explode(_pieces(F.col("nk"), size))).join(b.withColumn("piece", F.col("bk")), "piece")
+    around = b.withColumn("piece", F.explode(_pieces(F.col("bk"), size))).join(n.withColumn("piece", F.col("nk")), "piece")
     rows = n.join(b, F.col("name") == F.col("match")).select("name", "match", F.lit(1).alias("level"), F.lit(0).alias("gap"))
     rows = rows.unionAll(n.filter("nk <> ''").join(b, F.col("nk") == F.col("bk")).select("name", "match", F.lit(2), F.lit(0)))
     rows = rows.unionAll(inside.unionByName(around).select("name", "match", F.lit(3), F.abs(F.length("nk") - F.length("bk"))))
@@ -110,6 +165,26 @@ def brand_levels(names: DataFrame, brands: DataFrame, name: str = "name", brand:
     return n.select("name").join(best.select("name", "match", "level"), "name", "left")
 
 
+def dictionary_lookup(names: DataFrame, dictionary: DataFrame, name: str = "name", default: int = 99) -> DataFrame:
+    """name (each once) and number: of the dictionary's entry that equals it, else of the first that contains it or that it contains.
+
+    ``dictionary``: entry, rank, number. Names and entries are compared trimmed and in capitals. Pieces of names meet
+    entries, and names meet an index of the entries' pieces, by equality; the least rank of both counts. Null and empty
+    names, and those that fit nothing, have the default.
+    """
+    plain = lambda c: F.upper(F.trim(c))
+    d = dictionary.select(plain(F.col("entry")).alias("entry"), F.struct("rank", "number").alias("of")).filter("entry <> ''")
+    first = d.groupBy("entry").agg(F.min("of").alias("of"))
+    n = names.select(F.col(name)).distinct().withColumn("key", plain(F.col(name)))
+    keys = n.select("key").filter("key <> ''").distinct()
+    exact = keys.join(first.select(F.col("entry").alias("key"), F.col("of").alias("exact")), "key")
+    index = first.select(F.explode(_pieces(F.col("entry"), 1)).alias("key"), "of").groupBy("key").agg(F.min("of").alias("of"))
+    inside = keys.select("key", F.explode(_pieces(F.col("key"), 1)).alias("entry")).join(first, "entry").select("key", "of")
+    near = inside.unionByName(keys.join(index, "key")).groupBy("key").agg(F.min("of").alias("near"))
+    found = n.join(exact, "key", "left").join(near, "key", "left")
+    return found.select(name, F.coalesce("exact.number", "near.number", F.lit(default)).alias("number"))
+
+
 def same_family(models: Column, start: int = 6) -> Column:
     """All models contain the shortest one, or all share their first six characters."""
     short = F.element_at(F.array_sort(F.transform(models, lambda m: F.struct(F.length(m).alias("n"), m.alias("m")))), 1)["m"]

@@ -45,6 +45,74 @@ def velocities(observations: DataFrame, key: str, time: str, metrics: list[str])
     return two.groupBy(key).agg(F.count("*").alias("n"), pick(time, 1).alias("last_at"), *(pick(m, 1).alias(m) for m in metrics), *(F.when(d > 0, (pick(m, 1) - pick(m, 2)) / d).alias(f"{m}_per_day") for m in metrics))
 
 
+RECORD = "base_tier string, tier string, fav_velocity double, last_observed_at timestamp_ntz, next_revisit_at timestamp_ntz, obs_count long"
+
+
+def records(observations: DataFrame, key: str, time: str, fav: str, view: str) -> DataFrame:
+    """key and its record (``RECORD``): tiers by the newest observation and the change since the one before, and when to come again.
+
+    Two rows of a key are combined before the shuffle: a record needs its two newest, and how many there are.
+    """
+    row = F.struct(F.col(time).alias("at"), F.col(fav).alias("fav"), F.col(view).alias("view"))
+    two = ranked(observations.select(key, row.alias("o")), [key], [F.col("o.at").desc()]).filter("nth <= 2")
+    lists = two.groupBy(key).agg(F.max(F.when(F.col("nth") == 1, F.col("o"))).alias("new"), F.max(F.when(F.col("nth") == 2, F.col("o"))).alias("old"))
+    counts = observations.groupBy(key).agg(F.count("*").alias("obs_count"))
+    return recorded(lists.join(counts, key), key)
+
+
+def recorded(rows: DataFrame, key: str) -> DataFrame:
+    """The records of rows (key, new, old, obs_count), whose newest two observations are structs (at, fav, view)."""
+    zero = F.lit(0)
+    days = dates.seconds_between(F.col("old.at"), F.col("new.at")) / 86400
+    speed = lambda m: F.when(days > 0, (F.col(f"new.{m}") - F.col(f"old.{m}")) / days)
+    base = item_tier(F.col("new.fav"), F.col("new.view"), zero, zero, zero, F.lit(False))
+    tier = promoted(base, speed("fav"), speed("view"))
+    next_at = F.col("new.at") + F.make_dt_interval(days_of(tier, ITEM_DAYS))
+    return rows.select(key, base.alias("base_tier"), tier.alias("tier"), speed("fav").alias("fav_velocity"), F.col("new.at").alias("last_observed_at"), next_at.alias("next_revisit_at"), "obs_count")
+
+
+def variant_history(scans: DataFrame) -> DataFrame:
+    """item, sku, scan, availability: what to append to the variants' history after each scan: 1 in, 0 out, 2 gone.
+
+    ``scans``: scan, item, sku, availability. A scan judges the items it has rows of. The first sight of a variant is its
+    baseline; later only changes are appended, and gone is a variant that a scan of its item lacks.
+    """
+    covered = scans.groupBy("item").agg(F.array_sort(F.collect_set("scan")).alias("covered"))
+    seen = scans.groupBy("item", "sku").agg(F.map_from_entries(F.collect_list(F.struct("scan", "availability"))).alias("seen"))
+    each = seen.join(covered, "item").select("item", "sku", "seen", F.explode("covered").alias("scan"))
+    rows = each.filter(F.col("scan") >= F.array_min(F.map_keys("seen"))).withColumn("availability", F.coalesce(F.try_element_at("seen", F.col("scan")), F.lit(2)))
+    was = F.lag("availability").over(Window.partitionBy("item", "sku").orderBy("scan"))
+    return rows.withColumn("was", was).filter("was IS NULL OR was <> availability").select("item", "sku", "scan", "availability")
+
+
+def history_checks(history: DataFrame, current: DataFrame) -> DataFrame:
+    """check, value, n: rows by availability, rows by scan, and variants whose latest row isn't what ``current`` says.
+
+    ``current``: item, sku, availability. A variant that one side lacks counts as inconsistent, too.
+    """
+    by = lambda c, name: history.groupBy(F.lit(name).alias("check"), F.col(c).cast("string").alias("value")).agg(F.count("*").alias("n"))
+    latest = history.groupBy("item", "sku").agg(F.max_by("availability", "scan").alias("was"))
+    both = latest.join(current, ["item", "sku"], "full_outer")
+    odd = both.agg(F.count_if(~F.col("was").eqNullSafe(F.col("availability"))).alias("n"))
+    return by("availability", "state").unionByName(by("scan", "volume")).unionByName(odd.select(F.lit("inconsistent").alias("check"), F.lit("").alias("value"), "n"))
+
+
+def variant_step(scan: DataFrame, known: DataFrame | None) -> tuple[DataFrame, DataFrame]:
+    """What one scan appends to the variants' history, and the variants' last availabilities after it (item, sku, availability).
+
+    One full join on item and sku; variants of items that the scan has no rows of stay as they are known.
+    """
+    now = scan.select("item", "sku", "scan", F.col("availability").alias("now"))
+    if known is None:
+        return now.withColumnRenamed("now", "availability"), now.select("item", "sku", F.col("now").alias("availability"))
+    covered = scan.groupBy("item").agg(F.max("scan").alias("at"))
+    both = known.withColumnRenamed("availability", "was").join(now, ["item", "sku"], "full_outer").join(covered, "item", "left")
+    new = F.coalesce("now", F.when(F.col("at").isNotNull(), 2), "was").cast("long")
+    judged = both.select("item", "sku", F.col("at").alias("scan"), "was", new.alias("availability"))
+    changed = judged.filter("was IS NULL OR was <> availability")
+    return changed.select("item", "sku", "scan", "availability"), judged.select("item", "sku", "availability")
+
+
 def changes_only(observations: DataFrame, key: str, time: str, values: list[str]) -> DataFrame:
     """The first row of a key, and those that differ from the row before in any value."""
     w = Window.partitionBy(key).orderBy(time)
@@ -88,17 +156,18 @@ def up_days(events: DataFrame, key: str, time: str, kind: str, as_of: str) -> Da
 def seller_values(sellers: DataFrame, items: DataFrame, orders: DataFrame) -> DataFrame:
     """Every seller with score = 10 * hot and warm items + recent orders, its place among all, tier and days to the next scan.
 
-    Places are running sums of counts per score, which no single task computes; ties go by the larger id.
+    Places come from the order by score and id, dealt by ranges of both, so that many sellers of one score are no one task's.
     """
     hot = items.filter(F.col("tier").isin("HOT", "WARM")).groupBy("seller_id").agg(F.count("*").alias("n_hot"))
     sold = orders.groupBy("seller_id").agg(F.count("*").alias("n_orders"))
-    s = sellers.join(hot, "seller_id", "left").join(sold, "seller_id", "left").select("seller_id", (10 * F.coalesce("n_hot", F.lit(0)) + F.coalesce("n_orders", F.lit(0))).alias("score"))
-    by = s.groupBy("score").agg(F.count("*").alias("c"))
-    above = relational.running_sum(by, "score", "c", "upto", descending=True).select("score", (F.col("upto") - F.col("c")).alias("above"))
-    within = F.row_number().over(Window.partitionBy("score").orderBy(F.col("seller_id").desc())) - 1
-    placed = s.withColumn("within", within).join(above, "score").crossJoin(F.broadcast(s.agg(F.count("*").alias("n"))))
-    fraction = (F.col("above") + F.col("within")) / F.col("n")
-    return placed.select("seller_id", "score", F.round(fraction, 6).alias("fraction"), rank_tier(fraction).alias("tier")).withColumn("scan_days", days_of(F.col("tier"), SELLER_DAYS))
+    s = sellers.join(hot, "seller_id", "left").join(sold, "seller_id", "left")
+    score = 10 * F.coalesce("n_hot", F.lit(0)) + F.coalesce("n_orders", F.lit(0))
+    scored = s.select("seller_id", score.alias("score"), F.lit(1).cast("long").alias("one"))
+    placed = relational.running_sum(scored, [F.desc("score"), F.desc("seller_id")], "one", "place")
+    all_of = placed.agg(F.max("place").alias("n"))
+    fraction = (F.col("place") - 1) / F.col("n")
+    ranked = placed.crossJoin(F.broadcast(all_of)).select("seller_id", "score", F.round(fraction, 6).alias("fraction"), rank_tier(fraction).alias("tier"))
+    return ranked.withColumn("scan_days", days_of(F.col("tier"), SELLER_DAYS))
 
 
 def breaker(events: DataFrame, key: str, time: str, seconds: int, limit: int) -> DataFrame:

@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from marketlane.sources.sinks import stored
+
 
 def first_by(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:
     """One row per key, the first in a total order: an aggregate that combines before the shuffle, not a sort."""
@@ -53,18 +55,18 @@ def full_diff(old: DataFrame, new: DataFrame, keys: Sequence[str], values: Seque
     return o.join(n, list(keys), "full_outer").select(*keys, change.alias("change"), *(F.col(f"__new.{v}").alias(v) for v in values))
 
 
-def running_sum(rows: DataFrame, order: str, amount: str, name: str, descending: bool = False, parts: int = 256) -> DataFrame:
-    """``rows`` with the sum of ``amount`` up to each row in the order of a numeric column whose values are unique.
+def running_sum(rows: DataFrame, order: str | Sequence[Column], amount: str, name: str, descending: bool = False, parts: int = 256) -> DataFrame:
+    """``rows`` with the sum of ``amount`` up to each row, in an order that no two rows share: a column's, or that of several.
 
-    Approximate quantiles cut the rows into parts; sums of whole parts, one row for each, give what lies before a part,
-    and a window within the part the rest. So no task sorts more than about one in ``parts`` of the rows.
+    Spark deals the rows into parts by ranges of the order; they are stored with their part, so ``rows`` are computed once.
+    Sums of whole parts, one row for each, give what lies before a part, and a window within the part the rest. No task
+    sorts much more than one in ``parts`` of the rows, and rows equal in the first column don't have to stay together.
     """
-    way = F.desc if descending else F.asc
-    borders = rows.agg(F.percentile_approx(order, [k / parts for k in range(1, parts)], 10_000).alias("__borders"))
-    placed = rows.crossJoin(F.broadcast(borders)).withColumn("__part", F.size(F.filter("__borders", lambda b: b < F.col(order)))).drop("__borders")
+    by = [(F.desc if descending else F.asc)(order)] if isinstance(order, str) else list(order)
+    placed = stored(rows.repartitionByRange(parts, *by).withColumn("__part", F.spark_partition_id()), "running")
     sums = placed.groupBy("__part").agg(F.sum(amount).alias("__sum"))
-    before = sums.select("__part", (F.sum("__sum").over(Window.orderBy(way("__part"))) - F.col("__sum")).alias("__before"))
-    within = F.sum(amount).over(Window.partitionBy("__part").orderBy(way(order)))
+    before = sums.select("__part", (F.sum("__sum").over(Window.orderBy("__part")) - F.col("__sum")).alias("__before"))
+    within = F.sum(amount).over(Window.partitionBy("__part").orderBy(*by).rowsBetween(Window.unboundedPreceding, 0))
     return placed.withColumn("__within", within).join(F.broadcast(before), "__part").withColumn(name, F.col("__within") + F.col("__before")).drop("__part", "__within", "__before")
 
 

@@ -33,12 +33,15 @@ def completed_grid(union: DataFrame) -> DataFrame:
     return grid(union, "listing_id", "color", "size").join(union.select("listing_id", "color", "size", F.lit(1).alias("__has")), ["listing_id", "color", "size"], "left").withColumn("in_stock", F.coalesce("__has", F.lit(0))).drop("__has")
 
 
-def final_prices(listings: DataFrame, members: DataFrame, competitors: DataFrame) -> DataFrame:
-    """listing_id, outcome (priced, no_price, no_margin), price: undercut a competitor, else the target of the cheapest offer."""
+def final_prices(listings: DataFrame, members: DataFrame, competitors: DataFrame, seed: int = 1) -> DataFrame:
+    """listing_id, outcome (priced, no_price, no_margin), price: undercut a competitor, else the target of the cheapest offer.
+
+    How far a competitor is undercut is drawn from 1 to 9 by listing and ``seed``, so that a run can be repeated.
+    """
     cheapest = members.filter("purchase_price > 0").groupBy("listing_id").agg(F.min_by(F.struct("purchase_price", "shipping"), F.struct("purchase_price", "offering_id")).alias("m"), F.max("eligible").alias("any_margin"))
     l = listings.join(cheapest, "listing_id", "left").join(competitors, "listing_id", "left")
     target = money.target_price(F.col("m.purchase_price"), F.col("m.shipping"))
-    price = F.when(F.col("lowest").isNotNull(), money.undercut(F.col("price"), F.col("lowest"), F.lit(1))).otherwise(target)
+    price = F.when(F.col("lowest").isNotNull(), money.undercut(F.col("price"), F.col("lowest"), money.seeded_draw(F.col("listing_id"), seed))).otherwise(target)
     outcome = F.when(F.col("m").isNull(), "no_price").when(F.col("lowest").isNotNull() & ~F.col("any_margin"), "no_margin").otherwise("priced")
     return l.select("listing_id", outcome.alias("outcome"), F.when(outcome == "priced", price).cast("long").alias("price"))
 

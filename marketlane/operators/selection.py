@@ -59,3 +59,40 @@ def calibrated(predicted: DataFrame, actual: DataFrame) -> DataFrame:
     p = predicted.agg(F.sum("orders").alias("p_orders"), F.sum("margin").alias("p_margin"))
     a = actual.agg(F.sum("orders").alias("orders"), F.sum("margin").alias("margin"))
     return a.crossJoin(p).select((F.col("orders") / F.nullif("p_orders", F.lit(0))).alias("kappa"), (F.col("margin") / F.nullif("p_margin", F.lit(0))).alias("c"))
+
+
+def calls_left(calls: DataFrame, at: str, today: str, share: float = 1.5, days: int = 7) -> DataFrame:
+    """One row, calls: what is left today of ``share`` times the daily average of the week before; never below 0."""
+    day = F.col(at).cast("date")
+    now = F.lit(today).cast("date")
+    week = F.count_if((day >= F.date_sub(now, days)) & (day < now))
+    return calls.agg(F.greatest(F.lit(0), F.ceil(week * F.lit(share) / days) - F.count_if(day == now)).alias("calls"))
+
+
+def filled(waiting: DataFrame, score: str, key: str, open_slots: DataFrame, calls: DataFrame, per_row: int, most: int) -> DataFrame:
+    """key and slot (from 1) of the best waiting rows: as many as slots are open, calls last, and ``most`` allows."""
+    best = waiting.orderBy(F.desc(score), F.asc(key)).limit(most).withColumn("slot", F.row_number().over(Window.orderBy(F.desc(score), F.asc(key))))
+    bounds = open_slots.crossJoin(F.broadcast(calls)).select(F.least("slots", F.expr(f"calls div {per_row}")).alias("__n"))
+    return best.crossJoin(F.broadcast(bounds)).filter("slot <= __n").select(key, "slot")
+
+
+def rested(rows: DataFrame, swaps: DataFrame, key: str, at: str, as_of: str, days: int) -> DataFrame:
+    """Rows whose key has no recorded swap in the last ``days``."""
+    recent = swaps.filter((F.col(at) <= F.lit(as_of).cast("timestamp_ntz")) & (F.col(at) > F.lit(as_of).cast("timestamp_ntz") - F.make_dt_interval(F.lit(days))))
+    return rows.join(recent.select(key), key, "left_anti")
+
+
+def swapped(listed: DataFrame, waiting: DataFrame, score: str, key: str, margin: int, pairs: int) -> DataFrame:
+    """out_id, in_id, gain: the weakest listed against the best waiting by rank, where the gain is above the margin; ``pairs`` at most.
+
+    Twice as many are ranked as are asked for, so that pairs without enough gain make room for others.
+    """
+
+    def ranked(rows: DataFrame, order: list[Column], name: str) -> DataFrame:
+        few = rows.orderBy(*order).limit(2 * pairs).withColumn("i", F.row_number().over(Window.orderBy(*order)))
+        return few.select("i", F.col(key).alias(name), F.col(score).alias(f"__{name}"))
+
+    weak = ranked(listed, [F.asc(score), F.asc(key)], "out_id")
+    good = ranked(waiting, [F.desc(score), F.asc(key)], "in_id")
+    gain = F.col("__in_id") - F.col("__out_id")
+    return weak.join(F.broadcast(good), "i").withColumn("gain", gain).filter(F.col("gain") >= margin).orderBy("i").limit(pairs).select("out_id", "in_id", "gain")

@@ -24,6 +24,6 @@ def query(sql: str | None = None) -> Callable[[Query], Query]:
 
 
 def load() -> tuple[dict[str, Query], dict[str, str]]:
-    from marketlane.plans import catalog, demand, lookups, monitor, page_records, resolve, selection, shops, streams, upkeep  # noqa: F401
+    from marketlane.plans import catalog, demand, intake, lookups, monitor, page_records, resolve, selection, shops, streams, texts, upkeep  # noqa: F401
 
     return QUERIES, SQL

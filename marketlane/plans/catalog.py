@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from marketlane.functions import dates, money, text
-from marketlane.operators import matching, relational
+from marketlane.operators import filters, matching, relational
 from marketlane.plans import query
 from marketlane.sources import domain, pages
 from marketlane.sources.domain import AS_OF, read, sql_over
@@ -176,24 +176,43 @@ def html_title_links(spark, sf_dir):
     return pages.titles_and_links(read(spark, sf_dir, "pages"))
 
 
-@query("SELECT part_id, count(*) AS n FROM (SELECT page_id, CAST(('0x' || substr(md5(url), 1, 8)) AS BIGINT) % 4 AS part_id FROM pages) AS x GROUP BY part_id")
+@query("""
+WITH RECURSIVE bits(i, k, v) AS (
+  SELECT CAST(i AS BIGINT), 0, CAST(i AS BIGINT) FROM range(256) AS t(i)
+  UNION ALL SELECT i, k + 1, CASE WHEN v & 1 = 1 THEN xor(v >> 1, 3988292384) ELSE v >> 1 END FROM bits WHERE k < 8),
+steps AS (SELECT list(v ORDER BY i) AS t FROM bits WHERE k = 8),
+sums AS (
+  SELECT page_id, xor(list_reduce(list_prepend(CAST(4294967295 AS BIGINT), list_transform(regexp_extract_all(hex(url), '..'), lambda h: CAST('0x' || h AS BIGINT))),
+                                  lambda c, b: xor(c >> 8, t[CAST((xor(c, b) & 255) + 1 AS BIGINT)])), 4294967295) AS crc FROM pages, steps)
+SELECT CAST(crc % 4 AS BIGINT) AS part_id, count(*) AS n FROM sums GROUP BY 1""")
 def hash_shards(spark, sf_dir):
-    """FLT-14, with md5 in place of crc32 so that both engines agree."""
-    shard = F.conv(F.substring(F.md5("url"), 1, 8), 16, 10).cast("long") % 4
-    return read(spark, sf_dir, "pages").groupBy(shard.alias("part_id")).agg(F.count("*").alias("n"))
+    """FLT-14: pages by the CRC32 of their url, modulo the number of shards."""
+    return read(spark, sf_dir, "pages").groupBy(filters.in_shard(F.col("url"), 4).alias("part_id")).agg(F.count("*").alias("n"))
+
+
+_OFFERED = "(offering_id % 4 <> 0 AND size <> '2') OR offering_id % 3 = 0"
 
 
-@query(sql_over("offering_options", """,
-s AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY offering_id ORDER BY color, size) AS stored_id FROM offering_options) AS x WHERE offering_id % 3 <> 0),
-o AS (SELECT offering_id, color || size AS code, lower(color) AS color, size, in_stock FROM offering_options WHERE offering_id % 4 <> 0 AND size <> '2'),
+@query(sql_over("offering_options", f""",
+s AS (
+  SELECT *, CASE WHEN stored_id % 3 = 0 THEN NULL WHEN stored_id % 3 = 1 THEN color || size ELSE color || (CAST(size AS INTEGER) % 7 + 1) END AS code
+  FROM (SELECT *, row_number() OVER (PARTITION BY offering_id ORDER BY color, size) AS stored_id FROM offering_options) AS x WHERE offering_id % 3 <> 0),
+o AS (SELECT offering_id, color || size AS code, lower(color) AS color, size, in_stock FROM offering_options WHERE {_OFFERED}),
 sn AS (SELECT s.*, count(*) OVER (PARTITION BY offering_id) AS ns FROM s), n AS (SELECT o.*, count(*) OVER (PARTITION BY offering_id) AS no FROM o),
 hit AS (
-  SELECT sn.offering_id, sn.stored_id, n.code, n.in_stock FROM sn JOIN n ON sn.offering_id = n.offering_id AND ((ns = 1 AND no = 1) OR (lower(sn.color) = n.color AND sn.size = n.size)))
+  SELECT * FROM (
+    SELECT sn.offering_id, sn.stored_id, n.code, n.in_stock, row_number() OVER (PARTITION BY sn.offering_id, sn.stored_id
+             ORDER BY CASE WHEN ns = 1 AND no = 1 THEN 0 WHEN sn.code = n.code THEN 1 ELSE 2 END, n.code) AS nth
+    FROM sn JOIN n ON sn.offering_id = n.offering_id AND ((ns = 1 AND no = 1) OR sn.code = n.code OR (lower(sn.color) = n.color AND sn.size = n.size))) AS x WHERE nth = 1)
 SELECT sn.offering_id, sn.stored_id, h.code, CASE WHEN h.code IS NULL THEN 'gone' WHEN h.in_stock = 1 THEN 'in' ELSE 'out' END AS state FROM sn LEFT JOIN hit AS h ON sn.offering_id = h.offering_id AND sn.stored_id = h.stored_id
 UNION ALL SELECT offering_id, NULL, code, 'new' FROM n WHERE NOT EXISTS (SELECT 1 FROM hit AS h WHERE h.offering_id = n.offering_id AND h.code = n.code)"""))
 def stock_changes(spark, sf_dir):
-    """JOI-18, JOI-19."""
+    """JOI-18, JOI-19: by code, of which some name another variant than colour and size do, and some are missing; then by these."""
     o = domain.offering_options(spark, sf_dir)
-    stored = relational.ranked(o, ["offering_id"], [F.col("color"), F.col("size")], "stored_id").filter("offering_id % 3 <> 0").select("offering_id", F.col("stored_id").cast("long").alias("stored_id"), F.when(F.col("stored_id") % 2 == 0, F.concat("color", "size")).alias("code"), "color", "size")
-    offered = o.filter("offering_id % 4 <> 0 AND size <> '2'").select("offering_id", F.concat("color", "size").alias("code"), F.lower("color").alias("color"), "size", "in_stock")
+    stored = relational.ranked(o, ["offering_id"], [F.col("color"), F.col("size")], "stored_id").filter("offering_id % 3 <> 0")
+    k = F.col("stored_id") % 3
+    other = F.concat("color", (F.col("size").cast("int") % 7 + 1).cast("string"))
+    code = F.when(k == 1, F.concat("color", "size")).when(k == 2, other)
+    stored = stored.select("offering_id", F.col("stored_id").cast("long").alias("stored_id"), code.alias("code"), "color", "size")
+    offered = o.filter(_OFFERED).select("offering_id", F.concat("color", "size").alias("code"), F.lower("color").alias("color"), "size", "in_stock")
     return matching.matched_variants(stored, offered, "offering_id")

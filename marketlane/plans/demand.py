@@ -93,3 +93,15 @@ def backtest_capture(spark, sf_dir):
     """DOC-08: rate and captured share by tenth of the draft score."""
     sold = domain.listings(spark, sf_dir).select("listing_id", (F.col("sold") > 0).cast("long").alias("hit"))
     return demand.capture(flagship_draft_score(spark, sf_dir).join(sold, "listing_id"), "hit", "expected_daily")
+
+
+@query(sql_over("market_items market_orders listings", _SCORES + """,
+joined_sales AS (SELECT round(0.3663 * s.density * s.d_adj / 90, 10) AS x, l.sold > 0 AS hit FROM scored AS s JOIN listings AS l ON s.listing_id = l.listing_id),
+ranks AS (SELECT hit, rank() OVER (ORDER BY x) + (count(*) OVER (PARTITION BY x) - 1) / 2.0::DOUBLE AS r FROM joined_sales),
+sums AS (SELECT sum(r) FILTER (WHERE hit) AS r, count(*) FILTER (WHERE hit) AS p, count(*) FILTER (WHERE NOT hit) AS n FROM ranks)
+SELECT round((r - p * (p + 1) / 2.0::DOUBLE) / (p * n), 6) AS auc FROM sums"""))
+def backtest_auc(spark, sf_dir):
+    """DOC-08: how well the draft score tells what sells, with tied scores at half."""
+    sold = domain.listings(spark, sf_dir).select("listing_id", (F.col("sold") > 0).cast("long").alias("hit"))
+    found = demand.auc(flagship_draft_score(spark, sf_dir).join(sold, "listing_id"), "hit", "expected_daily")
+    return found.select(F.round("auc", 6).alias("auc"))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from marketlane.operators import filters, relational, resolve
+from marketlane.operators import filters, lookups, relational, resolve
 from marketlane.plans import query
 from marketlane.sources import domain
 from marketlane.sources.domain import AS_OF, read, sql_over
@@ -103,13 +103,12 @@ def mode_with_ties(spark, sf_dir):
 
 
 @query(sql_over("market_items", """
-SELECT model_no, count(*) AS n, min(current_price) AS floor_price, min(r) FILTER (WHERE seller_id % 10 = 0) AS our_rank, arg_min(item_id, r) AS top_item, coalesce(bool_or(r = 1 AND seller_id % 10 = 0), false) AS is_ours
+SELECT model_no, count(*) AS n, min(current_price) AS floor_price, min(r) FILTER (WHERE seller_id % 10 = 0) AS our_rank, arg_min(item_id, r) AS top_item, arg_min(seller_id, r) AS top_seller, min(current_price) AS top_price,
+       coalesce(string_agg(CAST(r AS VARCHAR), ' ' ORDER BY r) FILTER (WHERE seller_id % 10 = 0), '') AS our_ranks, coalesce(bool_or(r = 1 AND seller_id % 10 = 0), false) AS is_ours
 FROM (SELECT *, row_number() OVER (PARTITION BY model_no ORDER BY current_price, item_id) AS r FROM market_items) AS x GROUP BY model_no"""))
 def market_rank_aggregate(spark, sf_dir):
-    """AGG-30, AGG-31."""
-    r = relational.ranked(domain.market_items(spark, sf_dir), ["model_no"], [F.col("current_price"), F.col("item_id")], "r").withColumn("r", F.col("r").cast("long"))
-    ours = F.col("seller_id") % 10 == 0
-    return r.groupBy("model_no").agg(F.count("*").alias("n"), F.min("current_price").alias("floor_price"), F.min(F.when(ours, F.col("r"))).alias("our_rank"), F.min_by("item_id", "r").alias("top_item"), F.coalesce(F.bool_or((F.col("r") == 1) & ours), F.lit(False)).alias("is_ours"))
+    """AGG-30, AGG-31: each model's offers by price: how many, the first one, and all places that are ours."""
+    return lookups.search_results(domain.market_items(spark, sf_dir), "model_no", F.col("seller_id") % 10 == 0)
 
 
 @query("""

@@ -71,12 +71,12 @@ cheap AS (
 j AS (
   SELECT l.listing_id, l.price, w.lowest, c.purchase_price, c.any_margin,
          CASE WHEN c.listing_id IS NULL THEN 'no_price' WHEN w.lowest IS NOT NULL AND NOT c.any_margin THEN 'no_margin' ELSE 'priced' END AS outcome,
-         CASE WHEN w.lowest IS NOT NULL THEN CASE WHEN l.price BETWEEN w.lowest - 9 AND w.lowest - 1 THEN l.price ELSE w.lowest - 1 END
+         CASE WHEN w.lowest IS NOT NULL THEN CASE WHEN l.price BETWEEN w.lowest - 9 AND w.lowest - 1 THEN l.price ELSE w.lowest - (CAST('0x' || substr(md5('1|' || l.listing_id), 1, 8) AS BIGINT) % 9 + 1) END
               ELSE CAST(trunc((CAST(c.purchase_price AS DOUBLE) + {_SHIP} - CAST(c.purchase_price AS DOUBLE) / 11) / (1 - 0.055::DOUBLE - 0.30::DOUBLE) / 9.2::DOUBLE) AS BIGINT) END AS p
   FROM listings AS l LEFT JOIN cheap AS c ON l.listing_id = c.listing_id AND c.nth = 1 LEFT JOIN lowest AS w ON l.listing_id = w.listing_id)
 SELECT listing_id, outcome, CASE WHEN outcome = 'priced' THEN p END AS price FROM j"""))
 def final_prices(spark, sf_dir):
-    """NUM-02, NUM-09 (with a draw of 1), JOI-15."""
+    """NUM-02, NUM-09, JOI-15."""
     return resolve.final_prices(domain.listings(spark, sf_dir), _members(spark, sf_dir), _competitors(spark, sf_dir))
 
 

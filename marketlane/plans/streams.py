@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Window
+from functools import reduce
+
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from marketlane.operators import monitor as rules
 from marketlane.plans import SQL, monitor, query
-from marketlane.sources.domain import EVENTS_AS_OF, read
+from marketlane.sources import domain
+from marketlane.sources.domain import EVENTS_AS_OF, read, sql_over
 from marketlane.streaming import runs, state
 
 
@@ -35,6 +39,85 @@ def stream_status_merge(spark, sf_dir):
     return runs.merged(e, ["user_id"], "at", "status")
 
 
+_RECORDS = sql_over("observations", monitor._TWO + """,
+tiers AS (
+  SELECT *, CASE WHEN fav_count >= 50 OR view_count >= 2000 THEN 'HOT' WHEN fav_count >= 10 OR view_count >= 500 THEN 'WARM' ELSE 'COLD' END AS base_tier,
+         coalesce(fav_per_day >= 5, false) OR coalesce(view_per_day >= 100, false) AS surge FROM speeds),
+final AS (SELECT *, CASE WHEN surge AND base_tier = 'COLD' THEN 'WARM' WHEN surge AND base_tier = 'WARM' THEN 'HOT' ELSE base_tier END AS tier FROM tiers),
+counts AS (SELECT item_id, count(*) AS obs_count, max(observed_at) AS last_observed_at FROM observations GROUP BY item_id)
+SELECT f.item_id, base_tier, tier, round(fav_per_day, 6) AS fav_velocity, last_observed_at, last_observed_at + INTERVAL 1 DAY * CASE tier WHEN 'HOT' THEN 1 WHEN 'WARM' THEN 4 ELSE 30 END AS next_revisit_at, obs_count
+FROM final AS f JOIN counts USING (item_id)""")
+
+
+@query(_RECORDS)
+def observation_records(spark, sf_dir):
+    """STR-07: the state record of each item: tiers, velocity, last and next visit, number of observations."""
+    found = rules.records(domain.observations(spark, sf_dir), "item_id", "observed_at", "fav_count", "view_count")
+    return found.withColumn("fav_velocity", F.round("fav_velocity", 6))
+
+
+@query(_RECORDS)
+def stream_observation_records(spark, sf_dir):
+    """STR-07 as a stream: observations in three files, not in order of time; the rows of ``observation_records``."""
+    path = runs.new_path(spark, "observations")
+    domain.observations(spark, sf_dir).repartition(3, "event_id").write.parquet(f"{path}/in")
+    emitted = runs.drained(state.record_stream(runs.file_stream(spark, f"{path}/in", 1), "item_id", "observed_at", "fav_count", "view_count"), "update", "records")
+    return rules.recorded(runs.latest_per_key(emitted, "item_id"), "item_id").withColumn("fav_velocity", F.round("fav_velocity", 6))
+
+
+_SCANS = """
+scans AS (
+  SELECT unnest([0, 1, 2])::BIGINT AS scan, offering_id, color, size, in_stock FROM offering_options),
+rows AS (
+  SELECT scan, offering_id AS item, color || size AS sku, CASE WHEN (offering_id + scan) % 3 = 0 THEN in_stock ELSE 1 END AS availability FROM scans
+  WHERE (offering_id + scan) % 4 <> 0 AND NOT (scan = 1 AND size = '3') AND NOT (scan = 0 AND size = '5')),
+first AS (SELECT item, sku, min(scan) AS since FROM rows GROUP BY 1, 2), covered AS (SELECT DISTINCT item, scan FROM rows),
+steps AS (
+  SELECT f.item, f.sku, c.scan, coalesce(r.availability, 2) AS availability FROM first AS f JOIN covered AS c ON c.item = f.item AND c.scan >= f.since
+  LEFT JOIN rows AS r ON r.item = f.item AND r.sku = f.sku AND r.scan = c.scan)
+SELECT item, sku, scan, CAST(availability AS BIGINT) AS availability FROM (SELECT *, lag(availability) OVER (PARTITION BY item, sku ORDER BY scan) AS was FROM steps) AS x WHERE was IS NULL OR was <> availability"""
+
+
+def _scan(spark, sf_dir, scan):
+    """A scan that misses a quarter of the items, some sizes, and finds more in stock in some."""
+    o = domain.offering_options(spark, sf_dir)
+    turn = F.col("offering_id") + scan
+    rows = o.filter((turn % 4 != 0) & ((F.lit(scan) != 1) | (F.col("size") != "3")) & ((F.lit(scan) != 0) | (F.col("size") != "5")))
+    stock = F.when(turn % 3 == 0, F.col("in_stock")).otherwise(1).cast("long")
+    return rows.select(F.lit(scan).cast("long").alias("scan"), F.col("offering_id").alias("item"), F.concat("color", "size").alias("sku"), stock.alias("availability"))
+
+
+@query(sql_over("offering_options", "," + _SCANS))
+def variant_scans(spark, sf_dir):
+    """STR-13 over three scans: the baseline, then changes, and what is gone from items that a scan covers."""
+    return rules.variant_history(reduce(DataFrame.unionByName, (_scan(spark, sf_dir, k) for k in range(3))))
+
+
+@query(sql_over("offering_options", "," + _SCANS.replace("\nSELECT item, sku, scan,", ",\nhistory AS (SELECT item, sku, scan,") + """),
+latest AS (SELECT item, sku, arg_max(availability, scan) AS was FROM history GROUP BY 1, 2)
+SELECT 'state' AS check, CAST(availability AS VARCHAR) AS value, count(*) AS n FROM history GROUP BY 2
+UNION ALL SELECT 'volume', CAST(scan AS VARCHAR), count(*) FROM history GROUP BY 2
+UNION ALL SELECT 'inconsistent', '', count(*) FILTER (WHERE item % 50 = 0 AND was <> 0) FROM latest"""))
+def variant_checks(spark, sf_dir):
+    """DOC-09: states, volume by scan, and consistency of a variants' history; the current table is off for some items."""
+    history = rules.variant_history(reduce(DataFrame.unionByName, (_scan(spark, sf_dir, k) for k in range(3))))
+    latest = history.groupBy("item", "sku").agg(F.max_by("availability", "scan").alias("availability"))
+    current = latest.withColumn("availability", F.when(F.col("item") % 50 == 0, 0).otherwise(F.col("availability")))
+    return rules.history_checks(history, current)
+
+
+@query(sql_over("offering_options", "," + _SCANS))
+def stream_variant_scans(spark, sf_dir):
+    """STR-13 as a stream that goes on from one scan to the next: the rows of ``variant_scans``."""
+    base = runs.new_path(spark, "scans")
+    for k in range(3):
+        # A scan's files are the new ones, and so one batch.
+        _scan(spark, sf_dir, k).write.mode("append").parquet(f"{base}/in")
+        stream = runs.file_stream(spark, f"{base}/in", 1_000_000)
+        emitted = runs.versioned(stream, rules.variant_step, base, "item long, sku string, availability long")
+    return emitted.drop("batch")
+
+
 @query()
 def stream_watermark(spark, sf_dir):
     """STR-01, STR-02: three crawls of each seller's whole history, newest first; only rows before the known sequence are new."""

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from marketlane.functions import money, text
-from marketlane.operators import relational, upkeep
+from marketlane.operators import relational, selection, upkeep
 from marketlane.plans import query
 from marketlane.sources import domain, sinks
 from marketlane.sources.domain import AS_OF, read, sql_over
@@ -188,25 +188,50 @@ def daily_sweep(spark, sf_dir):
     return state
 
 
-@query(sql_over("listings", f"""
-SELECT listing_id, CAST(row_number() OVER (ORDER BY margin_krw DESC, listing_id) AS INTEGER) AS slot FROM listings WHERE is_published = 0 AND is_active = 1
-ORDER BY margin_krw DESC, listing_id LIMIT 25"""))
+@query(sql_over("listings", """,
+calls AS (
+  SELECT greatest(0, CAST(ceil(count(*) FILTER (WHERE CAST(ts AS DATE) >= DATE '2024-01-23' AND CAST(ts AS DATE) < DATE '2024-01-30') * 1.5::DOUBLE / 7) AS BIGINT)
+                     - count(*) FILTER (WHERE CAST(ts AS DATE) = DATE '2024-01-30')) AS calls FROM events),
+slots AS (SELECT greatest(0, count(*) * 9 // 20 - count(*) FILTER (WHERE is_published = 1 AND is_active = 1)) AS slots FROM listings),
+best AS (SELECT listing_id, CAST(row_number() OVER (ORDER BY margin_krw DESC, listing_id) AS INTEGER) AS slot FROM listings WHERE is_published = 0 AND is_active = 1)
+SELECT listing_id, slot FROM best, calls, slots WHERE slot <= least(40, slots, calls // 4)"""))
 def filled_slots(spark, sf_dir):
-    """DOC-01: the best waiting listings into the open slots, as far as the calls last (100 calls at 4 for a listing, 40 slots)."""
-    waiting = domain.listings(spark, sf_dir).filter("is_published = 0 AND is_active = 1")
-    best = waiting.orderBy(F.desc("margin_krw"), "listing_id").limit(min(40, 100 // 4))
-    return relational.ranked(best, [], [F.desc("margin_krw"), F.col("listing_id")], "slot").select("listing_id", "slot")
+    """DOC-01: the best waiting listings into the open slots, as far as today's calls last (4 for a listing, 40 at most)."""
+    rows = domain.listings(spark, sf_dir)
+    listed = F.count_if((F.col("is_published") == 1) & (F.col("is_active") == 1))
+    slots = rows.agg(F.greatest(F.lit(0), F.expr("count(*) * 9 div 20") - listed).alias("slots"))
+    calls = selection.calls_left(read(spark, sf_dir, "events"), "ts", "2024-01-30")
+    return selection.filled(rows.filter("is_published = 0 AND is_active = 1"), "margin_krw", "listing_id", slots, calls, 4, 40)
+
+
+@query(sql_over("listings", """,
+tired AS (SELECT DISTINCT user_id AS listing_id FROM events WHERE event_type IN ('signup', 'purchase') AND ts <= TIMESTAMP '2024-01-31' AND ts > TIMESTAMP '2024-01-31' - INTERVAL 1 DAY),
+rows AS (SELECT * FROM listings WHERE is_active = 1 AND listing_id NOT IN (SELECT listing_id FROM tired)),
+w AS (SELECT listing_id, margin_krw, row_number() OVER (ORDER BY margin_krw, listing_id) AS i FROM rows WHERE is_published = 1),
+n AS (SELECT listing_id, margin_krw, row_number() OVER (ORDER BY margin_krw DESC, listing_id) AS i FROM rows WHERE is_published = 0)
+SELECT w.listing_id AS out_id, n.listing_id AS in_id, n.margin_krw - w.margin_krw AS gain FROM w JOIN n ON w.i = n.i WHERE w.i <= 60 AND n.margin_krw - w.margin_krw >= 4700 ORDER BY w.i LIMIT 30"""))
+def rested_swaps(spark, sf_dir):
+    """DOC-02: swaps of the weakest listed for the best waiting, none of which was swapped within the last day."""
+    rows = domain.listings(spark, sf_dir).filter("is_active = 1")
+    swaps = read(spark, sf_dir, "events").filter("event_type IN ('signup', 'purchase')").select(F.col("user_id").alias("listing_id"), "ts")
+    free = selection.rested(rows, swaps, "listing_id", "ts", "2024-01-31 00:00:00", 1)
+    return selection.swapped(free.filter("is_published = 1"), free.filter("is_published = 0"), "margin_krw", "listing_id", 4700, 30)
 
 
 @query(sql_over("offering_options", """,
-sold AS (SELECT offering_id, list_sort(list(DISTINCT size)) AS sizes FROM offering_options GROUP BY offering_id), m AS (SELECT *, ['2', '9', '1'] AS measured FROM sold)
-SELECT offering_id, array_to_string(list_concat(sizes, list_filter(measured, lambda x: NOT list_contains(sizes, x))), ' ') AS sizes, CAST(len(list_filter(measured, lambda x: NOT list_contains(sizes, x))) AS INTEGER) AS added FROM m"""))
+sold AS (SELECT offering_id, list_sort(list(DISTINCT size)) AS sizes FROM offering_options WHERE in_stock = 1 GROUP BY offering_id),
+measured AS (SELECT offering_id, list_sort(list(DISTINCT CASE WHEN in_stock = 0 THEN size || 'L' ELSE size END)) AS sizes FROM offering_options GROUP BY offering_id),
+m AS (SELECT offering_id, coalesce(s.sizes, []) AS sizes, list_filter(m.sizes, lambda x: NOT list_contains(coalesce(s.sizes, []), x)) AS extra FROM measured AS m LEFT JOIN sold AS s USING (offering_id))
+SELECT offering_id, array_to_string(list_concat(sizes, extra), ' ') AS sizes, CAST(len(extra) AS INTEGER) AS added FROM m"""))
 def measured_options(spark, sf_dir):
-    """MAP-03: sizes that only the measurements name are added, out of stock."""
-    rows = domain.offering_options(spark, sf_dir).groupBy("offering_id").agg(F.array_sort(F.collect_set("size")).alias("sold"))
-    extra = F.array_except(F.map_keys("measures"), "sold")
-    measures = F.create_map(*(x for size, cm in (("2", 40), ("9", 47), ("1", 39)) for x in (F.lit(size), F.lit(cm))))
-    return rows.withColumn("measures", measures).select("offering_id", F.array_join(F.concat("sold", extra), " ").alias("sizes"), F.size(extra).alias("added"))
+    """MAP-03: sizes that only a product's own measurements name are added to its options, out of stock."""
+    size = F.col("size")
+    rows = domain.offering_options(spark, sf_dir).groupBy("offering_id").agg(
+        F.array_sort(F.collect_set(F.when(F.col("in_stock") == 1, size))).alias("sold"),
+        F.map_from_entries(F.array_sort(F.collect_set(F.struct(F.when(F.col("in_stock") == 0, F.concat(size, F.lit("L"))).otherwise(size).alias("size"), F.lit(40).alias("cm"))))).alias("measures"),
+    )
+    extra = F.array_except(F.array_sort(F.map_keys("measures")), "sold")
+    return rows.select("offering_id", F.array_join(F.concat("sold", extra), " ").alias("sizes"), F.size(extra).alias("added"))
 
 
 @query("""

@@ -87,6 +87,37 @@ def json_export(df: DataFrame, path: str, name: str | None = None, group: int =
     joined.orderBy("part", "group").select(text.alias("value")).write.mode("overwrite").text(path)
 
 
+def composite_save(parts: dict[str, DataFrame], base: str, number: int) -> None:
+    """One batch of several tables, which readers see together or not at all.
+
+    Each table's rows go to a folder of the batch, and a manifest with the batch's number comes last. A batch that is
+    repeated, whole or after a failure between two tables, replaces its folders and is no double.
+    """
+    spark = next(iter(parts.values())).sparkSession
+    for name, df in parts.items():
+        df.write.mode("overwrite").parquet(f"{base}/{name}/batch={number}")
+    manifest = spark.createDataFrame([(number, sorted(parts))], "batch long, tables array<string>")
+    manifest.coalesce(1).write.mode("overwrite").json(f"{base}/manifest/{number}")
+
+
+def composite_batches(spark: SparkSession, base: str) -> list[int]:
+    """The numbers of the batches that are whole."""
+    files, at = _file_system(spark, f"{base}/manifest")
+    if not files.exists(at):
+        return []
+    done = lambda f: files.exists(spark._jvm.org.apache.hadoop.fs.Path(f.getPath(), "_SUCCESS"))
+    return sorted(int(f.getPath().getName()) for f in files.listStatus(at) if done(f))
+
+
+def composite_read(spark: SparkSession, base: str, name: str, schema: str) -> DataFrame:
+    """A table's rows of all whole batches, with their batch number."""
+    batches = composite_batches(spark, base)
+    if not batches:
+        return spark.createDataFrame([], f"{schema}, batch long")
+    paths = [f"{base}/{name}/batch={n}" for n in batches]
+    return spark.read.schema(f"{schema}, batch long").option("basePath", f"{base}/{name}").parquet(*paths)
+
+
 def csv_report(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").option("header", True).csv(path)
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -43,6 +45,28 @@ def span(spark: SparkSession, path: str, time: str) -> str:
     return f"{(last or 0) - (first or 0) + 1} seconds"
 
 
+def versioned(stream: DataFrame, step: Callable[[DataFrame, DataFrame | None], tuple[DataFrame, DataFrame]], base: str, state: str) -> DataFrame:
+    """All rows that ``step`` gives, batch by batch: it gets a batch and the state table, and returns rows and the next state.
+
+    ``state`` is the table's schema. Each batch writes its rows and its version of the table to folders of its own, built on
+    the version before, so one that is repeated after a failure changes nothing; the newest two versions stay in ``base``.
+    """
+    spark = stream.sparkSession
+    version = lambda n: f"{base}/v{n}"
+
+    def write(batch: DataFrame, number: int) -> None:
+        batch = batch.persist()
+        out, after = step(batch, spark.read.schema(state).parquet(version(number - 1)) if number else None)
+        after.write.mode("overwrite").parquet(version(number))
+        out.write.mode("overwrite").parquet(f"{base}/out/batch={number}")
+        batch.unpersist()
+        if number > 1:
+            removed(spark, version(number - 2))
+
+    stream.writeStream.option("checkpointLocation", f"{base}/state").trigger(availableNow=True).foreachBatch(write).start().awaitTermination()
+    return spark.read.parquet(f"{base}/out")
+
+
 def merged(stream: DataFrame, keys: list[str], order: str, name: str, keep: tuple[str, ...] = (), fill: tuple[str, ...] = (), base: str | None = None) -> DataFrame:
     """The table after merging every batch by key; one version per batch, of which the newest two stay.
 

@@ -56,10 +56,9 @@ def up_days_at(emitted: DataFrame, key: str, as_of: str) -> DataFrame:
 
 
 def boundary(rows: list, known: list) -> int | None:
-    """How many rows stand before ``known`` as a part of ``rows``, both taken as lines of text; null if it isn't there or is empty."""
-    page, part = ("".join(f"\n{json.dumps(r)}" for r in x) + "\n" for x in (rows, known))
-    at = page.find(part) if known else -1
-    return page.count("\n", 0, at) if at >= 0 else None
+    """How many rows stand before the first place where ``known`` stands whole; null if it doesn't, or is empty."""
+    places = range(len(rows) - len(known) + 1) if known else ()
+    return next((at for at in places if rows[at : at + len(known)] == known), None)
 
 
 def new_rows(rows: list[tuple[str, str, int]], known: list[tuple[str, str, int]]) -> tuple[list, bool]:
@@ -94,6 +93,32 @@ def sequence_stream(crawls: DataFrame) -> DataFrame:
     return crawls.groupBy("seller_id").applyInPandasWithState(step, schema, "known string", "append", GroupStateTimeout.NoTimeout)
 
 
+def record_stream(observations: DataFrame, key: str, time: str, fav: str, view: str) -> DataFrame:
+    """For each batch and key: its two newest observations so far, ``new`` and ``old``, and obs_count, for ``monitor.recorded``.
+
+    The state is these two and the count. A late observation takes its place among them if it is newer than the older one.
+    """
+    shape = "struct<at:timestamp_ntz,fav:long,view:long>"
+
+    def step(k: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        held, count = state.get if state.exists else ("[]", 0)
+        two = [tuple(x) for x in json.loads(held)]
+        for b in batches:
+            count += len(b)
+            two = sorted([*two, *zip(b["us"].tolist(), b["fav"].tolist(), b["view"].tolist(), strict=True)], reverse=True)[:2]
+        state.update((json.dumps(two), count))
+        flat = [*two, *[(None, None, None)] * (2 - len(two))]
+        yield pd.DataFrame([(k[0], *flat[0], *flat[1], count)], columns=["key", "at1", "fav1", "view1", "at2", "fav2", "view2", "obs_count"]).astype({c: "Int64" for c in ("at1", "fav1", "view1", "at2", "fav2", "view2")})
+
+    us = F.unix_micros(F.col(time).cast("timestamp")).alias("us")
+    rows = observations.select(F.col(key).alias("key"), us, F.col(fav).cast("long").alias("fav"), F.col(view).cast("long").alias("view"))
+    schema = "key long, at1 long, fav1 long, view1 long, at2 long, fav2 long, view2 long, obs_count long"
+    emitted = rows.groupBy("key").applyInPandasWithState(step, schema, "two string, n long", "update", GroupStateTimeout.NoTimeout)
+    at = lambda c: F.timestamp_micros(c).cast("timestamp_ntz")
+    one = lambda n: F.when(F.col(f"at{n}").isNotNull(), F.struct(at(f"at{n}").alias("at"), F.col(f"fav{n}").alias("fav"), F.col(f"view{n}").alias("view"))).cast(shape)
+    return emitted.select(F.col("key").alias(key), one(1).alias("new"), one(2).alias("old"), "obs_count")
+
+
 def window_counts(events: DataFrame, time: str, kind: str, width: str = "1 day", late: str = "2 days") -> DataFrame:
     """Counts per event-time window and kind; rows later than ``late`` no longer count."""
     timed = events.withColumn("__time", F.col(time).cast("timestamp")).withWatermark("__time", late)

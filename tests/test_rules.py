@@ -1,5 +1,7 @@
 """Golden vectors of scalar rules and invariants of operators."""
 
+import unicodedata
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -46,8 +48,49 @@ def test_cleaning_twice_is_cleaning_once(spark):
 
 
 def test_display_width(spark):
-    r = one(spark, text.truncated(F.lit("あいう"), 5), text.truncated(F.lit("abc"), 5), text.truncated(F.lit(None).cast("string"), 5))
-    assert list(r) == ["あい", "abc", None]
+    r = one(spark, text.truncated(F.lit("あいう"), 5), text.truncated(F.lit("abc"), 5), text.truncated(F.lit(None).cast("string"), 5), text.truncated(F.lit("ab𠀀c"), 3), text.truncated(F.lit("aあb"), 2))
+    assert list(r) == ["あい", "abc", None, "ab", "a"]
+    for t in ("", "abc", "가b", "±é", "𠀀🎉", "ｱﾝ", "\n"):
+        assert one(spark, text.display_width(F.lit(t)))[0] == sum(2 if unicodedata.east_asian_width(c) in "FWA" else 1 for c in t)
+
+
+def test_names_options_and_shops_within_their_limits(spark):
+    cut = lambda f, t, n: one(spark, f(F.lit(t), n))[0]
+    assert [cut(text.fitted_name, t, 6) for t in ("abcde fgh", "가나다라", "abcdef", "", "  ")] == ["abcde", "가나다", "abcdef", "", ""]
+    assert [cut(text.fitted_option, t, 10) for t in ("red+blue", "red+blue+green", "red + blue + green + white", "long colour name", "+averyverylong", "가나다라마바")] == ["red+blue", "red 外2色", "red 外3色", "long co...", "+averyv...", "가나다..."]
+    assert [cut(text.fitted_shop, t, 18) for t in ("Abc正規販売店", "Abcdefghij正規販売店", "Abcdefghijklmn正規販売店", "A shop of another name", "")] == ["Abc正規販売店", "Abcdefghij正規店", "BRAND 正規販売店", "BRAND 正規販売店", ""]
+
+
+def test_sanitized_texts(spark):
+    for t, want in (("Crème Brûlée", "Creme Brulee"), ("e\u0301 ガ が", "e カ か"), ("Å Å", "A A"), ("“a”–‘b’—c™®©…½⅓¼", "\"a\"-'b'-c(TM)(R)(C)...1/21/31/4"), ("한글 漢字", "한글 漢字"), (None, ""), ("", "")):
+        assert one(spark, text.sanitized(F.lit(t).cast("string")))[0] == want
+
+
+def test_dictionary_lookup_by_order(spark):
+    d = spark.createDataFrame([("RED", 2, 10), ("dark red", 3, 11), ("RE", 5, 12), ("BLUE", 1, 13), ("", 0, 14)], "entry string, rank int, number int")
+    names = ["red", " Dark Red ", "darkred", "re", "e", "LU", "pure", "zzz", "", None, "red"]
+    got = matching.dictionary_lookup(spark.createDataFrame([(n,) for n in names], "name string"), d)
+    assert {r.name: r.number for r in got.collect()} == {"red": 10, " Dark Red ": 11, "darkred": 10, "re": 12, "e": 13, "LU": 13, "pure": 12, "zzz": 99, "": 99, None: 99}
+
+
+def test_many_nested_keys_of_one_brand_pair_in_few_rounds(spark, monkeypatch):
+    """200 keys, each within the next: pairs by order of length, and few tables on the way, however large a part may be."""
+    keys = [("b", "ABCDEF" + "X" * n, "s1" if n % 2 else "s2") for n in range(200)]
+    edges = [(b, x, y) for b, x, s in keys for b2, y, t in keys if len(x) < len(y) and s != t]
+    frame = spark.createDataFrame(edges, "brand_norm string, short string, long string")
+    want, used = [], set()
+    for _, x, y in sorted(edges, key=lambda e: (len(e[1]), e[1], len(e[2]), e[2])):
+        if x not in used and y not in used:
+            want.append((x, y))
+            used |= {x, y}
+    made = []
+    store = matching.stored
+    monkeypatch.setattr(matching, "stored", lambda df, name: made.append(name) or store(df, name))
+    assert sorted((r.short, r.long) for r in matching.first_come(frame).collect()) == sorted(want)
+    assert len(made) < 30
+    monkeypatch.setattr(matching, "SETTLED", 9000)  # the first round's part is larger, what it leaves is not
+    assert sorted((r.short, r.long) for r in matching.first_come(frame).collect()) == sorted(want)
+    assert matching.first_come(frame.limit(0)).count() == 0
 
 
 def test_worked_demand_example(spark):
