@@ -132,6 +132,14 @@ def availability_delta(history: DataFrame, scan: DataFrame, scanned: DataFrame,
     return both.select(*keys, new.alias("availability"), "was").filter(F.col("was").isNull() | (F.col("was") != F.col("availability"))).drop("was")
 
 
+def boundary_at(rows: Column, known: Column) -> Column:
+    """How many elements stand before the first place where ``known`` stands whole in ``rows``; null if it doesn't, or is empty."""
+    places = F.when((F.size(known) > 0) & (F.size(rows) >= F.size(known)), F.sequence(F.lit(0), F.size(rows) - F.size(known)))
+    # The first element decides for nearly all places, so only few are compared whole.
+    alike = lambda i: (F.get(rows, i) == F.get(known, F.lit(0))) & (F.slice(rows, i + 1, F.size(known)) == known)
+    return F.get(F.filter(F.coalesce(places, F.array().cast("array<int>")), alike), F.lit(0))
+
+
 def boundary_surplus(new: DataFrame, old: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:
     """Of new rows, as many per signature as there are beyond those already stored."""
     n_old = old.groupBy(*keys).agg(F.count("*").alias("n_old"))

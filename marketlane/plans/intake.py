@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from marketlane.functions import names, text
+from marketlane import config
+from marketlane.functions import dates, money, names, text
 from marketlane.operators import filters, lookups, relational
 from marketlane.plans import query
 from marketlane.sources import domain, files, raw_rows, sinks
@@ -227,3 +228,65 @@ def label_buckets(spark, sf_dir):
     rows = c.select(i.alias("id"), store.alias("store"), F.col("c_mktsegment").alias("label"), maker.alias("maker"))
     listed = c.filter((k + store) % 2 == 0).select(store.alias("store"), F.when(k != 3, F.concat(F.lit("MAKER-"), k)).alias("name"), F.concat(F.lit("Maker "), k).alias("english"))
     return lookups.corrected_labels(rows, listed)
+
+
+@query("""
+WITH brands AS (SELECT CAST(substr(p_brand, 7) AS BIGINT) AS key, list(p_type ORDER BY first) AS types FROM (SELECT p_brand, p_type, min(p_partkey) AS first FROM part GROUP BY 1, 2) AS x GROUP BY 1)
+SELECT 'list' AS shape, CAST(key AS VARCHAR) AS key, array_to_string(types, ' ') AS value FROM brands
+UNION ALL SELECT 'url', url, NULL FROM pages WHERE url LIKE 'http%'
+UNION ALL SELECT 'item', CAST(s_suppkey AS VARCHAR), s_name || ' 2001-11-05' FROM supplier""")
+def file_shapes(spark, sf_dir):
+    """SRC-09, SRC-11, SRC-12: a positional CSV gathered into lists, a list of URLs, and a JSON document, written and read back."""
+    base = sinks.new_path(spark, "shapes")
+    part = read(spark, sf_dir, "part").select(F.substring("p_brand", 7, 9).alias("k"), F.lit("-").alias("skipped"), "p_type", "p_partkey")
+    # One file in order of the parts, below a header that is no number.
+    header = spark.createDataFrame([("number", "-", "type", -1)], part.schema)
+    header.unionByName(part).coalesce(1).sortWithinPartitions("p_partkey").drop("p_partkey").write.csv(f"{base}/lists")
+    lists = files.keyed_lists(spark, f"{base}/lists", 0, 2).select(F.lit("list").alias("shape"), F.col("key").cast("string").alias("key"), F.array_join("values", " ").alias("value"))
+    urls = read(spark, sf_dir, "pages").select(F.concat(F.lit(" "), "url").alias("value"))
+    urls.unionByName(spark.createDataFrame([("URL",), ("",)], "value string")).write.text(f"{base}/urls")
+    seen = files.urls(spark, f"{base}/urls").select(F.lit("url").alias("shape"), F.col("url").alias("key"), F.lit(None).cast("string").alias("value"))
+    rows = read(spark, sf_dir, "supplier").groupBy(F.pmod("s_suppkey", F.lit(4)).alias("n")).agg(F.collect_list(F.struct(F.col("s_suppkey").alias("id"), F.col("s_name").alias("name"))).alias("items"))
+    rows.select(F.lit("2001-11-05").alias("collected_at"), "items").write.json(f"{base}/documents")
+    items = files.items_of(spark, f"{base}/documents", "id:long,name:string", lines=True)
+    items = items.select(F.lit("item").alias("shape"), F.col("id").cast("string").alias("key"), F.concat_ws(" ", "name", "collected_at").alias("value"))
+    return lists.unionByName(seen).unionByName(items)
+
+
+@query(sql_over("offerings", """,
+old AS (SELECT offering_id, listing_id, source_site, purchase_price AS price, 'old' AS note FROM offerings WHERE source_site <> 's3'),
+found AS (SELECT offering_id, listing_id, source_site, purchase_price + 1 AS price, 'new' AS note FROM offerings WHERE listing_id % 5 = 0 OR source_site = 's3'),
+added AS (SELECT * FROM old UNION ALL SELECT * FROM found WHERE offering_id NOT IN (SELECT offering_id FROM old)),
+children AS (SELECT * FROM found WHERE listing_id % 10 = 0),
+replaced AS (SELECT * FROM added WHERE listing_id NOT IN (SELECT listing_id FROM children) UNION ALL SELECT * FROM children)
+SELECT offering_id, listing_id, source_site, CASE WHEN offering_id % 7 = 0 THEN NULL ELSE price END AS price, CASE WHEN offering_id % 9 = 0 THEN 'checked' ELSE note END AS note FROM replaced"""))
+def edited_offers(spark, sf_dir):
+    """SNK-03, SNK-05, SNK-19: rows added where absent, children of a listing replaced, and cells edited in the columns that may be."""
+    o = domain.offerings(spark, sf_dir).select("offering_id", "listing_id", "source_site", F.col("purchase_price").alias("price"))
+    old = o.filter("source_site <> 's3'").withColumn("note", F.lit("old"))
+    found = o.filter("listing_id % 5 = 0 OR source_site = 's3'").withColumn("price", F.col("price") + 1).withColumn("note", F.lit("new"))
+    table = relational.replace_children(relational.insert_absent(old, found, ["offering_id"]), found.filter("listing_id % 10 = 0"), "listing_id")
+    cell = lambda k, column, value: table.filter(f"offering_id % {k} = 0").select("offering_id", F.lit(column).alias("column"), F.lit(value).alias("value"))
+    changes = cell(7, "price", " ").unionByName(cell(9, "note", "checked")).unionByName(cell(3, "source_site", "not allowed"))
+    return sinks.edited(table, changes, "offering_id", ["price", "note"])
+
+
+@query("""
+WITH o AS (SELECT o_orderkey AS k, o_orderdate AS d, CASE o_orderkey % 3 WHEN 0 THEN '+09:00' WHEN 1 THEN 'Z' ELSE '' END AS zone FROM orders)
+SELECT k, strftime(d + INTERVAL 1 DAY * (k % 40), '%Y-%m-%dT%H:%M:%S') || zone AS moved, CASE WHEN k % 4 = 3 THEN NULL ELSE d + INTERVAL 1 MINUTE * CASE WHEN k % 4 = 1 THEN 65 ELSE 0 END END AS parsed FROM o""")
+def date_texts(spark, sf_dir):
+    """DAT-02, DAT-06: ISO texts moved by days with their offsets kept, and dates in several forms read."""
+    k, d = F.col("o_orderkey"), F.col("o_orderdate")
+    zone = F.when(k % 3 == 0, "+09:00").when(k % 3 == 1, "Z").otherwise("")
+    iso = F.concat(F.date_format(d, "yyyy-MM-dd'T'HH:mm:ss"), zone)
+    said = F.when(k % 4 == 0, F.date_format(d, "yyyy/MM/dd")).when(k % 4 == 1, F.concat(F.date_format(d, "yyyy/MM/dd"), F.lit(" 1:05"))).when(k % 4 == 2, F.date_format(d, "yyyy-MM-dd HH:mm:ss")).otherwise("soon")
+    return read(spark, sf_dir, "orders").select(k.alias("k"), dates.iso_plus_days(iso, k % 40).alias("moved"), dates.any_timestamp(said).cast("timestamp_ntz").alias("parsed"))
+
+
+@query("SELECT listing_id, CASE WHEN price <= 0 THEN NULL ELSE CAST(trunc((price * 10.0::DOUBLE + 3000 - price * 10.0::DOUBLE / 11) / (1 - 0.05::DOUBLE - 0.25::DOUBLE) / 9.0::DOUBLE) AS BIGINT) END AS target FROM (SELECT p_partkey AS listing_id, p_partkey * 7919 % 130000 AS price FROM part) AS l")
+def tuned_targets(spark, sf_dir):
+    """UDF-05: target prices under parameters that a table overrides; rows of unknown names count nothing."""
+    rows = spark.createDataFrame([("fee", "0.05"), ("margin_rate", "0.25"), ("rate", "9.0"), ("color", "red")], "param_key string, value string")
+    p = config.from_rows(config.MoneyParams, rows)
+    l = domain.listings(spark, sf_dir)
+    return l.select("listing_id", money.target_price(F.col("price") * 10, F.lit(3000), p).alias("target"))

@@ -50,6 +50,24 @@ def seller_item_rows(spark, sf_dir):
     return pages.seller_items(made.withColumn("max_page", pages.last_page(F.col("html"), pages.ITEM_PAGES)))
 
 
+@query(sql_over("offerings", """,
+n AS (SELECT *, count(*) OVER (PARTITION BY listing_id) AS total FROM offerings)
+SELECT listing_id, total * 1000 AS total, CAST(row_number() OVER (PARTITION BY listing_id ORDER BY offering_id) AS INTEGER) AS rank, CAST(offering_id AS VARCHAR) AS item_id,
+       CASE WHEN shipping IS NOT NULL THEN purchase_price END AS price, CASE WHEN source_site <> 's0' THEN 'Shop ' || source_site END AS seller_name, CASE WHEN source_site <> 's0' THEN substr(source_site, 2) END AS seller_id
+FROM n WHERE source_site <> 's6'"""))
+def search_page_rows(spark, sf_dir):
+    """SRC-17: products of a search page by their place; those that link no item are none, prices and sellers may be missing."""
+    o = F.col("offering_id").cast("string")
+    link = F.when(F.col("source_site") != "s6", _say('<a href="/item/', o, '/">x</a>')).otherwise(F.lit("<b>advert</b>"))
+    price = F.when(F.col("shipping").isNull(), F.lit("sold out")).otherwise(_say("¥", F.format_number("purchase_price", 0), ""))
+    seller = F.when(F.col("source_site") == "s0", F.lit("")).otherwise(_say('<a href="/buyer/', F.substring("source_site", 2, 9), '.html">Shop ', "source_site", "</a>"))
+    card = F.concat(F.lit('<li class="product">'), link, seller, F.lit('<span class="Price_Txt">'), price, F.lit("</span></li>"))
+    rows = domain.offerings(spark, sf_dir)
+    made = _page(rows, ["listing_id"], ["offering_id"], card).join(rows.groupBy("listing_id").agg(F.count("*").alias("n")), "listing_id")
+    made = made.withColumn("html", _say("<p>", F.format_number(F.col("n") * 1000, 0), " 件</p>", "html")).drop("n")
+    return pages.search_listings(made.withColumn("total", pages.total_results(F.col("html"))))
+
+
 @query(sql_over("offerings", """
 SELECT listing_id, CAST(row_number() OVER (PARTITION BY listing_id ORDER BY offering_id) AS INTEGER) AS rank, substr(source_site, 2) AS seller_id, 'Shop ' || source_site AS seller_name,
        CAST(offering_id AS VARCHAR) AS item_id, 'https://x/item/' || offering_id || '/' AS link, purchase_price AS price, 'Offer ' || offering_id AS name FROM offerings WHERE is_active = 1"""))

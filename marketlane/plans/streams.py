@@ -118,7 +118,10 @@ def stream_variant_scans(spark, sf_dir):
     return emitted.drop("batch")
 
 
-@query()
+@query("""
+WITH crawls(crawl, since, until) AS (VALUES (0, TIMESTAMP '1900-01-01', TIMESTAMP '2001-09-05'), (1, TIMESTAMP '2001-09-05', TIMESTAMP '2001-10-05'), (2, TIMESTAMP '2001-10-05', TIMESTAMP '2001-11-05'))
+SELECT l_suppkey AS seller_id, CAST(crawl AS BIGINT) AS crawl, strftime(l_shipdate, '%Y/%m/%d') AS sale_date, CAST(l_partkey AS VARCHAR) AS item_id, CAST(l_quantity AS BIGINT) AS qty, false AS over
+FROM lineitem JOIN crawls ON l_shipdate >= since AND l_shipdate < until""")
 def stream_watermark(spark, sf_dir):
     """STR-01, STR-02: three crawls of each seller's whole history, newest first; only rows before the known sequence are new."""
     l = read(spark, sf_dir, "lineitem")
@@ -131,3 +134,23 @@ def stream_watermark(spark, sf_dir):
         rows.write.mode("append").option("maxRecordsPerFile", 0).parquet(f"{base}/lists")
         emitted = runs.drained(state.sequence_stream(runs.file_stream(spark, f"{base}/lists")), "append", "sequence", f"{base}/state", f"{base}/out")
     return emitted.drop("batch")
+
+
+@query("""
+WITH l AS (SELECT *, row_number() OVER (PARTITION BY l_suppkey ORDER BY l_shipdate DESC, l_partkey, l_orderkey, l_linenumber) AS place FROM lineitem),
+lists AS (
+  SELECT l_suppkey AS seller_id, list(strftime(l_shipdate, '%Y/%m/%d') || ' ' || l_partkey ORDER BY place) AS rows,
+         list(strftime(l_shipdate, '%Y/%m/%d') || ' ' || l_partkey ORDER BY place) FILTER (WHERE l_shipdate < TIMESTAMP '2001-06-01') AS known, count(*) FILTER (WHERE l_shipdate >= TIMESTAMP '2001-06-01') AS newer FROM l GROUP BY 1)
+SELECT seller_id, CAST(CASE WHEN seller_id % 6 <> 0 AND known IS NOT NULL THEN newer END AS INTEGER) AS boundary FROM lists""")
+def sequence_boundaries(spark, sf_dir):
+    """WIN-22: how many sales stand before the 30 that were known in June, as a run of signatures; null if they aren't found whole."""
+    l = read(spark, sf_dir, "lineitem")
+    sign = F.concat_ws(" ", F.date_format("l_shipdate", "yyyy/MM/dd"), "l_partkey")
+    row = F.struct((-F.unix_micros(F.col("l_shipdate").cast("timestamp"))).alias("t"), "l_partkey", "l_orderkey", "l_linenumber", sign.alias("sign"))
+    listed = lambda rows: F.transform(F.sort_array(F.collect_list(rows)), lambda x: x["sign"])
+    old = F.col("l_shipdate") < F.lit("2001-06-01").cast("timestamp_ntz")
+    lists = l.groupBy(F.col("l_suppkey").alias("seller_id")).agg(listed(row).alias("rows"), F.slice(listed(F.when(old, row)), 1, state.WATERMARK_SIZE).alias("known"))
+    # A sixth of the sellers have lost a row of their known ones.
+    lost = F.concat(F.slice("known", 1, F.greatest(F.size("known") - 1, F.lit(0))), F.array(F.lit("lost")))
+    known = F.when(F.col("seller_id") % 6 == 0, lost).otherwise(F.col("known"))
+    return lists.select("seller_id", "rows", known.alias("known")).select("seller_id", rules.boundary_at(F.col("rows"), F.col("known")).alias("boundary"))

@@ -30,9 +30,9 @@ def urls(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.text(path).select(F.trim("value").alias("url")).filter(F.col("url").startswith("http"))
 
 
-def items_of(spark: SparkSession, path: str, item: str) -> DataFrame:
-    """The rows of a JSON document ``{collected_at, items: [...]}``; ``item`` is the schema of one."""
-    doc = spark.read.schema(f"collected_at string, items array<struct<{item}>>").option("multiLine", True).json(path)
+def items_of(spark: SparkSession, path: str, item: str, lines: bool = False) -> DataFrame:
+    """The rows of JSON documents ``{collected_at, items: [...]}``, one a file or one a line; ``item`` is the schema of one."""
+    doc = spark.read.schema(f"collected_at string, items array<struct<{item}>>").option("multiLine", not lines).json(path)
     return doc.select("collected_at", F.explode("items").alias("i")).select("collected_at", "i.*")
 
 
