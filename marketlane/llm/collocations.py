@@ -25,6 +25,8 @@ from marketlane.llm.common import Scratch, bounded, byte_texts, sliced
 from marketlane.llm.tokens import byte_map, cut, numbered
 
 SHARD_BYTES = 16 << 20
+#: Rows that leave a worker at once.
+ROWS = 1 << 16
 #: Bits of a bitmap at most (64 MB). Where more is frequent than fits, more phrases are counted for nothing.
 MAX_BITS = 1 << 29
 #: Copies of each count that meet the parts of candidates, so that a part of very many phrases isn't one task's.
@@ -89,17 +91,20 @@ def _joined(words: pa.Array, *numbers: np.ndarray) -> pa.Array:
 def _shard_counts(part: bytes, lang: str, lengths: range, words_in: bytes | None, pairs_in: bytes | None) -> Iterator[pa.RecordBatch]:
     """Counts of the phrases of ``lengths`` in one shard; length 0 stands for all its words."""
 
-    def rows(length: int, phrases: pa.Array, counts: np.ndarray) -> pa.RecordBatch:
-        n = len(counts)
-        return pa.record_batch([pa.array([lang] * n, pa.string()), pa.array(np.full(n, length, np.int32)), phrases.cast(pa.binary()), pa.array(counts.astype(np.int64))], schema=_ARROW)
+    def rows(length: int, phrases: pa.Array, counts: np.ndarray) -> Iterator[pa.RecordBatch]:
+        for k in range(0, len(counts), ROWS):
+            some = counts[k : k + ROWS].astype(np.int64)
+            n = len(some)
+            columns = [pa.array([lang] * n, pa.string()), pa.array(np.full(n, length, np.int32)), phrases.slice(k, n).cast(pa.binary()), pa.array(some)]
+            yield pa.record_batch(columns, schema=_ARROW)
 
     _, number, words = numbered([part.replace(b"\n", b" \n ")])
     end = words.index(b"\n").as_py()
     if words_in is None:
         counts = np.bincount(number[number != end], minlength=len(words))
         present = np.flatnonzero(counts)
-        yield rows(1, words.take(pa.array(present)), counts[present])
-        yield rows(0, pa.array([b""], pa.binary()), counts.sum(keepdims=True))
+        yield from rows(1, words.take(pa.array(present)), counts[present])
+        yield from rows(0, pa.array([b""], pa.binary()), counts.sum(keepdims=True))
         return
     frequent = Bitmap(words_in, lang).hits(words.to_pylist())
     if end >= 0:
@@ -124,7 +129,7 @@ def _shard_counts(part: bytes, lang: str, lengths: range, words_in: bytes | None
         whole = reach[order[starts]] >= k
         at = order[starts[whole]]
         if len(at):
-            yield rows(k, _joined(words, *(symbols[at + j] - 1 for j in range(k))), counts[whole])
+            yield from rows(k, _joined(words, *(symbols[at + j] - 1 for j in range(k))), counts[whole])
 
 
 def _counted(docs: DataFrame, lengths: range, least: int, words_in=None, pairs_in=None) -> DataFrame:
