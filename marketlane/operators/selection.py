@@ -49,8 +49,8 @@ def appended(known: DataFrame, new: DataFrame, key: str, url: str, place: str, c
 
 
 def donors(members: DataFrame, key: str, more_than: int) -> DataFrame:
-    """Per key the winner if it has more than so many images, else the member with the most; ties go to the winner, then by priority."""
-    best = F.struct((F.col("is_winner") & (F.col("images") > more_than)).alias("a"), F.col("images").alias("b"), F.col("is_winner").alias("c"), (-F.col("priority")).alias("d"))
+    """Per key the winner if it has more than so many images, else the member with the most; ties go to the winner, then by priority and the larger id."""
+    best = F.struct((F.col("is_winner") & (F.col("images") > more_than)).alias("a"), F.col("images").alias("b"), F.col("is_winner").alias("c"), (-F.col("priority")).alias("d"), F.col("member_id").alias("e"))
     return members.groupBy(key).agg(F.max_by("member_id", best).alias("donor_id"))
 
 

@@ -32,6 +32,16 @@ def gaps(rows: DataFrame, done: DataFrame, key: str) -> DataFrame:
     return rows.join(done.select(key).distinct(), key, "left_anti")
 
 
+def stale(stored: DataFrame, rows: DataFrame, key: str, value: str, new: Column) -> DataFrame:
+    """key, was, value: stored values that the present rule derives otherwise from ``rows``; keys that aren't stored are none.
+
+    Null and a value differ; two nulls don't.
+    """
+    fresh = rows.select(key, new.alias("__new"))
+    differ = stored.select(key, F.col(value).alias("was")).join(fresh, key).filter(~F.col("was").eqNullSafe(F.col("__new")))
+    return differ.select(key, "was", F.col("__new").alias(value))
+
+
 def recomputed(result: DataFrame, rows: DataFrame, changed: DataFrame, key: str, compute: Callable[[DataFrame], DataFrame]) -> DataFrame:
     """``result`` with the groups of changed keys computed anew from ``rows``; groups that have no rows any more go."""
     keys = changed.select(key).distinct()

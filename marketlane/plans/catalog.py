@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from marketlane.functions import dates, money, text
-from marketlane.operators import filters, matching, relational
+from marketlane.functions import dates, money, names, text
+from marketlane.operators import filters, matching, relational, upkeep
 from marketlane.plans import query
-from marketlane.sources import domain, pages
+from marketlane.sources import domain, pages, sinks
 from marketlane.sources.domain import AS_OF, read, sql_over
 
 #: Model numbers in the notations that sources use, made from the offers.
@@ -125,12 +125,16 @@ def label_correction(spark, sf_dir):
     return c.join(catalogue, "canon", "left").select("offering_id", "spelling", action.alias("action"))
 
 
-@query("SELECT p_partkey, upper(trim(p_name)) || '!' AS name FROM part WHERE upper(trim(p_name)) || '!' <> CASE WHEN p_partkey % 3 = 0 THEN upper(p_name) || '!' ELSE p_name END")
+@query("""
+SELECT p_partkey, CASE WHEN p_partkey % 7 = 0 THEN NULL WHEN p_partkey % 4 = 1 THEN p_name ELSE '26SS ' || p_name END AS was, CASE WHEN p_partkey % 11 <> 0 THEN p_name END AS name FROM part
+WHERE p_partkey % 13 <> 0 AND CASE WHEN p_partkey % 7 = 0 THEN p_partkey % 11 <> 0 WHEN p_partkey % 4 = 1 THEN p_partkey % 11 = 0 ELSE true END""")
 def recompute_and_diff(spark, sf_dir):
-    """JOI-34."""
-    p, new = read(spark, sf_dir, "part"), F.concat(F.upper(F.trim("p_name")), F.lit("!"))
-    old = F.when(F.col("p_partkey") % 3 == 0, F.concat(F.upper("p_name"), F.lit("!"))).otherwise(F.col("p_name"))
-    return p.filter(~new.eqNullSafe(old)).select("p_partkey", new.alias("name"))
+    """JOI-34: names in a stored table against what the season rule makes of the products now; only those that differ."""
+    k, raw = F.col("p_partkey"), F.concat(F.lit("[26SS] "), "p_name")
+    rows = read(spark, sf_dir, "part").select(k, F.when(k % 11 != 0, raw).alias("raw"), "p_name")
+    old = F.when(k % 7 == 0, F.lit(None)).when(k % 4 == 1, F.col("p_name")).otherwise(F.concat(F.lit("26SS "), "p_name"))
+    kept = sinks.stored(rows.filter(k % 13 != 0).select(k, old.alias("name")), "names")
+    return upkeep.stale(kept, rows, "p_partkey", "name", names.without_seasons(F.col("raw")))
 
 
 @query(_views(_MODELS + """,

@@ -172,8 +172,7 @@ def image_donors(spark, sf_dir):
     """WIN-13: whose images a group takes."""
     sums = _images(spark, sf_dir).groupBy("listing_id", "supplier").agg(F.countDistinct("url").alias("images"), F.sum("l_quantity").alias("q"))
     first = F.row_number().over(Window.partitionBy("listing_id").orderBy("q", "supplier")) == 1
-    # Equal members go by the larger number, so that the choice is settled.
-    members = sums.select("listing_id", F.col("supplier").alias("member_id"), "images", first.alias("is_winner"), (F.col("supplier") % 7 - F.col("supplier") / 1e9).alias("priority"))
+    members = sums.select("listing_id", F.col("supplier").alias("member_id"), "images", first.alias("is_winner"), (F.col("supplier") % 7).alias("priority"))
     return selection.donors(members, "listing_id", 3)
 
 
