@@ -55,13 +55,15 @@ def full_diff(old: DataFrame, new: DataFrame, keys: Sequence[str], values: Seque
     return o.join(n, list(keys), "full_outer").select(*keys, change.alias("change"), *(F.col(f"__new.{v}").alias(v) for v in values))
 
 
-def running_sum(rows: DataFrame, order: str | Sequence[Column], amount: str, name: str, descending: bool = False, parts: int = 256) -> DataFrame:
+def running_sum(rows: DataFrame, order: str | Sequence[Column], amount: str, name: str, descending: bool = False, parts: int | None = None) -> DataFrame:
     """``rows`` with the sum of ``amount`` up to each row, in an order that no two rows share: a column's, or that of several.
 
     Spark deals the rows into parts by ranges of the order; they are stored with their part, so ``rows`` are computed once.
     Sums of whole parts, one row for each, give what lies before a part, and a window within the part the rest. No task
-    sorts much more than one in ``parts`` of the rows, and rows equal in the first column don't have to stay together.
+    sorts much more than one in ``parts`` of the rows (by default, as many as the session's shuffles have partitions), and
+    rows equal in the first column don't have to stay together.
     """
+    parts = parts or int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     by = [(F.desc if descending else F.asc)(order)] if isinstance(order, str) else list(order)
     placed = stored(rows.repartitionByRange(parts, *by).withColumn("__part", F.spark_partition_id()), "running")
     sums = placed.groupBy("__part").agg(F.sum(amount).alias("__sum"))
