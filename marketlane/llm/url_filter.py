@@ -50,7 +50,8 @@ RULES = (
 )
 #: The method's list is every word in every form: hosts that advertise or count, pages for machines, visitors and sessions.
 HOST_WORDS = "ads adserver banner beacon click counter metrics pixel stats track tracker".split()
-HOST_FORMS = ("{}.*.*", "{}*-*.*")
+#: Words are whole labels, or whole parts of one between hyphens, before a domain: countertop-shop.com is no counter.
+HOST_FORMS = ("{}.*.*", "{}-*.*.*", "*-{}.*.*")
 PATH_WORDS = (
     "account admin ajax basket calendar callback captcha cart checkout comment-reply compare cookie cgi-bin debug "
     "feed forgot-password login logout oauth order-status password ping plugin popup preferences print proxy redirect "
