@@ -31,7 +31,10 @@ def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies stays, that of the smallest id."""
+    """One document of each group of near copies stays, that of the smallest id.
+
+    Rows that share the id are that document, so all of them stay, as do rows without an id in a group that has one.
+    """
     kept = near_dup.near_dup(docs).filter("kept").select(F.col("doc_id").alias("kept_id")).distinct()
     return docs.join(kept, F.col("doc_id").eqNullSafe(F.col("kept_id")), "left_semi")
 
