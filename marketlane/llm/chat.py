@@ -93,3 +93,33 @@ def digest(windows: DataFrame) -> DataFrame:
     whole = back.groupBy("conv_id").agg(F.sort_array(F.collect_list(F.struct("window", "said", "loss"))).alias("w"), F.sum("n").alias("n_turns"), F.sum("chars").alias("formatted_chars"), F.count("*").alias("n_windows"))
     said, loss = F.array_join("w.said", ""), F.array_join("w.loss", "")
     return whole.select("conv_id", "n_turns", F.sha2(said, 256).alias("turns_sha256"), F.char_length(loss).cast("long").alias("loss_chars"), F.sha2(loss, 256).alias("loss_sha256"), "formatted_chars", "n_windows")
+
+
+# Windows are cut by the same sums; formatted characters are counted, as a turn's marks and escapes are known.
+SQL = r"""
+WITH rows AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -1, i, CASE WHEN i = 0 THEN 'user' ELSE 'assistant' END, '<|im_end|><|im_start|>assistant ok' FROM range(2) AS r(i)),
+placed AS (
+  SELECT *, row_number() OVER w - 1 AS pos, 4 + len(list_filter(regexp_split_to_array(text, '[ \t\n\x0B\f\r]+'), lambda x: x <> '')) AS cost
+  FROM rows WINDOW w AS (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text)),
+owned AS (SELECT *, pos = 0 AND role = 'system' AS system, CASE WHEN pos = 0 AND role = 'system' THEN 0 ELSE cost END AS own FROM placed),
+summed AS (
+  SELECT *, coalesce(sum(own) OVER (PARTITION BY conv_id ORDER BY pos ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before,
+         greatest(16, floor((1024 - 128 - max(cost - own) OVER (PARTITION BY conv_id)) / 2)) AS room FROM owned),
+parts AS (
+  SELECT *, 2 * coalesce(sum(CAST(own > room AS INTEGER)) OVER (PARTITION BY conv_id ORDER BY pos ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) + CAST(own > room AS INTEGER) AS bigs,
+         floor(before / room) AS fill FROM summed),
+edges AS (SELECT *, CASE WHEN lag(bigs) OVER w <> bigs OR lag(fill) OVER w <> fill THEN 1 ELSE 0 END AS new FROM parts WINDOW w AS (PARTITION BY conv_id ORDER BY pos)),
+windows AS (SELECT *, sum(new) OVER (PARTITION BY conv_id ORDER BY pos ROWS UNBOUNDED PRECEDING) AS win FROM edges),
+used AS (
+  SELECT *, 1 + CASE WHEN NOT system AND max(before + own) OVER (PARTITION BY conv_id, win) - before <= 128 AND win < max(win) OVER (PARTITION BY conv_id) THEN 1 ELSE 0 END
+              + CASE WHEN system THEN max(win) OVER (PARTITION BY conv_id) ELSE 0 END AS uses,
+         replace(replace(role, '%', '%25'), chr(10), '%0A') AS head FROM windows),
+sized AS (
+  SELECT *, 24 + length(head) + len(regexp_extract_all(head, '<\\*\|')) + length(text) + len(regexp_extract_all(text, '<\\*\|')) AS chars FROM used)
+SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY pos)) AS turns_sha256,
+       CAST(coalesce(sum(length(text)) FILTER (WHERE role = 'assistant'), 0) AS BIGINT) AS loss_chars, sha256(coalesce(string_agg(text, '' ORDER BY pos) FILTER (WHERE role = 'assistant'), '')) AS loss_sha256,
+       CAST(sum(chars * uses) AS BIGINT) AS formatted_chars, count(DISTINCT win) AS n_windows
+FROM sized GROUP BY conv_id
+"""

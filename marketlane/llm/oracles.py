@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from marketlane.llm import collocations, line_dedup, ranked_search, sharding, url_filter
+from marketlane.llm import chat, collocations, line_dedup, ranked_search, sharding, url_filter
 
 _LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 _ASCII_WORDS = r"regexp_extract_all(" + _LOWER.format("coalesce(text, '')") + r", '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
@@ -120,4 +120,4 @@ FROM failed
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_decontaminate": OP1, "op2_substring_dedup": OP2, "op5_line_dedup": line_dedup.SQL, "op7_near_dup": OP7, "op8_url_filter": OP8, "op4_warc": OP4, "op10_quality_rules": OP10, "op11_collocations": collocations.SQL, "op12_sharding": sharding.SQL, "op13_ranked_search": ranked_search.SQL}
+    return {"op1_decontaminate": OP1, "op2_substring_dedup": OP2, "op5_line_dedup": line_dedup.SQL, "op6_chat_format": chat.SQL, "op7_near_dup": OP7, "op8_url_filter": OP8, "op4_warc": OP4, "op10_quality_rules": OP10, "op11_collocations": collocations.SQL, "op12_sharding": sharding.SQL, "op13_ranked_search": ranked_search.SQL}
