@@ -40,24 +40,25 @@ def suffix_array(symbols: np.ndarray, depth: int) -> np.ndarray:
     """Starts of all suffixes, in order of their first ``depth`` symbols at least: ranks by 1, 2, 4, ... symbols."""
     rank, known, n = symbols.astype(np.int64), 1, len(symbols)
     while True:
-        order = np.argsort(rank, kind="stable")
+        order = np.argsort(rank, kind="stable").astype(np.int32)
         if known >= depth or n == 0:
             return order
         ascending = rank[order]
-        dense = np.empty(n, np.int64)
-        dense[order] = np.cumsum(np.concatenate(([1], ascending[1:] != ascending[:-1])))
+        dense = np.empty(n, np.int32)
+        dense[order] = np.cumsum(np.concatenate(([True], ascending[1:] != ascending[:-1])), dtype=np.int32)
+        del ascending
         if dense[order[-1]] == n:
             return order
-        behind = np.zeros(n, np.int64)
-        behind[:-known] = dense[known:]
-        rank, known = dense * (n + 1) + behind, 2 * known
+        rank = dense * np.int64(n + 1)
+        rank[:-known] += dense[known:]
+        known *= 2
 
 
 def common_prefixes(symbols: np.ndarray, order: np.ndarray, depth: int) -> np.ndarray:
     """For each place of the array: symbols that it shares with the one before, ``depth`` at most; symbol 0 ends both."""
     padded = np.concatenate((symbols, np.zeros(depth, symbols.dtype)))
-    out = np.zeros(len(order), np.int64)
-    alike = np.arange(1, len(order))
+    out = np.zeros(len(order), np.int8)
+    alike = np.arange(1, len(order), dtype=np.int32)
     for k in range(depth):
         a, b = padded[order[alike - 1] + k], padded[order[alike] + k]
         alike = alike[(a == b) & (a != 0)]
@@ -110,13 +111,12 @@ def _shard_counts(part: bytes, lang: str, lengths: range, words_in: bytes | None
     if end >= 0:
         frequent[end] = False
     # Symbols: 0 ends a phrase, word w is w + 1. Several ends in a row say no more than one.
-    symbols = np.where(frequent[number], number.astype(np.int64) + 1, 0)
+    symbols = np.where(frequent[number], number + np.int32(1), np.int32(0))
     symbols = symbols[(symbols != 0) | np.concatenate(([False], symbols[:-1] != 0))]
     reach = _run_lengths(symbols != 0)
     if pairs_in is not None and len(symbols):
-        pair = symbols[:-1] * (len(words) + 1) + symbols[1:]
         inside = np.flatnonzero(reach[:-1] >= 2)
-        distinct, place = np.unique(pair[inside], return_inverse=True)
+        distinct, place = np.unique(symbols[inside] * np.int64(len(words) + 1) + symbols[inside + 1], return_inverse=True)
         hit = Bitmap(pairs_in, lang).hits(_joined(words, distinct // (len(words) + 1) - 1, distinct % (len(words) + 1) - 1).to_pylist())
         good = np.zeros(len(symbols), bool)
         good[inside] = hit[place]
