@@ -161,14 +161,14 @@ def up_days(events: DataFrame, key: str, time: str, kind: str, as_of: str) -> Da
     return last.join(total, key, "left").select(key, F.coalesce("n_ups", F.lit(0)).alias("n_ups"), (F.coalesce("__us", F.lit(0)) / 1_000_000).alias("seconds"), (F.col("__last") == "up").alias("is_up"))
 
 
-def seller_values(sellers: DataFrame, items: DataFrame, orders: DataFrame) -> DataFrame:
+def seller_values(sellers: DataFrame, items: DataFrame) -> DataFrame:
     """Every seller with score = 10 * hot and warm items + recent orders, its place among all, tier and days to the next scan.
 
+    ``items``: seller_id, tier, and the recent orders of each as ``sold``, so that orders are read and counted once.
     Places come from the order by score and id, dealt by ranges of both, so that many sellers of one score are no one task's.
     """
-    hot = items.filter(F.col("tier").isin("HOT", "WARM")).groupBy("seller_id").agg(F.count("*").alias("n_hot"))
-    sold = orders.groupBy("seller_id").agg(F.count("*").alias("n_orders"))
-    s = sellers.join(hot, "seller_id", "left").join(sold, "seller_id", "left")
+    own = items.groupBy("seller_id").agg(F.count_if(F.col("tier").isin("HOT", "WARM")).alias("n_hot"), F.sum("sold").alias("n_orders"))
+    s = sellers.join(own, "seller_id", "left")
     score = 10 * F.coalesce("n_hot", F.lit(0)) + F.coalesce("n_orders", F.lit(0))
     scored = s.select("seller_id", score.alias("score"), F.lit(1).cast("long").alias("one"))
     placed = relational.running_sum(scored, [F.desc("score"), F.desc("seller_id")], "one", "place")

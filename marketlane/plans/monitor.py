@@ -56,13 +56,13 @@ def _tiers(spark, sf_dir):
     sales = orders.groupBy("item_id").agg(at(30).alias("s30"), at(90).alias("s90"))
     i = domain.market_items(spark, sf_dir).join(sales, "item_id", "left")
     tier = monitor.item_tier(F.col("fav_count"), F.col("view_count"), F.col("inquiry_count"), F.coalesce("s30", F.lit(0)), F.coalesce("s90", F.lit(0)), F.col("seller_id") % 2 == 0)
-    return i.select("item_id", "seller_id", tier.alias("tier"))
+    return i.select("item_id", "seller_id", tier.alias("tier"), F.coalesce("s90", F.lit(0)).alias("sold"))
 
 
 @query(sql_over("market_items market_orders", _SALES + " SELECT item_id, seller_id, tier, CAST(CASE tier WHEN 'HOT' THEN 1 WHEN 'WARM' THEN 4 ELSE 30 END AS INTEGER) AS days FROM tiered"))
 def revisit_tiers(spark, sf_dir):
     """STR-04, STR-08, PRJ-03."""
-    return _tiers(spark, sf_dir).withColumn("days", monitor.days_of(F.col("tier"), monitor.ITEM_DAYS))
+    return _tiers(spark, sf_dir).drop("sold").withColumn("days", monitor.days_of(F.col("tier"), monitor.ITEM_DAYS))
 
 
 @query(sql_over("market_items market_orders", _SALES + f""",
@@ -72,9 +72,8 @@ placed AS (SELECT *, (row_number() OVER (ORDER BY score DESC, seller_id DESC) -
 SELECT seller_id, score, round(f, 6) AS fraction, CASE WHEN f < 0.15 THEN 'HIGH' WHEN f < 0.50 THEN 'MID' ELSE 'LOW' END AS tier, CAST(CASE WHEN f < 0.15 THEN 1 WHEN f < 0.50 THEN 4 ELSE 21 END AS INTEGER) AS scan_days FROM placed"""))
 def seller_value_tiers(spark, sf_dir):
     """AGG-34, WIN-07, SRT-09."""
-    orders = domain.market_orders(spark, sf_dir).filter(F.col("sale_date") >= dates.cutoff(AS_OF, 90))
     sellers = domain.read(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("seller_id"))
-    return monitor.seller_values(sellers, _tiers(spark, sf_dir), orders)
+    return monitor.seller_values(sellers, _tiers(spark, sf_dir))
 
 
 @query(sql_over("observations", _TWO + """
