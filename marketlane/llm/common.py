@@ -25,15 +25,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors share: ``spark.checkpoint.dir``; set here only where it is unset and Spark runs in one process."""
+    """The folder all executors share: ``spark.checkpoint.dir``; a folder of the warehouse where it is unset and Spark runs in one process."""
     own = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
     if own:
         return own.rstrip("/")
     if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
         raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
-    own = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_checkpoints"
-    spark.conf.set("spark.checkpoint.dir", own)
-    return own
+    return f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_checkpoints"
 
 
 class Scratch:
