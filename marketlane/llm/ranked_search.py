@@ -325,11 +325,11 @@ def ranked_search(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", tex
 
 _WORDS = r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')"
 SQL = f"""
-WITH docs AS (SELECT * FROM (SELECT doc_id, {_WORDS} AS w FROM documents) AS x WHERE len(w) > 0),
-held AS (SELECT doc_id, t, len(any_value(w)) AS n, count(*) AS tf FROM (SELECT doc_id, w, unnest(w) AS t FROM docs) AS x GROUP BY doc_id, t),
-whole AS (SELECT count(*) AS n_docs, sum(len(w)) AS n_terms FROM docs),
-df AS (SELECT t, count(*) AS df FROM held GROUP BY t),
+WITH docs AS (SELECT doc_id, w, len(w) AS n FROM (SELECT doc_id, {_WORDS} AS w FROM documents) AS x WHERE len(w) > 0),
+whole AS (SELECT count(*) AS n_docs, sum(n) AS n_terms FROM docs),
 asked AS (SELECT item_id, t, count(*) AS qtf FROM (SELECT item_id, unnest({_WORDS}) AS t FROM benchmark) AS x GROUP BY item_id, t),
+held AS (SELECT doc_id, n, t, count(*) AS tf FROM (SELECT doc_id, n, unnest(w) AS t FROM docs) AS x WHERE t IN (SELECT t FROM asked) GROUP BY doc_id, n, t),
+df AS (SELECT t, count(*) AS df FROM held GROUP BY t),
 weights AS (SELECT a.item_id, a.t, a.qtf, CAST(floor(1000 * ln(CAST(2 * n_docs + 2 AS DOUBLE) / (2 * df + 1))) AS BIGINT) AS w FROM asked AS a JOIN df ON a.t = df.t, whole),
 scores AS (
   SELECT w.item_id, h.doc_id, sum(w.qtf * w.w * ((1000000000 * h.tf) // (1000 * h.tf + 8 * (25 + (75 * h.n * n_docs) // n_terms)))) AS score
