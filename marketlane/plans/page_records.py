@@ -165,6 +165,8 @@ def clean_names(spark, sf_dir):
     raw = F.when(kind == 0, F.concat(F.lit("[국내배송] 26SS "), "p_name")).when(kind == 1, F.concat(F.lit("[Aa][24 S/S] "), "p_name")).when(kind == 2, F.concat("p_name", F.lit(" 럭키찬스' ")))
     raw = raw.when(kind == 3, F.concat(F.lit("(국내매장) [2025FW] "), "p_name")).when(kind == 4, F.concat("p_name", F.lit("  L/S 26년F/W"))).otherwise(F.concat("p_name", F.lit(" 25FW-"), i))
     store = F.element_at(F.array(*map(F.lit, ("tuttobene", "labellusso", "9tems", "other", "other", "other"))), (kind + 1).cast("int"))
-    rows = read(spark, sf_dir, "part").select("p_partkey", store.alias("store"), F.concat(raw, F.lit(" ZQ"), i, F.lit(" 23SU")).alias("raw"))
+    # Products are dealt by their key: a table of few columns is few splits, and the rules take far longer than the scan.
+    part = read(spark, sf_dir, "part").repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "p_partkey")
+    rows = part.select("p_partkey", store.alias("store"), F.concat(raw, F.lit(" ZQ"), i, F.lit(" 23SU")).alias("raw"))
     model = names.without_seasons(F.concat(F.lit("SS24 ZQ"), i, F.lit(" 26S 19K")))
     return rows.select("p_partkey", names.clean_name(F.col("store"), F.col("raw")).alias("name"), model.alias("model"))

@@ -58,3 +58,10 @@ def test_clean_name(spark, store, raw, want):
 def test_no_season_without_protection(spark):
     d = spark.range(1).select(names.without_seasons(F.lit("ZQ77 23SU"), protect_last=False), names.first_without([F.lit("한"), F.lit(""), F.lit("b")], "[가-힣]"))
     assert d.first() == ("ZQ77", "b")
+
+
+def test_a_name_is_read_once(spark):
+    """Runs and words of a name are computed once, not for each element that looks at its neighbours."""
+    rows = spark.createDataFrame([("tuttobene", "[국내배송] 26SS bag")], "store string, raw string")
+    plan = rows.select(names.clean_name(F.col("store"), F.col("raw")).alias("name"))._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("regexp_extract_all(") <= 2
