@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -45,7 +46,12 @@ def plain(html: Column) -> Column:
 
 def said(html: Column) -> Column:
     """``plain``, null where nothing is left."""
-    return F.nullif(plain(html), F.lit(""))
+    return some(plain(html))
+
+
+def some(c: Column) -> Column:
+    """A text, null where it is empty; it is computed once, also for each element of an array."""
+    return text.once(c, lambda x: F.when(x != "", x))
 
 
 def element(html: Column, tag: str, name: str) -> Column:
@@ -99,51 +105,64 @@ ITEM_PAGES, LIST_PAGES = r"/buyer/[0-9]+/item_([0-9]+)\.html", r"-A2002003000_([
 COUNTRIES = {"韓国": "한국", "한국": "한국"}
 
 
-def _rows(pages: DataFrame, html: str, parts: Column, fields: dict[str, Column], place: str) -> DataFrame:
-    """A row for each part of a page, numbered in the page's order; ``fields`` read the column ``part``."""
+def _rows(pages: DataFrame, html: str, parts: Column, fields: Callable[[Column], Column], place: str) -> DataFrame:
+    """A row for each part of a page, numbered in the page's order; ``fields`` reads a part as a struct.
+
+    Parts are read before they become rows: a filter on the rows then compares fields and reads no part again.
+    """
     own = [c for c in pages.columns if c != html]
-    found = pages.select(*own, F.posexplode(parts).alias("at", "part"))
-    return found.select(*own, (F.col("at") + 1).alias(place), *(c.alias(name) for name, c in fields.items()))
+    found = pages.select(*own, F.posexplode(F.transform(parts, fields)).alias("at", "card"))
+    return found.select(*own, (F.col("at") + 1).alias(place), "card.*")
 
 
 def seller_items(pages: DataFrame, html: str = "html") -> DataFrame:
     """place, item_id, name, price of each card; cards without one of them are left out."""
-    head = element(F.col("part"), "p", CARD_NAME)
-    fields = {
-        "item_id": F.nullif(F.regexp_extract(head, r'<a\b[^>]*href="/item/([0-9]+)/?"', 1), F.lit("")),
-        "name": said(F.regexp_extract(head, r"(?s)<a\b[^>]*>(.*?)</a>", 1)),
-        "price": number(plain(element(F.col("part"), "p", CARD_PRICE))),
-    }
-    return _rows(pages, html, pieces(F.col(html), "li", CARD), fields, "place").dropna(subset=list(fields))
+
+    def fields(part: Column, head: Column) -> Column:
+        return F.struct(
+            some(F.regexp_extract(head, r'<a\b[^>]*href="/item/([0-9]+)/?"', 1)).alias("item_id"),
+            said(F.regexp_extract(head, r"(?s)<a\b[^>]*>(.*?)</a>", 1)).alias("name"),
+            number(plain(element(part, "p", CARD_PRICE))).alias("price"),
+        )
+
+    read = lambda part: text.once(element(part, "p", CARD_NAME), lambda head: fields(part, head))
+    return _rows(pages, html, pieces(F.col(html), "li", CARD), read, "place").dropna(subset=["item_id", "name", "price"])
 
 
 def sales(pages: DataFrame, html: str = "html") -> DataFrame:
     """place, sale_date, item_id, qty, item_name of each sold card; cards without one of them are left out."""
-    head = element(F.col("part"), "p", CARD_NAME)
-    lines = F.array_join(F.transform(F.regexp_extract_all("part", F.lit(r"(?s)<p\b[^>]*>(.*?)</p>"), F.lit(1)), plain), "\n")
-    fields = {
-        "sale_date": F.nullif(F.regexp_extract(lines, SOLD_ON, 1), F.lit("")),
-        "item_id": F.nullif(F.regexp_extract(head, r'<a\b[^>]*href="[^"]*/item/([0-9]+)/', 1), F.lit("")),
-        "qty": F.regexp_extract(lines, QUANTITY, 1).try_cast("long"),
-        "item_name": said(F.regexp_extract(head, r"(?s)<a\b[^>]*>(.*?)</a>", 1)),
-    }
-    return _rows(pages, html, pieces(F.col(html), "li", CARD), fields, "place").dropna(subset=list(fields))
+    lines = lambda part: F.array_join(F.transform(F.regexp_extract_all(part, F.lit(r"(?s)<p\b[^>]*>(.*?)</p>"), F.lit(1)), plain), "\n")
+
+    def fields(x: Column) -> Column:
+        return F.struct(
+            some(F.regexp_extract(x["lines"], SOLD_ON, 1)).alias("sale_date"),
+            some(F.regexp_extract(x["head"], r'<a\b[^>]*href="[^"]*/item/([0-9]+)/', 1)).alias("item_id"),
+            F.regexp_extract(x["lines"], QUANTITY, 1).try_cast("long").alias("qty"),
+            said(F.regexp_extract(x["head"], r"(?s)<a\b[^>]*>(.*?)</a>", 1)).alias("item_name"),
+        )
+
+    read = lambda part: text.once(F.struct(element(part, "p", CARD_NAME).alias("head"), lines(part).alias("lines")), fields)
+    return _rows(pages, html, pieces(F.col(html), "li", CARD), read, "place").dropna(subset=["sale_date", "item_id", "qty", "item_name"])
 
 
 def competitors(pages: DataFrame, site: str = "", html: str = "html") -> DataFrame:
     """rank, seller_id, seller_name, item_id, link, price, name of a search page's new products; used ones take no rank."""
-    seller, digits = element(F.col("part"), "p", "product_Buyer"), F.regexp_replace(plain(element(F.col("part"), "span", "Price_Txt")), "[^0-9]", "")
-    link = F.nullif(F.regexp_extract("part", r'<a\b[^>]*href="([^"]*/item/[^"]*)"', 1), F.lit(""))
-    fields = {
-        "seller_id": F.nullif(F.regexp_extract(seller, r"/buyer/([0-9]+)", 1), F.lit("")),
-        "seller_name": said(seller),
-        "item_id": F.nullif(F.regexp_extract(link, r"/item/([0-9]+)", 1), F.lit("")),
-        "link": F.when(link.startswith("http"), link).otherwise(F.concat(F.lit(site), link)),
-        "price": digits.try_cast("long"),
-        "name": said(F.regexp_extract("part", r'(?s)<(?:div|p|a|span)\b[^>]*class="(?:[^"]* )?product_name(?: [^"]*)?"[^>]*>(.*?)</(?:div|p|a|span)>', 1)),
-    }
+
+    def fields(part: Column, x: Column) -> Column:
+        digits = F.regexp_replace(plain(element(part, "span", "Price_Txt")), "[^0-9]", "")
+        return F.struct(
+            some(F.regexp_extract(x["seller"], r"/buyer/([0-9]+)", 1)).alias("seller_id"),
+            said(x["seller"]).alias("seller_name"),
+            some(F.regexp_extract(x["link"], r"/item/([0-9]+)", 1)).alias("item_id"),
+            F.when(x["link"].startswith("http"), x["link"]).otherwise(F.concat(F.lit(site), x["link"])).alias("link"),
+            digits.try_cast("long").alias("price"),
+            said(F.regexp_extract(part, r'(?s)<(?:div|p|a|span)\b[^>]*class="(?:[^"]* )?product_name(?: [^"]*)?"[^>]*>(.*?)</(?:div|p|a|span)>', 1)).alias("name"),
+        )
+
+    link = lambda part: some(F.regexp_extract(part, r'<a\b[^>]*href="([^"]*/item/[^"]*)"', 1))
+    read = lambda part: text.once(F.struct(element(part, "p", "product_Buyer").alias("seller"), link(part).alias("link")), lambda x: fields(part, x))
     new = F.filter(pieces(F.col(html), "li", "product"), lambda x: ~x.rlike(r'class="[^"]*\bproduct_used_tag\b'))
-    return _rows(pages, html, new, fields, "rank")
+    return _rows(pages, html, new, read, "rank")
 
 
 def seller_ids(html: Column) -> Column:
@@ -180,10 +199,17 @@ def seller_profiles(pages: DataFrame, home: str = "한국", html: str = "html")
 
 def last_by_key(keys: Column, values: Column) -> Column:
     """A map of two arrays; of equal keys the last counts, and keys beyond the values are left out."""
-    n = F.least(F.size(keys), F.size(values))
-    k, v = F.slice(keys, 1, n), F.slice(values, 1, n)
-    unique = F.array_distinct(k)
-    return F.map_from_arrays(unique, F.transform(unique, lambda x: F.element_at(v, (n - F.array_position(F.reverse(k), x) + 1).cast("int"))))
+
+    def of(k: Column, v: Column) -> Column:
+        unique = F.array_distinct(k)
+        return F.map_from_arrays(unique, F.transform(unique, lambda x: F.element_at(v, (F.size(k) - F.array_position(F.reverse(k), x) + 1).cast("int"))))
+
+    def cut(x: Column) -> Column:
+        n = F.least(F.size(x["k"]), F.size(x["v"]))
+        return F.struct(F.slice(x["k"], 1, n).alias("k"), F.slice(x["v"], 1, n).alias("v"))
+
+    pair = F.struct(keys.alias("k"), values.alias("v"))
+    return text.once(text.once(pair, cut), lambda x: of(x["k"], x["v"]))
 
 
 def size_chart(html: Column) -> Column:
@@ -192,13 +218,16 @@ def size_chart(html: Column) -> Column:
     cells = F.transform(every(html, r"<table\b(.*?)</table>"), lambda t: F.transform(every(t, r"<tr\b[^>]*>(.*?)</tr>"), lambda r: F.transform(every(r, r"<t[hd]\b[^>]*>(.*?)</t[hd]>"), plain)))
     after = lambda row: F.slice(row, 2, 2**30)
     measured = F.filter(cells, lambda t: (F.size(t) >= 2) & (F.size(t[0]) >= 2) & F.exists(after(t), lambda r: F.exists(after(r), lambda c: c.rlike("[0-9]"))))
-    table = F.try_element_at(measured, F.lit(1))
-    rows = F.filter(after(table), lambda r: text.blank(F.try_element_at(r, F.lit(1))) != "")
-    chart = last_by_key(F.transform(rows, lambda r: r[0]), F.transform(rows, lambda r: last_by_key(after(table[0]), after(r))))
-    return F.when(F.size(rows) > 0, chart)
+
+    def of(table: Column, rows: Column) -> Column:
+        chart = last_by_key(F.transform(rows, lambda r: r[0]), F.transform(rows, lambda r: last_by_key(after(table[0]), after(r))))
+        return F.when(F.size(rows) > 0, chart)
+
+    named = lambda table: F.filter(after(table), lambda r: text.blank(F.try_element_at(r, F.lit(1))) != "")
+    return text.once(F.try_element_at(measured, F.lit(1)), lambda table: text.once(named(table), lambda rows: of(table, rows)))
 
 
-_DETAIL = "`@type` string, name string, brand string, description string, hasVariant array<struct<sku:string,color:string,size:string,image:string,offers:string>>, itemListElement array<struct<name:string,item:string>>"
+_DETAIL = "`@type` string, name string, brand string, description string, hasVariant array<struct<sku:string,color:string,size:string,image:string,offers:struct<price:string,lowPrice:string,availability:string,inventoryLevel:struct<minValue:string,maxValue:string>>>>, itemListElement array<struct<name:string,item:string>>"
 
 
 def item_details(pages: DataFrame, html: str = "html") -> DataFrame:
@@ -216,15 +245,14 @@ def item_details(pages: DataFrame, html: str = "html") -> DataFrame:
     place = F.coalesce(*(F.when(meta(h, f"twitter:label{i}") == "購入地", F.nullif(F.trim(meta(h, f"twitter:data{i}")), F.lit(""))) for i in range(1, 5)))
     images = F.transform(group["hasVariant"], lambda v: F.when(v["image"].startswith("["), F.from_json(v["image"], "array<string>")).otherwise(F.array(v["image"])))
     tags = F.transform(F.regexp_extract_all(F.regexp_extract(h, r"(?s)<p\b[^>]*>[^<]*タグ[^<]*</p>.*?<(?:div|ul)\b(.*?)</(?:div|ul)>", 1), F.lit(r"(?s)<a\b[^>]*>(.*?)</a>"), F.lit(1)), plain)
-    # Offers are read once each; what isn't an object has no fields.
-    offer = "price string, lowPrice string, availability string, inventoryLevel struct<minValue:string,maxValue:string>"
-    offered = F.transform(F.filter(group["hasVariant"], lambda v: v["sku"].isNotNull()), lambda v: F.struct(v.alias("v"), F.from_json(v["offers"], offer).alias("o")))
+    # Offers are read with their page; what isn't an object has no fields.
+    offered = F.transform(F.filter(group["hasVariant"], lambda v: v["sku"].isNotNull()), lambda v: F.struct(v.alias("v"), v["offers"].alias("o")))
     variant = lambda x: F.struct(
         x["v"]["sku"].alias("sku"),
         x["v"]["color"].alias("color"),
         x["v"]["size"].alias("size"),
         F.coalesce(x["o"]["price"].try_cast("double"), x["o"]["lowPrice"].try_cast("double")).cast("long").alias("price"),
-        F.nullif(F.substring_index(F.regexp_replace(x["o"]["availability"], "/+$", ""), "/", -1), F.lit("")).alias("availability"),
+        some(F.substring_index(F.regexp_replace(x["o"]["availability"], "/+$", ""), "/", -1)).alias("availability"),
         x["o"]["inventoryLevel"]["minValue"].try_cast("long").alias("stock_min"),
         x["o"]["inventoryLevel"]["maxValue"].try_cast("long").alias("stock_max"),
     )

@@ -1,5 +1,6 @@
 """Page readers on pages made up for them."""
 
+import pytest
 from pyspark.sql import functions as F
 
 from marketlane.sources import pages
@@ -72,3 +73,23 @@ def test_tree(spark):
             ("brand", "KIDS", "k", "여성 > KIDS"),
         ]
     )
+
+
+def _optimized(df):
+    return df._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_tables_and_cards_are_read_once(spark):
+    """A page's tables are parsed once and not for each cell; so is a card, also where rows without a field are left out."""
+    made = spark.range(2).select(F.concat(F.lit("<table>"), F.col("id").cast("string")).alias("html"))
+    assert _optimized(made.select(pages.size_chart(F.col("html")).alias("chart"))).count("regexp_extract_all(") <= 3
+    for read in (pages.seller_items, pages.sales, pages.competitors):
+        plan = _optimized(read(made))
+        assert plan.count("buyeritem_name") + plan.count("product_Buyer") <= 1, read.__name__
+
+
+@pytest.mark.parametrize("offers,price", [('"text"', None), ("null", None), ('[{"price": 5}]', None), ('{"price": {"a": 1}, "lowPrice": 3}', 3), ('{"price": 4, "inventoryLevel": [1]}', 4)])
+def test_odd_offers_spoil_no_other_field(spark, offers, price):
+    html = '<script type="application/ld+json">{"@type": "ProductGroup", "brand": "B", "hasVariant": [{"sku": "a", "offers": %s}, {"sku": "b", "offers": {"price": 9}}]}</script>' % offers
+    row = pages.item_details(spark.createDataFrame([(1, html)], "page_id long, html string")).first()
+    assert row.brand == "B" and [(v.sku, v.price) for v in row.variants] == [("a", price), ("b", 9)]
