@@ -8,6 +8,7 @@ from collections.abc import Iterator
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 # Messages of failed registrations, after which the listing is taken to be gone, or to be stopped already.
@@ -78,6 +79,16 @@ def folded(events: DataFrame) -> DataFrame:
     A kind that may not come in the listing's phase is counted in n_illegal and changes nothing. registered_at is the
     time, in microseconds, when the listing first went live. One listing's events are folded as an array, in the JVM.
     """
+    lists = events.groupBy("reference").agg(F.array_sort(F.collect_list(_event())).alias("events"))
+    return lists.select("reference", _fold(F.col("events")).alias("s")).select("reference", "s.*")
+
+
+def _event() -> Column:
+    return F.struct(F.unix_micros(F.col("at").cast("timestamp")).alias("at"), "seq", "kind", "product_id")
+
+
+def _fold(events: Column) -> Column:
+    """The state (``STATE``) after a sorted array of events."""
     legal = {k: F.array(*map(F.lit, v)) for k, v in LEGAL.items()}
     text = lambda x: F.lit(x).cast("string")
     whole = lambda x: F.lit(x).cast("int")
@@ -86,7 +97,7 @@ def folded(events: DataFrame) -> DataFrame:
     start = F.struct(*(typed("none" if n == "phase" else 0 if n in ("n_applied", "n_illegal", "published", "locked") else None, t, n) for n, t in (f.strip().split(" ") for f in STATE.split(","))))
 
     def step(s: Column, e: Column) -> Column:
-        x = _table(effect, e["kind"])
+        x = e["sets"]
         after = F.struct(
             F.coalesce(x["phase"], s["phase"]).alias("phase"),
             x["status"].alias("status"),
@@ -98,11 +109,28 @@ def folded(events: DataFrame) -> DataFrame:
             s["n_illegal"].alias("n_illegal"),
         )
         refused = F.struct(*(s[f].alias(f) for f in ("phase", "status", "published", "locked", "product_id", "registered_at", "n_applied")), (s["n_illegal"] + 1).alias("n_illegal"))
-        return F.when(F.array_contains(_table(legal, e["kind"]), s["phase"]), after).otherwise(refused)
+        return F.when(F.array_contains(e["legal"], s["phase"]), after).otherwise(refused)
+
+    # The tables are looked up once an event; in a step it would be once for each name of what they give.
+    found = lambda e: F.struct(e["at"].alias("at"), e["product_id"].alias("product_id"), _table(effect, e["kind"]).alias("sets"), _table(legal, e["kind"]).alias("legal"))
+    return F.aggregate(F.transform(events, found), start, step)
 
-    event = F.struct(F.unix_micros(F.col("at").cast("timestamp")).alias("at"), "seq", "kind", "product_id")
-    lists = events.groupBy("reference").agg(F.array_sort(F.collect_list(event)).alias("events"))
-    return lists.select("reference", F.aggregate("events", start, step).alias("s")).select("reference", "s.*")
+
+#: The table of ``folded_step``: a reference's events so far, in order, and its state after them.
+FOLDED = f"reference string, events array<struct<at:long,seq:long,kind:string,product_id:long>>, s struct<{STATE.replace(' ', ':').replace(',:', ',')}>"
+
+
+def folded_step(batch: DataFrame, known: DataFrame | None) -> DataFrame:
+    """The table ``FOLDED`` after a batch of events; those of a reference that the batch has are folded anew, in the JVM.
+
+    Events may come late and in any order, so all events of a reference stay in the table.
+    """
+    none = F.lit(None).cast(T.StructType.fromDDL(FOLDED)["s"].dataType)
+    lists = batch.groupBy("reference").agg(F.collect_list(_event()).alias("events")).select("reference", "events", none.alias("s"), F.lit(True).alias("new"))
+    if known is not None:
+        lists = lists.unionByName(known.withColumn("new", F.lit(False)))
+    whole = lists.groupBy("reference").agg(F.array_sort(F.flatten(F.collect_list("events"))).alias("events"), F.max("s").alias("s"), F.max("new").alias("new"))
+    return whole.select("reference", "events", F.when(F.col("new"), _fold(F.col("events"))).otherwise(F.col("s")).alias("s"))
 
 
 def apply_event(state: dict, at: int, kind: str, product_id: int | None) -> dict:

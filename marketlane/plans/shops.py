@@ -235,8 +235,6 @@ def listing_states(spark, sf_dir):
 @query("WITH RECURSIVE" + _KIND)
 def stream_listing_states(spark, sf_dir):
     """STR-11, SRC-25 as a stream over JSON texts: the rows of ``listing_states``."""
-    path = runs.new_path(spark, "reports")
-    _reports(read(spark, sf_dir, "events")).repartition(3, "seq").write.parquet(f"{path}/in")
-    stream = shop_events.parsed_events(runs.file_stream(spark, f"{path}/in", 1))
-    emitted = runs.drained(shop_events.folded_stream(stream), "update", "listing-states")
-    return runs.latest_per_key(emitted, "reference")
+    path, files = runs.scattered(read(spark, sf_dir, "events"), "event_id", f"{runs.new_path(spark, 'reports')}/in")
+    stream = shop_events.parsed_events(_reports(runs.file_stream(spark, path, files)))
+    return runs.table_after(stream, shop_events.folded_step, "listing-states", shop_events.FOLDED).select("reference", "s.*")

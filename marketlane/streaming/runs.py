@@ -45,17 +45,28 @@ def span(spark: SparkSession, path: str, time: str) -> str:
     return f"{(last or 0) - (first or 0) + 1} seconds"
 
 
-def versioned(stream: DataFrame, step: Callable[[DataFrame, DataFrame | None], tuple[DataFrame, DataFrame]], base: str, state: str) -> DataFrame:
+def scattered(rows: DataFrame, key: str, path: str, batches: int = 3) -> tuple[str, int]:
+    """Writes ``rows`` as files by hash, for a stream of so many batches; returns their folder and the files of one batch.
+
+    A batch is as many files as a shuffle has partitions, so that one is no single task's.
+    """
+    files = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    rows.repartition(batches * files, key).write.parquet(path)
+    # Partitions without rows write no file; a batch is a third of those there are.
+    return path, max(1, -(-len(rows.sparkSession.read.parquet(path).inputFiles()) // batches))
+
+
+def versioned(stream: DataFrame, step: Callable[[DataFrame, DataFrame | None], tuple[DataFrame, DataFrame]], base: str, state: str, prepared: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
     """All rows that ``step`` gives, batch by batch: it gets a batch and the state table, and returns rows and the next state.
 
-    ``state`` is the table's schema. Each batch writes its rows and its version of the table to folders of its own, built on
+    ``state`` is the table's schema; ``step`` gets what ``prepared`` makes of a batch, once. Each batch writes its rows and its version of the table to folders of its own, built on
     the version before, so one that is repeated after a failure changes nothing; the newest two versions stay in ``base``.
     """
     spark = stream.sparkSession
     version = lambda n: f"{base}/v{n}"
 
     def write(batch: DataFrame, number: int) -> None:
-        batch = batch.persist()
+        batch = (prepared(batch) if prepared else batch).persist()
         out, after = step(batch, spark.read.schema(state).parquet(version(number - 1)) if number else None)
         after.write.mode("overwrite").parquet(version(number))
         out.write.mode("overwrite").parquet(f"{base}/out/batch={number}")
@@ -67,6 +78,25 @@ def versioned(stream: DataFrame, step: Callable[[DataFrame, DataFrame | None], t
     return spark.read.parquet(f"{base}/out")
 
 
+def table_after(stream: DataFrame, step: Callable[[DataFrame, DataFrame | None], DataFrame], name: str, state: str) -> DataFrame:
+    """The state table after all batches: ``step`` gets a batch and the table before it, none at first, and returns the next one.
+
+    ``state`` is the table's schema. A batch writes a version of the table, built on the one before; the newest two stay.
+    """
+    spark = stream.sparkSession
+    base = new_path(spark, name)
+    version = lambda n: f"{base}/v{n}"
+
+    def write(batch: DataFrame, number: int) -> None:
+        step(batch, spark.read.schema(state).parquet(version(number - 1)) if number else None).write.mode("overwrite").parquet(version(number))
+        if number > 1:
+            removed(spark, version(number - 2))
+
+    stream.writeStream.option("checkpointLocation", f"{base}/state").trigger(availableNow=True).foreachBatch(write).start().awaitTermination()
+    last = latest_batch(spark, f"{base}/state")
+    return spark.createDataFrame([], state) if last is None else spark.read.schema(state).parquet(version(last))
+
+
 def merged(stream: DataFrame, keys: list[str], order: str, name: str, keep: tuple[str, ...] = (), fill: tuple[str, ...] = (), base: str | None = None) -> DataFrame:
     """The table after merging every batch by key; one version per batch, of which the newest two stay.
 

@@ -132,3 +132,15 @@ def test_events_of_broken_texts_and_without_meaning(spark):
     rows = [("product/create", "{broken"), ("product/create", '{"id": 3}'), ("product/create", '{"reference_number": "a", "status": "on_sale"}'), ("other", '{"reference_number": "a", "id": 1}'), ("product/update", '{"product": {"reference_number": "b", "id": 4}}'), ("product/fail_to_create", '{"reference_number": "c", "errors": "x 商品管理番号は不正な値です"}')]
     raw = spark.createDataFrame([(e, b, 0, i) for i, (e, b) in enumerate(rows)], "event string, body string, at long, seq long")
     assert sorted((r.reference, r.kind, r.product_id) for r in shop_events.parsed_events(raw).collect()) == [("b", "updated", 4), ("c", "found stopped", None)]
+
+
+def test_a_stream_of_listings_keeps_a_table(spark, tmp_path):
+    """Late events in any order, batch by batch, as a table of states; a batch is no single file."""
+    r = random.Random(5)
+    kinds = list(shop_events.LEGAL)
+    events = [(f"r{r.randint(0, 9)}" if n < 400 else "late", n, n % 7, r.choice(kinds), r.choice([None, n])) for n in range(500)]
+    frame = spark.createDataFrame(events, "reference string, at long, seq long, kind string, product_id long").withColumn("at", F.timestamp_micros("at"))
+    path, files = runs.scattered(frame, "at", str(tmp_path / "in"))
+    assert files > 1
+    got = runs.table_after(runs.file_stream(spark, path, files), shop_events.folded_step, "folded", shop_events.FOLDED).select("reference", "s.*")
+    assert sorted(got.collect()) == sorted(shop_events.folded(frame).collect())
