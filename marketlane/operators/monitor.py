@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from marketlane.functions import dates
+from marketlane.functions import dates, text
 from marketlane.operators import relational
 from marketlane.operators.relational import ranked
 
@@ -60,6 +60,26 @@ def records(observations: DataFrame, key: str, time: str, fav: str, view: str) -
     return recorded(lists.join(counts, key), key)
 
 
+#: The table of ``record_step`` for a key named item_id.
+RECORDS = "item_id long, new struct<at:timestamp_ntz,fav:long,view:long>, old struct<at:timestamp_ntz,fav:long,view:long>, obs_count long"
+
+
+def record_step(batch: DataFrame, known: DataFrame | None, key: str, time: str, fav: str, view: str) -> DataFrame:
+    """key, new, old, obs_count after a batch of observations, for ``recorded``: the newest two that were ever seen, and how many.
+
+    A late observation takes its place among the two if it is newer than the older one.
+    """
+    o = F.struct(F.col(time).cast("timestamp_ntz").alias("at"), F.col(fav).cast("long").alias("fav"), F.col(view).cast("long").alias("view"))
+    rows = batch.select(key, o.alias("o"), F.lit(1).cast("long").alias("n"))
+    if known is not None:
+        held = known.select(key, F.explode(F.array(F.struct(F.col("new").alias("o"), F.col("obs_count").alias("n")), F.struct(F.col("old").alias("o"), F.lit(0).cast("long").alias("n")))).alias("h"))
+        rows = rows.unionByName(held.select(key, "h.o", "h.n").filter("o IS NOT NULL"))
+    two = ranked(rows.select(key, "o"), [key], [F.col("o").desc()]).filter("nth <= 2")
+    pick = lambda n: F.max(F.when(F.col("nth") == n, F.col("o")))
+    counts = rows.groupBy(key).agg(F.sum("n").alias("obs_count"))
+    return two.groupBy(key).agg(pick(1).alias("new"), pick(2).alias("old")).join(counts, key)
+
+
 def recorded(rows: DataFrame, key: str) -> DataFrame:
     """The records of rows (key, new, old, obs_count), whose newest two observations are structs (at, fav, view)."""
     zero = F.lit(0)
@@ -140,6 +160,44 @@ def boundary_at(rows: Column, known: Column) -> Column:
     return F.get(F.filter(F.coalesce(places, F.array().cast("array<int>")), alike), F.lit(0))
 
 
+#: The table of ``sequence_step``: the newest rows of a seller's last list.
+KNOWN = "seller_id long, known array<struct<sale_date:string,item_id:string,qty:long>>"
+_ROWS, _NEW = "array<struct<sale_date:string,item_id:string,qty:bigint>>", "array<struct<crawl:bigint,over:boolean,rows:array<struct<sale_date:string,item_id:string,qty:bigint>>>>"
+
+
+def sequence_lists(crawls: DataFrame) -> DataFrame:
+    """seller_id and its crawls in order: their numbers, and their rows (sale_date, item_id, qty), newest first."""
+    # Dealt by seller once, before rows become arrays: both groupings keep to that.
+    lists = crawls.repartition("seller_id").groupBy("seller_id", "crawl").agg(F.sort_array(F.collect_list(F.struct("place", "sale_date", "item_id", "qty"))).alias("rows"))
+    rows = F.transform("rows", lambda r: F.struct(r["sale_date"].alias("sale_date"), r["item_id"].alias("item_id"), r["qty"].alias("qty")))
+    return lists.groupBy("seller_id").agg(F.sort_array(F.collect_list(F.struct("crawl", rows.alias("rows")))).alias("crawls"))
+
+
+def sequence_step(lists: DataFrame, known: DataFrame | None, size: int) -> tuple[DataFrame, DataFrame]:
+    """New rows of sellers' lists, crawl by crawl, and the table ``KNOWN`` after them, which has ``size`` rows of each.
+
+    New are the rows before the place where the known ones stand whole. If they stand nowhere, rows of their newest date or
+    later are, and ``over`` says that too much may have been taken. A seller's list has to come in one batch.
+    """
+    if known is None:
+        both = lists.withColumn("known", F.lit(None).cast(_ROWS))
+    else:
+        both = lists.join(known, "seller_id", "full_outer")
+
+    def step(s: Column, c: Column) -> Column:
+        held, rows = s["known"], c["rows"]
+        newest = F.array_max(F.transform(held, lambda k: k["sale_date"]))
+        found = lambda at: F.when(at.isNotNull(), F.slice(rows, F.lit(1), at)).when(F.size(held) == 0, rows).otherwise(text.once(newest, lambda d: F.filter(rows, lambda r: r["sale_date"] >= d)))
+        told = lambda at: F.array(F.struct(c["crawl"].alias("crawl"), (at.isNull() & (F.size(held) > 0)).alias("over"), found(at).alias("rows")))
+        return F.struct(F.slice(rows, 1, size).alias("known"), F.concat(s["new"], text.once(boundary_at(rows, held), told)).cast(_NEW).alias("new"))
+
+    start = F.struct(F.coalesce("known", F.array().cast(_ROWS)).alias("known"), F.array().cast(_NEW).alias("new"))
+    fresh = both.filter("crawls IS NOT NULL").select("seller_id", F.explode(F.aggregate("crawls", start, step)["new"]).alias("n"))
+    rows = fresh.select("seller_id", "n.crawl", F.explode("n.rows").alias("r"), "n.over").select("seller_id", "crawl", "r.*", "over")
+    last = F.slice(F.element_at("crawls", -1)["rows"], 1, size)
+    return rows, both.select("seller_id", F.coalesce(last, "known").alias("known"))
+
+
 def boundary_surplus(new: DataFrame, old: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:
     """Of new rows, as many per signature as there are beyond those already stored."""
     n_old = old.groupBy(*keys).agg(F.count("*").alias("n_old"))

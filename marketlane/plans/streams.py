@@ -58,11 +58,10 @@ def observation_records(spark, sf_dir):
 
 @query(_RECORDS)
 def stream_observation_records(spark, sf_dir):
-    """STR-07 as a stream: observations in three files, not in order of time; the rows of ``observation_records``."""
-    path = runs.new_path(spark, "observations")
-    domain.observations(spark, sf_dir).repartition(3, "event_id").write.parquet(f"{path}/in")
-    emitted = runs.drained(state.record_stream(runs.file_stream(spark, f"{path}/in", 1), "item_id", "observed_at", "fav_count", "view_count"), "update", "records")
-    return rules.recorded(runs.latest_per_key(emitted, "item_id"), "item_id").withColumn("fav_velocity", F.round("fav_velocity", 6))
+    """STR-07 as a stream: observations in three batches, not in order of time; the rows of ``observation_records``."""
+    path, files = runs.scattered(domain.observations(spark, sf_dir), "event_id", f"{runs.new_path(spark, 'observations')}/in")
+    step = lambda batch, known: rules.record_step(batch, known, "item_id", "observed_at", "fav_count", "view_count")
+    return rules.recorded(runs.table_after(runs.file_stream(spark, path, files), step, "records", rules.RECORDS), "item_id").withColumn("fav_velocity", F.round("fav_velocity", 6))
 
 
 _SCANS = """
@@ -132,7 +131,7 @@ def stream_watermark(spark, sf_dir):
         rows = seen.select(F.col("l_suppkey").alias("seller_id"), F.lit(crawl).cast("long").alias("crawl"), (F.row_number().over(newest) - 1).alias("place"), F.date_format("l_shipdate", "yyyy/MM/dd").alias("sale_date"), F.col("l_partkey").cast("string").alias("item_id"), F.col("l_quantity").cast("long").alias("qty"))
         # A seller's list is in one file, and so in one batch; the stream goes on from one crawl to the next.
         rows.write.mode("append").option("maxRecordsPerFile", 0).parquet(f"{base}/lists")
-        emitted = runs.drained(state.sequence_stream(runs.file_stream(spark, f"{base}/lists")), "append", "sequence", f"{base}/state", f"{base}/out")
+        emitted = runs.versioned(runs.file_stream(spark, f"{base}/lists"), lambda lists, known: rules.sequence_step(lists, known, state.WATERMARK_SIZE), base, rules.KNOWN, rules.sequence_lists)
     return emitted.drop("batch")
 
 

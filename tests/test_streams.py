@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from conftest import SF
 from marketlane import plans
+from marketlane.operators import monitor
 from marketlane.streaming import runs, state
 
 QUERIES = plans.load()[0]
@@ -91,3 +92,37 @@ def test_sequence_takes_the_whole_history(spark):
     got = QUERIES["stream_watermark"](spark, SF)
     print("rows emitted, sales:", got.filter("NOT over").count(), sales(spark).count())
     assert same(sales(spark), got.filter("NOT over"))
+
+
+def test_records_as_a_table(spark, tmp_path):
+    """Late observations, in batches of more than one file each: the newest two and the count, as in batch."""
+    rows = [(n % 5, (n * 37) % 101, n % 60, n * 7) for n in range(100)] + [(9, 5, 60, 1)]
+    frame = spark.createDataFrame(rows, "k long, s long, fav long, view long").withColumn("at", F.timestamp_seconds("s").cast("timestamp_ntz"))
+    path, files = runs.scattered(frame, "s", str(tmp_path / "in"))
+    step = lambda batch, known: monitor.record_step(batch, known, "k", "at", "fav", "view")
+    got = monitor.recorded(runs.table_after(runs.file_stream(spark, path, files), step, "records", monitor.RECORDS.replace("item_id", "k")), "k")
+    assert files > 1 and same(got, monitor.records(frame, "k", "at", "fav", "view"))
+
+
+def test_sequence_step_takes_what_the_python_form_takes(spark):
+    """Two crawls in one batch, a known sequence that is found, one that is lost, a seller that comes later, and one that stays away."""
+    lists = {
+        1: [[("2026/01/03", "c", 1), ("2026/01/02", "b", 2), ("2026/01/01", "a", 1)], [("2026/01/04", "d", 1), ("2026/01/03", "c", 1), ("2026/01/02", "b", 2)], [("2026/01/05", "e", 1), ("2026/01/04", "d", 1), ("2026/01/03", "c", 1)]],
+        2: [[("2026/01/03", "c", 1), ("2026/01/02", "b", 2)], [("2026/01/04", "d", 1), ("2026/01/03", "x", 1), ("2026/01/02", "b", 2)], None],
+        3: [None, None, [("2026/01/01", "a", 9)]],
+        4: [[("2026/01/01", "a", 9)], None, None],
+    }
+    want = []
+    for seller, crawls in lists.items():
+        known = []
+        for n, rows in enumerate(crawls):
+            if rows is not None:
+                new, over = state.new_rows(rows, known)
+                want += [(seller, n, *r, over) for r in new]
+                known = rows[:2] or known
+    schema = "seller_id long, crawl long, place int, sale_date string, item_id string, qty long"
+    batch = lambda *ns: monitor.sequence_lists(spark.createDataFrame([(k, n, i, *r) for k, cs in lists.items() for n in ns if cs[n] for i, r in enumerate(cs[n])], schema))
+    first, known = monitor.sequence_step(batch(0, 1), None, 2)
+    second, known = monitor.sequence_step(batch(2), known, 2)
+    assert sorted(map(tuple, first.unionByName(second).collect())) == sorted(want)
+    assert {r.seller_id: [x.item_id for x in r.known] for r in known.collect()} == {1: ["e", "d"], 2: ["d", "x"], 3: ["a"], 4: ["a"]}
