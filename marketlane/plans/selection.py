@@ -226,9 +226,10 @@ def json_documents(spark, sf_dir):
     option = F.struct("color", "size", F.col("in_stock").alias("stock"))
     rows = domain.offering_options(spark, sf_dir).groupBy("offering_id").agg(F.sort_array(F.collect_list(option)).alias("o"))
     whole = F.to_json(F.struct(F.col("offering_id").alias("id"), F.col("o").alias("options")))
-    kind = "id bigint, options array<struct<color:string,size:string,stock:bigint>>"
-    blank = F.to_json(F.from_json(whole, kind).withField("options", F.array().cast("array<struct<color:string,size:string,stock:bigint>>")))
-    broken = F.when(F.col("offering_id") % 5 == 0, F.substring(whole, 1, 12)).otherwise(whole)
+    # The text is made once a row, as several columns read it; what is blanked isn't read from it.
+    rows = rows.select("offering_id", "o", whole.alias("whole"))
+    blank = F.to_json(F.from_json("whole", "id bigint").withField("options", F.array().cast("array<struct<color:string,size:string,stock:bigint>>")))
+    broken = F.when(F.col("offering_id") % 5 == 0, F.substring("whole", 1, 12)).otherwise(F.col("whole"))
     return rows.select("offering_id", F.to_json("o").alias("options"), blank.alias("blanked"), F.try_parse_json(broken).isNotNull().alias("valid"))
 
 
