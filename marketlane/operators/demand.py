@@ -53,7 +53,9 @@ def _levels(keyed: DataFrame, p: DemandParams) -> DataFrame:
     sums = (F.sum("act").alias("n_active"), F.sum("ord").alias("ord90"), F.sum("fav").alias("fav_sum"))
     # Rows without a brand take part with a null key, which is dropped from the finest level only.
     keys = keyed.withColumn("b", F.when((F.col("brand_key") != "") & (F.col("cat") != ""), F.col("brand_key"))).withColumn("c", F.when(F.col("cat") != "", F.col("cat")))
-    sets = keys.groupingSets([["b", "c", "band"], ["c", "band"], []], "b", "c", "band").agg(F.grouping_id().alias("gid"), *sums)
+    # The finest cells are summed first, so that the sets multiply cells and not items.
+    fine = keys.groupBy("b", "c", "band").agg(*sums)
+    sets = fine.groupingSets([["b", "c", "band"], ["c", "band"], []], "b", "c", "band").agg(F.grouping_id().alias("gid"), *(F.sum(c).alias(c) for c in ("n_active", "ord90", "fav_sum")))
     # Three levels come from one table; it has a row for each cell, so it is small beside the items.
     sets = sinks.stored(sets, "demand-sets")
     l3 = sets.filter("gid = 0 AND b IS NOT NULL AND c IS NOT NULL")
@@ -82,8 +84,10 @@ def cells_and_codes(items: DataFrame, orders: DataFrame, as_of: str, p: DemandPa
 
 
 def _codes(keyed: DataFrame) -> DataFrame:
-    codes = keyed.filter("brand_key <> ''").withColumn("code", F.explode(text.model_tokens(F.col("model_no"))))
-    cells = codes.groupBy("code", "brand_key").agg(F.sum("act").alias("n_active"), F.sum("ord").alias("ord90"), F.coalesce(F.max(F.when(F.col("act") == 1, F.col("fav"))), F.lit(0)).cast("long").alias("max_fav"))
+    # Items of a brand and model are summed first: each model's text is read once, not once an item.
+    models = keyed.filter("brand_key <> ''").groupBy("brand_key", "model_no").agg(F.sum("act").alias("act"), F.sum("ord").alias("ord"), F.max(F.when(F.col("act") == 1, F.col("fav"))).alias("fav"))
+    codes = models.withColumn("code", F.explode(text.model_tokens(F.col("model_no"))))
+    cells = codes.groupBy("code", "brand_key").agg(F.sum("act").alias("n_active"), F.sum("ord").alias("ord90"), F.coalesce(F.max("fav"), F.lit(0)).cast("long").alias("max_fav"))
     return cells.filter("n_active > 0 OR ord90 > 0")
 
 
