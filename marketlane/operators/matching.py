@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from marketlane.functions import text
@@ -205,14 +205,14 @@ def matched_variants(stored: DataFrame, offered: DataFrame, key: str) -> DataFra
     ``stored``: key, stored_id, code, color, size; ``offered``: key, code, color, size, in_stock (code unique per key).
     """
     pair = lambda: F.concat_ws("/", F.lower(F.trim("color")), F.lower(F.trim("size")))
-    s = stored.withColumn("pair", pair()).join(stored.groupBy(key).agg(F.count("*").alias("__ns")), key)
-    o = offered.withColumn("pair", pair()).join(offered.groupBy(key).agg(F.count("*").alias("__no")), key)
-    counts = s.select(key, "__ns").distinct().join(o.select(key, "__no").distinct(), key).select(key, ((F.col("__ns") == 1) & (F.col("__no") == 1)).alias("__one"))
+    count = F.count("*").over(Window.partitionBy(key))
+    s = stored.withColumn("pair", pair()).withColumn("__ns", count)
+    o = offered.withColumn("pair", pair())
     by_code = o.select(key, F.col("code"), F.struct("code", "in_stock").alias("__c"))
     by_pair = first_by(o.select(key, "pair", "code", "in_stock"), [key, "pair"], [F.col("code")]).select(key, "pair", F.struct("code", "in_stock").alias("__p"))
-    alone = o.filter("__no = 1").select(key, F.struct("code", "in_stock").alias("__a"))
-    m = s.join(counts, key, "left").join(by_code, [key, "code"], "left").join(by_pair, [key, "pair"], "left").join(alone, key, "left")
-    hit = F.coalesce(F.when(F.col("__one"), F.col("__a")), F.col("__c"), F.col("__p"))
+    alone = o.groupBy(key).agg(F.count("*").alias("__no"), F.min(F.struct("code", "in_stock")).alias("__a")).filter("__no = 1").select(key, "__a")
+    m = s.join(by_code, [key, "code"], "left").join(by_pair, [key, "pair"], "left").join(alone, key, "left")
+    hit = F.coalesce(F.when(F.col("__ns") == 1, F.col("__a")), F.col("__c"), F.col("__p"))
     found = m.select(key, "stored_id", hit["code"].alias("code"), F.when(hit.isNull(), "gone").when(hit["in_stock"] == 1, "in").otherwise("out").alias("state"))
     new = o.select(key, "code").join(found.select(key, "code").filter("code IS NOT NULL").distinct(), [key, "code"], "left_anti")
     return found.unionByName(new.select(key, F.lit(None).cast(stored.schema["stored_id"].dataType).alias("stored_id"), "code", F.lit("new").alias("state")))

@@ -38,3 +38,7 @@ def test_models_are_summed_before_their_tokens(spark):
     assert [tuple(r) for r in cells.collect()] == [("MD00001", "B", 2, 8, 4)]
     plan = logical(cells)
     assert plan.index("Generate explode") < plan.rindex("Aggregate")
+
+
+def test_variants_are_matched_without_joins_of_counts(spark):
+    assert logical(QUERIES["stock_changes"](spark, SF)).count("Join ") <= 8
