@@ -11,6 +11,7 @@ from marketlane.operators import monitor as rules
 from marketlane.plans import SQL, monitor, query
 from marketlane.sources import domain
 from marketlane.sources.domain import EVENTS_AS_OF, read, sql_over
+from marketlane.sources.sinks import stored
 from marketlane.streaming import runs, state
 
 
@@ -99,7 +100,7 @@ UNION ALL SELECT 'volume', CAST(scan AS VARCHAR), count(*) FROM history GROUP BY
 UNION ALL SELECT 'inconsistent', '', count(*) FILTER (WHERE item % 50 = 0 AND was <> 0) FROM latest"""))
 def variant_checks(spark, sf_dir):
     """DOC-09: states, volume by scan, and consistency of a variants' history; the current table is off for some items."""
-    history = rules.variant_history(reduce(DataFrame.unionByName, (_scan(spark, sf_dir, k) for k in range(3))))
+    history = stored(rules.variant_history(reduce(DataFrame.unionByName, (_scan(spark, sf_dir, k) for k in range(3)))), "history")
     latest = history.groupBy("item", "sku").agg(F.max_by("availability", "scan").alias("availability"))
     current = latest.withColumn("availability", F.when(F.col("item") % 50 == 0, 0).otherwise(F.col("availability")))
     return rules.history_checks(history, current)

@@ -18,7 +18,7 @@ def test_documents_are_dealt_once(spark):
     assert plan.count("Exchange ") == 1
 
 
-@pytest.mark.parametrize("name", ["prefix_match"])
+@pytest.mark.parametrize("name", ["prefix_match", "variant_checks"])
 def test_what_is_read_several_times_is_stored(spark, name):
     assert "l_partkey" not in logical(QUERIES[name](spark, SF))
 
